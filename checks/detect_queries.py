@@ -19,7 +19,7 @@ SEEN = ("item_id", "title", "price")
 
 def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = fx.snapshots(spark, sf_dir, fx.SITES)
-    return fx.text_times(seen.select("site", "run_ts", "item_id", "title", "price", "end_ts"))
+    return fx.plain(seen.select("site", "run_ts", "item_id", "title", "price", "end_ts"))
 
 
 def snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_snapshot(seen, path)
     write_snapshot(seen, path)
     back = spark.read.schema(OBSERVATION).parquet(path)
-    return fx.text_times(back.select("site", "run_ts", *SEEN, "full_price", "bid_num", "onsale"))
+    return fx.plain(back.select("site", "run_ts", *SEEN, "full_price", "bid_num", "onsale"))
 
 
 def first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def _kind(profile: Profile, kind: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         run, snapshot, listing = fx.run_and_state(spark, sf_dir, profile)
         found = detect(snapshot, listing, run, profile).filter(F.col("kind") == kind)
-        return fx.text_times(found.drop("site", "run_ts", "kind"))
+        return fx.plain(found.drop("site", "run_ts", "kind"))
 
     return query
 
@@ -68,14 +68,14 @@ def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _merge(profile: Profile):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         run, snapshot, listing = fx.run_and_state(spark, sf_dir, profile)
-        return fx.text_times(merge(listing, snapshot, run, profile))
+        return fx.plain(merge(listing, snapshot, run, profile))
 
     return query
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = fx.snapshots(spark, sf_dir, fx.SITES, fine=True)
-    return fx.text_times(listing_state(seen, PROFILES.values()))
+    return fx.plain(listing_state(seen, PROFILES.values()))
 
 
 QUERIES = {
@@ -190,22 +190,25 @@ ORACLES = {
     "dedup_first": "with " + fx.views() + " " + _per_site(
         fx.time_text("run_ts") + ", item_id, title, price, " + fx.time_text("end_ts") + " from obs"
     ),
-    "snapshot_write": "with " + fx.views(fine=True) + f" select '{A}' as site, "
-    + fx.time_text("run_ts") + ", item_id, title, price, full_price, bid_num, onsale from obs",
+    "snapshot_write": fx.plain_sql(
+        "with " + fx.views(fine=True) + f" select '{A}' as site, " + fx.time_text("run_ts")
+        + ", item_id, title, price, full_price, bid_num, onsale from obs",
+        *fx.ITEM_NUMBERS,
+    ),
     "new_first_seen": _UNSEEN,
     "a_reappeared": _semi(A, "update_ts < (select last_ts from last)"),
     "c_reappeared": _semi(C, "update_ts < (select last_ts from last) - interval 1 day"),
     "b_relisted": _semi(B, "onsale = 0", "onsale = 1"),
     "b_sold_known": _semi(B, "onsale = 1", "onsale = 0"),
-    **{f"a_{k}": _kind_sql(A, k) for k in ("new", "discount", "sold")},
-    **{f"b_{k}": _kind_sql(B, k) for k in ("new", "discount", "sold")},
-    **{f"c_{k}": _kind_sql(C, k) for k in ("new", "discount", "bid")},
+    **{f"a_{k}": fx.plain_sql(_kind_sql(A, k), *fx.MONEY) for k in ("new", "discount", "sold")},
+    **{f"b_{k}": fx.plain_sql(_kind_sql(B, k), *fx.MONEY) for k in ("new", "discount", "sold")},
+    **{f"c_{k}": fx.plain_sql(_kind_sql(C, k), *fx.MONEY) for k in ("new", "discount", "bid")},
     "vanished": _state(A) + "select item_id, title, price from state where update_ts >="
     " (select last_ts from last) and item_id not in (select item_id from snap)",
     "merge_matched": _semi(A, "true"),
     "merge_unmatched": _UNSEEN,
-    "merge_a": _merge_sql(A),
-    "merge_b": _merge_sql(B),
-    "merge_c": _merge_sql(C),
-    "listing_state": _state_all(),
+    "merge_a": fx.plain_sql(_merge_sql(A), *fx.ITEM_NUMBERS),
+    "merge_b": fx.plain_sql(_merge_sql(B), *fx.ITEM_NUMBERS),
+    "merge_c": fx.plain_sql(_merge_sql(C), *fx.ITEM_NUMBERS),
+    "listing_state": fx.plain_sql(_state_all(), *fx.ITEM_NUMBERS),
 }

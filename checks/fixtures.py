@@ -113,12 +113,22 @@ def run_and_state(
     return run, snapshot, listing_state(earlier, [profile])
 
 
-def text_times(df: DataFrame) -> DataFrame:
-    """Times as text, so that both engines compare the same values."""
+# Numbers that may be NULL are compared as text: engines differ in how they hand NULL
+# integers to a data frame.
+NULLABLE = frozenset(
+    "old_price new_price old_full new_full old_num new_num full_price onsale bid_num"
+    " p_price p_onsale p_bid_num price_read bids_read pos last_page".split()
+)
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Times and nullable numbers as text, so that both engines compare the same values."""
     out = []
     for f in df.schema:
         if f.dataType.typeName() == "timestamp":
             out.append(F.date_format(f.name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(f.name))
+        elif f.name in NULLABLE:
+            out.append(F.col(f.name).cast("string").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -224,6 +234,15 @@ def time_text(column: str, name: str | None = None) -> str:
     return f"strftime({column}, {TIME}) as {name or column}"
 
 
+def plain_sql(query: str, *names: str) -> str:
+    """`plain` for a SQL query whose times are text already; `names` are its nullable numbers."""
+    casts = ", ".join(f"cast({n} as varchar) as {n}" for n in names)
+    return f"select * replace ({casts}) from ({query})"
+
+
+MONEY = ("old_price", "new_price", "old_full", "new_full", "old_num", "new_num")
+ITEM_NUMBERS = ("full_price", "onsale", "bid_num")
+
 CHANGE_COLUMNS = (
     "site, "
     + time_text("run_ts")

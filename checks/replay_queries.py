@@ -23,26 +23,26 @@ def changes(spark: SparkSession, sf_dir: str, sites=fx.SITES, fine: bool = False
 
 
 def _changes(*sites: str, fine: bool = False):
-    return lambda spark, sf_dir: fx.text_times(changes(spark, sf_dir, sites, fine))
+    return lambda spark, sf_dir: fx.plain(changes(spark, sf_dir, sites, fine))
 
 
 def stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = with_stable(fx.runs(spark, sf_dir, fx.SITES))
-    return fx.text_times(log.select("site", "run_ts", "error", "last_stable"))
+    return fx.plain(log.select("site", "run_ts", "error", "last_stable"))
 
 
 def next_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = with_stable(fx.runs(spark, sf_dir, fx.SITES))
-    return fx.text_times(log.select("site", "run_ts", "error", "next_stable"))
+    return fx.plain(log.select("site", "run_ts", "error", "next_stable"))
 
 
 def last_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.text_times(last_stable_of(fx.runs(spark, sf_dir, fx.SITES)))
+    return fx.plain(last_stable_of(fx.runs(spark, sf_dir, fx.SITES)))
 
 
 def seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = item_sequence(fx.snapshots(spark, sf_dir), fx.runs(spark, sf_dir))
-    return fx.text_times(
+    return fx.plain(
         rows.select(
             "run_ts", "item_id", "price", "p_ts", "n_ts", "p_price", "p_onsale", "p_bid_num", "first_title"
         )
@@ -56,11 +56,11 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.text_times(summary(spark, sf_dir).drop("alert"))
+    return fx.plain(summary(spark, sf_dir).drop("alert"))
 
 
 def alert_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.text_times(summary(spark, sf_dir).select("site", "run_ts", "alert"))
+    return fx.plain(summary(spark, sf_dir).select("site", "run_ts", "alert"))
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = summary(spark, sf_dir)
     for site in fx.SITES:
         store.append_log(rows.filter(F.col("site") == site))
-    return fx.text_times(store.run_log().select(*RUN_LOG.names))
+    return fx.plain(store.run_log().select(*RUN_LOG.names))
 
 
 # A fourth kind of site, as a user would add it: prices that went up by a tenth or more,
@@ -90,7 +90,7 @@ CUSTOM = Profile(
 def custom_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = fx.snapshots(spark, sf_dir, (CUSTOM.site,), fine=True)
     log = fx.runs(spark, sf_dir, (CUSTOM.site,))
-    return fx.text_times(replay(seen, log, [CUSTOM]))
+    return fx.plain(replay(seen, log, [CUSTOM]))
 
 
 QUERIES = {
@@ -114,7 +114,8 @@ _CHANGES = ", changes as (" + fx.CHANGE_SQL_ALL + ") "
 
 
 def _changes_sql(union: str, fine: bool = False) -> str:
-    return "with " + fx.views(fine) + f" select {fx.CHANGE_COLUMNS} from ({union})"
+    query = "with " + fx.views(fine) + f" select {fx.CHANGE_COLUMNS} from ({union})"
+    return fx.plain_sql(query, *fx.MONEY)
 
 
 def _runs_per_site(columns: str) -> str:
@@ -165,9 +166,12 @@ ORACLES = {
     "next_stable": _runs_per_site(
         fx.time_text("run_ts") + ", error, " + fx.time_text("next_stable") + " from rl"
     ),
-    "seq": _COARSE + "select " + fx.time_text("run_ts") + ", item_id, price, "
-    + fx.time_text("p_ts") + ", " + fx.time_text("n_ts")
-    + ", p_price, p_onsale, p_num as p_bid_num, first_title from seq",
+    "seq": fx.plain_sql(
+        _COARSE + "select " + fx.time_text("run_ts") + ", item_id, price, "
+        + fx.time_text("p_ts") + ", " + fx.time_text("n_ts")
+        + ", p_price, p_onsale, p_num as p_bid_num, first_title from seq",
+        "p_price", "p_onsale", "p_bid_num",
+    ),
     "run_summary": _LOG,
     "alert_flag": SUMMARY + "select site, " + fx.time_text("run_ts")
     + ", new + discount + sold > 0 as alert from summary",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,48 +26,53 @@ def _hits(profile: Profile) -> Column:
     return F.array_compact(F.array(*found))
 
 
-def _records(profiles: list[Profile]) -> Column:
-    """array<struct> in the shape of the change table, NULL for a site without profile."""
+def _per_site(profiles: Iterable[Profile], value: Callable[[Profile], Column]) -> Column:
+    """`value(profile)` for the row's site, NULL for a site without a profile."""
+    return F.coalesce(*[F.when(F.col("site") == p.site, value(p)) for p in profiles])
+
+
+def _is_gone(profile: Profile, kind: Column) -> Column:
+    return kind == profile.gone_kind if profile.gone_kind else F.lit(False)
 
-    def record(profile: Profile, hit: Column) -> Column:
-        kind = hit["kind"]
-        gone = kind == profile.gone_kind if profile.gone_kind else F.lit(False)
-        stored = kind.isin(*profile.stored_text) if profile.stored_text else F.lit(False)
-
-        def before(now: str) -> Column:
-            return F.when(gone, F.col(now)).otherwise(F.col(f"p_{now}"))
-
-        def after(now: str) -> Column:
-            return F.when(~gone, F.col(now))
-
-        text = [
-            F.when(stored, F.col(f"first_{c}")).otherwise(F.col(c)).alias(c) for c in TEXT_COLUMNS
-        ]
-        return F.struct(
-            "site",
-            hit["at"].alias("run_ts"),
-            kind.alias("kind"),
-            "item_id",
-            *text,
-            before("price").alias("old_price"),
-            after("price").alias("new_price"),
-            before("full_price").alias("old_full"),
-            after("full_price").alias("new_full"),
-            before("bid_num").alias("old_num"),
-            after("bid_num").alias("new_num"),
-            "end_ts",
-        )
 
-    def branch(profile: Profile) -> Column:
-        return F.transform(_hits(profile), lambda hit: record(profile, hit))
+def _is_stored(profile: Profile, kind: Column) -> Column:
+    return kind.isin(*profile.stored_text) if profile.stored_text else F.lit(False)
 
-    branches = [F.when(F.col("site") == p.site, branch(p)) for p in profiles]
-    return reduce(lambda a, b: F.coalesce(a, b), branches)
 
+def _record(kind: Column, at: Column, gone: Column, stored: Column) -> list[Column]:
+    """The columns of the change table for one hit on the row."""
 
-def nested_changes(rows: DataFrame, profiles: Iterable[Profile], name: str) -> DataFrame:
-    """`rows` with the changes each row stands for, as an array column."""
-    return rows.withColumn(name, _records(list(profiles)))
+    def before(now: str) -> Column:
+        return F.when(gone, F.col(now)).otherwise(F.col(f"p_{now}"))
+
+    def after(now: str) -> Column:
+        return F.when(~gone, F.col(now))
+
+    text = [F.when(stored, F.col(f"first_{c}")).otherwise(F.col(c)).alias(c) for c in TEXT_COLUMNS]
+    return [
+        F.col("site"),
+        at.alias("run_ts"),
+        kind.alias("kind"),
+        F.col("item_id"),
+        *text,
+        before("price").alias("old_price"),
+        after("price").alias("new_price"),
+        before("full_price").alias("old_full"),
+        after("full_price").alias("new_full"),
+        before("bid_num").alias("old_num"),
+        after("bid_num").alias("new_num"),
+        F.col("end_ts"),
+    ]
+
+
+def nested_changes(rows: DataFrame, profile: Profile, name: str) -> DataFrame:
+    """One site's `rows` with the changes each row stands for, as an array column."""
+
+    def record(hit: Column) -> Column:
+        kind = hit["kind"]
+        return F.struct(*_record(kind, hit["at"], _is_gone(profile, kind), _is_stored(profile, kind)))
+
+    return rows.withColumn(name, F.transform(_hits(profile), record))
 
 
 def emit_changes(rows: DataFrame, profiles: Iterable[Profile]) -> DataFrame:
@@ -78,5 +82,14 @@ def emit_changes(rows: DataFrame, profiles: Iterable[Profile]) -> DataFrame:
     text columns, `judged` (the row is a sighting, and some clean run came before) and
     `gone_at` (the clean run that misses the item, else NULL).
     """
-    found = nested_changes(rows, profiles, "_found").select(F.explode("_found").alias("_c"))
-    return found.select("_c.*")
+    profiles = list(profiles)
+    hits = rows.withColumn("_hit", F.explode(_per_site(profiles, _hits)))
+    kind = F.col("_hit.kind")
+    return hits.select(
+        *_record(
+            kind,
+            F.col("_hit.at"),
+            _per_site(profiles, lambda p: _is_gone(p, kind)),
+            _per_site(profiles, lambda p: _is_stored(p, kind)),
+        )
+    )

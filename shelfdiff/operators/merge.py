@@ -53,7 +53,7 @@ def merge_with_changes(
     """
     pairs = side_by_side(snapshot, listing, run)
     merged = F.struct(*[v.alias(c) for c, v in _merged(profile).items()]).alias("_merged")
-    rows = nested_changes(judged_rows(pairs, run, profile, merged), [profile], "found")
+    rows = nested_changes(judged_rows(pairs, run, profile, merged), profile, "found")
     return rows.select("_merged.*", "found")
 
 
