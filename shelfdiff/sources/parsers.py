@@ -72,28 +72,52 @@ _FEATURED = _tag("div", "Product__featured")
 _EMPTY = _tag("div", "Empty")
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    quoted = rf"""(?s)(?:^|\s){name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    found = F.concat(F.regexp_extract(tag, quoted, 1), F.regexp_extract(tag, quoted, 2))
-    return F.when(tag.rlike(quoted), tx.unescape_html(found))
-
-
-def _html_item(block: Column) -> Column:
-    div = F.regexp_extract(block, _tag("div"), 1)
-    link = F.regexp_extract(block, rf"(?s){_tag('h3')}.*?{_tag('a')}", 2)
-    bid_tag = rf"(?s){_tag('span', 'Product__bid')}(.*?)</span>"
-    bid = F.regexp_replace(F.regexp_extract(block, bid_tag, 2), r"<[^>]*>", "")
-    pairs = {
-        "id": _attribute(div, "data-auction-id"),
-        "sellerid": _attribute(div, "data-auction-sellerid"),
-        "price": _attribute(div, "data-auction-price"),
-        "buynowprice": _attribute(div, "data-auction-buynowprice"),
-        "endtime": _attribute(div, "data-auction-endtime"),
-        "title": _attribute(link, "data-auction-title"),
-        "href": _attribute(link, "href"),
-        "img": _attribute(link, "data-auction-img"),
-        "bid": F.when(block.rlike(bid_tag), tx.unescape_html(bid)),
-    }
+_DIV = _tag("div")
+_LINK = rf"(?s){_tag('h3')}.*?{_tag('a')}"
+_BID = rf"(?s){_tag('span', 'Product__bid')}(.*?)</span>"
+
+
+# Where each field comes from: (tag, attribute).
+_ATTRIBUTES = {
+    "id": ("div", "data-auction-id"),
+    "sellerid": ("div", "data-auction-sellerid"),
+    "price": ("div", "data-auction-price"),
+    "buynowprice": ("div", "data-auction-buynowprice"),
+    "endtime": ("div", "data-auction-endtime"),
+    "title": ("link", "data-auction-title"),
+    "href": ("link", "href"),
+    "img": ("link", "data-auction-img"),
+}
+
+
+def _tags(block: Column) -> Column:
+    """The three tags of a block that hold its fields."""
+    return F.struct(
+        F.regexp_extract(block, _DIV, 1).alias("div"),
+        F.regexp_extract(block, _LINK, 2).alias("link"),
+        F.regexp_extract(block, _BID, 0).alias("bid"),
+    )
+
+
+def _quoted_values(tags: Column) -> Column:
+    """Attribute values with their quotes; empty text where the attribute is missing."""
+
+    def quoted(tag: str, name: str) -> Column:
+        pattern = rf"""(?s)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*')"""
+        return F.regexp_extract(tags[tag], pattern, 1)
+
+    values = [quoted(*source).alias(field) for field, source in _ATTRIBUTES.items()]
+    bid = F.regexp_replace(tags["bid"], r"<[^>]*>", "")
+    return F.struct(*values, bid.alias("bid"), (tags["bid"] != "").alias("has_bid"))
+
+
+def _html_item(values: Column) -> Column:
+    pairs = {}
+    for field in _ATTRIBUTES:
+        quoted = values[field]
+        inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+        pairs[field] = F.when(quoted != "", tx.unescape_html(inner))
+    pairs["bid"] = F.when(values["has_bid"], tx.unescape_html(values["bid"]))
     entries = [c for key, value in pairs.items() for c in (F.lit(key), value)]
     return F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
 
@@ -115,7 +139,8 @@ def html_items(body: Column) -> Column:
     """
     blocks = F.slice(F.split(body, _DETAIL), F.lit(2), F.lit(2_000_000_000))
     own = F.filter(blocks, lambda b: ~is_promoted(b))
-    items = F.transform(own, _html_item)
+    # Step by step, so that no regular expression runs twice on the same text.
+    items = F.transform(F.transform(F.transform(own, _tags), _quoted_values), _html_item)
     return F.when(is_empty_page(body), F.array().cast(RAW_ITEMS)).otherwise(items)
 
 

@@ -41,11 +41,26 @@ def _lacks_field(item: Column, profile: Profile) -> Column:
     return missing
 
 
+def _exploded(pages: DataFrame, profile: Profile) -> DataFrame:
+    """One row per raw item, one for a page without any; `reason` tells what is wrong.
+
+    The outer form keeps the optimizer from repeating the parse in an inferred filter.
+    """
+    rows = pages.select(
+        "site",
+        "run_ts",
+        "keyword",
+        "page",
+        F.col("items").isNull().alias("_bad"),
+        F.posexplode_outer("items").alias("pos", "_item"),
+    )
+    lacks = F.col("pos").isNotNull() & _lacks_field(F.col("_item"), profile)
+    return rows.withColumn("reason", F.when(F.col("_bad"), "page").when(lacks, "item"))
+
+
 def observations_of(pages: DataFrame, profile: Profile) -> DataFrame:
     """Item rows of parsed pages, in page order; items that lack a field are left out."""
-    rows = pages.select(
-        "site", "run_ts", "keyword", "page", F.posexplode("items").alias("pos", "_item")
-    ).filter(~_lacks_field(F.col("_item"), profile))
+    rows = _exploded(pages, profile).filter(F.col("pos").isNotNull() & F.col("reason").isNull())
     known = profile.fields(F.col("_item"))
     columns = []
     for f in OBSERVATION:
@@ -58,16 +73,8 @@ def observations_of(pages: DataFrame, profile: Profile) -> DataFrame:
 
 def quarantine_of(pages: DataFrame, profile: Profile) -> DataFrame:
     """What could not be used: (site, run_ts, keyword, page, pos, reason)."""
-    where = ["site", "run_ts", "keyword", "page"]
-    bad_pages = pages.filter(F.col("items").isNull()).select(
-        *where, F.lit(None).cast("int").alias("pos"), F.lit("page").alias("reason")
-    )
-    bad_items = (
-        pages.select(*where, F.posexplode("items").alias("pos", "_item"))
-        .filter(_lacks_field(F.col("_item"), profile))
-        .select(*where, "pos", F.lit("item").alias("reason"))
-    )
-    return bad_pages.unionByName(bad_items)
+    rows = _exploded(pages, profile).filter(F.col("reason").isNotNull())
+    return rows.select("site", "run_ts", "keyword", "page", "pos", "reason")
 
 
 def project(payload: DataFrame, profile: Profile) -> tuple[DataFrame, DataFrame]:
