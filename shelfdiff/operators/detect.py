@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfdiff.operators.emit import emit_changes
-from shelfdiff.operators.runlog import last_stable
 from shelfdiff.profiles import Profile
 from shelfdiff.schema import LISTING, MEASURES, TEXT_COLUMNS
 from shelfdiff.sizing import BROADCAST_ROWS, fits
@@ -17,20 +16,32 @@ from shelfdiff.sizing import BROADCAST_ROWS, fits
 
 @dataclass(frozen=True)
 class Run:
-    """The run being judged: its own errors, and the newest clean run before it."""
+    """The run being judged, its own errors, and what the log says about its site.
+
+    `last` is the newest clean run before it, `newest` the newest run of any kind.
+    """
 
     site: str
     run_ts: datetime
     error: int
     last: datetime | None
+    newest: datetime | None = None
+
+    @property
+    def late(self) -> bool:
+        """No newer than what the log holds: taking it would rewrite the past."""
+        return self.newest is not None and self.run_ts <= self.newest
 
 
 def open_run(run_log: DataFrame, site: str, run_ts: datetime, error: int = 0) -> Run:
-    """Read the clean-run time of a site as of `run_ts`: one value, so that the state
-    filters built on it are literals that reach the parquet scan."""
-    earlier = run_log.filter((F.col("site") == site) & (F.col("run_ts") < F.lit(run_ts)))
-    row = last_stable(earlier).first()
-    return Run(site, run_ts, error, row["last_ts"] if row else None)
+    """Read a site's log as of `run_ts`: two values, so that the state filters built on
+    them are literals that reach the parquet scan."""
+    own = run_log.filter(F.col("site") == site)
+    clean = (F.col("error") == 0) & (F.col("run_ts") < F.lit(run_ts))
+    row = own.agg(
+        F.max(F.when(clean, F.col("run_ts"))).alias("last"), F.max("run_ts").alias("newest")
+    ).first()
+    return Run(site, run_ts, error, row["last"], row["newest"])
 
 
 def _known_to(listing: DataFrame, snapshot: DataFrame, run: Run, profile: Profile) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -38,45 +38,31 @@ def _totals(store: Store, site: str, run_ts: datetime, error: int, page: int, co
     return store.spark.createDataFrame([row], RUN_LOG)
 
 
-def diff_run(store: Store, snapshot: DataFrame, run: Run, profile: Profile, commit: bool) -> DataFrame:
-    """Changes of a run. With `commit`, merge and changes are written together first, and
-    the changes come from what was written."""
-    listing = store.listing(run.site)
-    if not commit:
-        return detect(snapshot, listing, run, profile)
-    version = merge_with_changes(listing, snapshot, run, profile)
-    return changes_of(store.write_version(version, run.site, run.run_ts))
-
-
-def finish_run(store: Store, changes: DataFrame, totals: DataFrame, commit: bool) -> DataFrame:
-    summary = run_summary(changes, totals)
-    if commit:
-        store.append_log(summary)
-    return summary
-
-
-def is_late(store: Store, site: str, run_ts: datetime) -> bool:
-    """A run no newer than the newest committed one would rewrite the past: it is not
-    taken. This also makes committing the same run twice harmless."""
-    newest = store.newest_run(site)
-    return newest is not None and run_ts <= newest
-
-
 def run_snapshot(
     store: Store,
     snapshot: DataFrame,
     profile: Profile,
-    run_ts: datetime,
-    error: int = 0,
+    run: Run,
     page: int = 0,
     count: int = 0,
     commit: bool = False,
 ) -> RunResult:
-    """Diff an already de-duplicated snapshot against the store."""
-    run = open_run(store.run_log(), profile.site, run_ts, error)
-    changes = diff_run(store, snapshot, run, profile, commit)
-    totals = _totals(store, profile.site, run_ts, error, page, count)
-    return RunResult(run, changes, finish_run(store, changes, totals, commit))
+    """Diff a run's de-duplicated snapshot against the store.
+
+    With `commit`, merge and changes are written together first, the changes come from
+    what was written, and the log row is appended last.
+    """
+    listing = store.listing(run.site, run.newest)
+    if commit:
+        version = merge_with_changes(listing, snapshot, run, profile)
+        changes = changes_of(store.write_version(version, run.site, run.run_ts))
+    else:
+        changes = detect(snapshot, listing, run, profile)
+    totals = (run.site, run.run_ts, run.error, page, count, 0, 0, 0)
+    summary = run_summary(changes, store.spark.createDataFrame([totals], RUN_LOG))
+    if commit:
+        store.append_log(summary)
+    return RunResult(run, changes, summary)
 
 
 def run_site(
@@ -94,8 +80,6 @@ def run_site(
     """
     spark = store.spark
     use_utc(spark)
-    if commit and is_late(store, profile.site, run_ts):
-        raise ValueError(f"{profile.site}: run {run_ts} is not newer than the last commit")
     path = scratch_path(spark, f"pages-{profile.site}")
     of_run = payload.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
     parse_pages(of_run, profile).write.parquet(path)
@@ -103,6 +87,9 @@ def run_site(
 
     totals = page_totals(pages, profile).first()
     error, page, count = (totals["error"], totals["page"], totals["count"]) if totals else (0, 0, 0)
+    run = open_run(store.run_log(), profile.site, run_ts, error)
+    if commit and run.late:
+        raise ValueError(f"{profile.site}: run {run_ts} is not newer than the last commit")
     snapshot = dedup_first(observations_of(pages, profile))
     if rules is not None:
         snapshot, _ = apply_rules(snapshot, rules, profile.site)
@@ -111,8 +98,8 @@ def run_site(
         store.write_snapshot(snapshot)
         snapshot = store.snapshots()
     snapshot = snapshot.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
-    result = run_snapshot(store, snapshot, profile, run_ts, error, page, count, commit)
-    return RunResult(result.run, result.changes, result.summary, quarantine_of(pages, profile))
+    result = run_snapshot(store, snapshot, profile, run, page, count, commit)
+    return replace(result, quarantine=quarantine_of(pages, profile))
 
 
 def run_all(

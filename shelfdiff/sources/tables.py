@@ -76,12 +76,11 @@ class Store:
     def snapshots(self) -> DataFrame:
         return _read(self.spark, self.snapshot_path, OBSERVATION)
 
-    def newest_run(self, site: str) -> datetime | None:
-        """The newest committed run, clean or not: the version in force."""
-        return self.run_log().filter(F.col("site") == site).agg(F.max("run_ts")).first()[0]
-
-    def listing(self, site: str) -> DataFrame:
-        newest = self.newest_run(site)
+    def listing(self, site: str, newest: datetime | None = None) -> DataFrame:
+        """A site's listing as of its newest committed run, clean or not; pass `newest` if
+        it is known already."""
+        if newest is None:
+            newest = self.run_log().filter(F.col("site") == site).agg(F.max("run_ts")).first()[0]
         if newest is None:
             return self.spark.createDataFrame([], LISTING)
         return self.spark.read.schema(LISTING).parquet(self.version_path(site, newest))
