@@ -9,9 +9,8 @@ from checks import fixtures as fx
 from shelfdiff import AUCTION, PRESENCE, PROFILES, STATUS, detect, listing_state, merge
 from shelfdiff.operators import detect as d
 from shelfdiff.profiles import Profile
-from shelfdiff.schema import OBSERVATION
 from shelfdiff.session import scratch_path
-from shelfdiff.sources.tables import write_snapshot
+from shelfdiff.sources.tables import Store
 
 A, B, C = fx.A, fx.B, fx.C
 SEEN = ("item_id", "title", "price")
@@ -23,12 +22,12 @@ def dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written per (site, run) and written again: the second write replaces the first."""
-    path = scratch_path(spark, "snapshots")
+    """Landed per (site, run) and landed again: the second write replaces the first."""
+    store = Store(spark, scratch_path(spark, "store"))
     seen = fx.snapshots(spark, sf_dir, (A,), fine=True)
-    write_snapshot(seen, path)
-    write_snapshot(seen, path)
-    back = spark.read.schema(OBSERVATION).parquet(path)
+    store.write_snapshot(seen)
+    store.write_snapshot(seen)
+    back = store.snapshots()
     return fx.plain(back.select("site", "run_ts", *SEEN, "full_price", "bid_num", "onsale"))
 
 

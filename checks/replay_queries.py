@@ -26,6 +26,14 @@ def _changes(*sites: str, fine: bool = False):
     return lambda spark, sf_dir: fx.plain(changes(spark, sf_dir, sites, fine))
 
 
+def changes_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replay over landed snapshots: bucketed by item, so nothing is shuffled again."""
+    store = Store(spark, scratch_path(spark, "store"))
+    store.write_snapshot(fx.snapshots(spark, sf_dir, fx.SITES, fine=True))
+    log = fx.runs(spark, sf_dir, fx.SITES)
+    return fx.plain(replay(store.snapshots(), log, PROFILES.values()))
+
+
 def stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = with_stable(fx.runs(spark, sf_dir, fx.SITES))
     return fx.plain(log.select("site", "run_ts", "error", "last_stable"))
@@ -99,6 +107,7 @@ QUERIES = {
     "changes_c": _changes(C),
     "changes_c_fine": _changes(C, fine=True),
     "changes_all": _changes(*fx.SITES),
+    "changes_landed": changes_landed,
     "last_stable": stable,
     "last_clean_run": last_clean,
     "next_stable": next_stable,
@@ -157,6 +166,7 @@ ORACLES = {
     "changes_c": _changes_sql(fx.CHANGE_SQL[C]),
     "changes_c_fine": _changes_sql(fx.CHANGE_SQL[C], fine=True),
     "changes_all": _changes_sql(fx.CHANGE_SQL_ALL),
+    "changes_landed": _changes_sql(fx.CHANGE_SQL_ALL, fine=True),
     "last_stable": _runs_per_site(
         fx.time_text("run_ts") + ", error, " + fx.time_text("last_stable") + " from rl"
     ),

@@ -19,14 +19,14 @@ def dedup_first(
 
     A minimum over (order, rest) structs, not a row_number window: it is combined on the
     map side, so an item repeated over a third of all pages reaches its reducer as one
-    row per map task. `order` must be unique within a key for a repeatable result.
+    row per map task. Equal `order` values fall back on the other columns, so the result
+    is the same every time.
     """
     rest = [c for c in observations.columns if c not in keys and c not in order]
-    record = F.struct(*order, *rest)
     firsts = (
         observations.filter(F.col("item_id").isNotNull())
         .groupBy(*keys)
-        .agg(F.min_by(record, F.struct(*order)).alias("_r"))
+        .agg(F.min(F.struct(*order, *rest)).alias("_r"))
     )
     return firsts.select(
         *[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in observations.columns]

@@ -96,8 +96,7 @@ def run_site(
     snapshot = snapshot.select(*OBSERVATION.names)
     if commit:
         store.write_snapshot(snapshot)
-        snapshot = store.snapshots()
-    snapshot = snapshot.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
+        snapshot = store.snapshot(profile.site, run_ts)
     result = run_snapshot(store, snapshot, profile, run, page, count, commit)
     return replace(result, quarantine=quarantine_of(pages, profile))
 

@@ -5,6 +5,7 @@ Layout below one root folder:
     listing/<site>/<run>      one complete version of a site's listing per committed run
     snapshots/site=/run_ts=   de-duplicated snapshots, overwritten per run
     run_log                   append-only; the row of a run is written last
+    layout                    the number of buckets of the first two
 
 A version without a log row is an unfinished commit and is never read, so losing the
 driver or an executor halfway leaves the last committed state in force.
@@ -12,8 +13,13 @@ driver or an executor halfway leaves the last committed state in force.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -49,15 +55,18 @@ def find_id(listing: DataFrame, item_id, column: str = "item_id") -> DataFrame:
 
 
 def version_name(run_ts: datetime) -> str:
-    if run_ts.tzinfo is None:
-        run_ts = run_ts.replace(tzinfo=timezone.utc)
+    """A run's instant in UTC; a naive time is local, as Spark hands it to Python."""
     return run_ts.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
 
 
 @dataclass(frozen=True)
 class Store:
+    """All tables below `root`. `new_buckets` counts when the store is new, later the
+    number it was made with stays; without it, the session's shuffle partitions are taken."""
+
     spark: SparkSession
     root: str
+    new_buckets: int | None = None
 
     @property
     def run_log_path(self) -> str:
@@ -70,11 +79,64 @@ class Store:
     def version_path(self, site: str, run_ts: datetime) -> str:
         return f"{self.root}/listing/{site}/{version_name(run_ts)}"
 
+    @cached_property
+    def buckets(self) -> int:
+        path, schema = f"{self.root}/layout", T.StructType([T.StructField("buckets", T.IntegerType())])
+        known = _read(self.spark, path, schema).first()
+        if known is not None:
+            return known["buckets"]
+        wanted = self.new_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spark.createDataFrame([(wanted,)], schema).coalesce(1).write.parquet(path)
+        return wanted
+
+    # Run log.
+
     def run_log(self) -> DataFrame:
         return _read(self.spark, self.run_log_path, RUN_LOG)
 
+    def append_log(self, row: DataFrame) -> None:
+        columns = [F.col(f.name).cast(f.dataType) for f in RUN_LOG]
+        row.select(*columns).coalesce(1).write.mode("append").parquet(self.run_log_path)
+
+    # Snapshots.
+
+    def write_snapshot(self, snapshot: DataFrame) -> None:
+        """Replace the partitions of the runs in `snapshot`, leave all others.
+
+        Files are bucketed by item, so that a replay of the history needs no shuffle.
+        """
+        columns = [*(c for c in OBSERVATION.names if c not in RUN_KEYS), *RUN_KEYS]
+        (
+            snapshot.select(*columns)
+            .repartition(self.buckets, "item_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .insertInto(self._snapshot_table())
+        )
+
     def snapshots(self) -> DataFrame:
-        return _read(self.spark, self.snapshot_path, OBSERVATION)
+        """All landed snapshots, bucketed by item."""
+        name = self._snapshot_table()
+        self.spark.catalog.recoverPartitions(name)
+        return self.spark.table(name).select(*OBSERVATION.names)
+
+    def _snapshot_table(self) -> str:
+        """The folder's name in the catalog: one per store, as plans look partitions up
+        when they run."""
+        name = f"shelfdiff_snapshots_{hashlib.md5(self.snapshot_path.encode()).hexdigest()}"
+        ddl = _bucketed_ddl(OBSERVATION, self.buckets, self.snapshot_path, RUN_KEYS)
+        self.spark.sql(f"create table if not exists {name} {ddl}")
+        return name
+
+    def snapshot(self, site: str, run_ts: datetime) -> DataFrame:
+        """One run's snapshot, read from its own folder whatever the length of history."""
+        folder = f"{self.snapshot_path}/site={site}/run_ts={_partition_text(run_ts)}"
+        schema = T.StructType([f for f in OBSERVATION if f.name not in RUN_KEYS])
+        rows = _read(self.spark, folder, schema)
+        keys = {"site": F.lit(site), "run_ts": F.lit(run_ts)}
+        return rows.withColumns(keys).select(*OBSERVATION.names)
+
+    # Listing versions.
 
     def listing(self, site: str, newest: datetime | None = None) -> DataFrame:
         """A site's listing as of its newest committed run, clean or not; pass `newest` if
@@ -83,32 +145,54 @@ class Store:
             newest = self.run_log().filter(F.col("site") == site).agg(F.max("run_ts")).first()[0]
         if newest is None:
             return self.spark.createDataFrame([], LISTING)
-        return self.spark.read.schema(LISTING).parquet(self.version_path(site, newest))
-
-    def write_snapshot(self, snapshot: DataFrame) -> None:
-        """Replace the partitions of the runs in `snapshot`, leave all others."""
-        write_snapshot(snapshot, self.snapshot_path)
-
-    def write_version(self, version: DataFrame, site: str, run_ts: datetime) -> DataFrame:
-        """Write a listing version with its changes; sorted for row-group skipping on the
-        item. Returns it as read back."""
-        path = self.version_path(site, run_ts)
-        version.sortWithinPartitions("item_id").write.mode("overwrite").parquet(path)
-        return self.version(site, run_ts)
+        return self.version(site, newest).select(*LISTING.names)
 
     def version(self, site: str, run_ts: datetime) -> DataFrame:
-        schema = T.StructType([*LISTING, T.StructField("found", T.ArrayType(CHANGES))])
-        return self.spark.read.schema(schema).parquet(self.version_path(site, run_ts))
+        with self._registered(self.version_path(site, run_ts)) as name:
+            return self.spark.table(name)
 
-    def append_log(self, row: DataFrame) -> None:
-        columns = [F.col(f.name).cast(f.dataType) for f in RUN_LOG]
-        row.select(*columns).coalesce(1).write.mode("append").parquet(self.run_log_path)
+    def write_version(self, version: DataFrame, site: str, run_ts: datetime) -> DataFrame:
+        """Write a listing version with its changes, bucketed and sorted by item: the next
+        merge reads it without a shuffle, a lookup skips row groups. Returns it as read
+        back; a half-written one of a lost driver is replaced."""
+        columns = [F.col(c) if c in version.columns else F.lit(None).alias(c) for c in VERSION.names]
+        with self._registered(self.version_path(site, run_ts)) as name:
+            version.select(*columns).write.mode("overwrite").insertInto(name)
+            return self.spark.table(name)
+
+
+    @contextmanager
+    def _registered(self, path: str) -> Iterator[str]:
+        """A name in the catalog while a plan is built on a version, as Spark knows
+        bucketing through the catalog only. Dropping the name of an external table leaves
+        its files, and plans made meanwhile keep them."""
+        name = f"shelfdiff_version_{uuid.uuid4().hex}"
+        self.spark.sql(f"create table {name} {_bucketed_ddl(VERSION, self.buckets, path)}")
+        try:
+            yield name
+        finally:
+            self.spark.sql(f"drop table {name}")
+
+
+VERSION = T.StructType([*LISTING, T.StructField("found", T.ArrayType(CHANGES))])
+RUN_KEYS = ("site", "run_ts")
+
+
+def _bucketed_ddl(
+    schema: T.StructType, buckets: int, path: str, partitions: tuple[str, ...] = ()
+) -> str:
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    split = f"partitioned by ({', '.join(partitions)})" if partitions else ""
+    return (
+        f"({columns}) using parquet {split} clustered by (item_id) sorted by (item_id)"
+        f" into {buckets} buckets location '{path}'"
+    )
 
 
-def write_snapshot(snapshot: DataFrame, path: str) -> None:
-    (
-        snapshot.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("site", "run_ts")
-        .parquet(path)
-    )
+def _partition_text(run_ts: datetime) -> str:
+    """A run's partition folder as Spark names it in a UTC session."""
+    utc = run_ts.astimezone(timezone.utc)
+    text = utc.strftime("%Y-%m-%d %H:%M:%S")
+    if utc.microsecond:
+        text += f".{utc.microsecond:06d}".rstrip("0")
+    return text.replace(":", "%3A")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfdiff.operators.detect import open_run
@@ -32,9 +31,7 @@ def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Pr
         run = open_run(store.run_log(), row["site"], row["run_ts"], row["error"])
         if run.late:
             continue
-        snapshot = store.snapshots().filter(
-            (F.col("site") == row["site"]) & (F.col("run_ts") == F.lit(row["run_ts"]))
-        )
+        snapshot = store.snapshot(row["site"], row["run_ts"])
         run_snapshot(store, snapshot, profile, run, row["page"], row["count"], commit=True)
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfdiff import dedup_first, detect, listing_state, merge, open_run
 from shelfdiff.plans.run import run_snapshot
+from shelfdiff import replay
+from shelfdiff.operators.replay import item_sequence
 from shelfdiff.schema import LISTING
 from shelfdiff.sources.tables import Store
 from shelfdiff.streaming.runs import commit_arrivals
@@ -197,3 +199,30 @@ def test_an_unlogged_version_is_not_read(spark, tmp_path):
     )
     store.write_version(unfinished, profile.site, datetime(2024, 2, 1))
     assert [r["item_id"] for r in store.listing(profile.site).collect()] == ["x"]
+
+
+def test_history_and_merge_need_no_shuffle_of_stored_data(spark, tmp_path):
+    profile = KINDS["presence"]
+    rows, errors = history(6)
+    store = Store(spark, str(tmp_path))
+    seen = observations(spark, profile.site, rows)
+    log = run_log(spark, profile.site, errors)
+    store.write_snapshot(seen)
+    store.write_snapshot(seen)
+    stored = replay(store.snapshots(), log, [profile])
+    assert change_rows(stored) == change_rows(replay(seen, log, [profile]))
+    for ts in errors:
+        one = store.snapshot(profile.site, ts)
+        assert one.count() == seen.filter(F.col("run_ts") == F.lit(ts)).count()
+
+    plan = item_sequence(store.snapshots(), log)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange hashpartitioning(site#" not in plan.split("Broadcast")[0]
+
+    newest = max(errors)
+    run = open_run(log, profile.site, newest)
+    listing = listing_state(seen.filter(F.col("run_ts") < F.lit(newest)), [profile])
+    store.write_version(listing, profile.site, START)
+    old = store.listing(profile.site, START)
+    merged = merge(old, store.snapshot(profile.site, newest), run, profile)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(item_id") == 1 and "Bucketed: true" in plan
