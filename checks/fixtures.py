@@ -161,7 +161,7 @@ obs as (
                  from obs_raw) where rn = 1),
 runs as (
   select run_ts, count(*) as count, count(distinct event_type) as page,
-         case when extract(day from run_ts) % 5 = 0 then 1 else 0 end as error
+         cast(extract(day from run_ts) % 5 = 0 as bigint) as error
   from obs_raw group by run_ts),
 rl as (
   select *, max(case when error = 0 then run_ts end) over (order by run_ts

@@ -211,7 +211,7 @@ _SPLIT = """with recursive cut as (
          else substr(rest, 4097) end,
     length(rest) > 4096
   from cut where more)
-select doc_id, part_no, length(part) as part_len, md5(part) as part_md5 from cut where part_no >= 0"""
+select doc_id, part_no, cast(length(part) as int) as part_len, md5(part) as part_md5 from cut where part_no >= 0"""
 
 _OFFSET = "'-03:30'"
 

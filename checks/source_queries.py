@@ -438,9 +438,9 @@ def _event_totals(columns: str) -> str:
 
 ORACLES = {
     "src_jsonp": _DOC_LINES + f"""select cast(doc_id as varchar) as keyword,
-      count(*) as last_page, count(*) as n_items,
+      count(*) as last_page, cast(count(*) as int) as n_items,
       cast(doc_id * {LINES} as varchar) as first_id from items group by doc_id""",
-    "src_json": _DOC_LINES + f"""select cast(doc_id as varchar) as keyword, count(*) as n_items,
+    "src_json": _DOC_LINES + f"""select cast(doc_id as varchar) as keyword, cast(count(*) as int) as n_items,
       'm' || (doc_id * {LINES}) as first_id from items group by doc_id""",
     "src_html": _LINK_ITEMS,
     "src_html_udf": _LINK_ITEMS,
@@ -455,8 +455,8 @@ ORACLES = {
     "items_c": _DOC_LINES + """, numbered as (select *, row_number() over (partition by doc_id order by pos) - 1 as kept
        from items where price <= 200 and contains(text, chr(10)))
        """ + _HTML_ITEMS.replace("cast(pos as", "cast(kept as").replace("from items", "from numbered"),
-    "drop_promoted": _DOC_LINES + """select cast(doc_id as varchar) as keyword, count(*) as n_blocks,
-      count(*) filter (where price <= 200) as n_kept from items group by doc_id""",
+    "drop_promoted": _DOC_LINES + """select cast(doc_id as varchar) as keyword, cast(count(*) as int) as n_blocks,
+      cast(count(*) filter (where price <= 200) as int) as n_kept from items group by doc_id""",
     "drop_empty_pages": "select cast(doc_id as varchar) as keyword from documents where contains(text, chr(10))",
     "bad_pages": _EVENT_DAYS + f""" select site, {fx.time_text('run_ts')}, cast(event_id as varchar) as keyword,
       case when faulty or bare then null else '0' end as pos,
@@ -471,17 +471,17 @@ ORACLES = {
       count(distinct user_id) as items from e join sites on true where {_GOOD} group by site, run_ts""",
     "page_plan": f"""with u as (select user_id, cast(least(ceil(count(*) / 5), 12) as int) as last
       from events group by user_id)
-      select '{A}' as site, user_id, unnest(generate_series(1, last)) as page from u""",
+      select '{A}' as site, user_id, cast(unnest(generate_series(1, last)) as int) as page from u""",
     "page_params": f"""with u as (select user_id, cast(least(ceil(count(*) / 5), 12) as int) as last
       from events group by user_id),
-      p as (select user_id, unnest(generate_series(1, last)) as page from u)
-      select '{A}' as site, user_id, page, (page - 1) * 100 as first_row, 100 as n_rows from p
+      p as (select user_id, cast(unnest(generate_series(1, last)) as int) as page from u)
+      select '{A}' as site, user_id, page, cast((page - 1) * 100 as int) as first_row, 100 as n_rows from p
       union all select '{B}', user_id, page, 0, 120 from p
       union all select '{C}', user_id, page, (page - 1) * 100 + 1, 100 from p""",
     "page_window": """select o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') as o_orderdate
       from (select *, row_number() over (order by o_orderdate desc, o_orderkey) as n from orders)
       where n between 201 and 300""",
-    "topn_newest": """select o_orderpriority, o_orderkey, rank_no from (select *, row_number() over
+    "topn_newest": """select o_orderpriority, o_orderkey, cast(rank_no as int) as rank_no from (select *, row_number() over
       (partition by o_orderpriority order by o_orderdate desc, o_orderkey) as rank_no from orders)
       where rank_no <= 120""",
     "keywords": """select doc_id, source as site, unnest(string_split(text, chr(10))) as keyword
