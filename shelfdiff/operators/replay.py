@@ -95,7 +95,7 @@ def item_sequence(
     """
     bounds = run_bounds(run_log)
     log = with_stable(run_log).select(
-        "site", "run_ts", "error", "last_stable", "next_stable", "run_no"
+        "site", "run_ts", "count", "error", "last_stable", "next_stable", "run_no"
     )
     rows = attach_runs(snapshots, log, bounds, broadcast_rows)
     if bounds.widest <= item_rows:

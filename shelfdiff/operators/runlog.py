@@ -7,9 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfdiff.sizing import BROADCAST_ROWS, salted_join
+from shelfdiff.sizing import BROADCAST_ROWS
 
-SALTS = 64
+# A run with more than one part in so many of all items counts as hot, and the rows of
+# hot runs are spread over so many shuffle keys per run.
+HOT_RUNS = 1_000
+SPREAD = 4_096
 
 
 def last_stable(run_log: DataFrame) -> DataFrame:
@@ -21,48 +24,75 @@ def last_stable(run_log: DataFrame) -> DataFrame:
 def with_stable(run_log: DataFrame) -> DataFrame:
     """Add the nearest clean run before and after each run, and the run's ordinal.
 
-    One window over (site, run_ts) serves all three. The log has one narrow row per run,
-    whatever the number of items.
+    The log has one narrow row per run, whatever the number of items. The run after is
+    looked up in descending order: a frame that reaches to the end of its partition would
+    be summed anew for every row.
     """
-    by_site = Window.partitionBy("site").orderBy("run_ts")
+    forward = Window.partitionBy("site").orderBy("run_ts")
+    backward = Window.partitionBy("site").orderBy(F.desc("run_ts"))
     clean = F.when(F.col("error") == 0, F.col("run_ts"))
-    before = by_site.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_site.rowsBetween(1, Window.unboundedFollowing)
+    earlier = (Window.unboundedPreceding, -1)
     return run_log.withColumns(
         {
-            "last_stable": F.max(clean).over(before),
-            "next_stable": F.min(clean).over(after),
-            "run_no": F.row_number().over(by_site),
+            "last_stable": F.max(clean).over(forward.rowsBetween(*earlier)),
+            "run_no": F.row_number().over(forward),
         }
-    )
+    ).withColumn("next_stable", F.min(clean).over(backward.rowsBetween(*earlier)))
 
 
 @dataclass(frozen=True)
 class RunBounds:
-    """How many runs the log holds in all, and for the site with the most."""
+    """How many runs and items the log holds in all, and runs for the site with the most."""
 
     total: int
     widest: int
+    items: int
 
 
 def run_bounds(run_log: DataFrame) -> RunBounds:
-    per_site = run_log.groupBy("site").agg(F.count("*").alias("n"))
-    row = per_site.agg(F.sum("n").alias("total"), F.max("n").alias("widest")).first()
-    return RunBounds(row["total"] or 0, row["widest"] or 0)
+    per_site = run_log.groupBy("site").agg(F.count("*").alias("n"), F.sum("count").alias("items"))
+    row = per_site.agg(
+        F.sum("n").alias("total"), F.max("n").alias("widest"), F.sum("items").alias("items")
+    ).first()
+    return RunBounds(row["total"] or 0, row["widest"] or 0, row["items"] or 0)
 
 
 def attach_runs(
-    rows: DataFrame, log: DataFrame, bounds: RunBounds, broadcast_rows: int = BROADCAST_ROWS
+    rows: DataFrame,
+    log: DataFrame,
+    bounds: RunBounds,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_runs: int = HOT_RUNS,
 ) -> DataFrame:
-    """Join run columns to item rows on (site, run_ts).
+    """Join run columns to item rows on (site, run_ts); `log` has the run's item `count`.
 
-    The log is broadcast only if its counted size allows it. Beyond that the join is
-    salted by item, as one run may hold a third of all items.
+    The log is broadcast only if its counted size allows it. Beyond that it is shuffled,
+    but for hot runs: one run may hold a third of all items. Runs with more than one part
+    in `hot_runs` of all items, so fewer than `hot_runs` of them, are broadcast instead,
+    and their rows take a spread key through the shuffle in place of their run's.
     """
     on = ["site", "run_ts"]
+    columns = [c for c in log.columns if c not in (*on, "count")]
     if bounds.total <= broadcast_rows:
-        return rows.join(F.broadcast(log), on)
-    return salted_join(rows, log, on, "item_id", SALTS)
+        return rows.join(F.broadcast(log.drop("count")), on)
+    hot = F.coalesce(F.col("count") * hot_runs > F.lit(bounds.items), F.lit(False))
+    hot_log = log.filter(hot).select(
+        *on, F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in columns]
+    )
+    cold_log = log.filter(~hot).select(
+        *on, F.lit(0).alias("_spread"), F.lit(True).alias("_cold"), *columns
+    )
+    spread = F.when(F.col("_hot").isNull(), 0).otherwise(1 + F.pmod(F.hash("item_id"), F.lit(SPREAD)))
+    joined = (
+        rows.join(F.broadcast(hot_log), on, "left")
+        .withColumn("_spread", spread)
+        .join(cold_log, [*on, "_spread"], "left")
+        .filter(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
+    )
+    chosen = [
+        F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in columns
+    ]
+    return joined.select(*rows.columns, *chosen)
 
 
 def run_summary(changes: DataFrame, runs: DataFrame) -> DataFrame:

@@ -12,14 +12,3 @@ BROADCAST_ROWS = 500_000
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """True if `df` has at most `rows` rows; reads no more than it must to know."""
     return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: str, salts: int) -> DataFrame:
-    """Inner join for a `small` side too large to broadcast and a skewed `big` side.
-
-    Every key of `big` is spread over `salts` tasks by a hash of `spread_by`, `small` is
-    repeated `salts` times. No row is lost or doubled.
-    """
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right.hint("shuffle_hash"), [*on, "_salt"]).drop("_salt")

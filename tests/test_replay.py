@@ -44,20 +44,23 @@ def test_sliced_windows_give_the_same(spark, kind):
         assert sorted(map(repr, sliced.collect())) == sorted(map(repr, whole.collect()))
 
 
-def test_salted_run_join_gives_the_same(spark):
+def test_shuffled_run_join_gives_the_same(spark):
     profile = KINDS["presence"]
     rows, errors = history(5)
     seen = observations(spark, profile.site, rows)
     log = run_log(spark, profile.site, errors)
-    stable = with_stable(log).select("site", "run_ts", "error", "last_stable", "next_stable")
+    newest = max(r["ts"] for r in rows)
+    log = log.withColumn("count", F.when(F.col("run_ts") == F.lit(newest), 100).otherwise(5))
+    stable = with_stable(log).select("site", "run_ts", "count", "error", "last_stable", "next_stable")
     bounds = run_bounds(log)
     small = attach_runs(seen, stable, bounds)
-    salted = attach_runs(seen, stable, bounds, broadcast_rows=0)
-    assert "BroadcastHashJoin" not in salted._jdf.queryExecution().sparkPlan().toString()
     columns = ["site", "run_ts", "item_id", "last_stable", "next_stable"]
-    assert sorted(map(repr, salted.select(columns).collect())) == sorted(
-        map(repr, small.select(columns).collect())
-    )
+    expected = sorted(map(repr, small.select(columns).collect()))
+    # no hot run, one hot run, all runs hot
+    for hot_runs in (0, 3, 1000):
+        shuffled = attach_runs(seen, stable, bounds, broadcast_rows=0, hot_runs=hot_runs)
+        assert set(shuffled.columns) == set(small.columns)
+        assert sorted(map(repr, shuffled.select(columns).collect())) == expected
 
 
 def test_sites_do_not_mix(spark):
