@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,69 +107,71 @@ def unescape_html(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), done).otherwise(text)
 
 
+# Long texts are looked into block by block: finding character n of a text means walking
+# there from its start.
+BLOCK = 16_384
+
+# A cut is one number: its start times this, plus its length.
+CUT = 65_536
+
+
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def split_text(text: Column, limit: int = PART_LIMIT) -> Column:
     """Cut a text into parts of at most `limit` characters, array<string>.
 
     While more than `limit` characters are left, cut at the last newline among the first
     `limit` and drop that newline; without one, cut after `limit` characters.
 
-    The fold runs over line lengths, not over the text: its state is where the open part
-    starts, the last newline seen in it, and the cuts so far.
+    The fold takes one step per part, and its state is where the open part starts and the
+    cuts so far, as numbers: Spark copies the state in every step. A part that ends at a newline leaves none in the
+    rest of its window, so any two parts take more than `limit` characters together: twice
+    the whole windows are steps enough.
     """
-    lines = F.transform(F.split(text, "\n"), F.length)
-    cut_type = "array<struct<at:int,len:int>>"
-    start = F.struct(
-        F.lit(0).alias("pos"),
-        F.lit(0).alias("start"),
-        F.lit(-1).alias("newline"),
-        F.array().cast(cut_type).alias("cuts"),
-    )
-
-    def cut(at: Column, length: Column) -> Column:
-        return F.array(F.struct(at.alias("at"), length.alias("len")))
-
-    def advance(state: Column, pos: Column, room: int) -> tuple[Column, Column, Column]:
-        """Cut until fewer than `room + 1` characters lie between the start and `pos`."""
-        full = pos - state["start"] > room
-        at_newline = full & (state["newline"] >= 0)
-        start1 = F.when(at_newline, state["newline"] + 1).otherwise(state["start"])
-        cuts1 = F.when(
-            at_newline,
-            F.concat(
-                state["cuts"], cut(state["start"], state["newline"] - state["start"])
-            ),
-        ).otherwise(state["cuts"])
-        hard = F.greatest(F.lit(0), F.floor((pos - start1 - room - 1) / limit) + 1).cast("int")
-        hard = F.when(full, hard).otherwise(0)
-        blocks = F.when(
-            hard > 0,
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(hard - 1, F.lit(0))),
-                lambda i: F.struct(
-                    (start1 + i * limit).cast("int").alias("at"), F.lit(limit).alias("len")
-                ),
-            ),
-        ).otherwise(F.array().cast(cut_type))
-        keep = F.when(full, F.lit(-1)).otherwise(state["newline"])
-        return start1 + hard * limit, keep, F.concat(cuts1, blocks)
-
-    def step(state: Column, length: Column) -> Column:
-        newline = (state["pos"] + length).cast("int")
-        begin, _, cuts = advance(state, newline, limit - 1)
-        return F.struct(
-            (newline + 1).alias("pos"),
-            begin.cast("int").alias("start"),
-            newline.alias("newline"),
-            cuts.alias("cuts"),
+    if limit > BLOCK:
+        raise ValueError(f"limit must not exceed {BLOCK}")
+
+    def piece(blocks: Column, at: Column, size: Column) -> Column:
+        """`size` characters from `at` on, out of at most two blocks."""
+        block, offset = F.floor(at / BLOCK).cast("int"), at % BLOCK
+        head = F.substring(F.get(blocks, block), offset + 1, size)
+        over = F.greatest(offset + size - BLOCK, F.lit(0))
+        tail = F.substring(F.coalesce(F.get(blocks, block + 1), F.lit("")), F.lit(1), over)
+        return F.when(over > 0, F.concat(head, tail)).otherwise(head)
+
+    def fold(whole: Column) -> Column:
+        blocks, length = whole["blocks"], whole["length"]
+
+        def cut(at: Column, size: Column) -> Column:
+            return F.array(at.cast("bigint") * CUT + size)
+
+        def taken(state: Column, back: Column) -> Column:
+            """`back`: how far from the window's end its last newline is, 0 without one."""
+            size = F.lit(limit) - back
+            dropped = F.when(back > 0, 1).otherwise(0)
+            return F.struct(
+                (state["at"] + size + dropped).alias("at"),
+                F.concat(state["cuts"], cut(state["at"], size)).alias("cuts"),
+            )
+
+        def step(state: Column, _: Column) -> Column:
+            window = piece(blocks, state["at"], F.lit(limit))
+            more = _bind(F.locate("\n", F.reverse(window)), lambda back: taken(state, back))
+            return F.when(length - state["at"] > limit, more).otherwise(state)
+
+        def finish(state: Column) -> Column:
+            return F.concat(state["cuts"], cut(state["at"], length - state["at"]))
+
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<bigint>").alias("cuts"))
+        steps = F.sequence(F.lit(1), (2 * F.ceil(length / limit)).cast("int"))
+        return F.transform(
+            F.aggregate(steps, start, step, finish),
+            lambda c: F.coalesce(piece(blocks, F.floor(c / CUT), c % CUT), F.lit("")),
         )
 
-    total = F.length(text)
-
-    def finish(state: Column) -> Column:
-        begin, _, cuts = advance(state, total, limit)
-        return F.concat(cuts, cut(begin.cast("int"), (total - begin).cast("int")))
-
-    inner = F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(0)))
-    cuts = F.aggregate(inner, start, step, finish)
-    parts = F.transform(cuts, lambda c: F.substring(text, c["at"] + 1, c["len"]))
-    return F.when(total <= limit, F.array(text)).otherwise(parts)
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}+"), F.lit(0))
+    whole = F.struct(blocks.alias("blocks"), F.length(text).alias("length"))
+    return F.when(F.length(text) <= limit, F.array(text)).otherwise(_bind(whole, fold))

@@ -102,6 +102,17 @@ def test_split_text_at_the_limit(spark):
     assert got == [cut(t, 4096) if t is not None else None for t in texts]
 
 
+def test_split_text_across_blocks(spark):
+    rnd = random.Random(1)
+    texts = [
+        "".join(rnd.choice("aé日😀") + ("\n" if rnd.random() < p else "") for _ in range(n))
+        for p, n in ((0.01, 150_000), (0.0001, 200_000), (0, 140_000))
+    ]
+    texts.append("x" * tx.BLOCK + "\n" + "y" * tx.BLOCK + "\n")
+    assert apply(spark, tx.split_text, texts) == [cut(t, 4096) for t in texts]
+    assert apply(spark, lambda c: tx.split_text(c, 16_000), texts) == [cut(t, 16_000) for t in texts]
+
+
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(alphabet="ab\n ", max_size=30), min_size=1, max_size=40))
 def test_split_text_loses_nothing(spark, texts):

@@ -125,7 +125,12 @@ def test_html_pages(spark):
     assert (totals["error"], totals["page"], totals["count"]) == (2, 5, 2)
 
 
-@pytest.mark.parametrize("body", [HTML, "", '<div class="Empty"></div>' + block(1), block(4) * 3])
+LONG = "aé日😀 &amp; " * 60_000
+
+
+@pytest.mark.parametrize(
+    "body", [HTML, "", '<div class="Empty"></div>' + block(1), block(4) * 3, block(LONG), LONG + block(5) + LONG]
+)
 def test_both_html_extractors_agree(spark, body):
     df = spark.createDataFrame([(body,)], "body string")
     found = df.select(html_items(F.col("body")).alias("items")).first()["items"]
