@@ -12,11 +12,16 @@ from shelfdiff.functions.text import PART_LIMIT
 A, B, C = fx.A, fx.B, fx.C
 
 
-def _lines(spark: SparkSession, sf_dir: str, sites, fine: bool = False) -> DataFrame:
+def _reported(spark: SparkSession, sf_dir: str, sites, fine: bool = False):
+    """(changes, summary, profiles) of all runs."""
     profiles = [PROFILES[s] for s in sites]
     log = fx.runs(spark, sf_dir, sites)
     changes = replay(fx.snapshots(spark, sf_dir, sites, fine), log, profiles)
-    return digest_lines(changes, run_summary(changes, log), profiles)
+    return changes, run_summary(changes, log), profiles
+
+
+def _lines(spark: SparkSession, sf_dir: str, sites, fine: bool = False) -> DataFrame:
+    return digest_lines(*_reported(spark, sf_dir, sites, fine))
 
 
 def header(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +40,7 @@ def lines_c(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parts(spark: SparkSession, sf_dir: str, sites) -> DataFrame:
-    cut = digest(_lines(spark, sf_dir, sites))
+    cut = digest(*_reported(spark, sf_dir, sites))
     return fx.plain(cut.select("site_no", "site", "run_ts", "part_no", "body"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from shelfdiff import PRESENCE, PROFILES, Profile, replay, run_summary, with_stable
+from shelfdiff import PROFILES, Profile, replay, run_summary, with_stable
 from shelfdiff import last_stable as last_stable_of
 from shelfdiff.operators.replay import item_sequence
 from shelfdiff.schema import RUN_LOG

@@ -1,5 +1,7 @@
 """Listing change detection on Spark."""
 
+from shelfdiff.functions.text import split_text
+from shelfdiff.functions.times import local_time
 from shelfdiff.operators.dedup import dedup_first
 from shelfdiff.operators.detect import detect, open_run
 from shelfdiff.operators.digest import digest, digest_lines
@@ -10,7 +12,7 @@ from shelfdiff.operators.runlog import last_stable, run_summary, with_stable
 from shelfdiff.plans.run import RunResult, run_all, run_site
 from shelfdiff.profiles import AUCTION, PRESENCE, PROFILES, STATUS, Profile
 from shelfdiff.sources.payloads import page_totals, project
-from shelfdiff.sources.tables import find_id, table_ready
+from shelfdiff.sources.tables import Store, find_id, table_ready
 
 __all__ = [
     "AUCTION",
@@ -19,6 +21,7 @@ __all__ = [
     "STATUS",
     "Profile",
     "RunResult",
+    "Store",
     "add_rule",
     "apply_rules",
     "dedup_first",
@@ -28,6 +31,7 @@ __all__ = [
     "find_id",
     "get_rules",
     "last_stable",
+    "local_time",
     "listing_state",
     "merge",
     "open_run",
@@ -38,6 +42,7 @@ __all__ = [
     "run_all",
     "run_site",
     "run_summary",
+    "split_text",
     "table_ready",
     "with_stable",
 ]

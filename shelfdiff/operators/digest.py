@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfdiff.functions.text import PART_LIMIT
 from shelfdiff.functions.times import local_time
-from shelfdiff.profiles import Profile
+from shelfdiff.profiles import PROFILES, Profile
 from shelfdiff.schema import PARTS
 from shelfdiff.session import shared_folder
 
@@ -116,7 +116,7 @@ def digest_lines(changes: DataFrame, summary: DataFrame, profiles: Iterable[Prof
     return headers.unionByName(items)
 
 
-def digest(lines: DataFrame, limit: int = PART_LIMIT) -> DataFrame:
+def cut_lines(lines: DataFrame, limit: int = PART_LIMIT) -> DataFrame:
     """Each run's lines joined in order and cut into parts of `limit` characters.
 
     Lines hold no newline, so a message is cut by length alone and part k is characters
@@ -161,3 +161,14 @@ def digest(lines: DataFrame, limit: int = PART_LIMIT) -> DataFrame:
     )
     parts = pieces.groupBy(*run, "part_no").agg(body.alias("body"))
     return parts.select(*[F.col(f.name).cast(f.dataType) for f in PARTS], "site_no")
+
+
+def digest(
+    changes: DataFrame,
+    summary: DataFrame,
+    profiles: Iterable[Profile] | None = None,
+    limit: int = PART_LIMIT,
+) -> DataFrame:
+    """Message parts of all runs in `summary`, sites in the order of `profiles`."""
+    chosen = list(PROFILES.values() if profiles is None else profiles)
+    return cut_lines(digest_lines(changes, summary, chosen), limit)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfdiff.schema import RUN_LOG
 from shelfdiff.sizing import BROADCAST_ROWS
 
 # A run with more than one part in so many of all items counts as hot, and the rows of
@@ -95,22 +96,35 @@ def attach_runs(
     return joined.select(*rows.columns, *chosen)
 
 
+def _kind_counts() -> dict[str, Column]:
+    """`sold` counts sold items, or bids on auction sites."""
+    kind = F.col("kind")
+    return {
+        "new": F.count_if(kind == "new"),
+        "discount": F.count_if(kind == "discount"),
+        "sold": F.count_if(kind.isin("sold", "bid")),
+    }
+
+
+def _with_alert(summary: DataFrame) -> DataFrame:
+    """The alert flag tells whether the run found anything at all."""
+    return summary.withColumn("alert", F.col("new") + F.col("discount") + F.col("sold") > 0)
+
+
 def run_summary(changes: DataFrame, runs: DataFrame) -> DataFrame:
     """One log row per run: its page and error counts with the changes it reported.
 
-    `sold` counts sold items, or bids on auction sites. Runs without changes stay, with
-    zeros. The alert flag tells whether anything at all was found.
+    Runs without changes stay, with zeros.
     """
-    kind = F.col("kind")
-    counts = changes.groupBy("site", "run_ts").agg(
-        F.count_if(kind == "new").alias("new"),
-        F.count_if(kind == "discount").alias("discount"),
-        F.count_if(kind.isin("sold", "bid")).alias("sold"),
-    )
-    filled = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("new", "discount", "sold")}
-    return (
-        runs.drop("new", "discount", "sold")
-        .join(counts, ["site", "run_ts"], "left")
-        .withColumns(filled)
-        .withColumn("alert", F.col("new") + F.col("discount") + F.col("sold") > 0)
-    )
+    counts = _kind_counts()
+    per_run = changes.groupBy("site", "run_ts").agg(*[v.alias(c) for c, v in counts.items()])
+    joined = runs.drop(*counts).join(per_run, ["site", "run_ts"], "left")
+    return _with_alert(joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts}))
+
+
+def one_run_summary(changes: DataFrame, totals: dict[str, object]) -> DataFrame:
+    """`run_summary` for the changes of a single run whose other columns are known."""
+    row = changes.agg(*[v.alias(c) for c, v in _kind_counts().items()])
+    known = row.withColumns({c: F.lit(v) for c, v in totals.items()})
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG]
+    return _with_alert(known.select(*columns))

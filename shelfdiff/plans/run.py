@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from shelfdiff.operators.dedup import dedup_first
 from shelfdiff.operators.detect import Run, detect, open_run
-from shelfdiff.operators.digest import digest, digest_lines
+from shelfdiff.operators.digest import cut_lines, digest, digest_lines
 from shelfdiff.operators.merge import changes_of, merge_with_changes
 from shelfdiff.operators.rules import apply_rules
-from shelfdiff.operators.runlog import run_summary
+from shelfdiff.operators.runlog import one_run_summary
 from shelfdiff.profiles import PROFILES, Profile
-from shelfdiff.schema import OBSERVATION, RUN_LOG
+from shelfdiff.schema import OBSERVATION
 from shelfdiff.session import scratch_path, use_utc
 from shelfdiff.sources.payloads import observations_of, page_totals, parse_pages, quarantine_of
 from shelfdiff.sources.tables import Store
@@ -30,12 +30,7 @@ class RunResult:
     quarantine: DataFrame | None = None
 
     def digest(self, profile: Profile) -> DataFrame:
-        return digest(digest_lines(self.changes, self.summary, [profile]))
-
-
-def _totals(store: Store, site: str, run_ts: datetime, error: int, page: int, count: int) -> DataFrame:
-    row = (site, run_ts, error, page, count, 0, 0, 0)
-    return store.spark.createDataFrame([row], RUN_LOG)
+        return digest(self.changes, self.summary, [profile])
 
 
 def run_snapshot(
@@ -58,8 +53,14 @@ def run_snapshot(
         changes = changes_of(store.write_version(version, run.site, run.run_ts))
     else:
         changes = detect(snapshot, listing, run, profile)
-    totals = (run.site, run.run_ts, run.error, page, count, 0, 0, 0)
-    summary = run_summary(changes, store.spark.createDataFrame([totals], RUN_LOG))
+    totals = {
+        "site": run.site,
+        "run_ts": run.run_ts,
+        "error": run.error,
+        "page": page,
+        "count": count,
+    }
+    summary = one_run_summary(changes, totals)
     if commit:
         store.append_log(summary)
     return RunResult(run, changes, summary)
@@ -117,4 +118,4 @@ def run_all(
         result = results[profile.site]
         own = digest_lines(result.changes, result.summary, profiles)
         lines = own if lines is None else lines.unionByName(own)
-    return digest(lines), results
+    return cut_lines(lines), results

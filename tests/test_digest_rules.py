@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from shelfdiff import (
     add_rule,
     apply_rules,
-    digest,
     digest_lines,
     get_rules,
     remove_rule,
     replay,
     run_summary,
 )
+from shelfdiff.operators.digest import cut_lines
 from shelfdiff.schema import CHANGES, RULES, RUN_LOG
 
 
@@ -39,7 +39,7 @@ def test_parts_are_the_joined_lines_cut_by_length(spark, limit):
         key = (r["site_no"], r["run_ts"])
         whole[key] = whole.get(key, "") + r["line"]
     parts = {}
-    for r in sorted(digest(lines, limit).collect(), key=lambda r: r["part_no"]):
+    for r in sorted(cut_lines(lines, limit).collect(), key=lambda r: r["part_no"]):
         parts.setdefault((r["site_no"], r["run_ts"]), []).append(r["body"])
     assert parts == {
         key: [text[i : i + limit] for i in range(0, len(text), limit)] for key, text in whole.items()
