@@ -40,9 +40,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, out = scratch_path(spark, "sightings"), scratch_path(spark, "changes")
     progress = scratch_path(spark, "progress")
     log = with_stable(fx.runs(spark, sf_dir, (B, C)))
-    seen = fx.snapshots(spark, sf_dir, (B, C)).join(
-        F.broadcast(log.select("site", "run_ts", "last_stable")), ["site", "run_ts"]
-    )
+    log = log.select("site", "run_ts", "last_stable")
+    seen = fx.snapshots(spark, sf_dir, (B, C)).join(log, ["site", "run_ts"])
     landed = scratch_path(spark, "landed")
     seen.select(*SIGHTING.names).write.parquet(landed)
     landed = spark.read.schema(SIGHTING).parquet(landed)

@@ -94,7 +94,7 @@ def item_sequence(
     `snapshots` is de-duplicated: one row per (site, run_ts, item_id).
     """
     bounds = run_bounds(run_log)
-    log = with_stable(run_log).select(
+    log = with_stable(run_log, bounds.widest).select(
         "site", "run_ts", "count", "error", "last_stable", "next_stable", "run_no"
     )
     rows = attach_runs(snapshots, log, bounds, broadcast_rows)

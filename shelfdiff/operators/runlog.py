@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from shelfdiff.schema import RUN_LOG
 from shelfdiff.sizing import BROADCAST_ROWS
 
+# Runs of one site that one task may sort.
+SITE_RUNS = 1_000_000
+
 # A run with more than one part in so many of all items counts as hot, and the rows of
 # hot runs are spread over so many shuffle keys per run.
 HOT_RUNS = 1_000
@@ -22,23 +25,54 @@ def last_stable(run_log: DataFrame) -> DataFrame:
     return run_log.groupBy("site").agg(F.max(clean).alias("last_ts"))
 
 
-def with_stable(run_log: DataFrame) -> DataFrame:
+def with_stable(run_log: DataFrame, widest: int = 0, site_runs: int = SITE_RUNS) -> DataFrame:
     """Add the nearest clean run before and after each run, and the run's ordinal.
 
-    The log has one narrow row per run, whatever the number of items. The run after is
-    looked up in descending order: a frame that reaches to the end of its partition would
-    be summed anew for every row.
+    The log has one narrow row per run, whatever the number of items, so a window per site
+    does. `widest` is the counted number of runs of the site with the most: above
+    `site_runs`, days are worked out on their own and joined to a summary of days.
+
+    The run after is looked up in descending order: a frame that reaches to the end of its
+    partition would be summed anew for every row.
     """
-    forward = Window.partitionBy("site").orderBy("run_ts")
-    backward = Window.partitionBy("site").orderBy(F.desc("run_ts"))
     clean = F.when(F.col("error") == 0, F.col("run_ts"))
+    if widest <= site_runs:
+        before, after, place = _around(["site"], "run_ts")
+        return run_log.withColumns(
+            {"last_stable": F.max(clean).over(before), "run_no": F.row_number().over(place)}
+        ).withColumn("next_stable", F.min(clean).over(after))
+
+    log = run_log.withColumn("_day", F.date_trunc("day", "run_ts"))
+    before, after, _ = _around(["site"], "_day")
+    days = (
+        log.groupBy("site", "_day")
+        .agg(F.max(clean).alias("_last"), F.min(clean).alias("_first"), F.count("*").alias("_n"))
+        .select(
+            "site",
+            "_day",
+            F.max("_last").over(before).alias("_before"),
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+            F.min("_first").over(after).alias("_after"),
+        )
+    )
+    before, after, place = _around(["site", "_day"], "run_ts")
+    own = log.withColumns(
+        {"_own_before": F.max(clean).over(before), "_place": F.row_number().over(place)}
+    ).withColumn("_own_after", F.min(clean).over(after))
+    return own.join(days, ["site", "_day"]).select(
+        *run_log.columns,
+        F.coalesce("_own_before", "_before").alias("last_stable"),
+        (F.col("_base") + F.col("_place")).alias("run_no"),
+        F.coalesce("_own_after", "_after").alias("next_stable"),
+    )
+
+
+def _around(keys: list[str], order: str) -> tuple[WindowSpec, WindowSpec, WindowSpec]:
+    """Windows over all rows before, all rows after (from the end), and in order."""
+    forward = Window.partitionBy(*keys).orderBy(order)
+    backward = Window.partitionBy(*keys).orderBy(F.desc(order))
     earlier = (Window.unboundedPreceding, -1)
-    return run_log.withColumns(
-        {
-            "last_stable": F.max(clean).over(forward.rowsBetween(*earlier)),
-            "run_no": F.row_number().over(forward),
-        }
-    ).withColumn("next_stable", F.min(clean).over(backward.rowsBetween(*earlier)))
+    return forward.rowsBetween(*earlier), backward.rowsBetween(*earlier), forward
 
 
 @dataclass(frozen=True)

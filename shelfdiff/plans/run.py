@@ -87,7 +87,10 @@ def run_site(
     pages = spark.read.parquet(path)
 
     totals = page_totals(pages, profile).first()
-    error, page, count = (totals["error"], totals["page"], totals["count"]) if totals else (0, 0, 0)
+    if totals is None:
+        # not an empty result: without any page, absence would mean that all is sold
+        raise ValueError(f"{profile.site}: no page has landed for run {run_ts}")
+    error, page, count = totals["error"], totals["page"], totals["count"]
     run = open_run(store.run_log(), profile.site, run_ts, error)
     if commit and run.late:
         raise ValueError(f"{profile.site}: run {run_ts} is not newer than the last commit")

@@ -63,6 +63,17 @@ def test_shuffled_run_join_gives_the_same(spark):
         assert sorted(map(repr, shuffled.select(columns).collect())) == expected
 
 
+def test_day_by_day_log_gives_the_same(spark):
+    errors = history(8, n_runs=40, hours=5)[1]
+    log = run_log(spark, "s", errors).unionByName(run_log(spark, "t", history(9, n_runs=31)[1]))
+    expected = with_stable(log)
+    by_day = with_stable(log, widest=40, site_runs=10)
+    columns = ["site", "run_ts", "last_stable", "next_stable", "run_no"]
+    assert sorted(map(repr, by_day.select(columns).collect())) == sorted(
+        map(repr, expected.select(columns).collect())
+    )
+
+
 def test_sites_do_not_mix(spark):
     rows, errors = history(2)
     seen, log, expected = None, None, []

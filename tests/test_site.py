@@ -99,6 +99,13 @@ def test_a_faulty_run_reports_no_sold_items_and_does_not_move_the_clean_run(spar
     assert [r["reason"] for r in result.quarantine.collect()] == []
 
 
+def test_a_run_without_pages_is_refused(spark, tmp_path):
+    df, store = payload(spark, DAYS), Store(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="no page"):
+        run_site(df, store, PRESENCE, START + 7 * DAY, commit=True)
+    assert store.run_log().isEmpty()
+
+
 def test_rules_come_before_the_diff(spark, tmp_path):
     df, store = payload(spark, DAYS), Store(spark, str(tmp_path))
     rules = spark.createDataFrame([(1, STATUS.site, "price < 45")], RULES)
