@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 MAX_PAGES = 12
 PAGE_SIZE = {"lashinbang": 100, "mercari": 120, "yahoo": 100}
 
+# Slices that the rows of one key are cut into where a top-n must not meet them at once.
+SLICES = 256
+
 
 def page_plan(first_pages: DataFrame, last_page: Column, keys: Sequence[str]) -> DataFrame:
     """One row per page of a keyword: all up to its last page, 12 at most.
@@ -45,8 +48,17 @@ def page_window(df: DataFrame, order: Sequence[Column], page: int, size: int = 1
 
 
 def newest_per_key(df: DataFrame, key: str, order: Sequence[Column], n: int) -> DataFrame:
-    """The first `n` rows per key. Spark limits groups before the shuffle, so a keyword
-    with a third of all rows sends `n` rows per map task."""
+    """The first `n` rows per key.
+
+    Spark limits groups before the shuffle, so a keyword with a third of all rows sends `n`
+    rows per map task. Only above `spark.sql.optimizer.windowGroupLimitThreshold` it does
+    not: then every key is first cut to `n` rows per slice of its rows.
+    """
+    threshold = df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    if n >= int(threshold):
+        sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(SLICES)))
+        place = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
+        df = sliced.withColumn("_place", place).filter(F.col("_place") <= n).drop("_slice", "_place")
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("rank_no", rank).filter(F.col("rank_no") <= n)
 

@@ -110,7 +110,6 @@ class Store:
             snapshot.select(*columns)
             .repartition(self.buckets, "item_id")
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
             .insertInto(self._snapshot_table())
         )
 
@@ -183,6 +182,9 @@ def _bucketed_ddl(
 ) -> str:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     split = f"partitioned by ({', '.join(partitions)})" if partitions else ""
+    # An insert replaces the partitions it has rows for. This must be a table option:
+    # the writer's own options do not reach an insert.
+    split = f"options (partitionOverwriteMode 'dynamic') {split}" if partitions else ""
     return (
         f"({columns}) using parquet {split} clustered by (item_id) sorted by (item_id)"
         f" into {buckets} buckets location '{path}'"

@@ -201,6 +201,24 @@ def test_an_unlogged_version_is_not_read(spark, tmp_path):
     assert [r["item_id"] for r in store.listing(profile.site).collect()] == ["x"]
 
 
+def test_snapshots_are_replaced_run_by_run(spark, tmp_path):
+    """Writing one run leaves the others, in a session that knows the folder or not."""
+    site = KINDS["status"].site
+    store = Store(spark, str(tmp_path))
+    day = timedelta(days=1)
+    one = [{"ts": START, "item": "x", "price": 1}]
+    two = [{"ts": START + day, "item": "x", "price": 2}, {"ts": START + day, "item": "y", "price": 3}]
+    store.write_snapshot(observations(spark, site, one))
+    store.write_snapshot(observations(spark, "other", one))
+    store.write_snapshot(observations(spark, site, two))
+    spark.sql(f"drop table {store._snapshot_table()}")
+    again = Store(spark, str(tmp_path), new_buckets=99)
+    assert again.buckets == store.buckets
+    again.write_snapshot(observations(spark, site, two[:1]))
+    found = sorted((r["site"], r["run_ts"], r["item_id"], r["price"]) for r in again.snapshots().collect())
+    assert found == sorted([(site, START, "x", 1), ("other", START, "x", 1), (site, START + day, "x", 2)])
+
+
 def test_history_and_merge_need_no_shuffle_of_stored_data(spark, tmp_path):
     profile = KINDS["presence"]
     rows, errors = history(6)

@@ -161,6 +161,20 @@ def test_page_plan_and_params(spark):
     }
 
 
+def test_newest_per_key(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("k"),
+        (F.col("id") * 7919 % 5000).alias("v"),
+    )
+    for n in (3, 1200):
+        best = {}
+        for r in df.collect():
+            best.setdefault(r["k"], []).append(r["v"])
+        expected = {(k, v, i) for k, vs in best.items() for i, v in enumerate(sorted(vs)[:n], start=1)}
+        found = paging.newest_per_key(df, "k", [F.col("v")], n).collect()
+        assert {(r["k"], r["v"], r["rank_no"]) for r in found} == expected and len(found) == len(expected)
+
+
 def test_keywords(spark):
     config = paging.keywords_text({"a": ["x", "日"], "b": []})
     df = spark.createDataFrame([(config,)], "c string")
