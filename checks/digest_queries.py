@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from shelfdiff import PROFILES, digest, digest_lines, replay, run_summary
 from shelfdiff.functions.text import PART_LIMIT
+from shelfdiff.session import settle
 
 A, B, C = fx.A, fx.B, fx.C
 
@@ -16,7 +17,9 @@ def _reported(spark: SparkSession, sf_dir: str, sites, fine: bool = False):
     """(changes, summary, profiles) of all runs."""
     profiles = [PROFILES[s] for s in sites]
     log = fx.runs(spark, sf_dir, sites)
-    changes = replay(fx.snapshots(spark, sf_dir, sites, fine), log, profiles)
+    found = replay(fx.snapshots(spark, sf_dir, sites, fine), log, profiles)
+    # read twice below, for the counts and for the lines
+    changes = settle(found, "changes")
     return changes, run_summary(changes, log), profiles
 
 

@@ -17,7 +17,7 @@ from shelfdiff.operators.rules import apply_rules
 from shelfdiff.operators.runlog import one_run_summary
 from shelfdiff.profiles import PROFILES, Profile
 from shelfdiff.schema import OBSERVATION
-from shelfdiff.session import scratch_path, use_utc
+from shelfdiff.session import settle, use_utc
 from shelfdiff.sources.payloads import observations_of, page_totals, parse_pages, quarantine_of
 from shelfdiff.sources.tables import Store
 
@@ -45,14 +45,15 @@ def run_snapshot(
     """Diff a run's de-duplicated snapshot against the store.
 
     With `commit`, merge and changes are written together first, the changes come from
-    what was written, and the log row is appended last.
+    what was written, and the log row is appended last. In a preview the changes are
+    worked out once into the shared folder, as summary and digest both read them.
     """
     listing = store.listing(run.site, run.newest)
     if commit:
         version = merge_with_changes(listing, snapshot, run, profile)
         changes = changes_of(store.write_version(version, run.site, run.run_ts))
     else:
-        changes = detect(snapshot, listing, run, profile)
+        changes = settle(detect(snapshot, listing, run, profile), f"changes-{run.site}")
     totals = {
         "site": run.site,
         "run_ts": run.run_ts,
@@ -79,12 +80,9 @@ def run_site(
     Preview (`commit=False`) leaves listing and log alone. Parsed pages are written once
     to the shared folder, as totals, items and quarantine all read them.
     """
-    spark = store.spark
-    use_utc(spark)
-    path = scratch_path(spark, f"pages-{profile.site}")
+    use_utc(store.spark)
     of_run = payload.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
-    parse_pages(of_run, profile).write.parquet(path)
-    pages = spark.read.parquet(path)
+    pages = settle(parse_pages(of_run, profile), f"pages-{profile.site}")
 
     totals = page_totals(pages, profile).first()
     if totals is None:
