@@ -160,6 +160,25 @@ class Store:
             return self.spark.table(name)
 
 
+    def expire(self, site: str, keep: int = 3, since: datetime | None = None) -> int:
+        """Empty a site's listing versions but for the newest `keep`; returns how many runs
+        were gone through. Every commit writes a whole version, so old ones add up; `since`
+        spares looking at runs that an earlier call has dealt with. Changes of those runs
+        can be read from the replay only."""
+        if keep < 1:
+            raise ValueError("the newest version is the listing itself")
+        runs = self.run_log().filter(F.col("site") == site).select("run_ts")
+        oldest_kept = runs.orderBy(F.desc("run_ts")).limit(keep).agg(F.min("run_ts")).first()[0]
+        old = runs.filter(F.col("run_ts") < F.lit(oldest_kept))
+        if since is not None:
+            old = old.filter(F.col("run_ts") >= F.lit(since))
+        done = 0
+        for row in old.toLocalIterator():
+            with self._registered(self.version_path(site, row["run_ts"])) as name:
+                self.spark.createDataFrame([], VERSION).write.mode("overwrite").insertInto(name)
+            done += 1
+        return done
+
     @contextmanager
     def _registered(self, path: str) -> Iterator[str]:
         """A name in the catalog while a plan is built on a version, as Spark knows

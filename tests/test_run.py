@@ -201,6 +201,21 @@ def test_an_unlogged_version_is_not_read(spark, tmp_path):
     assert [r["item_id"] for r in store.listing(profile.site).collect()] == ["x"]
 
 
+def test_expired_versions_are_emptied_and_the_newest_stay(spark, tmp_path):
+    profile = KINDS["presence"]
+    rows, errors = history(4, n_runs=4)
+    store = Store(spark, str(tmp_path))
+    store.write_snapshot(observations(spark, profile.site, rows))
+    arrivals = run_log(spark, profile.site, errors).select("site", "run_ts", "error", "page", "count")
+    commit_arrivals(arrivals, store, {profile.site: profile})
+    before = sorted(map(repr, store.listing(profile.site).collect()))
+    runs = sorted(errors)
+    assert store.expire(profile.site, keep=2) == 2
+    assert [store.version(profile.site, ts).isEmpty() for ts in runs] == [True, True, False, False]
+    assert sorted(map(repr, store.listing(profile.site).collect())) == before
+    assert store.expire(profile.site, keep=2, since=runs[2]) == 0
+
+
 def test_snapshots_are_replaced_run_by_run(spark, tmp_path):
     """Writing one run leaves the others, in a session that knows the folder or not."""
     site = KINDS["status"].site
