@@ -15,68 +15,77 @@ from shelfdiff.session import shared_folder
 
 LINE_KEYS = ("site_no", "site", "run_ts", "section", "entry", "item_id")
 
-
-def _text(value: Column | str) -> Column:
-    """A value as message text; an absent one reads None."""
-    column = F.col(value) if isinstance(value, str) else value
-    return F.coalesce(column.cast("string"), F.lit("None"))
+# Message texts, with {} for each value.
+HEADER = "<b>{}</b><br>Time: {}<br>Entries: {}    Error: {}<br>"
+SECTION = "<br><b>[{}] ---------- {}</b><br>"
+ITEM = '<a href="{}">{}  {}</a><br>'
+PRICE = "JPY {}<br>"
+PRICE_DROP = "JPY {} -> {}<br>"
+AUCTION_STATE = "JPY {}    {} bid<br>End {}<br>"
+BUY_NOW = "{}[{}]"
+FROM_TO = "{} -> {}"
+ABSENT = "None"
+
+
+def _fill(template: str, *values: Column | str) -> Column:
+    """A text with values in place of its braces; an absent value reads None."""
+    pieces = template.split("{}")
+    out = [F.lit(pieces[0])]
+    for value, text in zip(values, pieces[1:], strict=True):
+        column = F.col(value) if isinstance(value, str) else value
+        out += [F.coalesce(column.cast("string"), F.lit(ABSENT)), F.lit(text)]
+    return F.concat(*out)
 
 
 def header_line(profile: Profile) -> Column:
-    return F.concat(
-        F.lit(f"<b>{profile.heading}</b><br>Time: "),
-        local_time(F.col("run_ts")),
-        F.lit("<br>Entries: "),
-        _text("count"),
-        F.lit("    Error: "),
-        _text("error"),
-        F.lit("<br>"),
-    )
-
-
-def section_line(label: str, count: Column) -> Column:
-    return F.concat(F.lit(f"<br><b>[{label}] ---------- "), _text(count), F.lit("</b><br>"))
+    return _fill(HEADER, F.lit(profile.heading), local_time(F.col("run_ts")), "count", "error")
 
 
 def _price_line(kind: str, gone: bool) -> Column:
     if kind == "discount":
-        return F.concat(F.lit("JPY "), _text("old_price"), F.lit(" -> "), _text("new_price"), F.lit("<br>"))
-    return F.concat(F.lit("JPY "), _text("old_price" if gone else "new_price"), F.lit("<br>"))
+        return _fill(PRICE_DROP, "old_price", "new_price")
+    return _fill(PRICE, "old_price" if gone else "new_price")
 
 
 def _auction_line(kind: str) -> Column:
-    """Bid price, buy-now price in brackets where the new one is set, bids, closing time."""
+    """Bid price, the buy-now price beside it where the new one is set, bids, closing time."""
 
-    def price(bid: str, full: str) -> Column:
-        bracket = F.when(F.col("new_full") > 0, F.concat(F.lit("["), _text(full), F.lit("]")))
-        return F.concat(_text(bid), F.coalesce(bracket, F.lit("")))
+    def money(bid: str, full: str) -> Column:
+        buy_now = F.when(F.col("new_full") > 0, _fill(BUY_NOW, bid, full))
+        return F.coalesce(buy_now, _fill("{}", bid))
 
-    money = price("new_price", "new_full")
+    price, bids = money("new_price", "new_full"), _fill("{}", "new_num")
     if kind == "discount":
-        money = F.concat(price("old_price", "old_full"), F.lit(" -> "), money)
-    bids = _text("new_num")
+        price = _fill(FROM_TO, money("old_price", "old_full"), price)
     if kind == "bid":
-        bids = F.concat(_text("old_num"), F.lit(" -> "), bids)
-    closing = F.coalesce(local_time(F.col("end_ts")), F.lit("None"))
-    return F.concat(
-        F.lit("JPY "), money, F.lit("    "), bids, F.lit(" bid<br>End "), closing, F.lit("<br>")
-    )
+        bids = _fill(FROM_TO, "old_num", bids)
+    return _fill(AUCTION_STATE, price, bids, local_time(F.col("end_ts")))
 
 
 def change_line(profile: Profile, kind: str) -> Column:
     """Two rows of message text. A line break inside a title becomes a space, so that a
     change stays one line of the message."""
-    link = F.concat(
-        F.lit('<a href="'),
-        _text("item_url"),
-        F.lit('">'),
-        _text("item_id"),
-        F.lit("  "),
-        _text(F.translate("title", "\r\n", "  ")),
-        F.lit("</a><br>"),
-    )
-    gone = kind == profile.gone_kind
-    return F.concat(link, _auction_line(kind) if profile.auction else _price_line(kind, gone))
+    link = _fill(ITEM, "item_url", "item_id", F.translate("title", "\r\n", "  "))
+    own = _auction_line(kind) if profile.auction else _price_line(kind, kind == profile.gone_kind)
+    return F.concat(link, own)
+
+
+def _section_totals(
+    changes: DataFrame, summary: DataFrame, profiles: list[Profile]
+) -> tuple[DataFrame, dict[str, str]]:
+    """The summary column that counts each kind. Kinds that the log has no count of its own
+    for are counted here."""
+    totals = {"new": "new", "discount": "discount", "sold": "sold", "bid": "sold"}
+    others = sorted({k for p in profiles for k in p.sections if k not in totals})
+    if others:
+        kind = F.col("kind")
+        counts = changes.groupBy("site", "run_ts").agg(
+            *[F.count_if(kind == k).alias(f"_n_{k}") for k in others]
+        )
+        summary = summary.join(counts, ["site", "run_ts"], "left")
+        summary = summary.fillna(0, [f"_n_{k}" for k in others])
+        totals |= {k: f"_n_{k}" for k in others}
+    return summary, totals
 
 
 def digest_lines(changes: DataFrame, summary: DataFrame, profiles: Iterable[Profile]) -> DataFrame:
@@ -85,6 +94,7 @@ def digest_lines(changes: DataFrame, summary: DataFrame, profiles: Iterable[Prof
     Sites come in the order of `profiles`, items of a section in the order of their id.
     """
     profiles = list(profiles)
+    summary, totals = _section_totals(changes, summary, profiles)
     pick_site = F.lit(None).cast("int")
     heads, lines, sections = [], F.lit(None).cast("string"), F.lit(None).cast("int")
     for no, profile in enumerate(profiles):
@@ -92,9 +102,11 @@ def digest_lines(changes: DataFrame, summary: DataFrame, profiles: Iterable[Prof
         pick_site = F.when(here, no).otherwise(pick_site)
         entries = [F.struct(F.lit(0).alias("section"), header_line(profile).alias("line"))]
         for order, (kind, label) in enumerate(profile.sections.items(), start=1):
-            total = F.col("sold" if kind in ("sold", "bid") else kind)
             entries.append(
-                F.struct(F.lit(order).alias("section"), section_line(label, total).alias("line"))
+                F.struct(
+                    F.lit(order).alias("section"),
+                    _fill(SECTION, F.lit(label), totals[kind]).alias("line"),
+                )
             )
             match = here & (F.col("kind") == kind)
             lines = F.when(match, change_line(profile, kind)).otherwise(lines)

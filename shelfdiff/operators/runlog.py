@@ -131,12 +131,13 @@ def attach_runs(
 
 
 def _kind_counts() -> dict[str, Column]:
-    """`sold` counts sold items, or bids on auction sites."""
+    """The log has three counts. `sold` is the third kind of a site: sold items, bids on
+    auction sites, whatever else a profile of one's own reports."""
     kind = F.col("kind")
     return {
         "new": F.count_if(kind == "new"),
         "discount": F.count_if(kind == "discount"),
-        "sold": F.count_if(kind.isin("sold", "bid")),
+        "sold": F.count_if(~kind.isin("new", "discount")),
     }
 
 

@@ -1,6 +1,7 @@
 from datetime import timedelta
 
 import pytest
+from checks.replay_queries import CUSTOM
 from data import KINDS, START, history, observations, run_log
 
 from pyspark.sql import functions as F
@@ -85,6 +86,26 @@ def test_line_formats(spark):
     ]
 
 
+def test_a_profile_of_ones_own_has_its_sections(spark):
+    rows, errors = history(3)
+    seen = observations(spark, CUSTOM.site, rows)
+    log = run_log(spark, CUSTOM.site, errors)
+    changes = replay(seen, log, [CUSTOM])
+    summary = run_summary(changes, log)
+    lines = digest_lines(changes, summary, [CUSTOM]).collect()
+    found = {}
+    for r in changes.collect():
+        found[r["run_ts"], r["kind"]] = found.get((r["run_ts"], r["kind"]), 0) + 1
+    assert {kind for _, kind in found} == set(CUSTOM.kinds)
+    heads = {(r["run_ts"], r["section"]): r["line"] for r in lines if r["entry"] == 0}
+    for ts in errors:
+        for section, (kind, label) in enumerate(CUSTOM.sections.items(), start=1):
+            assert heads[ts, section] == f"<br><b>[{label}] ---------- {found.get((ts, kind), 0)}</b><br>"
+    assert sum(r["entry"] for r in lines) == sum(found.values())
+    alerts = {r["run_ts"] for r in summary.filter("alert").collect()}
+    assert alerts == {ts for ts, _ in found}
+
+
 def test_title_line_breaks_become_spaces(spark):
     line = item_line(spark, "status", kind="new", new_price=1, title="a\nb")[2]
     assert line == '<a href="u">x1  a b</a><br>JPY 1<br>'
