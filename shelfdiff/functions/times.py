@@ -1,7 +1,9 @@
-"""Column functions on time."""
+"""Column functions on time, and instants on the driver."""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,3 +34,19 @@ def local_time(ts: Column, tz: str = LOCAL_ZONE) -> Column:
 def ended(end_ts: Column, run_ts: Column) -> Column:
     """The listing's closing time has passed at the time of the run."""
     return end_ts <= run_ts
+
+
+def as_utc(ts: datetime) -> datetime:
+    """An instant with its zone. A naive time is local, as Spark takes it."""
+    return ts.astimezone(timezone.utc)
+
+
+def micros(ts: Column) -> Column:
+    """How instants leave a query for the driver: no zone of any machine is involved."""
+    return F.unix_micros(ts)
+
+
+def from_micros(value: int | None) -> datetime | None:
+    if value is None:
+        return None
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=value)

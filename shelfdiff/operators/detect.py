@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfdiff.functions.times import as_utc, from_micros, micros
 from shelfdiff.operators.emit import emit_changes
 from shelfdiff.profiles import Profile
 from shelfdiff.schema import LISTING, MEASURES, TEXT_COLUMNS
@@ -36,12 +37,14 @@ class Run:
 def open_run(run_log: DataFrame, site: str, run_ts: datetime, error: int = 0) -> Run:
     """Read a site's log as of `run_ts`: two values, so that the state filters built on
     them are literals that reach the parquet scan."""
+    run_ts = as_utc(run_ts)
     own = run_log.filter(F.col("site") == site)
     clean = (F.col("error") == 0) & (F.col("run_ts") < F.lit(run_ts))
     row = own.agg(
-        F.max(F.when(clean, F.col("run_ts"))).alias("last"), F.max("run_ts").alias("newest")
+        micros(F.max(F.when(clean, F.col("run_ts")))).alias("last"),
+        micros(F.max("run_ts")).alias("newest"),
     ).first()
-    return Run(site, run_ts, error, row["last"], row["newest"])
+    return Run(site, run_ts, error, from_micros(row["last"]), from_micros(row["newest"]))
 
 
 def _known_to(listing: DataFrame, snapshot: DataFrame, run: Run, profile: Profile) -> DataFrame:

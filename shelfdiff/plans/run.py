@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfdiff.functions.times import as_utc
 from shelfdiff.operators.dedup import dedup_first
 from shelfdiff.operators.detect import Run, detect, open_run
 from shelfdiff.operators.digest import cut_lines, digest, digest_lines
@@ -81,6 +82,7 @@ def run_site(
     to the shared folder, as totals, items and quarantine all read them.
     """
     use_utc(store.spark)
+    run_ts = as_utc(run_ts)
     of_run = payload.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
     pages = settle(parse_pages(of_run, profile), f"pages-{profile.site}")
 

@@ -88,7 +88,8 @@ AUCTION = Profile(
     site="yahoo",
     heading="Yahoo Updater",
     changes={
-        "new": "p_ts is null or p_ts < last_stable - interval 1 day",
+        # a day is 86,400 seconds, whatever the session's time zone
+        "new": "p_ts is null or unix_micros(last_stable) - unix_micros(p_ts) > 86400000000",
         "discount": "(p_price > price or p_full_price > full_price) and p_bid_num = 0",
         "bid": "p_bid_num < bid_num",
     },

@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfdiff.functions.times import as_utc, from_micros, micros
 from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RUN_LOG
 
 
@@ -55,8 +56,7 @@ def find_id(listing: DataFrame, item_id, column: str = "item_id") -> DataFrame:
 
 
 def version_name(run_ts: datetime) -> str:
-    """A run's instant in UTC; a naive time is local, as Spark hands it to Python."""
-    return run_ts.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
+    return as_utc(run_ts).strftime("%Y%m%dT%H%M%S.%f")
 
 
 @dataclass(frozen=True)
@@ -141,7 +141,8 @@ class Store:
         """A site's listing as of its newest committed run, clean or not; pass `newest` if
         it is known already."""
         if newest is None:
-            newest = self.run_log().filter(F.col("site") == site).agg(F.max("run_ts")).first()[0]
+            own = self.run_log().filter(F.col("site") == site)
+            newest = from_micros(own.agg(micros(F.max("run_ts"))).first()[0])
         if newest is None:
             return self.spark.createDataFrame([], LISTING)
         return self.version(site, newest).select(*LISTING.names)
@@ -168,13 +169,14 @@ class Store:
         if keep < 1:
             raise ValueError("the newest version is the listing itself")
         runs = self.run_log().filter(F.col("site") == site).select("run_ts")
-        oldest_kept = runs.orderBy(F.desc("run_ts")).limit(keep).agg(F.min("run_ts")).first()[0]
-        old = runs.filter(F.col("run_ts") < F.lit(oldest_kept))
+        kept = runs.orderBy(F.desc("run_ts")).limit(keep)
+        oldest = from_micros(kept.agg(micros(F.min("run_ts"))).first()[0])
+        old = runs.filter(F.col("run_ts") < F.lit(oldest).cast("timestamp"))
         if since is not None:
             old = old.filter(F.col("run_ts") >= F.lit(since))
         done = 0
-        for row in old.toLocalIterator():
-            with self._registered(self.version_path(site, row["run_ts"])) as name:
+        for row in old.select(micros(F.col("run_ts")).alias("us")).toLocalIterator():
+            with self._registered(self.version_path(site, from_micros(row["us"]))) as name:
                 self.spark.createDataFrame([], VERSION).write.mode("overwrite").insertInto(name)
             done += 1
         return done
@@ -212,7 +214,7 @@ def _bucketed_ddl(
 
 def _partition_text(run_ts: datetime) -> str:
     """A run's partition folder as Spark names it in a UTC session."""
-    utc = run_ts.astimezone(timezone.utc)
+    utc = as_utc(run_ts)
     text = utc.strftime("%Y-%m-%d %H:%M:%S")
     if utc.microsecond:
         text += f".{utc.microsecond:06d}".rstrip("0")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfdiff.functions.times import from_micros, micros
 from shelfdiff.operators.detect import open_run
 from shelfdiff.plans.run import run_snapshot
 from shelfdiff.profiles import Profile
@@ -24,14 +26,15 @@ def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Pr
     A run that is no newer than the log is skipped: a late one would rewrite the past, and
     a batch that is retried after a failure must not commit a run twice.
     """
-    for row in arrivals.orderBy("run_ts", "site").toLocalIterator():
+    ordered = arrivals.withColumn("run_us", micros(F.col("run_ts"))).orderBy("run_us", "site")
+    for row in ordered.toLocalIterator():
         profile = profiles.get(row["site"])
         if profile is None:
             continue
-        run = open_run(store.run_log(), row["site"], row["run_ts"], row["error"])
+        run = open_run(store.run_log(), row["site"], from_micros(row["run_us"]), row["error"])
         if run.late:
             continue
-        snapshot = store.snapshot(row["site"], row["run_ts"])
+        snapshot = store.snapshot(run.site, run.run_ts)
         run_snapshot(store, snapshot, profile, run, row["page"], row["count"], commit=True)
 
 

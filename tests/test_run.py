@@ -9,6 +9,7 @@ from model import play
 from pyspark.sql import functions as F
 
 from shelfdiff import dedup_first, detect, listing_state, merge, open_run
+from shelfdiff.functions.times import as_utc
 from shelfdiff.plans.run import run_snapshot
 from shelfdiff import replay
 from shelfdiff.operators.replay import item_sequence
@@ -141,7 +142,7 @@ def test_faulty_runs_do_not_move_the_last_clean_run(spark):
     day = timedelta(days=1)
     log = run_log(spark, site, {START: 0, START + day: 1, START + 3 * day: 0})
     run = open_run(log, site, START + 2 * day)
-    assert run.last == START and run.late
+    assert run.last == as_utc(START) and run.newest == as_utc(START + 3 * day) and run.late
     assert open_run(log, site, START).last is None
     assert open_run(log, "other", START).last is None
 
