@@ -185,11 +185,11 @@ _NOW = "run_ts, item_id, title, item_url, image_url"
 _FIRST = "item_id, first_title as title, first_item_url as item_url, first_image_url as image_url"
 _BOTH = """p_price as old_price, price as new_price, p_full as old_full, full_price as new_full,
        p_num as old_num, bid_num as new_num, end_ts"""
-_GONE = """price as old_price, cast(null as bigint) as new_price, full_price as old_full,
+GONE = """price as old_price, cast(null as bigint) as new_price, full_price as old_full,
        cast(null as bigint) as new_full, bid_num as old_num, cast(null as int) as new_num, end_ts"""
 
 
-def _branch(site: str, kind: str, where: str, head: str = _NOW, tail: str = _BOTH) -> str:
+def branch(site: str, kind: str, where: str, head: str = _NOW, tail: str = _BOTH) -> str:
     return f"select '{site}' as site, '{kind}' as kind, {head}, {tail} from seq where {where}"
 
 
@@ -198,30 +198,30 @@ _JUDGED = "last_stable is not null and "
 CHANGE_SQL = {
     A: " union all ".join(
         [
-            _branch(A, "new", _JUDGED + "(p_ts is null or p_ts < last_stable)"),
-            _branch(A, "discount", _JUDGED + "p_price > price", "run_ts, " + _FIRST),
-            _branch(
+            branch(A, "new", _JUDGED + "(p_ts is null or p_ts < last_stable)"),
+            branch(A, "discount", _JUDGED + "p_price > price", "run_ts, " + _FIRST),
+            branch(
                 A,
                 "sold",
                 "next_stable is not null and (n_ts is null or n_ts > next_stable)"
                 " and (error = 0 or last_stable is not null)",
                 "next_stable as run_ts, " + _FIRST,
-                _GONE,
+                GONE,
             ),
         ]
     ),
     B: " union all ".join(
         [
-            _branch(B, "new", _JUDGED + "onsale = 1 and (p_ts is null or p_onsale = 0)"),
-            _branch(B, "discount", _JUDGED + "onsale = 1 and p_price > price"),
-            _branch(B, "sold", _JUDGED + "onsale = 0 and (p_ts is null or p_onsale = 1)"),
+            branch(B, "new", _JUDGED + "onsale = 1 and (p_ts is null or p_onsale = 0)"),
+            branch(B, "discount", _JUDGED + "onsale = 1 and p_price > price"),
+            branch(B, "sold", _JUDGED + "onsale = 0 and (p_ts is null or p_onsale = 1)"),
         ]
     ),
     C: " union all ".join(
         [
-            _branch(C, "new", _JUDGED + "(p_ts is null or p_ts < last_stable - interval 1 day)"),
-            _branch(C, "discount", _JUDGED + "(p_price > price or p_full > full_price) and p_num = 0"),
-            _branch(C, "bid", _JUDGED + "p_num < bid_num"),
+            branch(C, "new", _JUDGED + "(p_ts is null or p_ts < last_stable - interval 1 day)"),
+            branch(C, "discount", _JUDGED + "(p_price > price or p_full > full_price) and p_num = 0"),
+            branch(C, "bid", _JUDGED + "p_num < bid_num"),
         ]
     ),
 }

@@ -147,15 +147,15 @@ _LOG = (
 )
 _CUSTOM_SQL = " union all ".join(
     [
-        fx._branch("custom", "raised", "last_stable is not null and price * 10 >= p_price * 11"),
-        fx._branch("custom", "withdrawn", "last_stable is not null and bid_num < p_num"),
-        fx._branch(
+        fx.branch("custom", "raised", "last_stable is not null and price * 10 >= p_price * 11"),
+        fx.branch("custom", "withdrawn", "last_stable is not null and bid_num < p_num"),
+        fx.branch(
             "custom",
             "missing",
             "next_stable is not null and (n_ts is null or n_ts > next_stable)"
             " and (error = 0 or last_stable is not null)",
             "next_stable as run_ts, item_id, title, item_url, image_url",
-            fx._GONE,
+            fx.GONE,
         ),
     ]
 )

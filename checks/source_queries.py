@@ -220,7 +220,7 @@ def items_c_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Promoted and other blocks of every result page."""
-    blocks = F.slice(F.split("body", parsers._DETAIL), F.lit(2), F.lit(2_000_000_000))
+    blocks = parsers.product_blocks(F.col("body"))
     kept = F.filter(blocks, lambda b: ~parsers.is_promoted(b))
     return html_pages(spark, sf_dir).select(
         "keyword", F.size(blocks).alias("n_blocks"), F.size(kept).alias("n_kept")

@@ -11,45 +11,45 @@ _TYPES = {
 }
 
 
-def _schema(columns: str) -> T.StructType:
+def table_schema(columns: str) -> T.StructType:
     """Columns as text; needs no session, so that modules can be imported before one."""
     pairs = [c.split() for c in columns.split(",")]
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-PAYLOAD = _schema(
+PAYLOAD = table_schema(
     "site string, run_ts timestamp, keyword string, page int, status int, body string"
 )
 
 # What one item record of one run looks like, whatever site it came from.
-OBSERVATION = _schema(
+OBSERVATION = table_schema(
     "site string, run_ts timestamp, keyword string, page int, pos int, item_id string,"
     " seller_id string, title string, item_url string, image_url string, price bigint,"
     " full_price bigint, bid_num int, onsale int, end_ts timestamp"
 )
 
 # One row per (site, item_id). record_ts = first seen, update_ts = last seen.
-LISTING = _schema(
+LISTING = table_schema(
     "site string, item_id string, seller_id string, title string, item_url string,"
     " image_url string, price bigint, full_price bigint, bid_num int, onsale int,"
     " end_ts timestamp, record_ts timestamp, update_ts timestamp"
 )
 
 # `sold` also carries the bid count of auction sites.
-RUN_LOG = _schema(
+RUN_LOG = table_schema(
     "site string, run_ts timestamp, error bigint, page bigint, count bigint,"
     " new bigint, discount bigint, sold bigint"
 )
 
-CHANGES = _schema(
+CHANGES = table_schema(
     "site string, run_ts timestamp, kind string, item_id string, title string,"
     " item_url string, image_url string, old_price bigint, new_price bigint,"
     " old_full bigint, new_full bigint, old_num int, new_num int, end_ts timestamp"
 )
 
-RULES = _schema("rule_id bigint, site string, predicate string")
+RULES = table_schema("rule_id bigint, site string, predicate string")
 
-PARTS = _schema("site string, run_ts timestamp, part_no bigint, body string")
+PARTS = table_schema("site string, run_ts timestamp, part_no bigint, body string")
 
 # Text columns are kept as first seen, measures follow the newest sighting.
 TEXT_COLUMNS = ("title", "item_url", "image_url")

@@ -131,14 +131,20 @@ def is_promoted(block: Column) -> Column:
     return block.rlike(_FEATURED)
 
 
+def product_blocks(html: Column) -> Column:
+    """The text of each product block, promoted ones included; a block reaches up to the
+    next one."""
+    # all but the first piece; asking for their number would split the page once more
+    return F.slice(F.split(html, _DETAIL), F.lit(2), F.lit(2**31 - 1))
+
+
 def html_items(body: Column) -> Column:
     """One item per product block; promoted blocks and no-result pages give none.
 
-    A block reaches up to the next one. `shelfdiff.sources.html` has the extractor that
-    follows real nesting, for pages where that is not enough.
+    `shelfdiff.sources.html` has the extractor that follows real nesting, for pages where
+    blocks that reach up to the next one are not enough.
     """
-    blocks = F.slice(F.split(body, _DETAIL), F.lit(2), F.lit(2_000_000_000))
-    own = F.filter(blocks, lambda b: ~is_promoted(b))
+    own = F.filter(product_blocks(body), lambda b: ~is_promoted(b))
     # Step by step, so that no regular expression runs twice on the same text.
     items = F.transform(F.transform(F.transform(own, _tags), _quoted_values), _html_item)
     return F.when(is_empty_page(body), F.array().cast(RAW_ITEMS)).otherwise(items)

@@ -12,11 +12,11 @@ from shelfdiff.functions.times import from_micros, micros
 from shelfdiff.operators.detect import open_run
 from shelfdiff.plans.run import run_snapshot
 from shelfdiff.profiles import Profile
-from shelfdiff.schema import _schema
+from shelfdiff.schema import table_schema
 from shelfdiff.sources.tables import Store
 
 # Announces that a run's snapshot partition is complete.
-ARRIVAL = _schema("site string, run_ts timestamp, error bigint, page bigint, count bigint")
+ARRIVAL = table_schema("site string, run_ts timestamp, error bigint, page bigint, count bigint")
 
 
 def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Profile]) -> None:
