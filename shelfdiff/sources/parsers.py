@@ -134,8 +134,9 @@ def is_promoted(block: Column) -> Column:
 def product_blocks(html: Column) -> Column:
     """The text of each product block, promoted ones included; a block reaches up to the
     next one."""
-    # all but the first piece; asking for their number would split the page once more
-    return F.slice(F.split(html, _DETAIL), F.lit(2), F.lit(2**31 - 1))
+    # All but the first piece: asking for their number would split the page once more. No
+    # text has a billion tags, as it has two billion bytes at most.
+    return F.slice(F.split(html, _DETAIL), F.lit(2), F.lit(1_000_000_000))
 
 
 def html_items(body: Column) -> Column:
