@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -64,3 +66,20 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so that they can
+    import it wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="shelfdiff-ship-")
+    root, name = os.path.split(package)
+    archive = shutil.make_archive(os.path.join(folder, name), "zip", root, name)
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
