@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import line_spread, quality
+from shelfdiff.llm import dac, decontaminate, line_spread, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_edit_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and test item it contains, with the least distance and its place."""
+    docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.find_matches(docs, bench)
+
+
+def op5_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.read_documents(dac.write_ids(_table(spark, sf_dir, "documents")))
+
+
+def op6_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines, and how many lines went."""
     docs = _table(spark, sf_dir, "documents").withColumn("whole", F.col("text"))
@@ -39,6 +53,9 @@ def op10_quality_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_edit_pieces": op1_edit_pieces,
+    "op5_addressable_codes": op5_addressable_codes,
+    "op6_linear_grouping": op6_linear_grouping,
     "op9_line_spread": op9_line_spread,
     "op10_quality_fences": op10_quality_fences,
 }
