@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import dac, decontaminate, line_spread, packing, quality
+from shelfdiff.llm import dac, decontaminate, line_spread, packing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,21 @@ def op6_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def _fold(n: int = 5) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op8_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    weights = toxicity.fit(docs, labels, learn=_fold() != 0)
+    return toxicity.scored(docs, weights).select(
+        "doc_id",
+        (_fold() == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines, and how many lines went."""
     docs = _table(spark, sf_dir, "documents").withColumn("whole", F.col("text"))
@@ -56,6 +71,7 @@ QUERIES = {
     "op1_edit_pieces": op1_edit_pieces,
     "op5_addressable_codes": op5_addressable_codes,
     "op6_linear_grouping": op6_linear_grouping,
+    "op8_positive_unlabelled": op8_positive_unlabelled,
     "op9_line_spread": op9_line_spread,
     "op10_quality_fences": op10_quality_fences,
 }
