@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import dac, decontaminate, forest, line_spread, packing, quality, toxicity
+from shelfdiff.llm import dac, decontaminate, forest, line_spread, packing, paragraphs, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that repeats an earlier one, and where that one stands."""
+    return paragraphs.find_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op5_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(dac.write_ids(_table(spark, sf_dir, "documents")))
 
@@ -74,6 +79,7 @@ def op10_quality_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_edit_pieces": op1_edit_pieces,
     "op2_lsh_forest": op2_lsh_forest,
+    "op3_paragraph_bands": op3_paragraph_bands,
     "op5_addressable_codes": op5_addressable_codes,
     "op6_linear_grouping": op6_linear_grouping,
     "op8_positive_unlabelled": op8_positive_unlabelled,
