@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import dac, decontaminate, forest, line_spread, packing, paragraphs, quality, toxicity
+from shelfdiff.llm import dac, decontaminate, forest, html_paths, line_spread, packing, paragraphs, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.find_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op4_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_paths.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(dac.write_ids(_table(spark, sf_dir, "documents")))
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op1_edit_pieces": op1_edit_pieces,
     "op2_lsh_forest": op2_lsh_forest,
     "op3_paragraph_bands": op3_paragraph_bands,
+    "op4_consensus_paths": op4_consensus_paths,
     "op5_addressable_codes": op5_addressable_codes,
     "op6_linear_grouping": op6_linear_grouping,
     "op8_positive_unlabelled": op8_positive_unlabelled,

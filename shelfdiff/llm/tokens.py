@@ -5,15 +5,18 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
-CACHE_CHUNKS = 400_000
-CACHE_BYTES = 64
+CACHE_PARTS = 300_000
+CACHE_CHARACTERS = 64
 
-# Chunks of plain Latin letters and closing marks: the letters in lower case and the marks
-# are encoded apart, as the tokenizer itself does. Most new chunks then have known parts.
-_SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
+# Texts of Latin-1 characters without any that the tokenizer's first steps treat in ways
+# of their own (odd white space, letters and numbers outside the usual ranges, the start of
+# a special token) are cut here as the tokenizer would cut them.
+_UNUSUAL = re.compile(r"[^\x00-\x84\x86-\x9f\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\xff]|<\|")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t-\ra-z\xdf-\xf6\xf8-\xff0-9]+")
 
 
 def default_path() -> str:
@@ -22,75 +25,64 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
+class Encoder(dict):
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    With a tokenizer that drops white space and never looks across it, a text's ids are
-    those of its chunks between ASCII white space, one after another. Each distinct chunk
-    is then encoded by the library once and kept. Any other tokenizer gets whole texts.
+    Where the tokenizer's first steps are known, usual texts are put in lower case and cut
+    into the parts that its model gets, and each distinct part goes through that model
+    once; the dictionary keeps their ids. All other texts go to the library whole.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_chunk = _separable(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def _fresh(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _parts(self, chunk: bytes) -> tuple[bytes, ...]:
-        simple = _SIMPLE.fullmatch(chunk.decode())
-        return tuple(x.lower().encode() for x in simple.groups() if x) if simple else (chunk,)
-
-    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """The ids of distinct chunks, by way of their parts."""
-        parts = {c: self._parts(c) for c in chunks}
-        known = self.known
-        new = list({p for ps in parts.values() for p in ps if p not in known})
-        fresh: dict[bytes, bytes] = {}
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            fresh.update(zip(some, self._fresh([p.decode() for p in some]), strict=True))
-        known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHE_BYTES)
-        whole = lambda ps: b"".join(fresh[p] if p in fresh else known[p] for p in ps)
-        return {c: whole(ps) for c, ps in parts.items()}
-
-    def chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of each chunk."""
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-        new = {c for c in chunks if c not in known}
-        if not new:
-            return list(map(known.__getitem__, chunks))
-        learnt = self._learn(list(new))
-        known.update((c, ids) for c, ids in learnt.items() if len(c) <= CACHE_BYTES)
-        return [learnt[c] if c in learnt else known[c] for c in chunks]
+        self.model = self.tokenizer.model
+        self.known_steps = _known_steps(path)
+        self.characters = _byte_characters()
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.model.tokenize(part.encode().decode("latin-1").translate(self.characters))
+        ids = struct.pack(f"<{len(found)}I", *[x.id for x in found])
+        if len(part) <= CACHE_CHARACTERS:
+            if len(self) >= CACHE_PARTS:
+                self.clear()
+            self[part] = ids
+        return ids
 
     def ids(self, text: str | None) -> bytes:
         """The ids of a text; none of a null text."""
         if not text:
             return b""
-        if self.by_chunk:
-            return b"".join(self.chunks(text.encode().split()))
-        return self._fresh([text])[0]
+        if self.known_steps and not _UNUSUAL.search(text):
+            return b"".join(map(self.__getitem__, _PARTS.findall(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def _separable(path: str) -> bool:
-    """Whether this tokenizer's first step is known to drop white space and to match
-    within runs of other characters only."""
+def _byte_characters() -> dict[int, str]:
+    """The usual character for each byte: printable ones stand for themselves, the others
+    follow after 255 in their order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+# The steps of the tokenizer that `_PARTS` was written for.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _known_steps(path: str) -> bool:
     with open(path) as f:
         parts = json.load(f)
+    normalizers = [x.get("type") for x in (parts.get("normalizer") or {}).get("normalizers") or []]
     steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     split = steps[0]
     pattern = (split.get("pattern") or {}).get("Regex", "")
     drops = split.get("behavior") == "Removed" and split.get("invert") is True
-    # Fixed value: the pattern of the tokenizer this was written for.
-    return drops and pattern == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    return drops and pattern == _PATTERN and normalizers == _NORMALIZERS
 
 
 _ENCODERS: dict[str, Encoder] = {}

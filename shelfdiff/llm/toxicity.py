@@ -43,7 +43,7 @@ STEPS = 120
 RATE = 0.15
 DECAY = 2e-5
 START = -7.0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 
 
 def words_of(text: str | None) -> set[str]:

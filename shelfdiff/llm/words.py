@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 CACHE_BYTES = 64
 
 SHINGLE = 5
