@@ -25,8 +25,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that are spread over many sources."""
-    return line_spread.dedup_lines(docs)
+    """All documents, without lines that are spread over many sources; n_chars follows."""
+    out = line_spread.dedup_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
