@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import dac, decontaminate, forest, html_paths, line_spread, packing, paragraphs, quality, toxicity
+from shelfdiff.llm import (
+    attention_lm,
+    dac,
+    decontaminate,
+    forest,
+    html_paths,
+    line_spread,
+    packing,
+    paragraphs,
+    quality,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +54,14 @@ def _fold(n: int = 5) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+def op7_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = attention_lm.scores(_table(spark, sf_dir, "documents"), learn=_fold() != 1)
+    held_out = (_fold() == 1).alias("held_out")
+    return found.select(
+        "doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op8_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     weights = toxicity.fit(docs, labels, learn=_fold() != 0)
@@ -87,6 +106,7 @@ QUERIES = {
     "op4_consensus_paths": op4_consensus_paths,
     "op5_addressable_codes": op5_addressable_codes,
     "op6_linear_grouping": op6_linear_grouping,
+    "op7_attention": op7_attention,
     "op8_positive_unlabelled": op8_positive_unlabelled,
     "op9_line_spread": op9_line_spread,
     "op10_quality_fences": op10_quality_fences,
