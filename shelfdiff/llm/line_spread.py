@@ -6,9 +6,10 @@ estimate is near `min_sites` get exact counts, lines far above are taken as spre
 
 Whole documents are copied from site to site as well, and their lines are no boilerplate:
 near-duplicate removal is for those. A line of a copied document always stands between
-the same lines. So a spread line must also stand in as many different surroundings
-(previous and next line) as `min_variety` times the different documents that hold it.
-This too is decided by sketches, and exactly where they are near the limit.
+the same lines. So a spread line must also be held by `min_sites` different texts, and
+stand in at least `min_variety` times as many different surroundings (previous and next
+line) as there are such texts. This too is decided by sketches, and exactly where they
+are near a limit.
 
 Built of DataFrame functions only. Hashes are Spark's 64-bit xxhash64.
 
@@ -48,9 +49,9 @@ def _keys(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), _key)
 
 
-def _near(count: Column, limit: Column | float) -> Column:
-    limit = limit if isinstance(limit, Column) else F.lit(limit)
-    return count.between(limit * (1 - NEAR), limit * (1 + NEAR))
+def _near(count: Column, limit: int) -> Column:
+    # Estimates are whole numbers: one off is near as well.
+    return count.between(limit * (1 - NEAR) - 1, limit * (1 + NEAR) + 1)
 
 
 def spread_lines(
@@ -69,9 +70,8 @@ def spread_lines(
         F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch")
     )
     sites = F.hll_sketch_estimate("sketch")
-    # Estimates are whole numbers: one less than the lower end still counts as near.
     wide = sketched.select("line", sites.alias("sites")).filter(
-        F.col("sites") >= int(min_sites * (1 - NEAR))
+        (F.col("sites") >= min_sites) | _near(F.col("sites"), min_sites)
     )
     wide = settle(wide, "spread")
 
@@ -94,8 +94,11 @@ def spread_lines(
     needed = F.col("contents") * min_variety
     # Both estimates are off: the band around their ratio is twice as wide.
     near_ratio = F.col("arounds").between(needed * (1 - 2 * NEAR) - 1, needed * (1 + 2 * NEAR) + 1)
-    near = _near(F.col("sites"), min_sites) | (F.col("sites") < min_sites) | near_ratio
-    clear = varied.filter(~near & (F.col("arounds") >= needed)).select("line")
+    near = near_ratio
+    for count in ("sites", "contents"):
+        near = near | _near(F.col(count), min_sites)
+    enough = (F.col("arounds") >= needed) & (F.least("sites", "contents") >= min_sites)
+    clear = varied.filter(~near & enough).select("line")
     close = varied.filter(near).select("line")
     exact = spots.join(few(close), "line", "left_semi")
     exact = settle(exact.distinct(), "close")
@@ -106,7 +109,8 @@ def spread_lines(
     ]
     counted = counts[0].join(counts[1], "line").join(counts[2], "line")
     found = counted.filter(
-        (F.col("n_site") >= min_sites) & (F.col("n_around") >= F.col("n_content") * min_variety)
+        (F.least("n_site", "n_content") >= min_sites)
+        & (F.col("n_around") >= F.col("n_content") * min_variety)
     )
     return settle(clear.union(found.select("line")), "boilerplate")
 

@@ -122,7 +122,7 @@ _LINES = """split as (select doc_id, source, text, string_split(text, chr(10)) a
 
 ORACLES = {
     "op9_line_spread": f"""with {_LINES},
-  bad as (select l from spot where l is not null group by l having count(distinct source) >= 10
+  bad as (select l from spot where l is not null group by l having count(distinct source) >= 10 and count(distinct text) >= 10
       and count(distinct {{'b': prev_l, 'a': next_l}}) >= 0.5 * count(distinct text)),
   kept as (select doc_id, string_agg(part, chr(10) order by pos) as kept, count(*) as n from spot
       where l is null or l not in (select l from bad) group by doc_id)
