@@ -160,7 +160,7 @@ class Block:
                     best = (distance, lo + end - size, lo + end)
             if best[0] <= k:
                 out.append((item.item_id, best[0], k, m, best[1], best[2]))
-        return sorted(out)
+        return sorted(out, key=lambda x: (x[0] is not None, x[0] or 0))
 
 
 def _joined(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:

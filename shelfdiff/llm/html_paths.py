@@ -217,8 +217,9 @@ def scores(page: Page) -> dict[str, float]:
     if not total:
         return {}
     out: dict[str, float] = {}
-    for element in elements[1:]:
-        if element.tag not in CONTAINERS or element.aside or not element.text:
+    for element in elements:
+        # Text may also lie outside of any container: the page itself is one.
+        if element.tag and element.tag not in CONTAINERS or element.aside or not element.text:
             continue
         share = (element.text - element.linked) / total
         bonus = 0.2 if element.tag in ("article", "main") else 0.0
