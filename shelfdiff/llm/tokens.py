@@ -9,7 +9,7 @@ import struct
 
 import numpy as np
 
-CACHE_PARTS = 300_000
+CACHE_PARTS = 500_000
 CACHE_CHARACTERS = 64
 
 # Texts of Latin-1 characters without any that the tokenizer's first steps treat in ways
@@ -56,7 +56,8 @@ class Encoder(dict):
         """The ids of a text; none of a null text."""
         if not text:
             return b""
-        if self.known_steps and not _UNUSUAL.search(text):
+        usual = "<|" not in text if text.isascii() else not _UNUSUAL.search(text)
+        if self.known_steps and usual:
             return b"".join(map(self.__getitem__, _PARTS.findall(text.lower())))
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
