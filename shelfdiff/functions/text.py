@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,8 +19,8 @@ PHOTO_URL = "https://static.mercdn.net/item/detail/orig/photos/"
 CALLBACK_HEAD = 9
 CALLBACK_TAIL = 2
 
-# Named entities decoded in HTML attributes.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " "}
+# Named character references with a semicolon, as HTML has them, by their names.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
 
 
 def strip_callback(body: Column) -> Column:
@@ -47,8 +49,13 @@ def clear_query(url: Column) -> Column:
     return F.regexp_replace(url, r"^([^?#]*)\?[^#]*", "$1")
 
 
+# Digits that people type besides the ASCII ones.
+FULL_WIDTH = "０１２３４５６７８９"
+
+
 def _whole_number(text: Column) -> Column:
-    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(text).try_cast("int"))
+    plain = F.translate(text, FULL_WIDTH, "0123456789")
+    return F.when(plain.rlike(r"^\s*[+-]?[0-9]+\s*$"), F.trim(plain).try_cast("int"))
 
 
 def bid_number(text: Column) -> Column:
@@ -82,28 +89,31 @@ def _character(code: Column) -> Column:
     return F.when(valid, F.decode(utf32, "UTF-32"))
 
 
-def _numeric_entities(text: Column, pattern: str, prefix: str, base: int) -> Column:
-    def swap(done: Column, digits: Column) -> Column:
-        code = F.conv(digits, base, 10).cast("bigint")
-        plain = F.replace(done, F.concat(F.lit(prefix), digits, F.lit(";")), _character(code))
-        return F.coalesce(plain, done)
+def unescape_html(text: Column) -> Column:
+    """Decode all named and numeric character references, in one pass: what a reference
+    stands for is never read as the start of another one. Unknown ones stay as they are.
 
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
-    return F.aggregate(found, text, swap)
+    The text is cut at every `&`; each piece but the first begins with a reference, or
+    with none.
+    """
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
+    pattern = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
+    def meaning(name: Column) -> Column:
+        hexadecimal = F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)
+        decimal = F.substring(name, F.lit(2), F.length(name))
+        code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(decimal).try_cast("bigint")
+        return F.when(F.substring(name, 1, 1) == "#", _character(code)).otherwise(names[name])
 
-def unescape_html(text: Column) -> Column:
-    """Decode the named entities in `ENTITIES` and numeric ones; `&amp;` comes last."""
-    def decode(t: Column) -> Column:
-        for entity, character in ENTITIES.items():
-            t = F.replace(t, F.lit(entity), F.lit(character))
-        return F.array(t)
-
-    # One-element arrays bind each intermediate text once instead of repeating it.
-    plain = decode(text)
-    plain = F.transform(plain, lambda t: _numeric_entities(t, r"&#([0-9]{1,7});", "&#", 10))
-    plain = F.transform(plain, lambda t: _numeric_entities(t, r"&#x([0-9A-Fa-f]{1,6});", "&#x", 16))
-    done = F.replace(plain[0], F.lit("&amp;"), F.lit("&"))
+    def decode(piece: Column, name: Column) -> Column:
+        known = F.when(name != "", meaning(name))
+        rest = F.substring(piece, F.length(name) + 2, F.length(piece))
+        return F.coalesce(F.concat(known, rest), F.concat(F.lit("&"), piece))
+
+    def piece_text(piece: Column, i: Column) -> Column:
+        return F.when(i == 0, piece).otherwise(decode(piece, F.regexp_extract(piece, pattern, 1)))
+
+    done = F.array_join(F.transform(F.split(text, "&"), piece_text), "")
     return F.when(F.contains(text, F.lit("&")), done).otherwise(text)
 
 

@@ -63,9 +63,10 @@ def _auction_line(kind: str) -> Column:
 
 
 def change_line(profile: Profile, kind: str) -> Column:
-    """Two rows of message text. A line break inside a title becomes a space, so that a
+    """Two rows of message text. Line breaks inside its texts become spaces, so that a
     change stays one line of the message."""
-    link = _fill(ITEM, "item_url", "item_id", F.translate("title", "\r\n", "  "))
+    texts = [F.translate(c, "\r\n", "  ") for c in ("item_url", "item_id", "title")]
+    link = _fill(ITEM, *texts)
     own = _auction_line(kind) if profile.auction else _price_line(kind, kind == profile.gone_kind)
     return F.concat(link, own)
 

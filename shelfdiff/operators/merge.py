@@ -64,14 +64,22 @@ def changes_of(version: DataFrame) -> DataFrame:
     )
 
 
-def listing_state(snapshots: DataFrame, profiles: Iterable[Profile]) -> DataFrame:
+def listing_state(
+    snapshots: DataFrame, profiles: Iterable[Profile], run_log: DataFrame | None = None
+) -> DataFrame:
     """The listing that merging every run in order would leave, as one aggregation.
 
+    With `run_log`, only the runs in it count: snapshots of a store may have landed for
+    runs that were never committed.
+
     A site's update columns take the value of the newest sighting, NULL included; the
     others that of the first. Partial aggregation keeps one row per item and map task, so
     no item is too hot.
     """
     profiles = list(profiles)
+    if run_log is not None:
+        logged = run_log.select("site", "run_ts").distinct()
+        snapshots = snapshots.join(logged, ["site", "run_ts"], "left_semi")
     updated = {c: [p.site for p in profiles if c in p.update_cols] for c in LISTING.names}
     stored = [c for c in LISTING.names if c not in (*KEYS, "record_ts", "update_ts")]
     moving = [c for c in stored if updated[c]]

@@ -52,7 +52,8 @@ def run_snapshot(
     listing = store.listing(run.site, run.newest)
     if commit:
         version = merge_with_changes(listing, snapshot, run, profile)
-        changes = changes_of(store.write_version(version, run.site, run.run_ts))
+        found = changes_of(store.write_version(version, run.site, run.run_ts))
+        changes = store.write_changes(found, run.site, run.run_ts)
     else:
         changes = settle(detect(snapshot, listing, run, profile), f"changes-{run.site}")
     totals = {
@@ -68,41 +69,76 @@ def run_snapshot(
     return RunResult(run, changes, summary)
 
 
-def run_site(
-    payload: DataFrame,
-    store: Store,
-    profile: Profile,
-    run_ts: datetime,
-    rules: DataFrame | None = None,
-    commit: bool = False,
-) -> RunResult:
-    """One site's landed pages of one run: parse -> de-duplicate -> rules -> diff.
+@dataclass(frozen=True)
+class _Opened:
+    """A site's pages of one run, parsed and checked; nothing lasting is written yet."""
 
-    Preview (`commit=False`) leaves listing and log alone. Parsed pages are written once
-    to the shared folder, as totals, items and quarantine all read them.
-    """
-    use_utc(store.spark)
-    run_ts = as_utc(run_ts)
+    profile: Profile
+    run: Run
+    pages: DataFrame
+    page: int
+    count: int
+    done: bool
+
+
+def _open(
+    payload: DataFrame, store: Store, profile: Profile, run_ts: datetime, commit: bool
+) -> _Opened:
+    """Parse a site's landed pages of one run and refuse what could not be committed.
+
+    Parsed pages are written once to the shared folder, as totals, items and quarantine
+    all read them."""
     of_run = payload.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
     pages = settle(parse_pages(of_run, profile), f"pages-{profile.site}")
-
     totals = page_totals(pages, profile).first()
     if totals is None:
         # not an empty result: without any page, absence would mean that all is sold
         raise ValueError(f"{profile.site}: no page has landed for run {run_ts}")
-    error, page, count = totals["error"], totals["page"], totals["count"]
-    run = open_run(store.run_log(), profile.site, run_ts, error)
-    if commit and run.late:
+    run = open_run(store.run_log(), profile.site, run_ts, totals["error"])
+    done = commit and run.late and not _logged(store, profile.site, run_ts).isEmpty()
+    if commit and run.late and not done:
         raise ValueError(f"{profile.site}: run {run_ts} is not newer than the last commit")
+    return _Opened(profile, run, pages, totals["page"], totals["count"], done)
+
+
+def _logged(store: Store, site: str, run_ts: datetime) -> DataFrame:
+    return store.run_log().filter((F.col("site") == site) & (F.col("run_ts") == F.lit(run_ts)))
+
+
+def _finish(opened: _Opened, store: Store, rules: DataFrame | None, commit: bool) -> RunResult:
+    profile, run, pages = opened.profile, opened.run, opened.pages
+    quarantine = quarantine_of(pages, profile)
+    if opened.done:
+        # committed before, perhaps by a call that failed at a later site
+        changes = store.changes_of(run.site, run.run_ts)
+        return RunResult(run, changes, _logged(store, run.site, run.run_ts), quarantine)
     snapshot = dedup_first(observations_of(pages, profile))
     if rules is not None:
         snapshot, _ = apply_rules(snapshot, rules, profile.site)
     snapshot = snapshot.select(*OBSERVATION.names)
     if commit:
-        store.write_snapshot(snapshot)
-        snapshot = store.snapshot(profile.site, run_ts)
-    result = run_snapshot(store, snapshot, profile, run, page, count, commit)
-    return replace(result, quarantine=quarantine_of(pages, profile))
+        store.write_snapshot(snapshot, [(run.site, run.run_ts)])
+        snapshot = store.snapshot(run.site, run.run_ts)
+    result = run_snapshot(store, snapshot, profile, run, opened.page, opened.count, commit)
+    return replace(result, quarantine=quarantine)
+
+
+def run_site(
+    payload: DataFrame,
+    store: Store,
+    profile: Profile,
+    run_ts: datetime,
+    rules: DataFrame | None = None,
+    commit: bool = False,
+) -> RunResult:
+    """One site's landed pages of one run: parse -> de-duplicate -> rules -> diff.
+
+    Preview (`commit=False`) leaves listing and log alone. Committing a run that is in the
+    log already changes nothing and gives what it found then.
+    """
+    use_utc(store.spark)
+    run_ts = as_utc(run_ts)
+    return _finish(_open(payload, store, profile, run_ts, commit), store, rules, commit)
 
 
 def run_all(
@@ -113,9 +149,15 @@ def run_all(
     rules: DataFrame | None = None,
     commit: bool = False,
 ) -> tuple[DataFrame, Mapping[str, RunResult]]:
-    """All sites of one run. Returns the digest parts, sites in order, and each result."""
-    profiles = list(profiles)
-    results = {p.site: run_site(payload, store, p, run_ts, rules, commit) for p in profiles}
+    """All sites of one run. Returns the digest parts, sites in order, and each result.
+
+    All sites are parsed and checked before the first is committed. If a commit fails
+    halfway nevertheless, the same call again finishes the sites that are missing.
+    """
+    use_utc(store.spark)
+    profiles, run_ts = list(profiles), as_utc(run_ts)
+    opened = [_open(payload, store, p, run_ts, commit) for p in profiles]
+    results = {o.profile.site: _finish(o, store, rules, commit) for o in opened}
     lines = None
     for profile in profiles:
         result = results[profile.site]

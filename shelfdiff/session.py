@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -39,8 +40,9 @@ def use_utc(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, `spark.checkpoint.dir`.
 
-    Only where neither the session nor the context names one (tests, a laptop) a
-    local folder is made and set as the checkpoint folder.
+    Only where neither the session nor the context names one and the master is local
+    (tests, a laptop) a local folder is made and set as the checkpoint folder. On a
+    cluster its executors could not see that folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -49,6 +51,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfdiff-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -12,8 +12,13 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from shelfdiff.session import ship
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
+# Records are handed on in pieces of about this many.
+PIECE = 5_000
+
 AUCTION_FIELDS = ("id", "sellerid", "price", "buynowprice", "endtime", "title", "href", "img", "bid")
 
 
@@ -160,17 +165,19 @@ def extract(
 
     `parse` is the extension point for a new page layout: page text to records.
     """
+    ship(pages.sparkSession)
     names = [f.strip().split()[0] for f in fields.split(",")]
     key_type = pages.schema[key].dataType.simpleString()
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [
-                (k, *[record.get(n) for n in names])
-                for k, body in zip(batch[key], batch[html])
-                if body is not None
-                for record in parse(body)
-            ]
+            found: list[tuple] = []
+            for k, body in zip(batch[key], batch[html]):
+                if body is not None:
+                    found += [(k, *[record.get(n) for n in names]) for record in parse(body)]
+                if len(found) >= PIECE:
+                    yield pd.DataFrame(found, columns=[key, *names])
+                    found = []
             yield pd.DataFrame(found, columns=[key, *names])
 
     return pages.select(key, html).mapInPandas(rows, f"{key} {key_type}, {fields}")

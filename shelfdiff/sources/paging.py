@@ -19,9 +19,11 @@ SLICES = 256
 def page_plan(first_pages: DataFrame, last_page: Column, keys: Sequence[str]) -> DataFrame:
     """One row per page of a keyword: all up to its last page, 12 at most.
 
-    A first page that could not be read tells no last page and plans itself only.
+    A first page that could not be read tells no last page and plans itself only, as does
+    one that tells 0.
     """
-    pages = F.least(F.coalesce(last_page, F.lit(1)), F.lit(MAX_PAGES)).cast("int")
+    told = F.greatest(F.coalesce(last_page, F.lit(1)), F.lit(1))
+    pages = F.least(told, F.lit(MAX_PAGES)).cast("int")
     return first_pages.select(*keys, F.explode(F.sequence(F.lit(1), pages)).alias("page"))
 
 

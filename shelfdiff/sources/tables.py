@@ -4,6 +4,7 @@ Layout below one root folder:
 
     listing/<site>/<run>      one complete version of a site's listing per committed run
     snapshots/site=/run_ts=   de-duplicated snapshots, overwritten per run
+    changes/site=/run_ts=     the changes that each commit found, kept when versions expire
     run_log                   append-only; the row of a run is written last
     layout                    the number of buckets of the first two
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
@@ -50,9 +51,17 @@ def table_ready(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def find_id(listing: DataFrame, item_id, column: str = "item_id") -> DataFrame:
-    """The row of one item, or none. The filter reaches the scan's row-group statistics."""
-    return listing.filter(F.col(column) == F.lit(item_id)).limit(1)
+def find_id(
+    listing: DataFrame, item_id, column: str = "item_id", site: str | None = None
+) -> DataFrame:
+    """The row of one item, of one site if it is named, or none. The id takes the column's
+    type, so that the filter reaches the scan's row-group statistics; an id that cannot
+    have that type is not there."""
+    wanted = F.lit(item_id).try_cast(listing.schema[column].dataType)
+    found = listing.filter(F.col(column) == wanted)
+    if site is not None:
+        found = found.filter(F.col("site") == site)
+    return found.limit(1)
 
 
 def version_name(run_ts: datetime) -> str:
@@ -77,7 +86,7 @@ class Store:
         return f"{self.root}/snapshots"
 
     def version_path(self, site: str, run_ts: datetime) -> str:
-        return f"{self.root}/listing/{site}/{version_name(run_ts)}"
+        return f"{self.root}/listing/{_escaped(site)}/{version_name(run_ts)}"
 
     @cached_property
     def buckets(self) -> int:
@@ -100,12 +109,19 @@ class Store:
 
     # Snapshots.
 
-    def write_snapshot(self, snapshot: DataFrame) -> None:
-        """Replace the partitions of the runs in `snapshot`, leave all others.
+    def write_snapshot(
+        self, snapshot: DataFrame, runs: Iterable[tuple[str, datetime]] = ()
+    ) -> None:
+        """Replace the partitions of the runs in `snapshot`, leave all others. Runs named in
+        `runs` have landed even if the snapshot has no rows of them: they become empty.
 
         Files are bucketed by item, so that a replay of the history needs no shuffle.
         """
         columns = [*(c for c in OBSERVATION.names if c not in RUN_KEYS), *RUN_KEYS]
+        for site, run_ts in runs:
+            of_run = (F.col("site") == site) & (F.col("run_ts") == F.lit(run_ts))
+            if snapshot.filter(of_run).isEmpty():
+                self._clear_snapshot(site, run_ts)
         (
             snapshot.select(*columns)
             .repartition(self.buckets, "item_id")
@@ -113,6 +129,19 @@ class Store:
             .insertInto(self._snapshot_table())
         )
 
+    def _clear_snapshot(self, site: str, run_ts: datetime) -> None:
+        """Leave an empty partition, whatever it held."""
+        name = self._snapshot_table()
+        args = {"site": site, "run_ts": _run_text(run_ts)}
+        spec = "(site = '{}', run_ts = '{}')".format(*(_quoted(v) for v in args.values()))
+        nothing = ", ".join(
+            f"cast(null as {f.dataType.simpleString()})" for f in OBSERVATION if f.name not in RUN_KEYS
+        )
+        self.spark.sql(f"insert overwrite table {name} partition {spec} select {nothing} where false")
+        # Adding a partition makes its folder, which tells that the run has landed.
+        self.spark.sql(f"alter table {name} drop if exists partition {spec}")
+        self.spark.sql(f"alter table {name} add partition {spec}")
+
     def snapshots(self) -> DataFrame:
         """All landed snapshots, bucketed by item."""
         name = self._snapshot_table()
@@ -127,13 +156,54 @@ class Store:
         self.spark.sql(f"create table if not exists {name} {ddl}")
         return name
 
+    def _run_folder(self, table: str, site: str, run_ts: datetime) -> str:
+        return f"{table}/site={_escaped(site)}/run_ts={_escaped(_run_text(run_ts))}"
+
+    def landed(self, site: str, run_ts: datetime) -> bool:
+        """Whether a snapshot of this run was written, be it empty."""
+        try:
+            self.spark.read.schema(OBSERVATION).parquet(
+                self._run_folder(self.snapshot_path, site, run_ts)
+            )
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+
     def snapshot(self, site: str, run_ts: datetime) -> DataFrame:
         """One run's snapshot, read from its own folder whatever the length of history."""
-        folder = f"{self.snapshot_path}/site={site}/run_ts={_partition_text(run_ts)}"
-        schema = T.StructType([f for f in OBSERVATION if f.name not in RUN_KEYS])
-        rows = _read(self.spark, folder, schema)
+        return self._of_run(self.snapshot_path, OBSERVATION, site, run_ts)
+
+    def _of_run(
+        self, table: str, schema: T.StructType, site: str, run_ts: datetime
+    ) -> DataFrame:
+        stored = T.StructType([f for f in schema if f.name not in RUN_KEYS])
+        rows = _read(self.spark, self._run_folder(table, site, run_ts), stored)
         keys = {"site": F.lit(site), "run_ts": F.lit(run_ts)}
-        return rows.withColumns(keys).select(*OBSERVATION.names)
+        return rows.withColumns(keys).select(*schema.names)
+
+    # Changes.
+
+    @property
+    def change_path(self) -> str:
+        return f"{self.root}/changes"
+
+    def write_changes(self, changes: DataFrame, site: str, run_ts: datetime) -> DataFrame:
+        """Write what a run's commit found, in place of an unfinished attempt's, and return
+        it as read back. Unlike the versions they come from, changes never expire."""
+        rows = changes.drop(*RUN_KEYS)
+        rows.write.mode("overwrite").parquet(self._run_folder(self.change_path, site, run_ts))
+        return self.changes_of(site, run_ts)
+
+    def changes_of(self, site: str, run_ts: datetime) -> DataFrame:
+        return self._of_run(self.change_path, CHANGES, site, run_ts)
+
+    def changes(self) -> DataFrame:
+        """The changes of all committed runs."""
+        found = _read(self.spark, self.change_path, CHANGES).select(*CHANGES.names)
+        logged = self.run_log().select(*RUN_KEYS).distinct()
+        return found.join(logged, list(RUN_KEYS), "left_semi")
 
     # Listing versions.
 
@@ -160,12 +230,11 @@ class Store:
             version.select(*columns).write.mode("overwrite").insertInto(name)
             return self.spark.table(name)
 
-
     def expire(self, site: str, keep: int = 3, since: datetime | None = None) -> int:
         """Empty a site's listing versions but for the newest `keep`; returns how many runs
         were gone through. Every commit writes a whole version, so old ones add up; `since`
-        spares looking at runs that an earlier call has dealt with. Changes of those runs
-        can be read from the replay only."""
+        spares looking at runs that an earlier call has dealt with. The changes that those
+        runs found stay."""
         if keep < 1:
             raise ValueError("the newest version is the listing itself")
         runs = self.run_log().filter(F.col("site") == site).select("run_ts")
@@ -212,10 +281,26 @@ def _bucketed_ddl(
     )
 
 
-def _partition_text(run_ts: datetime) -> str:
-    """A run's partition folder as Spark names it in a UTC session."""
+def _run_text(run_ts: datetime) -> str:
+    """A run's time as Spark writes it in a UTC session."""
     utc = as_utc(run_ts)
     text = utc.strftime("%Y-%m-%d %H:%M:%S")
     if utc.microsecond:
         text += f".{utc.microsecond:06d}".rstrip("0")
-    return text.replace(":", "%3A")
+    return text
+
+
+# Characters that Spark escapes in the names of partition folders.
+ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
+
+
+def _escaped(value: str) -> str:
+    """A partition value as it stands in the name of its folder."""
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
+def _quoted(value: str) -> str:
+    """Inside a quoted SQL text."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")

@@ -24,7 +24,9 @@ def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Pr
     against the state the one before it left; the items of a run stay distributed.
 
     A run that is no newer than the log is skipped: a late one would rewrite the past, and
-    a batch that is retried after a failure must not commit a run twice.
+    a batch that is retried after a failure must not commit a run twice. A run that was
+    announced with items but whose snapshot is not there stops the stream: taken as empty,
+    it would report all items as sold.
     """
     ordered = arrivals.withColumn("run_us", micros(F.col("run_ts"))).orderBy("run_us", "site")
     for row in ordered.toLocalIterator():
@@ -34,6 +36,10 @@ def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Pr
         run = open_run(store.run_log(), row["site"], from_micros(row["run_us"]), row["error"])
         if run.late:
             continue
+        if row["count"] and not store.landed(run.site, run.run_ts):
+            raise ValueError(
+                f"{run.site}: run {run.run_ts} has {row['count']} items, but no snapshot has landed"
+            )
         snapshot = store.snapshot(run.site, run.run_ts)
         run_snapshot(store, snapshot, profile, run, row["page"], row["count"], commit=True)
 

@@ -26,7 +26,7 @@ CASES = {
     "bid_number": (
         tx.bid_number,
         {"12x": 12, "5": 5, "12": 1, "-": -1, "": -1, "1.9": -1, None: -1, "+3x": 3, " 7 ": 7,
-         "12件": 12},
+         "12件": 12, "１２x": 12},
     ),
     "clear_query": (
         tx.clear_query,
@@ -47,6 +47,7 @@ CASES = {
     "unescape": (
         tx.unescape_html,
         {"a &amp; b": "a & b", "&amp;lt;": "&lt;", "&#12354;&#x1F600;": "あ\U0001f600", "&lt;&gt;&quot;&#39;": "<>\"'",
+         "&#38;amp;": "&amp;", "&yen;&hearts;&copy": "¥♥&copy", "&nope; &;&&amp;": "&nope; &;&&", "&": "&",
          "&#0;": "&#0;", "plain": "plain", "&nbsp;": " ", None: None},
     ),
     "end_time": (

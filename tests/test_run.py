@@ -260,3 +260,46 @@ def test_history_and_merge_need_no_shuffle_of_stored_data(spark, tmp_path):
     merged = merge(old, store.snapshot(profile.site, newest), run, profile)
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(item_id") == 1 and "Bucketed: true" in plan
+
+
+def test_an_announced_run_without_a_snapshot_stops_the_commit(spark, tmp_path):
+    profile = KINDS["presence"]
+    rows, errors = history(4, n_runs=2)
+    store = Store(spark, str(tmp_path))
+    runs = sorted(errors)
+    seen = observations(spark, profile.site, rows)
+    store.write_snapshot(seen.filter(F.col("run_ts") == F.lit(runs[0])))
+    arrivals = run_log(spark, profile.site, errors).select("site", "run_ts", "error", "page", "count")
+    arrivals = arrivals.withColumn("count", F.lit(5).cast("bigint"))
+    with pytest.raises(ValueError, match="no snapshot has landed"):
+        commit_arrivals(arrivals, store, {profile.site: profile})
+    assert store.run_log().count() == 1
+    # Landed as empty, it may be committed.
+    store.write_snapshot(seen.limit(0), [(profile.site, runs[1])])
+    commit_arrivals(arrivals, store, {profile.site: profile})
+    assert store.run_log().count() == 2
+
+
+@pytest.mark.parametrize("site", ["shop:jp", "a/b=c'd", "plain"])
+def test_odd_site_names_and_empty_landings(spark, tmp_path, site):
+    store = Store(spark, str(tmp_path))
+    one = observations(spark, site, [{"ts": START, "item": "x", "price": 1}])
+    assert not store.landed(site, START)
+    store.write_snapshot(one)
+    assert store.landed(site, START) and store.snapshot(site, START).count() == 1
+    assert store.snapshots().count() == 1
+    store.write_snapshot(one.limit(0), [(site, START)])
+    assert store.landed(site, START) and store.snapshot(site, START).count() == 0
+    assert store.snapshots().count() == 0
+    store.write_snapshot(one, [(site, START)])
+    assert store.snapshot(site, START).count() == 1 and store.snapshots().count() == 1
+
+
+def test_uncommitted_snapshots_are_no_state(spark):
+    profile = KINDS["presence"]
+    rows, errors = history(4, n_runs=3)
+    seen, log = observations(spark, profile.site, rows), run_log(spark, profile.site, errors)
+    newest = F.lit(max(errors))
+    state = listing_state(seen, [profile], log.filter(F.col("run_ts") < newest))
+    expected = listing_state(seen.filter(F.col("run_ts") < newest), [profile])
+    assert sorted(map(repr, state.collect())) == sorted(map(repr, expected.collect()))

@@ -5,6 +5,7 @@ from datetime import timedelta
 
 import pytest
 from data import START
+from pyspark.sql import functions as F
 from test_sources import ITEM, HTML, callback
 
 from shelfdiff import AUCTION, PRESENCE, STATUS, run_all, run_site
@@ -82,8 +83,31 @@ def test_two_runs_of_all_sites(spark, tmp_path):
     ]
     assert "x1  A &" in bodies[2] and "12 -> 30 bid" in bodies[2]
 
-    with pytest.raises(ValueError):
-        run_site(df, store, PRESENCE, START + DAY, commit=True)
+    again = run_site(df, store, PRESENCE, START + DAY, commit=True)
+    assert sorted(map(repr, again.changes.collect())) == sorted(map(repr, results[PRESENCE.site].changes.collect()))
+    assert again.summary.first()["sold"] == 1 and store.run_log().count() == 6
+    with pytest.raises(ValueError, match="not newer"):
+        run_site(payload(spark, DAYS[:1]).withColumn("run_ts", F.col("run_ts") - F.expr("interval 1 day")), store, PRESENCE, START - DAY, commit=True)
+
+
+def test_a_commit_that_failed_at_one_site_can_be_finished(spark, tmp_path):
+    """A site without pages stops the commit before the first write; a failure later on
+    leaves sites that the same call finishes."""
+    store = Store(spark, str(tmp_path))
+    lacking = payload(spark, [{k: v for k, v in DAYS[0].items() if k != STATUS.site}])
+    with pytest.raises(ValueError, match="no page"):
+        run_all(lacking, store, START, commit=True)
+    assert store.run_log().isEmpty() and store.changes().isEmpty()
+    df = payload(spark, DAYS)
+    run_all(df, store, START, commit=True)
+    run_site(df, store, PRESENCE, START + DAY, commit=True)
+    parts, results = run_all(df, store, START + DAY, commit=True)
+    assert store.run_log().count() == 6
+    assert {s: r.changes.count() for s, r in results.items()} == {PRESENCE.site: 3, STATUS.site: 3, AUCTION.site: 1}
+    stored = sorted(map(repr, store.changes().collect()))
+    assert stored == sorted(repr(x) for r in results.values() for x in r.changes.collect())
+    assert store.expire(PRESENCE.site, keep=1) == 1
+    assert sorted(map(repr, store.changes().collect())) == stored
 
 
 def test_a_faulty_run_reports_no_sold_items_and_does_not_move_the_clean_run(spark, tmp_path):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfdiff import AUCTION, PRESENCE, STATUS, page_totals, project, table_ready
 from shelfdiff.schema import PAYLOAD
+from shelfdiff.sources.tables import find_id
 from shelfdiff.sources import paging
 from shelfdiff.sources.html import auction_items
 from shelfdiff.sources.parsers import html_items
@@ -144,9 +145,9 @@ def test_nesting_extractor_ends_blocks_where_they_end():
 
 
 def test_page_plan_and_params(spark):
-    df = spark.createDataFrame([("a", 37), ("b", None), ("c", 2)], "k string, last int")
+    df = spark.createDataFrame([("a", 37), ("b", None), ("c", 2), ("d", 0), ("e", -3)], "k string, last int")
     plan = paging.page_plan(df, F.col("last"), ["k"]).groupBy("k").count()
-    assert {r["k"]: r["count"] for r in plan.collect()} == {"a": 12, "b": 1, "c": 2}
+    assert {r["k"]: r["count"] for r in plan.collect()} == {"a": 12, "b": 1, "c": 2, "d": 1, "e": 1}
     sites = spark.createDataFrame(
         [(s, p) for s in (PRESENCE.site, STATUS.site, AUCTION.site) for p in (1, 3)], "site string, page int"
     )
@@ -189,3 +190,11 @@ def test_table_ready(spark, tmp_path):
     assert not table_ready(spark, empty)
     assert not table_ready(spark, str(tmp_path / "missing"))
     assert table_ready(spark, full)
+
+
+def test_find_id_takes_the_type_of_the_column(spark):
+    listing = spark.createDataFrame([("s", "m123", 17), ("t", "m123", 18)], "site string, item_id string, n bigint")
+    assert find_id(listing, 17).isEmpty()
+    assert find_id(listing, "m123", site="t").first()["n"] == 18
+    assert find_id(listing, "17", "n").first()["site"] == "s"
+    assert find_id(listing, "x", "n").isEmpty()
