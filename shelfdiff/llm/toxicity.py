@@ -20,6 +20,7 @@ document all scores are 0; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import string
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ from shelfdiff.llm.spark_tools import few
 from shelfdiff.session import settle, ship
 
 BITS = 18
-NGRAMS = (3, 4, 5)
+NGRAMS = (4, 5)
 LONGEST = 40  # characters of a word that make n-grams; the word itself counts whole
 MAX_POSITIVE = 1_500
 MAX_UNLABELLED = 12_000
@@ -45,6 +46,8 @@ DECAY = 2e-5
 START = -7.0
 CACHE_WORDS = 300_000
 
+_MASK = (1 << BITS) - 1
+
 
 def words_of(text: str | None) -> set[str]:
     """Distinct words in lower case without punctuation at their ends."""
@@ -56,11 +59,11 @@ def words_of(text: str | None) -> set[str]:
 
 
 def features(word: str) -> list[int]:
-    """Places of a word and its n-grams in the weight table."""
-    mask = (1 << BITS) - 1
-    edged = f"<{word[:LONGEST]}>"
+    """Places of a word and its n-grams (of bytes) in the weight table."""
+    edged = f"<{word[:LONGEST]}>".encode()
     grams = {edged[i : i + n] for n in NGRAMS for i in range(len(edged) - n + 1)}
-    return [zlib.crc32(b"=" + word.encode()) & mask, *(zlib.crc32(g.encode()) & mask for g in grams)]
+    grams.add(b"=" + word.encode())
+    return [crc & _MASK for crc in map(zlib.crc32, grams)]
 
 
 def _softplus(x: np.ndarray) -> np.ndarray:
@@ -174,7 +177,7 @@ class WordLoads(dict):
 
     def __missing__(self, word: str) -> float:
         score = self.bias + sum(map(self.weights.__getitem__, features(word)))
-        value = float(np.logaddexp(0.0, score))
+        value = math.log1p(math.exp(score)) if score < 30 else score
         if len(word) <= LONGEST:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -182,7 +185,7 @@ class WordLoads(dict):
         return value
 
     def score(self, text: str | None) -> float:
-        return -float(np.expm1(-sum(map(self.__getitem__, sorted(words_of(text))))))
+        return -math.expm1(-math.fsum(map(self.__getitem__, words_of(text))))
 
 
 _LOADS: dict[int, WordLoads] = {}
