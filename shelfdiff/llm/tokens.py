@@ -16,6 +16,7 @@ CACHE_CHARACTERS = 64
 # of their own (odd white space, letters and numbers outside the usual ranges, the start of
 # a special token) are cut here as the tokenizer would cut them.
 _UNUSUAL = re.compile(r"[^\x00-\x84\x86-\x9f\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\xff]|<\|")
+_MARKS = (b".", b",", b";", b":", b"!", b"?")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^ \t-\ra-z\xdf-\xf6\xf8-\xff0-9]+")
 
 
@@ -44,7 +45,10 @@ class Encoder(dict):
         self.characters = _byte_characters()
 
     def __missing__(self, part: str) -> bytes:
-        found = self.model.tokenize(part.encode().decode("latin-1").translate(self.characters))
+        # Printable ASCII characters stand for their own bytes.
+        usual = part.isascii() and part.isprintable()
+        plain = part if usual else part.encode().decode("latin-1").translate(self.characters)
+        found = self.model.tokenize(plain)
         ids = struct.pack(f"<{len(found)}I", *[x.id for x in found])
         if len(part) <= CACHE_CHARACTERS:
             if len(self) >= CACHE_PARTS:
@@ -52,6 +56,14 @@ class Encoder(dict):
             self[part] = ids
         return ids
 
+    def word_ids(self, word: bytes) -> bytes:
+        """The ids of one word without white space, in lower case."""
+        if self.known_steps and word.isalpha():
+            return self[word.decode()]
+        if self.known_steps and word[-1:] in _MARKS and word[:-1].isalpha():
+            return self[word[:-1].decode()] + self[word[-1:].decode()]
+        return self.ids(word.decode())
+
     def ids(self, text: str | None) -> bytes:
         """The ids of a text; none of a null text."""
         if not text:
