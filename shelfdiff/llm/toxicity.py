@@ -23,7 +23,8 @@ from __future__ import annotations
 import math
 import string
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -70,24 +71,40 @@ def _softplus(x: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, x)
 
 
-def train(positive: list[list[str]], unlabelled: list[list[str]], prior: float, steps: int = STEPS) -> np.ndarray:
+def _numbered(texts: Iterable[list[str]], vocabulary: dict[str, int]) -> list[np.ndarray]:
+    """The words of each text as numbers; new ones are added."""
+    out = []
+    for words in texts:
+        for w in words:
+            vocabulary.setdefault(w, len(vocabulary))
+        out.append(np.fromiter(map(vocabulary.__getitem__, words), np.int32, len(words)))
+    return out
+
+
+def train(
+    positive: Iterable[list[str]], unlabelled: Iterable[list[str]], prior: float, steps: int = STEPS
+) -> np.ndarray:
     """Weights by the non-negative risk estimator, with Adam; the bias comes last."""
-    texts = [*positive, *unlabelled]
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
-    sizes = np.array([len(t) for t in texts])
-    of_text = np.repeat(np.arange(len(texts)), sizes)
-    word_of = np.fromiter((vocabulary[w] for t in texts for w in t), np.int64, sizes.sum())
-    parts = [features(w) for w in vocabulary]
-    n_parts = np.array([len(p) for p in parts])
-    feature_of = np.fromiter((f for p in parts for f in p), np.int64, n_parts.sum())
-    of_word = np.repeat(np.arange(len(parts)), n_parts)
+    vocabulary: dict[str, int] = {}
+    hits = _numbered(positive, vocabulary)
+    texts = [*hits, *_numbered(unlabelled, vocabulary)]
+    of_text = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+    word_of = np.concatenate(texts)
+    places, ends = array("i"), array("i")
+    for word in vocabulary:
+        places.extend(features(word))
+        ends.append(len(places))
+    feature_of = np.frombuffer(places, np.int32)
+    n_words, n_texts = len(vocabulary), len(texts)
+    of_word = np.repeat(np.arange(n_words, dtype=np.int32), np.diff(ends, prepend=0))
+    n_p, n_u = len(hits), n_texts - len(hits)
+    del vocabulary, texts, hits
     weights = np.zeros((1 << BITS) + 1)
     weights[-1] = START
     first, second = np.zeros_like(weights), np.zeros_like(weights)
-    n_p, n_u = len(positive), len(unlabelled)
     for step in range(1, steps + 1):
-        score = np.bincount(of_word, weights[feature_of], len(parts)) + weights[-1]
-        load = np.bincount(of_text, _softplus(score)[word_of], len(texts)) + 1e-9
+        score = np.bincount(of_word, weights[feature_of], n_words) + weights[-1]
+        load = np.bincount(of_text, _softplus(score)[word_of], n_texts) + 1e-9
         # -log(1 - p) is the load itself, -log p that of its complement.
         p, u = load[:n_p], load[n_p:]
         slope_hit = -1 / np.expm1(np.minimum(p, 50))
@@ -100,7 +117,7 @@ def train(positive: list[list[str]], unlabelled: list[list[str]], prior: float,
             slope_p = np.full(n_p, prior / n_p)
             slope_u = np.full(n_u, -1 / n_u)
         by_text = np.concatenate([slope_p, slope_u])
-        by_word = np.bincount(word_of, by_text[of_text], len(parts)) / (1 + np.exp(-score))
+        by_word = np.bincount(word_of, by_text[of_text], n_words) / (1 + np.exp(-score))
         slope = np.bincount(feature_of, by_word[of_word], 1 << BITS)
         slope = np.append(slope, by_word.sum()) + DECAY * np.append(weights[:-1], 0)
         first += 0.1 * (slope - first)
@@ -155,10 +172,10 @@ def fit(
 
     def learn_bag(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "kind"])
-        kinds = {k: [sorted(words_of(t)) for t in pdf.text[pdf.kind == k]] for k in (1, 0)}
-        if not kinds[1] or not kinds[0]:
+        if pdf.kind.nunique() < 2:
             return pd.DataFrame({"weights": []})
-        return pd.DataFrame({"weights": [train(kinds[1], kinds[0], prior).tobytes()]})
+        sides = [(sorted(words_of(t)) for t in pdf.text[pdf.kind == k]) for k in (1, 0)]
+        return pd.DataFrame({"weights": [train(*sides, prior).tobytes()]})
 
     trained = sample.select("doc_id", "kind", "text", bag.alias("bag"))
     rows = trained.groupBy("bag").applyInPandas(learn_bag, "weights binary").collect()
