@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 
-from shelfdiff.sources import parsers
+from shelfdiff.sources import html, parsers
 
 
 @dataclass(frozen=True)
@@ -95,7 +95,7 @@ AUCTION = Profile(
     },
     update_cols=("price", "full_price", "end_ts", "bid_num"),
     sections={"new": "NEW", "discount": "DISCOUNT", "bid": "BID"},
-    parse=parsers.html_items,
+    parse=html.auction_column,
     fields=parsers.html_fields,
     required=parsers.HTML_REQUIRED,
 )

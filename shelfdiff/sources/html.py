@@ -1,16 +1,18 @@
 """HTML extraction by nesting, for pages that regular expressions cannot cut.
 
-`mapInPandas` over whole pages: each page is parsed in one pass by the standard library's
-tokenizer, in whatever partition Spark put it.
+Each page is parsed in one pass over its tags, in whatever partition Spark put it: as rows by `extract`, or as a column that a profile can parse pages with.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable, Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfdiff.session import ship
 
@@ -22,23 +24,65 @@ PIECE = 5_000
 AUCTION_FIELDS = ("id", "sellerid", "price", "buynowprice", "endtime", "title", "href", "img", "bid")
 
 
-class _Walker(HTMLParser):
-    """Keeps the stack of open elements; a stray end tag closes back to its opener."""
+# Elements whose content is no markup.
+RAW = ("script", "style")
+
+_MARKUP = re.compile(
+    r"""<!--.*?-->|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*>""", re.S
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attribute values by name, the first of equal names, references decoded."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
+
+
+class _Walker:
+    """Keeps the stack of open elements; a stray end tag closes back to its opener.
+
+    Attributes are read of the tags in `reads` (None: of all), text only where `listens`."""
+
+    reads: frozenset[str] | None = frozenset()
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.open: list[str] = []
 
     def entered(self, tag: str, attrs: dict[str, str]) -> None: ...
 
     def left(self, depth: int) -> None: ...
 
-    def handle_starttag(self, tag, attrs):
-        self.entered(tag, {k: v or "" for k, v in reversed(attrs)})
-        if tag not in VOID:
-            self.open.append(tag)
-
-    def handle_endtag(self, tag):
+    def listens(self) -> bool:
+        return False
+
+    def heard(self, text: str) -> None: ...
+
+    def feed(self, page: str) -> None:
+        at = 0
+        while found := _MARKUP.search(page, at):
+            if found.start() > at and self.listens():
+                self.heard(unescape(page[at : found.start()]))
+            at = found.end()
+            if not found[2]:
+                continue
+            tag = found[2].lower()
+            if found[1]:
+                self._end(tag)
+                continue
+            self.entered(tag, _attributes(found[3]) if self.reads is None or tag in self.reads else {})
+            if tag in RAW:
+                close = _RAW_END[tag].search(page, at)
+                at = close.end() if close else len(page)
+            elif tag not in VOID:
+                self.open.append(tag)
+        if at < len(page) and self.listens():
+            self.heard(unescape(page[at:]))
+
+    def _end(self, tag: str) -> None:
         if tag in self.open:
             while self.open:
                 closed = self.open.pop()
@@ -50,6 +94,8 @@ class _Walker(HTMLParser):
 class _Products(_Walker):
     """Product blocks of an auction result page."""
 
+    reads = frozenset(("div", "a", "span"))
+
     def __init__(self) -> None:
         super().__init__()
         self.empty = False
@@ -104,9 +150,11 @@ class _Products(_Walker):
             self.items.append({k: v for k, v in self._block.items() if k[0] != "_"})
         self._block = None
 
-    def handle_data(self, data):
-        if self._block is not None and self._bid >= 0:
-            self._block["bid"] += data
+    def listens(self):
+        return self._block is not None and self._bid >= 0
+
+    def heard(self, text):
+        self._block["bid"] += text
 
     def result(self) -> list[dict]:
         if self._block is not None:
@@ -118,13 +166,27 @@ def auction_items(html: str) -> list[dict]:
     """Raw items of one result page, as `parsers.html_items` gives them."""
     parser = _Products()
     parser.feed(html)
-    parser.close()
     return parser.result()
 
 
+def auction_column(body: Column) -> Column:
+    """`auction_items` as a column, for a profile's `parse`; NULL for a NULL page."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        ship(spark)
+
+    @F.pandas_udf("string")
+    def found(bodies: pd.Series) -> pd.Series:
+        return bodies.map(lambda b: json.dumps(auction_items(b)), na_action="ignore")
+
+    return F.from_json(found(body), "array<map<string,string>>")
+
+
 class _Links(_Walker):
     """Title and links of a page, skipping blocks of one class."""
 
+    reads = None
+
     def __init__(self, skip_class: str | None) -> None:
         super().__init__()
         self.title = ""
@@ -142,16 +204,17 @@ class _Links(_Walker):
         if depth == self._skip:
             self._skip = -1
 
-    def handle_data(self, data):
-        if self.open and self.open[-1] == "title":
-            self.title += data
+    def listens(self):
+        return bool(self.open) and self.open[-1] == "title"
+
+    def heard(self, text):
+        self.title += text
 
 
 def page_links(html: str) -> list[dict]:
     """One record per link of a page, in page order, with the page's title."""
     parser = _Links("ad")
     parser.feed(html)
-    parser.close()
     return [
         {"title": parser.title, "pos": pos, "href": href}
         for pos, href in enumerate(parser.links)

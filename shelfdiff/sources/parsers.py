@@ -142,8 +142,8 @@ def product_blocks(html: Column) -> Column:
 def html_items(body: Column) -> Column:
     """One item per product block; promoted blocks and no-result pages give none.
 
-    `shelfdiff.sources.html` has the extractor that follows real nesting, for pages where
-    blocks that reach up to the next one are not enough.
+    For pages whose blocks follow each other without anything in between. Runs parse with
+    `shelfdiff.sources.html`, which follows real nesting.
     """
     own = F.filter(product_blocks(body), lambda b: ~is_promoted(b))
     # Step by step, so that no regular expression runs twice on the same text.

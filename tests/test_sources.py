@@ -144,6 +144,14 @@ def test_nesting_extractor_ends_blocks_where_they_end():
     assert [i["id"] for i in auction_items(html)] == ["x1", "x2"]
 
 
+def test_a_run_parses_pages_by_nesting(spark):
+    """A promoted marker between two blocks hides neither of them."""
+    between = block(1) + '<div class="Product__featured">elsewhere</div>' + block(2)
+    observations, quarantine = project(payload(spark, AUCTION.site, [("k", 1, 200, between), ("l", 1, 200, None)]), AUCTION)
+    assert {r["item_id"] for r in observations.collect()} == {"x1", "x2"}
+    assert [(r["keyword"], r["reason"]) for r in quarantine.collect()] == [("l", "page")]
+
+
 def test_page_plan_and_params(spark):
     df = spark.createDataFrame([("a", 37), ("b", None), ("c", 2), ("d", 0), ("e", -3)], "k string, last int")
     plan = paging.page_plan(df, F.col("last"), ["k"]).groupBy("k").count()
