@@ -97,7 +97,7 @@ def end_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("event_type") == "click", "soon").otherwise(epoch)
     read = tm.end_time(text)
     return fx.events(spark, sf_dir).select(
-        "event_id", F.round(F.unix_micros(read) / 1000).cast("bigint").cast("string").alias("end_ms")
+        "event_id", F.unix_micros(read).cast("string").alias("end_us")
     )
 
 
@@ -241,7 +241,7 @@ ORACLES = {
       strftime(ts + interval 9 hour, '%Y-%m-%d %H:%M:%S') || '+09:00' as tokyo,
       strftime(ts - interval 210 minute, '%Y-%m-%d %H:%M:%S') || {_OFFSET} as st_johns from events""",
     "end_time": """select event_id, case when event_type <> 'click'
-      then cast(cast(round(epoch_us(ts) / 1000.0) as bigint) as varchar) end as end_ms from events""",
+      then cast(epoch_us(ts) as varchar) end as end_us from events""",
     "ended": "with " + fx.views(fine=True) + "," + fx.RUN_SQL + ", state as (" + fx.state_sql(fx.C)
     + ") select item_id, " + fx.time_text("end_ts")
     + ", price from state where end_ts <= (select run_ts from run)",

@@ -15,6 +15,9 @@ from shelfdiff.streaming.items import ROCKSDB, SIGHTING, stream_changes
 from shelfdiff.streaming.runs import ARRIVAL, stream_runs
 
 A, B, C = fx.A, fx.B, fx.C
+PRESENCE_COLUMNS = [
+    "site", "run_ts", "kind", "item_id", "title", "item_url", "image_url", "old_price", "new_price"
+]
 
 
 def committed_runs(spark: SparkSession, sf_dir: str) -> Store:
@@ -34,6 +37,12 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.plain(committed_runs(spark, sf_dir).run_log().select(*RUN_LOG.names))
 
 
+def change_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes that the same commits keep, as far as this kind of site has them: bids
+    and closing times are none of its columns, and a merge leaves them as first stored."""
+    return fx.plain(committed_runs(spark, sf_dir).changes()).select(*PRESENCE_COLUMNS)
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status and auction changes, with the stream stopped and resumed halfway."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
@@ -61,9 +70,10 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.plain(spark.read.schema(CHANGES).parquet(out))
 
 
-QUERIES = {"stream_runs": runs, "stream_changes": items}
+QUERIES = {"stream_runs": runs, "changes_table": change_table, "stream_changes": items}
 
 ORACLES = {
     "stream_runs": f"select * from ({REPLAY['run_log']}) where site = '{A}'",
+    "changes_table": f"select {', '.join(PRESENCE_COLUMNS)} from ({REPLAY['changes_all']}) where site = '{A}'",
     "stream_changes": f"select * from ({REPLAY['changes_all']}) where site <> '{A}'",
 }
