@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import tokens
+from shelfdiff.llm import tokens, words
 from shelfdiff.session import scratch_path, settle, ship
 
 MAGIC = b"DACIDS01"
@@ -212,6 +212,7 @@ def write_ids(
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
+        words.keep_only("tokens")
         encoder = tokens.encoder(path)
         end = np.array([END_ID], "<u4").tobytes()
         names: list[int] = []

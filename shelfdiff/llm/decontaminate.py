@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from shelfdiff.llm.words import WordHashes, windows, word_hashes
+from shelfdiff.llm.words import WordHashes, keep_only, register, windows, word_hashes
 from shelfdiff.session import ship
 
 PROBE = 4
@@ -49,6 +49,7 @@ def _bare(word: bytes) -> bytes:
 
 
 NORMAL = WordHashes(_bare)
+register("decontaminate", NORMAL.clear)
 _EMPTY = np.uint64(WordHashes()[b""])
 
 
@@ -208,6 +209,7 @@ def find_matches(
         block = spark.sparkContext.broadcast(compiled)
 
         def match(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            keep_only("decontaminate")
             for batch in batches:
                 rows = [
                     (i, *found)
@@ -244,6 +246,7 @@ def remove_contaminated(
         block = spark.sparkContext.broadcast(compiled)
 
         def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            keep_only("decontaminate")
             for batch in batches:
                 keep = [not block.value.matches(t.as_py()) for t in batch[text]]
                 yield batch.filter(pa.array(keep, pa.bool_()))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import tokens
+from shelfdiff.llm import tokens, words
 from shelfdiff.session import settle, ship
 
 CAPACITY = 4096
@@ -51,6 +51,7 @@ def cut_documents(
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.keep_only("tokens")
         encoder = tokens.encoder(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:

@@ -9,6 +9,8 @@ import struct
 
 import numpy as np
 
+from shelfdiff.llm import words
+
 CACHE_PARTS = 500_000
 CACHE_CHARACTERS = 64
 
@@ -99,6 +101,7 @@ def _known_steps(path: str) -> bool:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+words.register("tokens", lambda: [e.clear() for e in _ENCODERS.values()])
 
 
 def encoder(path: str) -> Encoder:

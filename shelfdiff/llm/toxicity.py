@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfdiff.llm.spark_tools import few
+from shelfdiff.llm.words import keep_only, register
 from shelfdiff.session import settle, ship
 
 BITS = 18
@@ -171,6 +172,7 @@ def fit(
     bag = F.explode(F.when(F.col("kind") == 1, every).otherwise(own))
 
     def learn_bag(pdf: pd.DataFrame) -> pd.DataFrame:
+        keep_only()
         pdf = pdf.sort_values(["doc_id", "kind"])
         if pdf.kind.nunique() < 2:
             return pd.DataFrame({"weights": []})
@@ -206,6 +208,7 @@ class WordLoads(dict):
 
 
 _LOADS: dict[int, WordLoads] = {}
+register("toxicity", _LOADS.clear)
 
 
 def _loads(shared) -> WordLoads:
@@ -226,6 +229,7 @@ def scored(docs: DataFrame, weights: np.ndarray, doc_id: str = "doc_id", text: s
     shared = _share(docs.sparkSession, weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("toxicity")
         loads = _loads(shared)
         for batch in batches:
             found = [loads.score(t.as_py()) for t in batch["text"]]
@@ -242,6 +246,7 @@ def remove_toxic(
     shared = _share(docs.sparkSession, weights)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only("toxicity")
         loads = _loads(shared)
         for batch in batches:
             keep = [loads.score(t.as_py()) < limit for t in batch[text]]

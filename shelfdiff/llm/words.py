@@ -6,6 +6,8 @@ their worker process and start anew when they are full.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 
@@ -19,6 +21,22 @@ SHINGLE = 5
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+# How to empty each kind of cache, by the name of its owner.
+_CLEAR: dict[str, Callable[[], object]] = {}
+
+
+def register(owner: str, clear: Callable[[], object]) -> None:
+    _CLEAR[owner] = clear
+
+
+def keep_only(*owners: str) -> None:
+    """Empties the caches that tasks of other operators left in this worker process, so
+    that it holds those of one operator at a time."""
+    for owner, clear in _CLEAR.items():
+        if owner not in owners:
+            clear()
+
+
 class WordHashes(dict):
     """Word (bytes) to 64-bit hash; `normal` maps a word to what is hashed."""
 
@@ -36,6 +54,7 @@ class WordHashes(dict):
 
 
 PLAIN = WordHashes()
+register("words", PLAIN.clear)
 
 
 def lower_words(text: str | None) -> list[bytes]:
