@@ -29,6 +29,8 @@ class RunResult:
     changes: DataFrame
     summary: DataFrame
     quarantine: DataFrame | None = None
+    # how many items the exclusion rules removed, one row (hits)
+    removed: DataFrame | None = None
 
     def digest(self, profile: Profile) -> DataFrame:
         return digest(self.changes, self.summary, [profile])
@@ -113,14 +115,15 @@ def _finish(opened: _Opened, store: Store, rules: DataFrame | None, commit: bool
         changes = store.changes_of(run.site, run.run_ts)
         return RunResult(run, changes, _logged(store, run.site, run.run_ts), quarantine)
     snapshot = dedup_first(observations_of(pages, profile))
+    removed = None
     if rules is not None:
-        snapshot, _ = apply_rules(snapshot, rules, profile.site)
+        snapshot, removed = apply_rules(snapshot, rules, profile.site)
     snapshot = snapshot.select(*OBSERVATION.names)
     if commit:
         store.write_snapshot(snapshot, [(run.site, run.run_ts)])
         snapshot = store.snapshot(run.site, run.run_ts)
     result = run_snapshot(store, snapshot, profile, run, opened.page, opened.count, commit)
-    return replace(result, quarantine=quarantine)
+    return replace(result, quarantine=quarantine, removed=removed)
 
 
 def run_site(

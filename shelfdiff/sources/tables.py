@@ -5,6 +5,7 @@ Layout below one root folder:
     listing/<site>/<run>      one complete version of a site's listing per committed run
     snapshots/site=/run_ts=   de-duplicated snapshots, overwritten per run
     changes/site=/run_ts=     the changes that each commit found, kept when versions expire
+    rules                     exclusion rules, replaced as a whole
     run_log                   append-only; the row of a run is written last
     layout                    the number of buckets of the first two
 
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfdiff.functions.times import as_utc, from_micros, micros
-from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RUN_LOG
+from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RULES, RUN_LOG
+from shelfdiff.session import settle
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -205,6 +207,18 @@ class Store:
         logged = self.run_log().select(*RUN_KEYS).distinct()
         return found.join(logged, list(RUN_KEYS), "left_semi")
 
+    # Exclusion rules.
+
+    def rules(self) -> DataFrame:
+        return _read(self.spark, f"{self.root}/rules", RULES)
+
+    def save_rules(self, rules: DataFrame) -> DataFrame:
+        """Replace the stored rules and return them. The new table may be made of the old
+        one: it is worked out before that goes."""
+        fixed = settle(rules.select(*RULES.names), "rules")
+        fixed.write.mode("overwrite").parquet(f"{self.root}/rules")
+        return self.rules()
+
     # Listing versions.
 
     def listing(self, site: str, newest: datetime | None = None) -> DataFrame:

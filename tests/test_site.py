@@ -8,7 +8,7 @@ from data import START
 from pyspark.sql import functions as F
 from test_sources import ITEM, HTML, callback
 
-from shelfdiff import AUCTION, PRESENCE, STATUS, run_all, run_site
+from shelfdiff import AUCTION, PRESENCE, STATUS, remove_rule, run_all, run_site
 from shelfdiff.schema import PAYLOAD, RULES
 from shelfdiff.sources.tables import Store
 
@@ -132,7 +132,10 @@ def test_a_run_without_pages_is_refused(spark, tmp_path):
 
 def test_rules_come_before_the_diff(spark, tmp_path):
     df, store = payload(spark, DAYS), Store(spark, str(tmp_path))
-    rules = spark.createDataFrame([(1, STATUS.site, "price < 45")], RULES)
+    store.save_rules(spark.createDataFrame([(1, STATUS.site, "price < 45"), (2, STATUS.site, "price < 0")], RULES))
+    rules = store.save_rules(remove_rule(store.rules(), 2))
+    assert [r["rule_id"] for r in rules.collect()] == [1]
     run_site(df, store, STATUS, START, rules, commit=True)
     result = run_site(df, store, STATUS, START + DAY, rules)
     assert [(r["kind"], r["item_id"]) for r in result.changes.collect()] == [("sold", "m2")]
+    assert result.removed.first()["hits"] == 2
