@@ -7,6 +7,7 @@ Layout below one root folder:
     changes/site=/run_ts=     the changes that each commit found, kept when versions expire
     rules                     exclusion rules, replaced as a whole
     run_log                   append-only; the row of a run is written last
+    skipped                   announced runs that came too late or from unknown sites
     layout                    the number of buckets of the first two
 
 A version without a log row is an unfinished commit and is never read, so losing the
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfdiff.functions.times import as_utc, from_micros, micros
-from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RULES, RUN_LOG
+from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RULES, RUN_LOG, table_schema
 from shelfdiff.session import settle
 
 
@@ -109,6 +110,14 @@ class Store:
         columns = [F.col(f.name).cast(f.dataType) for f in RUN_LOG]
         row.select(*columns).coalesce(1).write.mode("append").parquet(self.run_log_path)
 
+    def skipped(self) -> DataFrame:
+        """Announced runs that were not committed, and why."""
+        return _read(self.spark, f"{self.root}/skipped", SKIPPED).distinct()
+
+    def append_skipped(self, site: str, run_ts: datetime, reason: str) -> None:
+        row = self.spark.createDataFrame([(site, run_ts, reason)], SKIPPED)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/skipped")
+
     # Snapshots.
 
     def write_snapshot(
@@ -279,6 +288,7 @@ class Store:
 
 VERSION = T.StructType([*LISTING, T.StructField("found", T.ArrayType(CHANGES))])
 RUN_KEYS = ("site", "run_ts")
+SKIPPED = table_schema("site string, run_ts timestamp, reason string")
 
 
 def _bucketed_ddl(

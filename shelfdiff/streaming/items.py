@@ -17,6 +17,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from shelfdiff.operators.emit import emit_changes
 from shelfdiff.profiles import Profile
 from shelfdiff.schema import MEASURES, OBSERVATION, TEXT_COLUMNS
+from shelfdiff.session import ship
 
 ITEM = ("site", "item_id")
 
@@ -46,10 +47,14 @@ BESIDE = T.StructType([*_as_micros(SIGHTING), *STATE])
 
 
 class PreviousSighting(StatefulProcessor):
-    """Emit each sighting with the item's stored values, then store it."""
+    """Emit each sighting with the item's stored values, then store it. With `ttl_ms`, an
+    item that long unseen is forgotten, and new when it comes back."""
+
+    def __init__(self, ttl_ms: int | None = None) -> None:
+        self._ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", STATE)
+        self._last = handle.getValueState("last", STATE, self._ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         # At most one row per run of the batch: runs are de-duplicated.
@@ -69,22 +74,26 @@ class PreviousSighting(StatefulProcessor):
     def close(self) -> None: ...
 
 
-def stream_changes(sightings: DataFrame, profiles: Iterable[Profile]) -> DataFrame:
+def stream_changes(
+    sightings: DataFrame, profiles: Iterable[Profile], ttl_ms: int | None = None
+) -> DataFrame:
     """Changes of de-duplicated sightings (`SIGHTING` columns), as a streaming DataFrame.
+    `ttl_ms` bounds the state to items seen within that processing time.
 
     Needs the RocksDB state store:
     spark.sql.streaming.stateStore.providerClass =
     org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider
     """
+    ship(sightings.sparkSession)
     beside = (
         sightings.select(*SIGHTING.names)
         .withColumns({c: F.unix_micros(c) for c in TIMES})
         .groupBy(*ITEM)
         .transformWithState(
-            statefulProcessor=PreviousSighting(),
+            statefulProcessor=PreviousSighting(ttl_ms),
             outputStructType=BESIDE,
             outputMode="Append",
-            timeMode="None",
+            timeMode="None" if ttl_ms is None else "ProcessingTime",
         )
         .withColumns({c: F.timestamp_micros(c) for c in (*TIMES, "p_ts")})
     )

@@ -24,17 +24,22 @@ def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Pr
     against the state the one before it left; the items of a run stay distributed.
 
     A run that is no newer than the log is skipped: a late one would rewrite the past, and
-    a batch that is retried after a failure must not commit a run twice. A run that was
+    a batch that is retried after a failure must not commit a run twice. Late runs, and
+    those of unknown sites, are written to the store's table of skipped runs. A run that was
     announced with items but whose snapshot is not there stops the stream: taken as empty,
     it would report all items as sold.
     """
     ordered = arrivals.withColumn("run_us", micros(F.col("run_ts"))).orderBy("run_us", "site")
     for row in ordered.toLocalIterator():
-        profile = profiles.get(row["site"])
+        profile, run_ts = profiles.get(row["site"]), from_micros(row["run_us"])
         if profile is None:
+            store.append_skipped(row["site"], run_ts, "unknown site")
             continue
-        run = open_run(store.run_log(), row["site"], from_micros(row["run_us"]), row["error"])
+        run = open_run(store.run_log(), row["site"], run_ts, row["error"])
         if run.late:
+            own = (F.col("site") == run.site) & (F.col("run_ts") == F.lit(run.run_ts))
+            if store.run_log().filter(own).isEmpty():
+                store.append_skipped(run.site, run.run_ts, "late")
             continue
         if row["count"] and not store.landed(run.site, run.run_ts):
             raise ValueError(

@@ -184,6 +184,14 @@ def test_late_and_repeated_arrivals_change_nothing(spark, tmp_path):
     once = (sorted(map(repr, store.run_log().collect())), store.listing(profile.site).count())
     commit_arrivals(arrivals, store, {profile.site: profile})
     assert (sorted(map(repr, store.run_log().collect())), store.listing(profile.site).count()) == once
+    assert store.skipped().isEmpty()
+    early = arrivals.limit(1).withColumn("run_ts", F.lit(START - timedelta(days=9)))
+    other = arrivals.limit(1).withColumn("site", F.lit("nowhere"))
+    commit_arrivals(early.union(other), store, {profile.site: profile})
+    assert sorted((r["site"], r["reason"]) for r in store.skipped().collect()) == sorted(
+        [(profile.site, "late"), ("nowhere", "unknown site")]
+    )
+    assert store.run_log().count() == len(errors)
 
 
 def test_an_unlogged_version_is_not_read(spark, tmp_path):
