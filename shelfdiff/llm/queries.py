@@ -34,8 +34,10 @@ def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph that repeats an earlier one, and where that one stands."""
-    return paragraphs.find_repeats(_table(spark, sf_dir, "documents"))
+    """Every paragraph that repeats an earlier one, and where that one stands; with word and
+    kept_word, every passage that does, whatever lines it stands in."""
+    docs = _table(spark, sf_dir, "documents")
+    return paragraphs.find_repeats(docs).unionByName(paragraphs.find_passages(docs), allowMissingColumns=True)
 
 
 def op4_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
