@@ -5,7 +5,8 @@ counting against them. A container is named by its generalised path: the tags fr
 root, each with its classes, digits replaced. Scores are added up by host and path in
 Spark; the best path of a host wins. Then every page is read again and the elements at
 its host's path give the text, without what lies in menus, headers, footers, forms,
-adverts and the like inside them. A page that has no such element falls back on its own
+adverts and the like inside them. What is such only by its class or id is kept where the
+article lies in it. A page that has no such element falls back on its own
 best container.
 
 Defined cases: null or empty html gives an empty text; a url without a host, or null,
@@ -67,6 +68,20 @@ ASIDE_WORDS = frozenset(
     hidden""".split()
 )
 HEADER_WORDS = frozenset(["header"])
+# What such a word follows in a class name is said of something else: has-sidebar.
+MODIFIERS = frozenset("has have with no not without".split())
+# Words that may also name a section of an article, which then has running text.
+TOPIC_WORDS = frozenset("related social legal notice notices alert copyright disclaimer share sharing reply replies".split())
+SECTION_CHARS = 100
+# Of the running text, so much lies outside of what is aside by name.
+OUTSIDE = 0.05
+
+# Raw text elsewhere, but text of an article inside one; and elements within
+# lines of formulas and drawings.
+ARTICLE_TEXT = frozenset("math svg object noscript".split())
+PHRASING = INLINE | frozenset(
+    "math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder semantics annotation text tspan".split()
+)
 
 DEEPEST = 64
 
@@ -86,6 +101,7 @@ class Element:
     aside: bool
     in_article: bool
     in_link: bool = False
+    named: str = ""
     depth: int = 0
     text: int = 0
     linked: int = 0
@@ -109,13 +125,79 @@ def _marks_aside(tag: str, attributes: dict[str, str], in_article: bool) -> bool
         return True
     if "hidden" in attributes or _HIDDEN.search(attributes.get("style", "")):
         return True
-    if tag in ("body", "html", "main", "article") and not attributes.get("class", "").strip():
-        return False
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    found = {w.lower() for w in _WORDS.findall(names)} & ASIDE_WORDS
-    if tag in ("body", "html", "main"):
-        return False
-    return bool(found - HEADER_WORDS if in_article else found)
+    return False
+
+
+def _named(tag: str, attributes: dict[str, str], in_article: bool) -> str:
+    """Whether class names and id speak of what is not the article: "aside", "topic" if
+    they may also name a section of one, or nothing."""
+    if not attributes or tag in ("body", "html", "main"):
+        return ""
+    if tag == "article" and not attributes.get("class", "").strip():
+        return ""
+    found = set()
+    for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
+        for word in map(str.lower, _WORDS.findall(name)):
+            if word in MODIFIERS:
+                break
+            found.add(word)
+    found &= ASIDE_WORDS
+    if in_article:
+        found -= HEADER_WORDS
+    if not found:
+        return ""
+    return "topic" if in_article and found <= TOPIC_WORDS else "aside"
+
+
+def _settle_named(page: Page) -> None:
+    """Elements are aside by name unless the article lies in them: an article or main that
+    has more running text than all of the page outside of named elements, or, where next
+    to nothing is outside, the most of the page's text."""
+    elements = page.elements
+    if not any(e.named for e in elements):
+        return
+    n = len(elements)
+    own, linked = [0] * n, [0] * n
+    for run in page.runs:
+        if run is not None and not elements[run[0]].aside:
+            size = len(run[1].strip())
+            if elements[run[0]].in_link:
+                linked[run[0]] += size
+            else:
+                own[run[0]] += size
+    held = own[:]
+    for i in range(n - 1, 0, -1):
+        held[elements[i].parent] += held[i]
+        linked[elements[i].parent] += linked[i]
+    for i, e in enumerate(elements):
+        if e.named == "topic" and held[i] >= SECTION_CHARS and held[i] > linked[i]:
+            e.named = ""
+    outer = _outermost(elements)
+    while any(outer):
+        outside = sum(size for size, top in zip(own, outer, strict=True) if not top)
+        articles = [i for i, e in enumerate(elements) if e.tag in ("article", "main") and held[i] and not e.aside]
+        if any(not outer[i] for i in articles):
+            break
+        articles = [i for i in articles if not elements[i].named and held[i] > outside]
+        if articles:
+            found = max(articles, key=lambda i: held[i])
+        else:
+            found = max((i for i in range(1, n) if outer[i] == i), key=lambda i: held[i])
+            if not held[found] or outside >= OUTSIDE * held[0]:
+                break
+        elements[outer[found]].named = ""
+        outer = _outermost(elements)
+    for e, top in zip(elements, outer, strict=True):
+        e.aside = e.aside or top > 0
+
+
+def _outermost(elements: list[Element]) -> list[int]:
+    """Of each element the outermost named one that holds it, or that it is; else 0."""
+    out = [0] * len(elements)
+    for i, e in enumerate(elements):
+        if e.parent >= 0:
+            out[i] = out[e.parent] or (i if e.named else 0)
+    return out
 
 
 def _label(tag: str, attributes: dict[str, str]) -> str:
@@ -144,7 +226,7 @@ def parse(source: str) -> Page:
         if not found[2]:
             continue
         tag = found[2].lower()
-        if tag not in INLINE:
+        if tag not in PHRASING:
             runs.append(None)
         elif tag == "br":
             runs.append((stack[-1], " "))
@@ -154,7 +236,7 @@ def parse(source: str) -> Page:
         attributes = {}
         if found[3].strip(" /\n\t\r"):
             attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(found[3])}
-        if tag in RAW:
+        if tag in RAW and not (tag in ARTICLE_TEXT and elements[stack[-1]].in_article):
             close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
             at = close.end() if close else size
             continue
@@ -170,8 +252,9 @@ def parse(source: str) -> Page:
         in_link = above.in_link or tag == "a"
         # Beyond some depth elements share their parent's path: paths stay short.
         path = f"{above.path}>{_label(tag, attributes)}" if above.depth < DEEPEST else above.path
-        elements.append(Element(tag, path, stack[-1], aside, in_article, in_link, above.depth + 1))
+        elements.append(Element(tag, path, stack[-1], aside, in_article, in_link, _named(tag, attributes, in_article), above.depth + 1))
         stack.append(len(elements) - 1)
+    _settle_named(page)
     return page
 
 

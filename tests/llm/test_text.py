@@ -204,3 +204,34 @@ def test_broken_and_deep_markup():
     for source in ("", "<", "</", "<p", "<!-- ", "<script>", "x<b>y</p></b>", "<div>" * 5000 + "x"):
         html_paths.extract(html_paths.parse(source), None)
     assert html_paths.extract(html_paths.parse("<div>" * 5000 + "x"), None) == "x"
+
+
+@pytest.mark.parametrize(
+    "opened, closed",
+    [
+        ('<div class="layout has-sidebar"><article>', "</article></div>"),
+        ('<div class="no-comments">', "</div>"),
+        ('<article class="post with-sidebar">', "</article>"),
+        ('<div id="content-widget">', "</div>"),
+        ('<div class="widget"><div class="overlay"><article>', "</article></div></div>"),
+        ('<article><section class="related-work">', "</section></article>"),
+        ('<article><div class="social">', "</div></article>"),
+        ('<main><section class="legal">', "</section></main>"),
+    ],
+)
+def test_wrappers_and_sections_named_like_asides(opened, closed):
+    long = "One line of the article that says something. " * 5
+    aside = '<div class="sidebar"><p>no</p></div><div class="comments"><article class="comment"><p>no no</p></article></div>'
+    page = f"<body>{opened}<p>{long}</p><div class='ad'>no</div><div class='share'><a href=x>no</a></div>{closed}{aside}</body>"
+    assert html_paths.extract(html_paths.parse(page), None) == long.strip()
+
+
+def test_comments_with_articles_stay_aside():
+    page = "<div class=post><p>{}</p></div><div class=comments><article><p>no no</p></article></div>".format("yes " * 9)
+    assert html_paths.extract(html_paths.parse(page), None) == ("yes " * 9).strip()
+
+
+def test_formulas_and_fallbacks_of_an_article():
+    inner = "<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p><noscript><p>Plain.</p></noscript><object><p>Table.</p></object>"
+    page = f"<noscript>no</noscript><article>{inner}<svg><title>no</title><path d=x /><text>Axis</text></svg></article>"
+    assert html_paths.extract(html_paths.parse(page), None) == "So x=1 holds.\nPlain.\nTable.\nAxis"
