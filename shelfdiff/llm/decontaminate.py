@@ -9,9 +9,12 @@ Words are compared in lower case and without punctuation at their ends. The budg
 lowered where pieces would be shorter than a probe. Items go to the tasks in blocks of a
 bounded number of words; every block meets every document, and nothing is shuffled.
 
-Defined cases: null or empty texts match nothing; items of fewer than `min_words` words
-are no evidence and match nothing; equal items each report their matches; repeated
-documents each report theirs; empty tables give empty results.
+Items of fewer than `min_words` words match only where all of their words stand unchanged:
+the whole item is its probe.
+
+Defined cases: null or empty texts match nothing, nor do items without a word; equal items
+each report their matches; repeated documents each report theirs; empty tables give empty
+results.
 """
 
 from __future__ import annotations
@@ -33,8 +36,9 @@ PROBE = 4
 RATE = 0.2
 MIN_WORDS = 8
 
-# Items of one block: with items of usual length some MB of hashes.
+# Items of one block, and their words on average: some MB of hashes.
 BLOCK_ITEMS = 20_000
+ITEM_WORDS = 50
 
 # The first filter of probes, in bits of their hash.
 FILTER_BITS = 20
@@ -107,46 +111,35 @@ class Item:
 
 
 class Block:
-    """Compiled items: probe hashes in order, and of which item and place each is."""
+    """Compiled items and their probes, by length."""
 
     def __init__(self, rows: list[Row], rate: float, probe: int, min_words: int):
-        self.probe = probe
         self.items: list[Item] = []
-        found: list[tuple[int, int, int]] = []
+        found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         for row in rows:
             hashes = normal_hashes(row.text)
             m = len(hashes)
+            if not m:
+                continue
             if m < max(min_words, probe):
+                found[m].append((int(windows(hashes, m)[0]), len(self.items), 0))
+                self.items.append(Item(row.item_id, hashes.tolist(), 0))
                 continue
             budget = min(int(rate * m), m // probe - 1)
             grams = windows(hashes, probe)
             for j in range(budget + 1):
                 start = j * m // (budget + 1)
-                found.append((int(grams[start]), len(self.items), start))
+                found[probe].append((int(grams[start]), len(self.items), start))
             self.items.append(Item(row.item_id, hashes.tolist(), budget))
-        found.sort()
-        self.probes = np.array([x[0] for x in found], np.uint64)
-        self.places = [x[1:] for x in found]
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[self.probes & np.uint64((1 << FILTER_BITS) - 1)] = True
-
-    def hits(self, grams: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(item, place where it would start) for every probe found."""
-        at = np.flatnonzero(self.filter[grams & np.uint64((1 << FILTER_BITS) - 1)])
-        if not len(at):
-            return
-        first = np.searchsorted(self.probes, grams[at], "left")
-        last = np.searchsorted(self.probes, grams[at], "right")
-        for i, lo, hi in zip(at[last > first], first[last > first], last[last > first], strict=True):
-            for item, start in self.places[lo:hi]:
-                yield item, int(i) - start
+        self.probes = {size: Probes(rows) for size, rows in found.items()}
 
     def matches(self, text: str | None) -> list[tuple[int, int, int, int, int, int]]:
         """(item_id, distance, budget, item words, start, end) of every item in a text."""
         hashes = normal_hashes(text)
         starts: dict[int, set[int]] = defaultdict(set)
-        for item, start in self.hits(windows(hashes, self.probe)):
-            starts[item].add(start)
+        for size, probes in self.probes.items():
+            for item, start in probes.hits(windows(hashes, size)):
+                starts[item].add(start)
         out = []
         for number, found in starts.items():
             item = self.items[number]
@@ -159,11 +152,35 @@ class Block:
                     back = words[max(0, end - m - k) : end][::-1]
                     _, size = ends(item.backward, m, back, k)
                     best = (distance, lo + end - size, lo + end)
+                    if not distance:
+                        break
             if best[0] <= k:
                 out.append((item.item_id, best[0], k, m, best[1], best[2]))
         return sorted(out, key=lambda x: (x[0] is not None, x[0] or 0))
 
 
+class Probes:
+    """Hashes of probes of one length, in order, and of which item and place each is."""
+
+    def __init__(self, found: list[tuple[int, int, int]]):
+        found.sort()
+        self.probes = np.array([x[0] for x in found], np.uint64)
+        self.places = [x[1:] for x in found]
+        self.filter = np.zeros(1 << FILTER_BITS, bool)
+        self.filter[self.probes & np.uint64((1 << FILTER_BITS) - 1)] = True
+
+    def hits(self, grams: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, place where it would start) for every probe found."""
+        at = np.flatnonzero(self.filter[grams & np.uint64((1 << FILTER_BITS) - 1)])
+        if not len(at):
+            return
+        first = np.searchsorted(self.probes, grams[at], "left")
+        last = np.searchsorted(self.probes, grams[at], "right")
+        for i, lo, hi in zip(at[last > first], first[last > first], last[last > first], strict=True):
+            for item, start in self.places[lo:hi]:
+                yield item, int(i) - start
+
+
 def _joined(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
     """Ascending spans cut to 0..size, overlapping ones joined."""
     out: list[tuple[int, int]] = []
@@ -179,7 +196,9 @@ def _joined(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
 def _blocks(bench: DataFrame, item_id: str, text: str, size: int, **rules) -> Iterator[Block]:
     items = bench.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
     items = items.filter("text is not null").distinct()
-    n = -(-items.count() // size)
+    words = F.sum(F.size(F.split(F.trim("text"), r"\s+")))
+    total = items.agg(F.count(F.lit(1)).alias("items"), F.coalesce(words, F.lit(0)).alias("words")).first()
+    n = max(-(-total["items"] // size), -(-total["words"] // (size * ITEM_WORDS)))
     for block in range(n):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block)
         yield Block(part.collect(), **rules)

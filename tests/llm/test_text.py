@@ -235,3 +235,21 @@ def test_formulas_and_fallbacks_of_an_article():
     inner = "<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p><noscript><p>Plain.</p></noscript><object><p>Table.</p></object>"
     page = f"<noscript>no</noscript><article>{inner}<svg><title>no</title><path d=x /><text>Axis</text></svg></article>"
     assert html_paths.extract(html_paths.parse(page), None) == "So x=1 holds.\nPlain.\nTable.\nAxis"
+
+
+def test_short_items_match_exactly(spark):
+    items = [(1, "What is it?"), (2, "one two three four five six seven"), (3, "what"), (4, "-- ?"), (5, " ")]
+    data = [(1, "So, WHAT is it"), (2, "what is, that it"), (3, "zero one two three four five six seven"), (4, "one two three four six seven"), (5, "?")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {(x.doc_id, x.item_id, x.distance, x.start_word, x.end_word) for x in decontaminate.find_matches(docs, table).collect()}
+    assert got == {(1, 1, 0, 1, 4), (1, 3, 0, 1, 2), (2, 3, 0, 0, 1), (3, 2, 0, 1, 8)}
+    assert {x.doc_id for x in decontaminate.remove_contaminated(docs, table).collect()} == {4, 5}
+
+
+def test_blocks_are_bounded_by_their_words(spark):
+    long = " ".join(f"w{k}" for k in range(decontaminate.ITEM_WORDS * 3))
+    table = spark.createDataFrame([(i, f"x{i} {long}") for i in range(8)], "item_id long, text string")
+    rules = {"rate": 0.2, "probe": 4, "min_words": 8}
+    blocks = list(decontaminate._blocks(table, "item_id", "text", 8, **rules))
+    assert len(blocks) > 2 and sum(len(b.items) for b in blocks) == 8
