@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfdiff.llm import (
+    alignment,
     attention_lm,
+    chunk_reuse,
     dac,
     decontaminate,
     forest,
+    hard_negatives,
     html_paths,
     line_spread,
     packing,
@@ -101,6 +104,22 @@ def op10_quality_fences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
+def op12_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_reuse.encode_documents(_table(spark, sf_dir, "documents"))
+
+
+def op13_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row is mislabelled on purpose."""
+    wrong = (F.col("label") + 1) % 10
+    label = F.when(F.col("vec_id") % 7 == 0, wrong).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine(rows, anchor=F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES = {
     "op1_edit_pieces": op1_edit_pieces,
     "op2_lsh_forest": op2_lsh_forest,
@@ -112,6 +131,9 @@ QUERIES = {
     "op8_positive_unlabelled": op8_positive_unlabelled,
     "op9_line_spread": op9_line_spread,
     "op10_quality_fences": op10_quality_fences,
+    "op11_alignment": op11_alignment,
+    "op12_chunk_reuse": op12_chunk_reuse,
+    "op13_slot_negatives": op13_slot_negatives,
 }
 
 _LINES = """split as (select doc_id, source, text, string_split(text, chr(10)) as parts from documents),
@@ -131,4 +153,19 @@ ORACLES = {
   select d.doc_id, case when text is null then null else coalesce(kept, '') end as text,
       coalesce(len(string_split(text, chr(10))) - coalesce(n, 0), 0) as n_removed
   from documents d left join kept using (doc_id)""",
+    "op13_slot_negatives": """with clean as (select vec_id as id, label, embedding from embeddings
+      where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  r as (select id, case when id % 7 = 0 then (label + 1) % 10 else label end as label,
+      list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from clean),
+  pair as (select a.id as anchor_id, b.id as other_id, a.label = b.label as same,
+      cast(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) as bigint) as score
+      from r a join r b on a.id <> b.id where a.id % 50 = 0),
+  pos as (select anchor_id, other_id as positive_id, score as positive_score from pair where same
+      qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+  select anchor_id, positive_id, cast(row_number() over w as int) as rank, other_id as negative_id,
+      positive_score, score as negative_score
+  from pos join pair using (anchor_id)
+  where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+  window w as (partition by anchor_id, positive_id order by score desc, other_id)
+  qualify row_number() over w <= 3""",
 }

@@ -52,7 +52,7 @@ def test_run_equals_the_stages(spark):
 
 def test_one_query_per_operator():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(names) == sorted(f"op{i}" for i in range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
