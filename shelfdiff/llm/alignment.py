@@ -37,16 +37,17 @@ from pyspark.sql import functions as F
 from shelfdiff.llm import words
 from shelfdiff.session import settle, ship
 
-CACHE_UNITS = 250_000
+CACHE_UNITS = 400_000
 CHUNK_CHARACTERS = 1_000_000
 HELD_PAIRS = 2_000_000
 
 MEASURES = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
-# Texts in which every space and newline stands alone between other characters.
-_RUNS = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_USUAL = re.compile(r"[ \n]\S(?:.*\S)?\Z", re.DOTALL)
+# Units that keep their place among others, the space left out or with a newline.
+_USUAL = re.compile(r"\n?\S(?:.*\S)?\Z", re.DOTALL)
+_WORD = re.compile(r" \S+\Z")
+_SPACES = (" ", "\n")
 
 
 def default_paths() -> tuple[str, str]:
@@ -89,14 +90,20 @@ class _Tokenizers:
             return self.b.encode(text[1:], num_threads=1)
         return self.b.encode(text, num_threads=1)[1:]
 
-    def cut(self, text: str) -> list[str]:
-        """The units of a text, its leading space included; joined they are the text."""
+    def cut(self, text: str) -> tuple[list[str], bool]:
+        """The units of a text, and whether each is a word. The space before a unit is left
+        out: a unit without a newline or space in front has one."""
         if not self.cuttable:
-            return [" " + text]
-        if _RUNS.search(text):
-            return _CUTS.split(" " + text)
-        # Newline units keep their newline; a space is put back before the others.
-        return [u if u[:1] == "\n" else " " + u for u in text.replace("\n", " \n").split(" ")]
+            return [" " + text], False
+        units: list[str] = []
+        for line in text.split("\n"):
+            found = line.split()
+            if not found or " ".join(found) != line:
+                return [u[1:] if _WORD.match(u) else u for u in _CUTS.split(" " + text)], False
+            if units:
+                found[0] = "\n" + found[0]
+            units += found
+        return units, True
 
 
 class Aligner:
@@ -109,15 +116,16 @@ class Aligner:
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
-        self.groups: list[str | None] = []
+        self.groups: list[str] = []
+        self.bad: set[int] = set()  # units that are not given back byte by byte
         self.counts = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, links
         self.starts = np.zeros(1, np.int64)
         self.codes = np.zeros(0, np.int64)
 
-    def _add(self, units: list[str]) -> None:
-        """Aligns units that are not known yet."""
-        usual = [u for u in units if _USUAL.match(u)]
-        rest = [u for u in units if not _USUAL.match(u)]
+    def _add(self, units: list[str], words: bool) -> None:
+        """Aligns units that are not known yet; `words`: they all are words."""
+        usual = units if words else [u for u in units if _USUAL.match(u)]
+        rest = [] if words else [u for u in units if not _USUAL.match(u)]
         found = []
         if usual and self.of.cuttable and (joint := self._aligned(usual)):
             found.append((usual, joint))
@@ -126,10 +134,11 @@ class Aligner:
         found += [([u], self._aligned([u])) for u in rest]
         counts, codes = [self.counts], [self.codes]
         for names, got in found:
-            for name in names:
-                self.places[name] = len(self.places)
+            first = len(self.places)
+            self.places.update(zip(names, range(first, first + len(names)), strict=True))
             if got is None:  # not given back byte by byte
-                self.groups += [None] * len(names)
+                self.bad.update(range(first, first + len(names)))
+                self.groups += [""] * len(names)
                 counts.append(np.zeros((len(names), 4), np.int64))
                 continue
             texts, numbers, links = got
@@ -141,7 +150,9 @@ class Aligner:
 
     def _aligned(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
         """Texts of groups, counts and codes of units that stand one after another."""
-        of, whole = self.of, "".join(units)
+        of = self.of
+        units = [u if u[:1] in _SPACES else " " + u for u in units]
+        whole = "".join(units)
         data = whole.encode()
         a, b = of.a.encode_ordinary(whole), of.encode_b(whole)
         if b"".join(map(of.bytes_a.__getitem__, a)) != data or b"".join(map(of.bytes_b.__getitem__, b)) != data:
@@ -172,12 +183,14 @@ class Aligner:
         cut = [self.of.cut(t) for t in texts]
         if len(self.places) > CACHE_UNITS:
             self.clear()
-        known = self.places
-        if new := [u for u in dict.fromkeys(u for units in cut for u in units) if u not in known]:
-            self._add(new)
-        starts = np.cumsum([0, *map(len, cut)])
-        places = np.fromiter((known[u] for units in cut for u in units), np.int64, int(starts[-1]))
-        return places, starts
+        flat = [u for units, _ in cut for u in units]
+        found = list(map(self.places.get, flat))
+        new = dict.fromkeys(u for u, place in zip(flat, found, strict=True) if place is None)
+        if new:
+            self._add(list(new), all(plain for _, plain in cut))
+            found = list(map(self.places.__getitem__, flat))
+        starts = np.cumsum([0, *(len(units) for units, _ in cut)])
+        return np.array(found, np.int64), starts
 
     def links(self, places: np.ndarray) -> np.ndarray:
         """The codes of the links of units, one after another."""
@@ -186,7 +199,7 @@ class Aligner:
         return self.codes[np.arange(sizes.sum()) + np.repeat(self.starts[places] - lead, sizes)]
 
     def whole(self, places: np.ndarray) -> bool:
-        return all(self.groups[p] is not None for p in places)
+        return not self.bad or self.bad.isdisjoint(places.tolist())
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -267,7 +280,6 @@ def _measures(texts: DataFrame, pairs: DataFrame, n: int, paths: tuple[str, str]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(paths)
-        own.clear()
         number = None
         held: list[tuple[np.ndarray, np.ndarray]] = []
         codes = counts = np.zeros(0, np.int64)
@@ -320,13 +332,16 @@ def _measured(own: Aligner, chunk: list[str], codes: np.ndarray, counts: np.ndar
     np.add.at(sums, of_unit, np.abs(found))
     per_unit = np.column_stack([own.counts[distinct], best, sums])
     rows, texts = np.zeros((len(chunk), 6), np.int64), []
+    # Sums over each text's units; texts have at least one.
+    sums_to = np.add.reduceat(per_unit[nth], starts[:-1])
+    names = list(map(own.groups.__getitem__, places.tolist()))
     for i in range(len(chunk)):
-        names = [own.groups[p] for p in places[starts[i] : starts[i + 1]]]
-        if None in names:
+        lo, hi = starts[i], starts[i + 1]
+        if not own.whole(places[lo:hi]):
             texts.append("")
             continue
-        rows[i] = per_unit[nth[starts[i] : starts[i + 1]]].sum(0)
-        texts.append(hashlib.sha256(";".join(g.rstrip(";") for g in names).encode()).hexdigest())
+        rows[i] = sums_to[i]
+        texts.append(hashlib.sha256(";".join(names[lo:hi]).encode()).hexdigest())
     return [*(pa.array(rows[:, k].copy()) for k in range(6)), pa.array(texts, pa.string())]
 
 
