@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfdiff.operators.detect import Run, judged_rows, side_by_side
+from shelfdiff.operators.detect import Layered, Run, judged_rows, side_by_side, touched_pairs
 from shelfdiff.operators.emit import nested_changes
 from shelfdiff.profiles import Profile
 from shelfdiff.schema import CHANGES, LISTING
@@ -44,22 +44,24 @@ def merge(listing: DataFrame, snapshot: DataFrame, run: Run, profile: Profile) -
     return pairs.select(*[v.alias(c) for c, v in _merged(profile).items()])
 
 
-def merge_with_changes(
-    listing: DataFrame, snapshot: DataFrame, run: Run, profile: Profile
+def touched_rows(
+    listing: DataFrame | Layered, snapshot: DataFrame, run: Run, profile: Profile
 ) -> DataFrame:
-    """`merge` plus, in `found`, the changes each row stands for: one join serves both.
+    """The rows of `merge` that the run sees or reports on, each with, in `found`, the
+    changes it stands for: one join serves both. All other rows stay as they are.
 
     A commit writes this once; the change feed is then a filtered read of what was written.
     """
-    pairs = side_by_side(snapshot, listing, run)
+    pairs = touched_pairs(snapshot, listing, run, profile)
     merged = F.struct(*[v.alias(c) for c, v in _merged(profile).items()]).alias("_merged")
-    rows = nested_changes(judged_rows(pairs, run, profile, merged), profile, "found")
-    return rows.select("_merged.*", "found")
+    seen = F.col("now").isNotNull().alias("_seen")
+    rows = nested_changes(judged_rows(pairs, run, profile, merged, seen), profile, "found")
+    return rows.filter(F.col("_seen") | (F.size("found") > 0)).select("_merged.*", "found")
 
 
-def changes_of(version: DataFrame) -> DataFrame:
-    """The change feed out of a written `merge_with_changes` version."""
-    return version.select(F.explode("found").alias("f")).select(
+def changes_of(touched: DataFrame) -> DataFrame:
+    """The change feed out of written `touched_rows`."""
+    return touched.select(F.explode("found").alias("f")).select(
         *[F.col(f"f.{c}") for c in CHANGES.names]
     )
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from shelfdiff.functions.times import as_utc
 from shelfdiff.operators.dedup import dedup_first
-from shelfdiff.operators.detect import Run, detect, open_run
+from shelfdiff.operators.detect import Run, detect
 from shelfdiff.operators.digest import cut_lines, digest, digest_lines
-from shelfdiff.operators.merge import changes_of, merge_with_changes
+from shelfdiff.operators.merge import changes_of, touched_rows
 from shelfdiff.operators.rules import apply_rules
 from shelfdiff.operators.runlog import one_run_summary
 from shelfdiff.profiles import PROFILES, Profile
@@ -47,14 +47,15 @@ def run_snapshot(
 ) -> RunResult:
     """Diff a run's de-duplicated snapshot against the store.
 
-    With `commit`, merge and changes are written together first, the changes come from
-    what was written, and the log row is appended last. In a preview the changes are
-    worked out once into the shared folder, as summary and digest both read them.
+    With `commit`, the rows that the run touches are written with their changes first, the
+    changes come from what was written, and the log row is appended last; then deltas are
+    folded if there are many. In a preview the changes are worked out once into the shared
+    folder, as summary and digest both read them.
     """
-    listing = store.listing(run.site, run.newest)
+    listing = store.layered(run.site, run.newest)
     if commit:
-        version = merge_with_changes(listing, snapshot, run, profile)
-        found = changes_of(store.write_version(version, run.site, run.run_ts))
+        touched = touched_rows(listing, snapshot, run, profile)
+        found = changes_of(store.write_delta(touched, run.site, run.run_ts))
         changes = store.write_changes(found, run.site, run.run_ts)
     else:
         changes = settle(detect(snapshot, listing, run, profile), f"changes-{run.site}")
@@ -67,7 +68,8 @@ def run_snapshot(
     }
     summary = one_run_summary(changes, totals)
     if commit:
-        store.append_log(summary)
+        store.append_log(summary, run)
+        store.fold(run.site)
     return RunResult(run, changes, summary)
 
 
@@ -96,7 +98,7 @@ def _open(
     if totals is None:
         # not an empty result: without any page, absence would mean that all is sold
         raise ValueError(f"{profile.site}: no page has landed for run {run_ts}")
-    run = open_run(store.run_log(), profile.site, run_ts, totals["error"])
+    run = store.open_run(profile.site, run_ts, totals["error"])
     done = commit and run.late and not _logged(store, profile.site, run_ts).isEmpty()
     if commit and run.late and not done:
         raise ValueError(f"{profile.site}: run {run_ts} is not newer than the last commit")

@@ -1,17 +1,26 @@
-"""Listing versions, snapshots and the run log on plain parquet.
+"""The listing, snapshots and the run log on plain parquet.
 
 Layout below one root folder:
 
-    listing/<site>/<run>      one complete version of a site's listing per committed run
+    listing/<site>/base_*     a complete listing as of a run, bucketed and sorted by item
+    listing/<site>/delta_*    the rows that a run, or a span of runs, has touched
     snapshots/site=/run_ts=   de-duplicated snapshots, overwritten per run
     changes/site=/run_ts=     the changes that each commit found, kept when versions expire
     rules                     exclusion rules, replaced as a whole
-    run_log                   append-only; the row of a run is written last
+    run_log/<site>/log_*      log rows of a run or a span of runs; a run's is written last
     skipped                   announced runs that came too late or from unknown sites
-    layout                    the number of buckets of the first two
-
-A version without a log row is an unfinished commit and is never read, so losing the
-driver or an executor halfway leaves the last committed state in force.
+    layout                    the number of buckets of bases and snapshots
+
+A commit writes as many rows as its snapshot has, whatever the size of the listing: one
+delta. The listing is the newest base with the newest row of each item of the deltas since.
+Deltas are folded into one when there are `FOLD` of them, and into a new base when they
+hold a fair share of its rows, so reading stays cheap and each row is rewritten seldom.
+
+The names of log layers tell the newest run and the newest clean run of a site: opening a
+run reads no file at all. A run counts once its log row is there. Runs of a site are
+committed in order, so a delta newer than the log is an unfinished commit: it is never
+read, and the next commit removes it. Losing the driver or an executor halfway leaves the
+last committed state in force. One writer at a time is assumed for each site.
 """
 
 from __future__ import annotations
@@ -30,8 +39,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfdiff.functions.times import as_utc, from_micros, micros
+from shelfdiff.operators.detect import Layered, Run, open_run
 from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RULES, RUN_LOG, table_schema
 from shelfdiff.session import settle
+from shelfdiff.sources import layers as ly
+from shelfdiff.sources.layers import NO_MARK, Layer, new_layer, version_name, version_time
+
+# Deltas or log layers of a site before they are folded into one.
+FOLD = 16
+# A new base is written when deltas hold one row for so many of the base.
+BASE_SHARE = 4
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -67,8 +84,12 @@ def find_id(
     return found.limit(1)
 
 
-def version_name(run_ts: datetime) -> str:
-    return as_utc(run_ts).strftime("%Y%m%dT%H%M%S.%f")
+@dataclass(frozen=True)
+class Head:
+    """What the log says about a site: its newest run and its newest clean run."""
+
+    newest: datetime | None = None
+    clean: datetime | None = None
 
 
 @dataclass(frozen=True)
@@ -80,16 +101,15 @@ class Store:
     root: str
     new_buckets: int | None = None
 
-    @property
-    def run_log_path(self) -> str:
-        return f"{self.root}/run_log"
-
     @property
     def snapshot_path(self) -> str:
         return f"{self.root}/snapshots"
 
-    def version_path(self, site: str, run_ts: datetime) -> str:
-        return f"{self.root}/listing/{_escaped(site)}/{version_name(run_ts)}"
+    def _log_folder(self, site: str) -> str:
+        return f"{self.root}/run_log/{_escaped(site)}"
+
+    def _listing_folder(self, site: str) -> str:
+        return f"{self.root}/listing/{_escaped(site)}"
 
     @cached_property
     def buckets(self) -> int:
@@ -104,11 +124,67 @@ class Store:
     # Run log.
 
     def run_log(self) -> DataFrame:
-        return _read(self.spark, self.run_log_path, RUN_LOG)
-
-    def append_log(self, row: DataFrame) -> None:
+        """All log rows: a few files per site, whatever the number of runs."""
+        paths = []
+        for name in ly.child_names(self.spark, f"{self.root}/run_log"):
+            found = ly.all_layers(self.spark, f"{self.root}/run_log/{name}")
+            paths += [x.path for x in ly.complete(self.spark, ly.widest(found))]
+        if not paths:
+            return self.spark.createDataFrame([], RUN_LOG)
+        return self.spark.read.schema(RUN_LOG).parquet(*paths)
+
+    def head(self, site: str) -> Head:
+        """The newest runs of a site, from the names of its log layers alone."""
+        found = ly.complete(self.spark, ly.all_layers(self.spark, self._log_folder(site)))
+        newest = ly.newest_layer(found)
+        if newest is None:
+            return Head()
+        return Head(version_time(newest.last), version_time(newest.mark))
+
+    def open_run(self, site: str, run_ts: datetime, error: int = 0) -> Run:
+        """A run as its site's log stands. Only a run that is no newer than the log needs
+        its rows read."""
+        run_ts, head = as_utc(run_ts), self.head(site)
+        if head.newest is None or run_ts > head.newest:
+            return Run(site, run_ts, error, head.clean, head.newest)
+        return open_run(self.run_log(), site, run_ts, error)
+
+    def append_log(self, rows: DataFrame, run: Run | None = None) -> None:
+        """Add the log row of `run`, or without it any rows. Each site gets a layer."""
         columns = [F.col(f.name).cast(f.dataType) for f in RUN_LOG]
-        row.select(*columns).coalesce(1).write.mode("append").parquet(self.run_log_path)
+        rows = rows.select(*columns)
+        if run is not None:
+            clean = run.run_ts if run.error == 0 else run.last
+            self._write_log(rows, run.site, run.run_ts, run.run_ts, clean)
+            return
+        rows = settle(rows, "log-rows")
+        us, no_error = micros(F.col("run_ts")), F.col("error") == 0
+        spans = rows.groupBy("site").agg(
+            F.min(us).alias("first"), F.max(us).alias("last"), F.max(F.when(no_error, us)).alias("clean")
+        )
+        # One row for each site.
+        for x in spans.collect():
+            known = [t for t in (from_micros(x["clean"]), self.head(x["site"]).clean) if t]
+            own = rows.filter(F.col("site") == x["site"])
+            self._write_log(own, x["site"], from_micros(x["first"]), from_micros(x["last"]), max(known, default=None))
+
+    def _write_log(
+        self, rows: DataFrame, site: str, first: datetime, last: datetime, clean: datetime | None
+    ) -> None:
+        folder = self._log_folder(site)
+        mark = version_name(clean) if clean else NO_MARK
+        old = ly.all_layers(self.spark, folder)
+        layer = new_layer(folder, "log", version_name(first), version_name(last), mark)
+        rows.coalesce(1).write.parquet(layer.path)
+        kept = ly.widest([*ly.complete(self.spark, old), layer])
+        if len(kept) < FOLD:
+            return
+        # What earlier folds have replaced goes now; what this one replaces stays for
+        # readers that have begun.
+        ly.remove(self.spark, [x for x in old if x not in kept])
+        whole = new_layer(folder, "log", kept[0].first, kept[-1].last, kept[-1].mark)
+        known = self.spark.read.schema(RUN_LOG).parquet(*[x.path for x in kept])
+        known.hint("rebalance").write.parquet(whole.path)
 
     def skipped(self) -> DataFrame:
         """Announced runs that were not committed, and why."""
@@ -228,58 +304,130 @@ class Store:
         fixed.write.mode("overwrite").parquet(f"{self.root}/rules")
         return self.rules()
 
-    # Listing versions.
+    # The listing.
 
     def listing(self, site: str, newest: datetime | None = None) -> DataFrame:
         """A site's listing as of its newest committed run, clean or not; pass `newest` if
         it is known already."""
+        return self.layered(site, newest).whole()
+
+    def layered(self, site: str, newest: datetime | None = None) -> Layered:
+        """The same as a base and the rows that later runs have touched: what is joined to
+        it item by item then leaves the base where it is."""
+        newest = newest or self.head(site).newest
+        empty = self.spark.createDataFrame([], LISTING)
         if newest is None:
-            own = self.run_log().filter(F.col("site") == site)
-            newest = from_micros(own.agg(micros(F.max("run_ts"))).first()[0])
-        if newest is None:
-            return self.spark.createDataFrame([], LISTING)
-        return self.version(site, newest).select(*LISTING.names)
+            return Layered(empty)
+        base, deltas = self._layers(site, newest)
+        whole = self._read_base(base).select(*LISTING.names) if base else empty
+        return Layered(whole, _newest_rows(self._read_deltas(deltas)) if deltas else None)
 
     def version(self, site: str, run_ts: datetime) -> DataFrame:
-        with self._registered(self.version_path(site, run_ts)) as name:
+        """The listing as of an earlier run; empty if that has expired."""
+        return self.layered(site, run_ts).whole()
+
+    def find_item(self, site: str, item_id: str) -> DataFrame:
+        """One item's row, or none: of the base one bucket is read, of the deltas those row
+        groups whose bloom filters have the id."""
+        return self.layered(site).map(lambda rows: rows.filter(F.col("item_id") == F.lit(item_id))).whole()
+
+    def _layers(self, site: str, newest: datetime) -> tuple[Layer | None, list[Layer]]:
+        """The base and the deltas that make up the listing as of a run."""
+        upto = version_name(newest)
+        found = [x for x in ly.all_layers(self.spark, self._listing_folder(site)) if x.last <= upto]
+        bases = ly.complete(self.spark, [x for x in found if x.kind == "base"])
+        base = ly.newest_layer(bases)
+        deltas = [x for x in found if x.kind == "delta" and (base is None or x.first > base.last)]
+        return base, ly.widest(ly.complete(self.spark, deltas))
+
+    def _read_base(self, base: Layer) -> DataFrame:
+        with self._registered(base.path) as name:
             return self.spark.table(name)
 
+    def _read_deltas(self, deltas: list[Layer]) -> DataFrame:
+        return self.spark.read.schema(VERSION).parquet(*[x.path for x in deltas])
+
     def write_version(self, version: DataFrame, site: str, run_ts: datetime) -> DataFrame:
-        """Write a listing version with its changes, bucketed and sorted by item: the next
-        merge reads it without a shuffle, a lookup skips row groups. Returns it as read
-        back; a half-written one of a lost driver is replaced."""
-        columns = [F.col(c) if c in version.columns else F.lit(None).alias(c) for c in VERSION.names]
-        with self._registered(self.version_path(site, run_ts)) as name:
-            version.select(*columns).write.mode("overwrite").insertInto(name)
-            return self.spark.table(name)
+        """Write a complete listing as a base, bucketed and sorted by item: joins read it
+        without a shuffle, a lookup reads one bucket. Returns it as read back."""
+        name = version_name(run_ts)
+        layer = new_layer(self._listing_folder(site), "base", name, name)
+        with self._registered(layer.path) as table:
+            version.select(*LISTING.names).write.mode("overwrite").insertInto(table)
+            return self.spark.table(table)
+
+    def write_delta(self, rows: DataFrame, site: str, run_ts: datetime) -> DataFrame:
+        """Write the rows that a run touches, with the changes they stand for, and return
+        them as read back. What an unfinished commit left is removed first."""
+        name, folder = version_name(run_ts), self._listing_folder(site)
+        newest = self.head(site).newest
+        upto = version_name(newest) if newest else ""
+        ly.remove(self.spark, [x for x in ly.all_layers(self.spark, folder) if x.last > upto])
+        layer = new_layer(folder, "delta", name, name)
+        self._write_rows(rows.select(*VERSION.names), layer)
+        return self._read_deltas([layer])
+
+    def _write_rows(self, rows: DataFrame, layer: Layer) -> None:
+        """Files by bytes, not by shuffle partitions, with bloom filters on the item."""
+        whole = rows.hint("rebalance").sortWithinPartitions("item_id")
+        whole.write.option("parquet.bloom.filter.enabled#item_id", "true").parquet(layer.path)
+
+    def fold(self, site: str, base: bool | None = None) -> str | None:
+        """Fold the deltas of a site into one, or into a new base if they hold a fair share
+        of its rows; `base` tells which to do anyway. Returns the kind of the new layer."""
+        newest = self.head(site).newest
+        old, deltas = self._layers(site, newest) if newest else (None, [])
+        if not deltas or base is None and len(deltas) < FOLD:
+            return None
+        rows = self._read_deltas(deltas)
+        if base is None:
+            # Counts come from the footers of the files.
+            base = old is None or rows.count() * BASE_SHARE >= self._read_base(old).count()
+        if base:
+            self.write_version(self.layered(site, newest).whole(aligned=True), site, newest)
+            return "base"
+        layer = new_layer(self._listing_folder(site), "delta", deltas[0].first, deltas[-1].last)
+        found = F.lit(None).cast(VERSION["found"].dataType).alias("found")
+        self._write_rows(_newest_rows(rows).select("*", found), layer)
+        return "delta"
 
     def expire(self, site: str, keep: int = 3, since: datetime | None = None) -> int:
-        """Empty a site's listing versions but for the newest `keep`; returns how many runs
-        were gone through. Every commit writes a whole version, so old ones add up; `since`
-        spares looking at runs that an earlier call has dealt with. The changes that those
-        runs found stay."""
+        """Remove what only listings older than the newest `keep` runs need; returns how
+        many runs that were. `since` spares counting runs that an earlier call has dealt
+        with. The changes that those runs found stay."""
         if keep < 1:
             raise ValueError("the newest version is the listing itself")
         runs = self.run_log().filter(F.col("site") == site).select("run_ts")
         kept = runs.orderBy(F.desc("run_ts")).limit(keep)
         oldest = from_micros(kept.agg(micros(F.min("run_ts"))).first()[0])
-        old = runs.filter(F.col("run_ts") < F.lit(oldest).cast("timestamp"))
+        if oldest is None:
+            return 0
+        old = runs.filter(F.col("run_ts") < F.lit(oldest))
         if since is not None:
             old = old.filter(F.col("run_ts") >= F.lit(since))
-        done = 0
-        for row in old.select(micros(F.col("run_ts")).alias("us")).toLocalIterator():
-            with self._registered(self.version_path(site, from_micros(row["us"]))) as name:
-                self.spark.createDataFrame([], VERSION).write.mode("overwrite").insertInto(name)
-            done += 1
-        return done
+        n = old.count()
+        if n:
+            name = version_name(oldest)
+            base, _ = self._layers(site, oldest)
+            if base is None or base.last != name:
+                self.write_version(self.layered(site, oldest).whole(aligned=True), site, oldest)
+            ly.remove(
+                self.spark,
+                [
+                    x
+                    for x in ly.all_layers(self.spark, self._listing_folder(site))
+                    if x.last < name or x.kind == "delta" and x.first <= name
+                ],
+            )
+        return n
 
     @contextmanager
     def _registered(self, path: str) -> Iterator[str]:
-        """A name in the catalog while a plan is built on a version, as Spark knows
+        """A name in the catalog while a plan is built on a base, as Spark knows
         bucketing through the catalog only. Dropping the name of an external table leaves
         its files, and plans made meanwhile keep them."""
         name = f"shelfdiff_version_{uuid.uuid4().hex}"
-        self.spark.sql(f"create table {name} {_bucketed_ddl(VERSION, self.buckets, path)}")
+        self.spark.sql(f"create table {name} {_bucketed_ddl(LISTING, self.buckets, path)}")
         try:
             yield name
         finally:
@@ -287,6 +435,16 @@ class Store:
 
 
 VERSION = T.StructType([*LISTING, T.StructField("found", T.ArrayType(CHANGES))])
+
+
+def _newest_rows(deltas: DataFrame) -> DataFrame:
+    """The newest row of each item. A run's row of an item it has not seen, but reports as
+    gone, is that of the last sighting: equal times have equal rows."""
+    rest = [c for c in LISTING.names if c != "item_id"]
+    newest = deltas.groupBy("item_id").agg(F.max_by(F.struct(*rest), "update_ts").alias("_newest"))
+    return newest.select(*[F.col("item_id") if c == "item_id" else F.col(f"_newest.{c}") for c in LISTING.names])
+
+
 RUN_KEYS = ("site", "run_ts")
 SKIPPED = table_schema("site string, run_ts timestamp, reason string")
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfdiff.functions.times import from_micros, micros
-from shelfdiff.operators.detect import open_run
 from shelfdiff.plans.run import run_snapshot
 from shelfdiff.profiles import Profile
 from shelfdiff.schema import table_schema
@@ -35,7 +34,7 @@ def commit_arrivals(arrivals: DataFrame, store: Store, profiles: Mapping[str, Pr
         if profile is None:
             store.append_skipped(row["site"], run_ts, "unknown site")
             continue
-        run = open_run(store.run_log(), row["site"], run_ts, row["error"])
+        run = store.open_run(row["site"], run_ts, row["error"])
         if run.late:
             own = (F.col("site") == run.site) & (F.col("run_ts") == F.lit(run.run_ts))
             if store.run_log().filter(own).isEmpty():
