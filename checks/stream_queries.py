@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
+from checks.detect_queries import ORACLES as DETECT
 from checks.replay_queries import ORACLES as REPLAY
-from shelfdiff import AUCTION, PRESENCE, STATUS, with_stable
-from shelfdiff.schema import CHANGES, RUN_LOG
+from shelfdiff import AUCTION, PRESENCE, STATUS, Profile, with_stable
+from shelfdiff.plans.run import run_snapshot
+from shelfdiff.schema import CHANGES, LISTING, RUN_LOG
 from shelfdiff.session import scratch_path
 from shelfdiff.sources.tables import Store
 from shelfdiff.streaming.items import ROCKSDB, SIGHTING, stream_changes
@@ -20,27 +22,77 @@ PRESENCE_COLUMNS = [
 ]
 
 
-def committed_runs(spark: SparkSession, sf_dir: str) -> Store:
-    """Land all snapshots and arrivals of one site, then commit them as a stream."""
+PROFILE_OF = {A: PRESENCE, B: STATUS, C: AUCTION}
+HALF = "2024-01-16 00:00:00"
+
+
+def committed_runs(spark: SparkSession, sf_dir: str, sites: tuple[str, ...], fine: bool = False) -> Store:
+    """Land all snapshots, and announce the runs of some sites in two waves, between which
+    the stream is stopped and resumed."""
     store = Store(spark, scratch_path(spark, "store"))
-    arrivals = scratch_path(spark, "arrivals")
-    store.write_snapshot(fx.snapshots(spark, sf_dir, (A,)))
-    fx.runs(spark, sf_dir, (A,)).select(*ARRIVAL.names).write.parquet(arrivals)
-    source = spark.readStream.schema(ARRIVAL).parquet(arrivals)
-    stream = stream_runs(source, store, {A: PRESENCE}, scratch_path(spark, "progress"))
-    stream.awaitTermination()
+    arrivals, progress = scratch_path(spark, "arrivals"), scratch_path(spark, "progress")
+    store.write_snapshot(fx.snapshots(spark, sf_dir, sites, fine))
+    runs = fx.runs(spark, sf_dir, sites).select(*ARRIVAL.names)
+    half = F.lit(HALF).cast("timestamp")
+    for wave in (F.col("run_ts") < half, F.col("run_ts") >= half):
+        runs.filter(wave).coalesce(1).write.mode("append").parquet(arrivals)
+        source = spark.readStream.schema(ARRIVAL).parquet(arrivals)
+        stream_runs(source, store, {s: PROFILE_OF[s] for s in sites}, progress).awaitTermination()
     return store
 
 
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _runs(site: str):
     """The run log that committing run by run leaves."""
-    return fx.plain(committed_runs(spark, sf_dir).run_log().select(*RUN_LOG.names))
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fx.plain(committed_runs(spark, sf_dir, (site,)).run_log().select(*RUN_LOG.names))
+
+    return query
 
 
 def change_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes that the same commits keep, as far as this kind of site has them: bids
     and closing times are none of its columns, and a merge leaves them as first stored."""
-    return fx.plain(committed_runs(spark, sf_dir).changes()).select(*PRESENCE_COLUMNS)
+    return fx.plain(committed_runs(spark, sf_dir, (A,)).changes()).select(*PRESENCE_COLUMNS)
+
+
+def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which batch of the stream brought each run; all sites come in the same batches."""
+    store = committed_runs(spark, sf_dir, fx.SITES)
+    number = F.substring_index("batch", "/", -1).cast("int").alias("batch_no")
+    return fx.plain(store.batches().select("site", "run_ts", number))
+
+
+def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing of all sites after all commits, out of bases and deltas."""
+    store = committed_runs(spark, sf_dir, fx.SITES, fine=True)
+    out = None
+    for site in fx.SITES:
+        own = store.listing(site).select(*LISTING.names)
+        out = own if out is None else out.unionByName(own)
+    return fx.plain(out)
+
+
+def _commit(profile: Profile):
+    """The listing after the newest clean run was committed on the state before it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run, snapshot, before = fx.run_and_state(spark, sf_dir, profile)
+        store = Store(spark, scratch_path(spark, "store"))
+        store.write_version(before, profile.site, run.last)
+        earlier = fx.runs(spark, sf_dir, (profile.site,)).filter(F.col("run_ts") <= F.lit(run.last))
+        store.append_log(earlier)
+        run_snapshot(store, snapshot, profile, store.open_run(profile.site, run.run_ts), commit=True)
+        return fx.plain(store.listing(profile.site).select(*LISTING.names))
+
+    return query
+
+
+def find_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One item, looked up in base and deltas."""
+    store = committed_runs(spark, sf_dir, (A,))
+    store.fold(A, base=True)
+    return fx.plain(store.find_item(A, "7").select("item_id", "title", "price", "update_ts"))
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,10 +122,35 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.plain(spark.read.schema(CHANGES).parquet(out))
 
 
-QUERIES = {"stream_runs": runs, "changes_table": change_table, "stream_changes": items}
+QUERIES = {
+    "stream_runs": _runs(A),
+    "stream_runs_b": _runs(B),
+    "stream_runs_c": _runs(C),
+    "stream_batches": batches,
+    "stream_listing": listing,
+    "commit_a": _commit(PRESENCE),
+    "commit_b": _commit(STATUS),
+    "commit_c": _commit(AUCTION),
+    "find_stored": find_stored,
+    "changes_table": change_table,
+    "stream_changes": items,
+}
 
 ORACLES = {
     "stream_runs": f"select * from ({REPLAY['run_log']}) where site = '{A}'",
+    "stream_runs_b": f"select * from ({REPLAY['run_log']}) where site = '{B}'",
+    "stream_runs_c": f"select * from ({REPLAY['run_log']}) where site = '{C}'",
+    "stream_batches": "with " + fx.views() + " select s.site, " + fx.time_text("run_ts")
+    + f", cast(case when run_ts < timestamp '{HALF}' then 0 else 1 end as int) as batch_no"
+    + f" from runs, (select unnest({list(fx.SITES)}) as site) s",
+    "stream_listing": DETECT["listing_state"],
+    "commit_a": DETECT["merge_a"],
+    "commit_b": DETECT["merge_b"],
+    "commit_c": DETECT["merge_c"],
+    "find_stored": "with " + fx.views() + ", every as (select *, row_number() over (partition by item_id"
+    " order by run_ts) as up, row_number() over (partition by item_id order by run_ts desc) as down from obs)"
+    " select item_id, a.title as title, z.price as price, " + fx.time_text("z.run_ts", "update_ts")
+    + " from every a join every z using (item_id) where a.up = 1 and z.down = 1 and item_id = '7'",
     "changes_table": f"select {', '.join(PRESENCE_COLUMNS)} from ({REPLAY['changes_all']}) where site = '{A}'",
     "stream_changes": f"select * from ({REPLAY['changes_all']}) where site <> '{A}'",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfdiff.functions.times import as_utc
+from shelfdiff.operators.backlog import BACKLOG_RUNS, backlog_rows
 from shelfdiff.operators.dedup import dedup_first
 from shelfdiff.operators.detect import Run, detect
 from shelfdiff.operators.digest import cut_lines, digest, digest_lines
 from shelfdiff.operators.merge import changes_of, touched_rows
 from shelfdiff.operators.rules import apply_rules
-from shelfdiff.operators.runlog import one_run_summary
+from shelfdiff.operators.runlog import one_run_summary, run_summary
 from shelfdiff.profiles import PROFILES, Profile
-from shelfdiff.schema import OBSERVATION
+from shelfdiff.schema import OBSERVATION, RUN_LOG
 from shelfdiff.session import settle, use_utc
 from shelfdiff.sources.payloads import observations_of, page_totals, parse_pages, quarantine_of
 from shelfdiff.sources.tables import Store
@@ -73,6 +74,34 @@ def run_snapshot(
     return RunResult(run, changes, summary)
 
 
+def commit_runs(
+    store: Store,
+    profile: Profile,
+    announced: Sequence[Mapping[str, object]],
+    batch: str | None = None,
+) -> None:
+    """Commit several landed runs of one site, all newer than its log, in a fixed number of
+    jobs: the rows they touch, their changes, their log rows.
+
+    `announced` has run_ts, error, page and count of each run, in order. Committing them
+    one after another would leave the same listing, changes and log."""
+    for lo in range(0, len(announced), BACKLOG_RUNS):
+        part = announced[lo : lo + BACKLOG_RUNS]
+        runs = [(x["run_ts"], x["error"]) for x in part]
+        times = [ts for ts, _ in runs]
+        first, last, head = times[0], times[-1], store.head(profile.site)
+        snapshots = store.snapshots_of(profile.site, times)
+        rows = backlog_rows(store.layered(profile.site, head.newest), snapshots, runs, head.clean, profile)
+        found = changes_of(store.write_delta(rows, profile.site, first, last))
+        store.write_changes_of(found, profile.site, times)
+        totals = store.spark.createDataFrame(
+            [(profile.site, x["run_ts"], x["error"], x["page"], x["count"], 0, 0, 0) for x in part], RUN_LOG
+        )
+        clean = max([ts for ts, error in runs if error == 0], default=head.clean)
+        store.write_log(run_summary(found, totals), profile.site, first, last, clean, batch)
+        store.fold(profile.site)
+
+
 @dataclass(frozen=True)
 class _Opened:
     """A site's pages of one run, parsed and checked; nothing lasting is written yet."""

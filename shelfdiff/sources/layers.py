@@ -72,12 +72,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(found)
 
 
-def remove(spark: SparkSession, layers: Iterable[Layer]) -> int:
-    n = 0
-    for layer in layers:
-        fs, path = _open(spark, layer.path)
-        n += bool(fs.delete(path, True))
-    return n
+def remove_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        fs, found = _open(spark, path)
+        fs.delete(found, True)
+
+
+def remove(spark: SparkSession, layers: Iterable[Layer]) -> None:
+    remove_paths(spark, [layer.path for layer in layers])
 
 
 def all_layers(spark: SparkSession, folder: str) -> list[Layer]:

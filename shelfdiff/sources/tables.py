@@ -3,7 +3,8 @@
 Layout below one root folder:
 
     listing/<site>/base_*     a complete listing as of a run, bucketed and sorted by item
-    listing/<site>/delta_*    the rows that a run, or a span of runs, has touched
+    listing/<site>/delta_*    the rows that a run, or each run of a backlog, has touched
+    listing/<site>/fold_*     the newest rows of the deltas of a span of runs
     snapshots/site=/run_ts=   de-duplicated snapshots, overwritten per run
     changes/site=/run_ts=     the changes that each commit found, kept when versions expire
     rules                     exclusion rules, replaced as a whole
@@ -125,13 +126,20 @@ class Store:
 
     def run_log(self) -> DataFrame:
         """All log rows: a few files per site, whatever the number of runs."""
+        return self._logged().select(*RUN_LOG.names)
+
+    def batches(self) -> DataFrame:
+        """Which batch of which stream brought a run: site, run_ts, batch."""
+        return self._logged().select(*RUN_KEYS, "batch").filter("batch is not null")
+
+    def _logged(self) -> DataFrame:
         paths = []
         for name in ly.child_names(self.spark, f"{self.root}/run_log"):
             found = ly.all_layers(self.spark, f"{self.root}/run_log/{name}")
-            paths += [x.path for x in ly.complete(self.spark, ly.widest(found))]
+            paths += [x.path for x in ly.widest(ly.complete(self.spark, found))]
         if not paths:
-            return self.spark.createDataFrame([], RUN_LOG)
-        return self.spark.read.schema(RUN_LOG).parquet(*paths)
+            return self.spark.createDataFrame([], LOGGED)
+        return self.spark.read.schema(LOGGED).parquet(*paths)
 
     def head(self, site: str) -> Head:
         """The newest runs of a site, from the names of its log layers alone."""
@@ -155,7 +163,7 @@ class Store:
         rows = rows.select(*columns)
         if run is not None:
             clean = run.run_ts if run.error == 0 else run.last
-            self._write_log(rows, run.site, run.run_ts, run.run_ts, clean)
+            self.write_log(rows, run.site, run.run_ts, run.run_ts, clean)
             return
         rows = settle(rows, "log-rows")
         us, no_error = micros(F.col("run_ts")), F.col("error") == 0
@@ -166,11 +174,21 @@ class Store:
         for x in spans.collect():
             known = [t for t in (from_micros(x["clean"]), self.head(x["site"]).clean) if t]
             own = rows.filter(F.col("site") == x["site"])
-            self._write_log(own, x["site"], from_micros(x["first"]), from_micros(x["last"]), max(known, default=None))
-
-    def _write_log(
-        self, rows: DataFrame, site: str, first: datetime, last: datetime, clean: datetime | None
+            self.write_log(own, x["site"], from_micros(x["first"]), from_micros(x["last"]), max(known, default=None))
+
+    def write_log(
+        self,
+        rows: DataFrame,
+        site: str,
+        first: datetime,
+        last: datetime,
+        clean: datetime | None,
+        batch: str | None = None,
     ) -> None:
+        """Add a layer of log rows of one site: its runs first..last, the newest clean run
+        as of the last, and the batch of a stream that brought them."""
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG]
+        rows = rows.select(*columns, F.lit(batch).cast("string").alias("batch"))
         folder = self._log_folder(site)
         mark = version_name(clean) if clean else NO_MARK
         old = ly.all_layers(self.spark, folder)
@@ -183,16 +201,17 @@ class Store:
         # readers that have begun.
         ly.remove(self.spark, [x for x in old if x not in kept])
         whole = new_layer(folder, "log", kept[0].first, kept[-1].last, kept[-1].mark)
-        known = self.spark.read.schema(RUN_LOG).parquet(*[x.path for x in kept])
+        known = self.spark.read.schema(LOGGED).parquet(*[x.path for x in kept])
         known.hint("rebalance").write.parquet(whole.path)
 
     def skipped(self) -> DataFrame:
         """Announced runs that were not committed, and why."""
         return _read(self.spark, f"{self.root}/skipped", SKIPPED).distinct()
 
-    def append_skipped(self, site: str, run_ts: datetime, reason: str) -> None:
-        row = self.spark.createDataFrame([(site, run_ts, reason)], SKIPPED)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/skipped")
+    def append_skipped(self, runs: Iterable[tuple[str, datetime, str]]) -> None:
+        """Note runs (site, time, reason) that were not committed."""
+        rows = self.spark.createDataFrame(list(runs), SKIPPED)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/skipped")
 
     # Snapshots.
 
@@ -248,15 +267,16 @@ class Store:
 
     def landed(self, site: str, run_ts: datetime) -> bool:
         """Whether a snapshot of this run was written, be it empty."""
-        try:
-            self.spark.read.schema(OBSERVATION).parquet(
-                self._run_folder(self.snapshot_path, site, run_ts)
-            )
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return False
-        return True
+        return ly.exists(self.spark, self._run_folder(self.snapshot_path, site, run_ts))
+
+    def snapshots_of(self, site: str, runs: Iterable[datetime]) -> DataFrame:
+        """The snapshots of some runs, read from their own folders; runs that have not
+        landed are left out."""
+        paths = [self._run_folder(self.snapshot_path, site, ts) for ts in runs if self.landed(site, ts)]
+        if not paths:
+            return self.spark.createDataFrame([], OBSERVATION)
+        reader = self.spark.read.schema(OBSERVATION).option("basePath", self.snapshot_path)
+        return reader.parquet(*paths).select(*OBSERVATION.names)
 
     def snapshot(self, site: str, run_ts: datetime) -> DataFrame:
         """One run's snapshot, read from its own folder whatever the length of history."""
@@ -283,6 +303,14 @@ class Store:
         rows.write.mode("overwrite").parquet(self._run_folder(self.change_path, site, run_ts))
         return self.changes_of(site, run_ts)
 
+    def write_changes_of(self, changes: DataFrame, site: str, runs: Iterable[datetime]) -> None:
+        """The same for several runs of a site in one job. What an unfinished attempt left
+        of runs that have no changes now goes too."""
+        ly.remove_paths(self.spark, [self._run_folder(self.change_path, site, ts) for ts in runs])
+        # Below the site's own folder: other sites are written at the same time.
+        rows = changes.drop("site").hint("rebalance", "run_ts").write.partitionBy("run_ts")
+        rows.mode("append").parquet(f"{self.change_path}/site={_escaped(site)}")
+
     def changes_of(self, site: str, run_ts: datetime) -> DataFrame:
         return self._of_run(self.change_path, CHANGES, site, run_ts)
 
@@ -320,7 +348,11 @@ class Store:
             return Layered(empty)
         base, deltas = self._layers(site, newest)
         whole = self._read_base(base).select(*LISTING.names) if base else empty
-        return Layered(whole, _newest_rows(self._read_deltas(deltas)) if deltas else None)
+        if not deltas:
+            return Layered(whole)
+        # Of a delta of several runs only those up to this one count.
+        rows = self._read_deltas(deltas).filter(F.coalesce(F.col("update_ts") <= F.lit(newest), F.lit(True)))
+        return Layered(whole, _newest_rows(rows))
 
     def version(self, site: str, run_ts: datetime) -> DataFrame:
         """The listing as of an earlier run; empty if that has expired."""
@@ -332,13 +364,15 @@ class Store:
         return self.layered(site).map(lambda rows: rows.filter(F.col("item_id") == F.lit(item_id))).whole()
 
     def _layers(self, site: str, newest: datetime) -> tuple[Layer | None, list[Layer]]:
-        """The base and the deltas that make up the listing as of a run."""
+        """The base and the deltas that make up the listing as of a run. A delta that was
+        written by several runs serves each of them; a folded one has but the last rows."""
         upto = version_name(newest)
-        found = [x for x in ly.all_layers(self.spark, self._listing_folder(site)) if x.last <= upto]
-        bases = ly.complete(self.spark, [x for x in found if x.kind == "base"])
-        base = ly.newest_layer(bases)
-        deltas = [x for x in found if x.kind == "delta" and (base is None or x.first > base.last)]
-        return base, ly.widest(ly.complete(self.spark, deltas))
+        found = ly.all_layers(self.spark, self._listing_folder(site))
+        base = ly.newest_layer(ly.complete(self.spark, [x for x in found if x.kind == "base" and x.last <= upto]))
+        since = [x for x in found if base is None or x.last > base.last]
+        deltas = [x for x in since if x.kind == "delta" and x.first <= upto]
+        folded = [x for x in since if x.kind == "fold" and x.last <= upto and (base is None or x.first > base.last)]
+        return base, ly.widest(ly.complete(self.spark, [*deltas, *folded]))
 
     def _read_base(self, base: Layer) -> DataFrame:
         with self._registered(base.path) as name:
@@ -356,14 +390,17 @@ class Store:
             version.select(*LISTING.names).write.mode("overwrite").insertInto(table)
             return self.spark.table(table)
 
-    def write_delta(self, rows: DataFrame, site: str, run_ts: datetime) -> DataFrame:
-        """Write the rows that a run touches, with the changes they stand for, and return
-        them as read back. What an unfinished commit left is removed first."""
-        name, folder = version_name(run_ts), self._listing_folder(site)
+    def write_delta(
+        self, rows: DataFrame, site: str, first: datetime, last: datetime | None = None
+    ) -> DataFrame:
+        """Write the rows that the runs first..last touch, one per item and run, with the
+        changes they stand for, and return them as read back. What an unfinished commit
+        left is removed first."""
+        folder = self._listing_folder(site)
         newest = self.head(site).newest
         upto = version_name(newest) if newest else ""
         ly.remove(self.spark, [x for x in ly.all_layers(self.spark, folder) if x.last > upto])
-        layer = new_layer(folder, "delta", name, name)
+        layer = new_layer(folder, "delta", version_name(first), version_name(last or first))
         self._write_rows(rows.select(*VERSION.names), layer)
         return self._read_deltas([layer])
 
@@ -386,10 +423,10 @@ class Store:
         if base:
             self.write_version(self.layered(site, newest).whole(aligned=True), site, newest)
             return "base"
-        layer = new_layer(self._listing_folder(site), "delta", deltas[0].first, deltas[-1].last)
+        layer = new_layer(self._listing_folder(site), "fold", deltas[0].first, deltas[-1].last)
         found = F.lit(None).cast(VERSION["found"].dataType).alias("found")
         self._write_rows(_newest_rows(rows).select("*", found), layer)
-        return "delta"
+        return "fold"
 
     def expire(self, site: str, keep: int = 3, since: datetime | None = None) -> int:
         """Remove what only listings older than the newest `keep` runs need; returns how
@@ -411,16 +448,21 @@ class Store:
             base, _ = self._layers(site, oldest)
             if base is None or base.last != name:
                 self.write_version(self.layered(site, oldest).whole(aligned=True), site, oldest)
-            ly.remove(
-                self.spark,
-                [
-                    x
-                    for x in ly.all_layers(self.spark, self._listing_folder(site))
-                    if x.last < name or x.kind == "delta" and x.first <= name
-                ],
-            )
+            found = ly.all_layers(self.spark, self._listing_folder(site))
+            for x in found:
+                if x.kind == "delta" and x.first <= name < x.last:
+                    self._trim(x, site, oldest)
+            gone = [x for x in found if x.last < name or x.kind != "base" and x.first <= name]
+            ly.remove(self.spark, gone)
         return n
 
+    def _trim(self, delta: Layer, site: str, upto: datetime) -> None:
+        """Write the part of a delta of several runs that comes after one of them."""
+        later = self.run_log().filter((F.col("site") == site) & (F.col("run_ts") > F.lit(upto)))
+        first = from_micros(later.agg(micros(F.min("run_ts"))).first()[0])
+        layer = new_layer(delta.folder, "delta", version_name(first), delta.last)
+        self._write_rows(self._read_deltas([delta]).filter(F.col("update_ts") > F.lit(upto)), layer)
+
     @contextmanager
     def _registered(self, path: str) -> Iterator[str]:
         """A name in the catalog while a plan is built on a base, as Spark knows
@@ -446,6 +488,7 @@ def _newest_rows(deltas: DataFrame) -> DataFrame:
 
 
 RUN_KEYS = ("site", "run_ts")
+LOGGED = T.StructType([*RUN_LOG, T.StructField("batch", T.StringType())])
 SKIPPED = table_schema("site string, run_ts timestamp, reason string")
 
 
