@@ -10,10 +10,10 @@ from checks.detect_queries import ORACLES as DETECT
 from checks.replay_queries import ORACLES as REPLAY
 from shelfdiff import AUCTION, PRESENCE, STATUS, Profile, with_stable
 from shelfdiff.plans.run import run_snapshot
-from shelfdiff.schema import CHANGES, LISTING, RUN_LOG
-from shelfdiff.session import scratch_path
+from shelfdiff.schema import LISTING, RUN_LOG
+from shelfdiff.session import scratch_path, settle
 from shelfdiff.sources.tables import Store
-from shelfdiff.streaming.items import ROCKSDB, SIGHTING, stream_changes
+from shelfdiff.streaming.items import SIGHTING, ItemStates, stream_items
 from shelfdiff.streaming.runs import ARRIVAL, stream_runs
 
 A, B, C = fx.A, fx.B, fx.C
@@ -97,29 +97,18 @@ def find_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status and auction changes, with the stream stopped and resumed halfway."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    source, out = scratch_path(spark, "sightings"), scratch_path(spark, "changes")
-    progress = scratch_path(spark, "progress")
+    source, progress = scratch_path(spark, "sightings"), scratch_path(spark, "progress")
+    states = ItemStates(spark, scratch_path(spark, "items"), buckets=8)
     log = with_stable(fx.runs(spark, sf_dir, (B, C)))
     log = log.select("site", "run_ts", "last_stable")
     seen = fx.snapshots(spark, sf_dir, (B, C)).join(log, ["site", "run_ts"])
-    landed = scratch_path(spark, "landed")
-    seen.select(*SIGHTING.names).write.parquet(landed)
-    landed = spark.read.schema(SIGHTING).parquet(landed)
-    half = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    landed = settle(seen.select(*SIGHTING.names), "landed")
+    half = F.lit(HALF).cast("timestamp")
     for wave in (F.col("run_ts") < half, F.col("run_ts") >= half):
         landed.filter(wave).write.mode("append").parquet(source)
         stream = spark.readStream.schema(SIGHTING).parquet(source)
-        (
-            stream_changes(stream, (STATUS, AUCTION))
-            .writeStream.format("parquet")
-            .option("path", out)
-            .option("checkpointLocation", progress)
-            .trigger(availableNow=True)
-            .start()
-            .awaitTermination()
-        )
-    return fx.plain(spark.read.schema(CHANGES).parquet(out))
+        stream_items(stream, states, (STATUS, AUCTION), progress).awaitTermination()
+    return fx.plain(states.changes())
 
 
 QUERIES = {

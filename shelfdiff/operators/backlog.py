@@ -99,6 +99,35 @@ def backlog_rows(
     items = own.select("item_id").distinct()
     rows = sightings.unionByName(_stored(stored, items, first_clean, clean, profile, broadcast_rows))
 
+    return after_each(rows, profile)
+
+
+def sighting_rows(
+    listing: Layered, sightings: DataFrame, profile: Profile, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The same for sightings that know the clean run before their own (`last_stable`), in
+    no order and of any runs; absence says nothing. Sightings that are no newer than what is
+    stored of their item are left out."""
+    own = sightings.filter(F.col("site") == profile.site)
+    now = own.select(
+        "item_id",
+        F.lit(False).alias("stored"),
+        "run_ts",
+        "last_stable",
+        F.lit(None).cast("timestamp").alias("missed_by"),
+        *[F.col("run_ts").alias(c) if c == "record_ts" else F.col(c) for c in _STATE],
+    )
+    before = listing.whole().filter(F.col("site") == profile.site)
+    known = _stored(before, own.select("item_id").distinct(), None, None, profile, broadcast_rows)
+    rows = now.unionByName(known)
+    stored_ts = F.max(F.when(F.col("stored"), F.col("run_ts"))).over(Window.partitionBy("item_id"))
+    newer = F.col("stored") | F.col("_stored_ts").isNull() | (F.col("run_ts") > F.col("_stored_ts"))
+    return after_each(rows.withColumn("_stored_ts", stored_ts).filter(newer).drop("_stored_ts"), profile)
+
+
+def after_each(rows: DataFrame, profile: Profile) -> DataFrame:
+    """One window per item over stored rows and sightings: the listing after each of them
+    and the changes found there."""
     by_item = Window.partitionBy("item_id").orderBy("run_ts")
     so_far = by_item.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({"p_ts": F.lag("run_ts").over(by_item), "n_ts": F.lead("run_ts").over(by_item)})

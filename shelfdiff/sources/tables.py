@@ -12,10 +12,8 @@ Layout below one root folder:
     skipped                   announced runs that came too late or from unknown sites
     layout                    the number of buckets of bases and snapshots
 
-A commit writes as many rows as its snapshot has, whatever the size of the listing: one
-delta. The listing is the newest base with the newest row of each item of the deltas since.
-Deltas are folded into one when there are `FOLD` of them, and into a new base when they
-hold a fair share of its rows, so reading stays cheap and each row is rewritten seldom.
+A commit writes as many rows as its snapshot has, whatever the size of the listing: see
+`shelfdiff.sources.layered`.
 
 The names of log layers tell the newest run and the newest clean run of a site: opening a
 run reads no file at all. A run counts once its log row is there. Runs of a site are
@@ -27,9 +25,7 @@ last committed state in force. One writer at a time is assumed for each site.
 from __future__ import annotations
 
 import hashlib
-import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import datetime
 from functools import cached_property
@@ -43,13 +39,10 @@ from shelfdiff.functions.times import as_utc, from_micros, micros
 from shelfdiff.operators.detect import Layered, Run, open_run
 from shelfdiff.schema import CHANGES, LISTING, OBSERVATION, RULES, RUN_LOG, table_schema
 from shelfdiff.session import settle
+from shelfdiff.sources import layered as rows_of
 from shelfdiff.sources import layers as ly
-from shelfdiff.sources.layers import NO_MARK, Layer, new_layer, version_name, version_time
-
-# Deltas or log layers of a site before they are folded into one.
-FOLD = 16
-# A new base is written when deltas hold one row for so many of the base.
-BASE_SHARE = 4
+from shelfdiff.sources.layered import LayeredTable, bucketed_ddl
+from shelfdiff.sources.layers import NO_MARK, new_layer, version_name, version_time
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -107,10 +100,7 @@ class Store:
         return f"{self.root}/snapshots"
 
     def _log_folder(self, site: str) -> str:
-        return f"{self.root}/run_log/{_escaped(site)}"
-
-    def _listing_folder(self, site: str) -> str:
-        return f"{self.root}/listing/{_escaped(site)}"
+        return f"{self.root}/run_log/{escaped(site)}"
 
     @cached_property
     def buckets(self) -> int:
@@ -195,7 +185,7 @@ class Store:
         layer = new_layer(folder, "log", version_name(first), version_name(last), mark)
         rows.coalesce(1).write.parquet(layer.path)
         kept = ly.widest([*ly.complete(self.spark, old), layer])
-        if len(kept) < FOLD:
+        if len(kept) < rows_of.FOLD:
             return
         # What earlier folds have replaced goes now; what this one replaces stays for
         # readers that have begun.
@@ -258,12 +248,12 @@ class Store:
         """The folder's name in the catalog: one per store, as plans look partitions up
         when they run."""
         name = f"shelfdiff_snapshots_{hashlib.md5(self.snapshot_path.encode()).hexdigest()}"
-        ddl = _bucketed_ddl(OBSERVATION, self.buckets, self.snapshot_path, RUN_KEYS)
+        ddl = bucketed_ddl(OBSERVATION, self.buckets, self.snapshot_path, RUN_KEYS)
         self.spark.sql(f"create table if not exists {name} {ddl}")
         return name
 
     def _run_folder(self, table: str, site: str, run_ts: datetime) -> str:
-        return f"{table}/site={_escaped(site)}/run_ts={_escaped(_run_text(run_ts))}"
+        return f"{table}/site={escaped(site)}/run_ts={escaped(_run_text(run_ts))}"
 
     def landed(self, site: str, run_ts: datetime) -> bool:
         """Whether a snapshot of this run was written, be it empty."""
@@ -309,7 +299,7 @@ class Store:
         ly.remove_paths(self.spark, [self._run_folder(self.change_path, site, ts) for ts in runs])
         # Below the site's own folder: other sites are written at the same time.
         rows = changes.drop("site").hint("rebalance", "run_ts").write.partitionBy("run_ts")
-        rows.mode("append").parquet(f"{self.change_path}/site={_escaped(site)}")
+        rows.mode("append").parquet(f"{self.change_path}/site={escaped(site)}")
 
     def changes_of(self, site: str, run_ts: datetime) -> DataFrame:
         return self._of_run(self.change_path, CHANGES, site, run_ts)
@@ -334,6 +324,9 @@ class Store:
 
     # The listing.
 
+    def _listing(self, site: str) -> LayeredTable:
+        return LayeredTable(self.spark, f"{self.root}/listing/{escaped(site)}", self.buckets)
+
     def listing(self, site: str, newest: datetime | None = None) -> DataFrame:
         """A site's listing as of its newest committed run, clean or not; pass `newest` if
         it is known already."""
@@ -343,16 +336,11 @@ class Store:
         """The same as a base and the rows that later runs have touched: what is joined to
         it item by item then leaves the base where it is."""
         newest = newest or self.head(site).newest
-        empty = self.spark.createDataFrame([], LISTING)
         if newest is None:
-            return Layered(empty)
-        base, deltas = self._layers(site, newest)
-        whole = self._read_base(base).select(*LISTING.names) if base else empty
-        if not deltas:
-            return Layered(whole)
+            return Layered(self.spark.createDataFrame([], LISTING))
         # Of a delta of several runs only those up to this one count.
-        rows = self._read_deltas(deltas).filter(F.coalesce(F.col("update_ts") <= F.lit(newest), F.lit(True)))
-        return Layered(whole, _newest_rows(rows))
+        upto = F.coalesce(F.col("update_ts") <= F.lit(newest), F.lit(True))
+        return self._listing(site).read(version_name(newest), upto)
 
     def version(self, site: str, run_ts: datetime) -> DataFrame:
         """The listing as of an earlier run; empty if that has expired."""
@@ -363,32 +351,9 @@ class Store:
         groups whose bloom filters have the id."""
         return self.layered(site).map(lambda rows: rows.filter(F.col("item_id") == F.lit(item_id))).whole()
 
-    def _layers(self, site: str, newest: datetime) -> tuple[Layer | None, list[Layer]]:
-        """The base and the deltas that make up the listing as of a run. A delta that was
-        written by several runs serves each of them; a folded one has but the last rows."""
-        upto = version_name(newest)
-        found = ly.all_layers(self.spark, self._listing_folder(site))
-        base = ly.newest_layer(ly.complete(self.spark, [x for x in found if x.kind == "base" and x.last <= upto]))
-        since = [x for x in found if base is None or x.last > base.last]
-        deltas = [x for x in since if x.kind == "delta" and x.first <= upto]
-        folded = [x for x in since if x.kind == "fold" and x.last <= upto and (base is None or x.first > base.last)]
-        return base, ly.widest(ly.complete(self.spark, [*deltas, *folded]))
-
-    def _read_base(self, base: Layer) -> DataFrame:
-        with self._registered(base.path) as name:
-            return self.spark.table(name)
-
-    def _read_deltas(self, deltas: list[Layer]) -> DataFrame:
-        return self.spark.read.schema(VERSION).parquet(*[x.path for x in deltas])
-
     def write_version(self, version: DataFrame, site: str, run_ts: datetime) -> DataFrame:
-        """Write a complete listing as a base, bucketed and sorted by item: joins read it
-        without a shuffle, a lookup reads one bucket. Returns it as read back."""
-        name = version_name(run_ts)
-        layer = new_layer(self._listing_folder(site), "base", name, name)
-        with self._registered(layer.path) as table:
-            version.select(*LISTING.names).write.mode("overwrite").insertInto(table)
-            return self.spark.table(table)
+        """Write a complete listing as of a run and return it as read back."""
+        return self._listing(site).write_base(version, version_name(run_ts))
 
     def write_delta(
         self, rows: DataFrame, site: str, first: datetime, last: datetime | None = None
@@ -396,37 +361,14 @@ class Store:
         """Write the rows that the runs first..last touch, one per item and run, with the
         changes they stand for, and return them as read back. What an unfinished commit
         left is removed first."""
-        folder = self._listing_folder(site)
         newest = self.head(site).newest
-        upto = version_name(newest) if newest else ""
-        ly.remove(self.spark, [x for x in ly.all_layers(self.spark, folder) if x.last > upto])
-        layer = new_layer(folder, "delta", version_name(first), version_name(last or first))
-        self._write_rows(rows.select(*VERSION.names), layer)
-        return self._read_deltas([layer])
-
-    def _write_rows(self, rows: DataFrame, layer: Layer) -> None:
-        """Files by bytes, not by shuffle partitions, with bloom filters on the item."""
-        whole = rows.hint("rebalance").sortWithinPartitions("item_id")
-        whole.write.option("parquet.bloom.filter.enabled#item_id", "true").parquet(layer.path)
+        self._listing(site).drop_after(version_name(newest) if newest else "")
+        return self._listing(site).write_delta(rows, version_name(first), version_name(last or first))
 
     def fold(self, site: str, base: bool | None = None) -> str | None:
-        """Fold the deltas of a site into one, or into a new base if they hold a fair share
-        of its rows; `base` tells which to do anyway. Returns the kind of the new layer."""
+        """Fold a site's deltas if there are many, or anyway: see `LayeredTable.fold`."""
         newest = self.head(site).newest
-        old, deltas = self._layers(site, newest) if newest else (None, [])
-        if not deltas or base is None and len(deltas) < FOLD:
-            return None
-        rows = self._read_deltas(deltas)
-        if base is None:
-            # Counts come from the footers of the files.
-            base = old is None or rows.count() * BASE_SHARE >= self._read_base(old).count()
-        if base:
-            self.write_version(self.layered(site, newest).whole(aligned=True), site, newest)
-            return "base"
-        layer = new_layer(self._listing_folder(site), "fold", deltas[0].first, deltas[-1].last)
-        found = F.lit(None).cast(VERSION["found"].dataType).alias("found")
-        self._write_rows(_newest_rows(rows).select("*", found), layer)
-        return "fold"
+        return self._listing(site).fold(version_name(newest), base) if newest else None
 
     def expire(self, site: str, keep: int = 3, since: datetime | None = None) -> int:
         """Remove what only listings older than the newest `keep` runs need; returns how
@@ -444,68 +386,18 @@ class Store:
             old = old.filter(F.col("run_ts") >= F.lit(since))
         n = old.count()
         if n:
-            name = version_name(oldest)
-            base, _ = self._layers(site, oldest)
-            if base is None or base.last != name:
-                self.write_version(self.layered(site, oldest).whole(aligned=True), site, oldest)
-            found = ly.all_layers(self.spark, self._listing_folder(site))
-            for x in found:
-                if x.kind == "delta" and x.first <= name < x.last:
-                    self._trim(x, site, oldest)
-            gone = [x for x in found if x.last < name or x.kind != "base" and x.first <= name]
-            ly.remove(self.spark, gone)
+            after = runs.filter(F.col("run_ts") > F.lit(oldest)).agg(micros(F.min("run_ts")))
+            first = from_micros(after.first()[0])
+            kept_rows = F.coalesce(F.col("update_ts") > F.lit(oldest), F.lit(False))
+            self._listing(site).forget(version_name(oldest), kept_rows, first and version_name(first))
         return n
 
-    def _trim(self, delta: Layer, site: str, upto: datetime) -> None:
-        """Write the part of a delta of several runs that comes after one of them."""
-        later = self.run_log().filter((F.col("site") == site) & (F.col("run_ts") > F.lit(upto)))
-        first = from_micros(later.agg(micros(F.min("run_ts"))).first()[0])
-        layer = new_layer(delta.folder, "delta", version_name(first), delta.last)
-        self._write_rows(self._read_deltas([delta]).filter(F.col("update_ts") > F.lit(upto)), layer)
-
-    @contextmanager
-    def _registered(self, path: str) -> Iterator[str]:
-        """A name in the catalog while a plan is built on a base, as Spark knows
-        bucketing through the catalog only. Dropping the name of an external table leaves
-        its files, and plans made meanwhile keep them."""
-        name = f"shelfdiff_version_{uuid.uuid4().hex}"
-        self.spark.sql(f"create table {name} {_bucketed_ddl(LISTING, self.buckets, path)}")
-        try:
-            yield name
-        finally:
-            self.spark.sql(f"drop table {name}")
-
-
-VERSION = T.StructType([*LISTING, T.StructField("found", T.ArrayType(CHANGES))])
-
-
-def _newest_rows(deltas: DataFrame) -> DataFrame:
-    """The newest row of each item. A run's row of an item it has not seen, but reports as
-    gone, is that of the last sighting: equal times have equal rows."""
-    rest = [c for c in LISTING.names if c != "item_id"]
-    newest = deltas.groupBy("item_id").agg(F.max_by(F.struct(*rest), "update_ts").alias("_newest"))
-    return newest.select(*[F.col("item_id") if c == "item_id" else F.col(f"_newest.{c}") for c in LISTING.names])
-
 
 RUN_KEYS = ("site", "run_ts")
 LOGGED = T.StructType([*RUN_LOG, T.StructField("batch", T.StringType())])
 SKIPPED = table_schema("site string, run_ts timestamp, reason string")
 
 
-def _bucketed_ddl(
-    schema: T.StructType, buckets: int, path: str, partitions: tuple[str, ...] = ()
-) -> str:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    split = f"partitioned by ({', '.join(partitions)})" if partitions else ""
-    # An insert replaces the partitions it has rows for. This must be a table option:
-    # the writer's own options do not reach an insert.
-    split = f"options (partitionOverwriteMode 'dynamic') {split}" if partitions else ""
-    return (
-        f"({columns}) using parquet {split} clustered by (item_id) sorted by (item_id)"
-        f" into {buckets} buckets location '{path}'"
-    )
-
-
 def _run_text(run_ts: datetime) -> str:
     """A run's time as Spark writes it in a UTC session."""
     utc = as_utc(run_ts)
@@ -519,7 +411,7 @@ def _run_text(run_ts: datetime) -> str:
 ESCAPED = frozenset("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
 
 
-def _escaped(value: str) -> str:
+def escaped(value: str) -> str:
     """A partition value as it stands in the name of its folder."""
     if not value:
         return "__HIVE_DEFAULT_PARTITION__"

@@ -1,109 +1,101 @@
 """Change events per item from a stream of sightings, for rules that need no absence.
 
-State per item is its last sighting and its first texts. The state operator only puts the
-stored values beside the new ones; the profile's rules then run as SQL, the same text as
-in batch. A site where absence counts needs whole runs: see `shelfdiff.streaming.runs`.
+What is known of an item is its last sighting and its first texts. That state is a table: a
+delta for each micro-batch, folded into a bucketed base, below a folder that all executors
+share. A micro-batch looks up just its own items there, so an item that comes back after
+years is known as it was: nothing expires, no executor holds state, and all work is joins
+and windows. The profile's rules run as SQL, the same text as in batch. A site where absence
+counts needs whole runs: see `shelfdiff.streaming.runs`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StreamingQuery
 
-from shelfdiff.operators.emit import emit_changes
+from shelfdiff.operators.backlog import sighting_rows
+from shelfdiff.operators.merge import changes_of
 from shelfdiff.profiles import Profile
-from shelfdiff.schema import MEASURES, OBSERVATION, TEXT_COLUMNS
-from shelfdiff.session import ship
-
-ITEM = ("site", "item_id")
+from shelfdiff.schema import CHANGES, MEASURES, OBSERVATION
+from shelfdiff.sources import layers as ly
+from shelfdiff.sources.layered import LayeredTable
+from shelfdiff.sources.tables import escaped
 
 # A sighting knows the clean run before its own run: the log is complete when a run starts.
 SIGHTING = T.StructType([*OBSERVATION, T.StructField("last_stable", T.TimestampType())])
 
-# Times cross into the state operator as microseconds: exact, and free of time zones.
-TIMES = ("run_ts", "end_ts", "last_stable")
-
-
-def _as_micros(schema: T.StructType) -> T.StructType:
-    micros = T.TimestampType()
-    return T.StructType(
-        [T.StructField(f.name, T.LongType() if f.dataType == micros else f.dataType) for f in schema]
-    )
-
-
-_TYPES = {f.name: f.dataType for f in OBSERVATION}
-STATE = T.StructType(
-    [
-        T.StructField("p_ts", T.LongType()),
-        *[T.StructField(f"p_{c}", _TYPES[c]) for c in MEASURES],
-        *[T.StructField(f"first_{c}", _TYPES[c]) for c in TEXT_COLUMNS],
-    ]
-)
-BESIDE = T.StructType([*_as_micros(SIGHTING), *STATE])
-
-
-class PreviousSighting(StatefulProcessor):
-    """Emit each sighting with the item's stored values, then store it. With `ttl_ms`, an
-    item that long unseen is forgotten, and new when it comes back."""
-
-    def __init__(self, ttl_ms: int | None = None) -> None:
-        self._ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._last = handle.getValueState("last", STATE, self._ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        # At most one row per run of the batch: runs are de-duplicated.
-        stored = self._last.get() if self._last.exists() else None
-        state = dict(zip(STATE.names, stored)) if stored is not None else {}
-        for row in sorted(rows, key=lambda r: r["run_ts"]):
-            if state and row["run_ts"] <= state["p_ts"]:
-                continue
-            now = {c: row[c] for c in SIGHTING.names}
-            texts = {f"first_{c}": state.get(f"first_{c}") if state else row[c] for c in TEXT_COLUMNS}
-            before = {c: state.get(c) for c in STATE.names if c not in texts}
-            yield Row(**now, **before, **texts)
-            state = {"p_ts": row["run_ts"], **{f"p_{c}": row[c] for c in MEASURES}, **texts}
-        if state:
-            self._last.update(tuple(state[c] for c in STATE.names))
-
-    def close(self) -> None: ...
-
-
-def stream_changes(
-    sightings: DataFrame, profiles: Iterable[Profile], ttl_ms: int | None = None
-) -> DataFrame:
-    """Changes of de-duplicated sightings (`SIGHTING` columns), as a streaming DataFrame.
-    `ttl_ms` bounds the state to items seen within that processing time.
-
-    Needs the RocksDB state store:
-    spark.sql.streaming.stateStore.providerClass =
-    org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider
-    """
-    ship(sightings.sparkSession)
-    beside = (
-        sightings.select(*SIGHTING.names)
-        .withColumns({c: F.unix_micros(c) for c in TIMES})
-        .groupBy(*ITEM)
-        .transformWithState(
-            statefulProcessor=PreviousSighting(ttl_ms),
-            outputStructType=BESIDE,
-            outputMode="Append",
-            timeMode="None" if ttl_ms is None else "ProcessingTime",
+SITES_AT_ONCE = 8
+
+
+@dataclass(frozen=True)
+class ItemStates:
+    """State and changes below `root`. `buckets` is that of the bases and stays the same."""
+
+    spark: SparkSession
+    root: str
+    buckets: int = 64
+
+    def states(self, site: str) -> LayeredTable:
+        return LayeredTable(self.spark, f"{self.root}/states/{escaped(site)}", self.buckets)
+
+    def changes(self) -> DataFrame:
+        """The changes of all batches whose output is complete."""
+        sites = ly.child_names(self.spark, f"{self.root}/changes")
+        batches = [f"{self.root}/changes/{s}/{b}" for s in sites for b in ly.child_names(self.spark, f"{self.root}/changes/{s}")]
+        done = [path for path in batches if ly.exists(self.spark, f"{path}/_SUCCESS")]
+        if not done:
+            return self.spark.createDataFrame([], CHANGES)
+        return self.spark.read.schema(CHANGES).parquet(*done)
+
+    def take(self, sightings: DataFrame, profiles: Iterable[Profile], mark: str) -> None:
+        """Judge a batch of sightings and remember them, all sites at once. The same batch
+        (`mark`) again writes what it wrote before."""
+        profiles = list(profiles)
+        rows = sightings.select(*SIGHTING.names).persist()
+        try:
+            with ThreadPoolExecutor(SITES_AT_ONCE) as pool:
+                list(pool.map(lambda p: self._take_site(rows, p, mark), profiles))
+        finally:
+            rows.unpersist()
+
+    def _take_site(self, rows: DataFrame, profile: Profile, mark: str) -> None:
+        table = self.states(profile.site)
+        found = ly.complete(self.spark, table.all())
+        own = [x for x in found if x.kind == "delta" and x.mark == mark]
+        if own:
+            name, touched = own[0].last, table.read_deltas(own)
+        else:
+            newest = max((x.last for x in found), default="")
+            name = f"{int(newest or 0) + 1:012d}"
+            # Every measure is remembered as last seen, as over a history.
+            whole = replace(profile, update_cols=(*MEASURES, "end_ts"), gone_kind=None)
+            known = table.read(newest)
+            touched = table.write_delta(sighting_rows(known, rows, whole), name, name, mark)
+        out = f"{self.root}/changes/{escaped(profile.site)}/{mark}"
+        changes_of(touched).hint("rebalance").write.mode("overwrite").parquet(out)
+        table.fold(name)
+
+
+def stream_items(
+    sightings: DataFrame, states: ItemStates, profiles: Iterable[Profile], checkpoint: str
+) -> StreamingQuery:
+    """Start judging de-duplicated sightings (`SIGHTING` columns) from a stream, until all
+    there are is taken; the changes are in `states.changes()`. A batch that is repeated
+    after a failure counts once: it is known by the last part of `checkpoint` and its
+    number."""
+    profiles = list(profiles)
+    name = escaped(checkpoint.rstrip("/").rsplit("/", 1)[-1]).replace("_", "-")
+    return (
+        sightings.writeStream.foreachBatch(
+            lambda rows, batch: states.take(rows, profiles, f"{name}.{batch}")
         )
-        .withColumns({c: F.timestamp_micros(c) for c in (*TIMES, "p_ts")})
-    )
-    judged = beside.withColumns(
-        {
-            "judged": F.col("last_stable").isNotNull(),
-            "gone_at": F.lit(None).cast("timestamp"),
-        }
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    return emit_changes(judged, profiles)
-
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

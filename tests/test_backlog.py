@@ -13,7 +13,7 @@ from shelfdiff.functions.times import as_utc
 from shelfdiff.plans.run import commit_runs, run_snapshot
 from shelfdiff.schema import CHANGES, LISTING, RUN_LOG
 from shelfdiff.sources import layers as ly
-from shelfdiff.sources import tables
+from shelfdiff.sources import layered as rows_of
 from shelfdiff.sources.tables import Store
 from shelfdiff.streaming.runs import commit_arrivals
 
@@ -88,17 +88,17 @@ def test_a_commit_writes_what_its_snapshot_touches(spark, tmp_path):
     for rows in snapshots:
         run = store.open_run(profile.site, rows[0]["ts"])
         run_snapshot(store, observations(spark, profile.site, rows), profile, run, commit=True)
-    folder = store._listing_folder(profile.site)
-    written = {x.first: spark.read.parquet(x.path).count() for x in ly.all_layers(spark, folder)}
+    layers = store._listing(profile.site).all()
+    written = {x.first: spark.read.parquet(x.path).count() for x in layers}
     assert list(written.values()) == [5000, 20, 20]
     assert store.listing(profile.site).count() == 5000
     # One file for a small commit, whatever the number of buckets.
-    small = [x for x in ly.all_layers(spark, folder) if written[x.first] == 20]
+    small = [x for x in layers if written[x.first] == 20]
     assert all(len(spark.read.parquet(x.path).inputFiles()) == 1 for x in small)
 
 
 def test_deltas_are_folded_and_read_alike(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "FOLD", 3)
+    monkeypatch.setattr(rows_of, "FOLD", 3)
     profile = KINDS["status"]
     store = Store(spark, str(tmp_path), new_buckets=4)
     store.write_version(spark.createDataFrame([], LISTING), profile.site, START - HOUR)
@@ -107,7 +107,7 @@ def test_deltas_are_folded_and_read_alike(spark, tmp_path, monkeypatch):
         rows = [{"ts": START + HOUR * n, "item": f"i{k}", "price": n} for k in range(n, n + 3)]
         run = store.open_run(profile.site, rows[0]["ts"])
         run_snapshot(store, observations(spark, profile.site, rows), profile, run, commit=True)
-        kinds.append(sorted(x.kind for x in ly.all_layers(spark, store._listing_folder(profile.site))))
+        kinds.append(sorted(x.kind for x in store._listing(profile.site).all()))
     assert "fold" in sum(kinds, []) or kinds[-1].count("base") > 1
     state = {r["item_id"]: (r["price"], r["update_ts"]) for r in store.listing(profile.site).collect()}
     assert state == {f"i{k}": (min(k, 6), START + HOUR * min(k, 6)) for k in range(9)}
@@ -128,7 +128,7 @@ def test_an_unfinished_commit_is_not_read_and_goes(spark, tmp_path):
         lost = store.listing(profile.site).withColumns({"price": F.lit(99).cast("long"), "found": F.lit(None)})
         store.write_delta(lost.withColumn("update_ts", F.lit(START + HOUR * (n + 1))), profile.site, START + HOUR * (n + 1))
         assert store.listing(profile.site).first()["price"] == price
-    names = [x.last for x in ly.all_layers(spark, store._listing_folder(profile.site))]
+    names = [x.last for x in store._listing(profile.site).all()]
     assert len(names) == 3  # the first unfinished one is gone
 
 
@@ -141,7 +141,7 @@ def test_one_item_is_found_in_one_bucket(spark, tmp_path):
     store.fold(profile.site, base=True)
     late = observations(spark, profile.site, [{"ts": START + HOUR, "item": "i00007", "price": 1}])
     run_snapshot(store, late, profile, store.open_run(profile.site, START + HOUR), commit=True)
-    base = next(x for x in ly.all_layers(spark, store._listing_folder(profile.site)) if x.kind == "base")
+    base = next(x for x in store._listing(profile.site).all() if x.kind == "base")
     files = [str(f) for f in Path(base.path).glob("part-*.parquet")]
     others = [f for f in files if spark.read.parquet(f).filter("item_id = 'i00005'").isEmpty()]
     assert len(files) == 8 and len(others) == 7
@@ -178,7 +178,7 @@ def test_a_long_log_opens_a_run_without_reading_it(spark, tmp_path):
 
 
 def test_log_layers_are_folded(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "FOLD", 4)
+    monkeypatch.setattr(rows_of, "FOLD", 4)
     store = Store(spark, str(tmp_path))
     for n in range(10):
         run = store.open_run("s", START + HOUR * n, n % 2)
