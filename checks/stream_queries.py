@@ -13,6 +13,7 @@ from shelfdiff.plans.run import run_snapshot
 from shelfdiff.schema import LISTING, RUN_LOG
 from shelfdiff.session import scratch_path, settle
 from shelfdiff.sources.tables import Store
+from shelfdiff.streaming.closings import stream_closings
 from shelfdiff.streaming.items import SIGHTING, ItemStates, stream_items
 from shelfdiff.streaming.runs import ARRIVAL, stream_runs
 
@@ -111,7 +112,34 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.plain(states.changes())
 
 
+# A run that comes after later ones, but within the watermark's delay.
+LATE_RUN, DELAY_DAYS = "2024-01-13 00:00:00", 3
+
+
+def closings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Auctions that ended, with one run coming late and the stream stopped and resumed."""
+    source, out, progress = (scratch_path(spark, x) for x in ("sightings", "closings", "progress"))
+    landed = settle(fx.snapshots(spark, sf_dir, (C,), fine=True), "landed")
+    half, late = (F.lit(x).cast("timestamp") for x in (HALF, LATE_RUN))
+    early = (F.col("run_ts") < half) & (F.col("run_ts") != late)
+    for wave in (early, ~early):
+        landed.filter(wave).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(landed.schema).parquet(source)
+        (
+            stream_closings(stream, f"{DELAY_DAYS} days")
+            .writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", progress)
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    found = spark.read.parquet(out)
+    return fx.plain(found.select("item_id", "run_ts", "title", "price", "bid_num", "end_ts", "ended"))
+
+
 QUERIES = {
+    "stream_ended": closings,
     "stream_runs": _runs(A),
     "stream_runs_b": _runs(B),
     "stream_runs_c": _runs(C),
@@ -126,6 +154,13 @@ QUERIES = {
 }
 
 ORACLES = {
+    "stream_ended": fx.plain_sql(
+        "with " + fx.views(fine=True) + " select item_id, " + fx.time_text("run_ts")
+        + ", title, price, bid_num, " + fx.time_text("end_ts") + ", true as ended from seq"
+        " where (n_ts is null or n_ts > end_ts)"
+        f" and end_ts < (select max(run_ts) from runs) - interval {DELAY_DAYS} day",
+        "bid_num",
+    ),
     "stream_runs": f"select * from ({REPLAY['run_log']}) where site = '{A}'",
     "stream_runs_b": f"select * from ({REPLAY['run_log']}) where site = '{B}'",
     "stream_runs_c": f"select * from ({REPLAY['run_log']}) where site = '{C}'",
