@@ -5,16 +5,18 @@ Each page is parsed in one pass over its tags, in whatever partition Spark put i
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Callable, Iterator
 from html import unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfdiff.session import ship
+from shelfdiff.sources.markup import raw_end, tags
+from shelfdiff.sources.parsers import ATTRIBUTES
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
@@ -27,11 +29,7 @@ AUCTION_FIELDS = ("id", "sellerid", "price", "buynowprice", "endtime", "title",
 # Elements whose content is no markup.
 RAW = ("script", "style")
 
-_MARKUP = re.compile(
-    r"""<!--.*?-->|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*>""", re.S
-)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -51,6 +49,7 @@ class _Walker:
 
     def __init__(self) -> None:
         self.open: list[str] = []
+        self._count: dict[str, int] = {}  # open elements by tag
 
     def entered(self, tag: str, attrs: dict[str, str]) -> None: ...
 
@@ -63,32 +62,36 @@ class _Walker:
 
     def feed(self, page: str) -> None:
         at = 0
-        while found := _MARKUP.search(page, at):
-            if found.start() > at and self.listens():
-                self.heard(unescape(page[at : found.start()]))
-            at = found.end()
-            if not found[2]:
+        for start, end, closes, name, attributes in tags(page):
+            if start < at:
+                continue  # inside an element without markup
+            if start > at and self.listens():
+                self.heard(unescape(page[at:start]))
+            at = end
+            if not name:
                 continue
-            tag = found[2].lower()
-            if found[1]:
+            tag = name.lower()
+            if closes:
                 self._end(tag)
                 continue
-            self.entered(tag, _attributes(found[3]) if self.reads is None or tag in self.reads else {})
+            self.entered(tag, _attributes(attributes) if self.reads is None or tag in self.reads else {})
             if tag in RAW:
-                close = _RAW_END[tag].search(page, at)
-                at = close.end() if close else len(page)
+                at = raw_end(page, tag, at)
             elif tag not in VOID:
                 self.open.append(tag)
+                self._count[tag] = self._count.get(tag, 0) + 1
         if at < len(page) and self.listens():
             self.heard(unescape(page[at:]))
 
     def _end(self, tag: str) -> None:
-        if tag in self.open:
-            while self.open:
-                closed = self.open.pop()
-                self.left(len(self.open))
-                if closed == tag:
-                    break
+        if not self._count.get(tag):
+            return
+        while self.open:
+            closed = self.open.pop()
+            self._count[closed] -= 1
+            self.left(len(self.open))
+            if closed == tag:
+                break
 
 
 class _Products(_Walker):
@@ -118,23 +121,20 @@ class _Products(_Walker):
                 block["_promoted"] = True
             if "_div" not in block:
                 block["_div"] = True
-                for name in ("id", "sellerid", "price", "buynowprice", "endtime"):
-                    if f"data-auction-{name}" in attrs:
-                        block[name] = attrs[f"data-auction-{name}"]
+                self._keep(attrs, "div")
         elif tag == "h3" and "_h3" not in block:
             block["_h3"], self._heading = True, len(self.open)
         elif tag == "a" and self._heading >= 0 and "_a" not in block:
             block["_a"] = True
-            for name, key in (
-                ("title", "data-auction-title"),
-                ("href", "href"),
-                ("img", "data-auction-img"),
-            ):
-                if key in attrs:
-                    block[name] = attrs[key]
+            self._keep(attrs, "link")
         elif tag == "span" and "Product__bid" in css and "bid" not in block:
             block["bid"], self._bid = "", len(self.open)
 
+    def _keep(self, attrs: dict[str, str], of: str) -> None:
+        for field, (tag, name) in ATTRIBUTES.items():
+            if tag == of and name in attrs:
+                self._block[field] = attrs[name]
+
     def left(self, depth):
         if self._block is None:
             return
@@ -175,11 +175,14 @@ def auction_column(body: Column) -> Column:
     if spark is not None:
         ship(spark)
 
-    @F.pandas_udf("string")
-    def found(bodies: pd.Series) -> pd.Series:
-        return bodies.map(lambda b: json.dumps(auction_items(b)), na_action="ignore")
+    items = pa.list_(pa.map_(pa.string(), pa.string()))
+
+    @F.arrow_udf("array<map<string,string>>")
+    def found(bodies: pa.Array) -> pa.Array:
+        pages = (b.as_py() for b in bodies)
+        return pa.array([None if p is None else [list(i.items()) for i in auction_items(p)] for p in pages], items)
 
-    return F.from_json(found(body), "array<map<string,string>>")
+    return found(body)
 
 
 class _Links(_Walker):

@@ -77,8 +77,8 @@ _LINK = rf"(?s){_tag('h3')}.*?{_tag('a')}"
 _BID = rf"(?s){_tag('span', 'Product__bid')}(.*?)</span>"
 
 
-# Where each field comes from: (tag, attribute).
-_ATTRIBUTES = {
+# Where each field comes from (tag, attribute).
+ATTRIBUTES = {
     "id": ("div", "data-auction-id"),
     "sellerid": ("div", "data-auction-sellerid"),
     "price": ("div", "data-auction-price"),
@@ -106,14 +106,14 @@ def _quoted_values(tags: Column) -> Column:
         pattern = rf"""(?s)(?:^|\s){name}\s*=\s*("[^"]*"|'[^']*')"""
         return F.regexp_extract(tags[tag], pattern, 1)
 
-    values = [quoted(*source).alias(field) for field, source in _ATTRIBUTES.items()]
+    values = [quoted(*source).alias(field) for field, source in ATTRIBUTES.items()]
     bid = F.regexp_replace(tags["bid"], r"<[^>]*>", "")
     return F.struct(*values, bid.alias("bid"), (tags["bid"] != "").alias("has_bid"))
 
 
 def _html_item(values: Column) -> Column:
     pairs = {}
-    for field in _ATTRIBUTES:
+    for field in ATTRIBUTES:
         quoted = values[field]
         inner = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
         pairs[field] = F.when(quoted != "", tx.unescape_html(inner))
