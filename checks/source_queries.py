@@ -125,10 +125,15 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payload(docs, C, body, F.col("doc_id"))
 
 
-def event_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
+def event_pages(spark: SparkSession, sf_dir: str, site: str, errors: bool = True) -> DataFrame:
+    """A page per event. Without `errors` all pages list their item with its price; those
+    of faulty days are cut off in any case, or were not fetched where cutting HTML would
+    leave readable pages."""
     e = fx.events(spark, sf_dir)
     cents = F.round(F.col("value") * 100).cast("bigint")
-    price = F.when(F.col("event_type") != "error", cents)
+    price = F.when(F.col("event_type") != "error", cents) if errors else cents
+    user = F.col("user_id").cast("string")
+    head = tail = ""
     if site == A:
         item = F.struct(
             F.col("user_id").alias("itemid"),
@@ -138,30 +143,50 @@ def event_pages(spark: SparkSession, sf_dir: str, site: str) -> DataFrame:
             price.alias("price"),
         )
         inner = F.struct(F.struct(F.array(item).alias("items")).alias("result"))
-        listed = F.struct((F.hour("ts") + 1).alias("last_page"), inner.alias("kotohaco"))
-        bare = F.struct((F.hour("ts") + 1).alias("last_page"))
+        listed = F.to_json(F.struct((F.hour("ts") + 1).alias("last_page"), inner.alias("kotohaco")))
+        bare = F.to_json(F.struct((F.hour("ts") + 1).alias("last_page")))
         head, tail = "callback(", ");"
-    else:
+    elif site == B:
+        status = F.lit("on_sale") if errors else F.when(F.col("event_type") != "purchase", "on_sale").otherwise("sold_out")
         item = F.struct(
-            F.col("user_id").cast("string").alias("id"),
+            user.alias("id"),
             F.struct(F.col("event_type").alias("id")).alias("seller"),
             F.col("event_type").alias("name"),
             F.array(F.lit("https://t.example/a.jpg")).alias("thumbnails"),
             price.alias("price"),
-            F.lit("on_sale").alias("status"),
+            status.alias("status"),
         )
-        listed, bare = F.struct(F.array(item).alias("data")), F.struct(F.lit("none").alias("error"))
-        head = tail = ""
-    text = F.when(F.col("event_type") == "click", F.to_json(bare)).otherwise(F.to_json(listed))
+        listed, bare = F.to_json(F.struct(F.array(item).alias("data"))), F.to_json(F.struct(F.lit("none").alias("error")))
+    else:
+        bids = F.when(F.col("event_type") == "view", 0).otherwise(F.floor(F.col("value") / 10))
+        ends = F.unix_seconds("ts") + 36 * 3600
+        with_price = F.concat(F.lit('" data-auction-price="'), price.cast("string"))
+        listed = F.concat(
+            F.lit('<ul><li><div class="Product__detail"><div data-auction-id="'),
+            user,
+            F.lit('" data-auction-sellerid="'),
+            F.col("event_type"),
+            F.coalesce(with_price, F.lit("")),
+            F.lit('" data-auction-buynowprice="" data-auction-endtime="'),
+            ends.cast("string"),
+            F.lit('"></div><h3><a data-auction-title="'),
+            F.col("event_type"),
+            F.lit('" href="/u" data-auction-img="/i"></a></h3><span class="Product__bid">'),
+            bids.cast("string"),
+            F.lit("<i>x</i></span></div></li></ul>"),
+        )
+        # A page that says there are no results is no error.
+        bare = F.lit('<div class="Empty">0</div>')
+    text = F.when(F.col("event_type") == "click", bare).otherwise(listed) if errors else listed
     body = F.concat(F.lit(head), text, F.lit(tail))
-    cut = F.substring(body, F.lit(1), F.length(body) - 12)
+    cut = F.substring(body, F.lit(1), F.length(body) - 12) if site != C else F.lit(None).cast("string")
     faulty = F.day("run_ts") % 5 == 0
     return e.select(
         F.lit(site).alias("site"),
         "run_ts",
         F.col("event_id").cast("string").alias("keyword"),
         F.lit(1).alias("page"),
-        F.lit(200).alias("status"),
+        F.when(faulty & F.lit(site == C), 500).otherwise(200).alias("status"),
         F.when(faulty, cut).otherwise(body).alias("body"),
     )
 
@@ -256,7 +281,7 @@ def src_html_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for profile in (PRESENCE, STATUS):
+    for profile in PROFILES.values():
         _, quarantine = project(event_pages(spark, sf_dir, profile.site), profile)
         out = quarantine if out is None else out.unionByName(quarantine)
     return out
@@ -268,7 +293,7 @@ def bad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for profile in (PRESENCE, STATUS):
+    for profile in PROFILES.values():
         pages = payloads.parse_pages(event_pages(spark, sf_dir, profile.site), profile)
         totals = payloads.page_totals(pages, profile)
         out = totals if out is None else out.unionByName(totals)
@@ -282,7 +307,7 @@ def _total(column: str):
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items before and after de-duplication."""
     out = None
-    for profile in (PRESENCE, STATUS):
+    for profile in PROFILES.values():
         observations, _ = project(event_pages(spark, sf_dir, profile.site), profile)
         before = observations.groupBy("site", "run_ts").agg(F.count("*").alias("count"))
         after = dedup_first(observations).groupBy("site", "run_ts").agg(F.count("*").alias("items"))
@@ -424,9 +449,11 @@ select page_id, {_DECODED} as title, unnest(links) as href,
 _EVENT_DAYS = f"""
 with e as (select *, date_trunc('day', ts)::timestamp as run_ts,
                   extract(day from ts) % 5 = 0 as faulty, event_type = 'click' as bare from events),
-sites as (select '{A}' as site union all select '{B}')"""
+sites as (select unnest(['{A}', '{B}', '{C}']) as site)"""
 # An item without a price field is left out; JSON text drops NULL fields.
 _GOOD = "not faulty and not bare and event_type <> 'error'"
+# An auction page without results is no error.
+_BAD = f"not ({_GOOD}) and (faulty or not bare or site <> '{C}')"
 
 
 def _event_totals(columns: str) -> str:
@@ -461,8 +488,8 @@ ORACLES = {
     "bad_pages": _EVENT_DAYS + f""" select site, {fx.time_text('run_ts')}, cast(event_id as varchar) as keyword,
       case when faulty or bare then null else '0' end as pos,
       case when faulty or bare then 'page' else 'item' end as reason
-      from e join sites on true where not ({_GOOD})""",
-    "run_errors": _event_totals(f"count(*) filter (where not ({_GOOD})) as error"),
+      from e join sites on true where {_BAD}""",
+    "run_errors": _event_totals(f"count(*) filter (where {_BAD}) as error"),
     "run_pages": _event_totals(
         f"cast(case when site = '{A}' then sum(case when faulty and bare then 1"
         " else least(extract(hour from ts) + 1, 12) end) else count(*) end as bigint) as page"

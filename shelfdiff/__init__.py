@@ -9,7 +9,7 @@ from shelfdiff.operators.merge import listing_state, merge
 from shelfdiff.operators.replay import replay
 from shelfdiff.operators.rules import add_rule, apply_rules, get_rules, remove_rule
 from shelfdiff.operators.runlog import last_stable, run_summary, with_stable
-from shelfdiff.plans.run import RunResult, run_all, run_site
+from shelfdiff.plans.run import RunResult, commit_runs, run_all, run_history, run_site
 from shelfdiff.profiles import AUCTION, PRESENCE, PROFILES, STATUS, Profile
 from shelfdiff.sources.payloads import page_totals, project
 from shelfdiff.sources.tables import Store, find_id, table_ready
@@ -24,6 +24,7 @@ __all__ = [
     "Store",
     "add_rule",
     "apply_rules",
+    "commit_runs",
     "dedup_first",
     "detect",
     "digest",
@@ -40,6 +41,7 @@ __all__ = [
     "remove_rule",
     "replay",
     "run_all",
+    "run_history",
     "run_site",
     "run_summary",
     "split_text",
