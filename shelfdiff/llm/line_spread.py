@@ -5,17 +5,17 @@ word don't count. Every line hash carries a mergeable sketch of its sites. Lines
 estimate is near `min_sites` get exact counts, lines far above are taken as spread.
 
 Whole documents are copied from site to site as well, and their lines are no boilerplate:
-near-duplicate removal is for those. A line of a copied document always stands between
-the same lines. So a spread line must also be held by `min_sites` different texts, and
-stand in at least `min_variety` times as many different surroundings (previous and next
-line) as there are such texts. This too is decided by sketches, and exactly where they
-are near a limit.
+near-duplicate removal is for those. So a spread line must also be held by `min_sites`
+different texts, and copied documents don't count: those of which spread lines, two
+different ones at least, are more than the share `most_shared`. A line is boilerplate if
+`min_sites` sites and as many texts among all other documents have it, whatever stands
+around it. This too is decided by sketches, and exactly where they are near a limit.
 
 Built of DataFrame functions only. Hashes are Spark's 64-bit xxhash64.
 
 Defined cases: a null text stays null and an empty one empty; a null site is a site of its
-own; repeated rows are equal documents and add neither sites nor surroundings; a document
-all of whose lines go keeps its row with an empty text; an empty table gives an empty
+own; repeated rows are equal documents and add neither sites nor texts; blank lines count
+neither as lines nor as length; a document all of whose lines go keeps its row with an empty text; an empty table gives an empty
 result. Other columns are passed on untouched.
 """
 
@@ -49,17 +49,42 @@ def _keys(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), _key)
 
 
+def _lengths(text: Column) -> Column:
+    return F.transform(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(BLANK))))
+
+
 def _near(count: Column, limit: int) -> Column:
     # Estimates are whole numbers: one off is near as well.
     return count.between(limit * (1 - NEAR) - 1, limit * (1 + NEAR) + 1)
 
 
+def _spread(spots: DataFrame, min_sites: int) -> DataFrame:
+    """Lines of `spots` (line, site, content) with `min_sites` sites and as many texts."""
+    counts = spots.groupBy("line").agg(
+        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("content", F.lit(LG_K))).alias("contents"),
+    )
+    counts = settle(counts, "spread-counts")
+    near = _near(F.col("sites"), min_sites) | _near(F.col("contents"), min_sites)
+    clear = counts.filter(~near & (F.least("sites", "contents") >= min_sites)).select("line")
+    close = counts.filter(near).select("line")
+    exact = spots.select("line", "site", "content").join(few(close), "line", "left_semi").distinct()
+    exact = settle(exact, "close")
+    # Distinct counts one by one: each is a plain two-step aggregate that splits hot lines.
+    sites, contents = (
+        exact.select("line", c).distinct().groupBy("line").agg(F.count(F.lit(1)).alias(f"n_{c}"))
+        for c in ("site", "content")
+    )
+    found = sites.join(contents, "line").filter(F.least("n_site", "n_content") >= min_sites)
+    return settle(clear.union(found.select("line")), "spread-lines")
+
+
 def spread_lines(
     docs: DataFrame,
     text: str = "text",
     site: str = "source",
     min_sites: int = 10,
-    min_variety: float = 0.5,
+    most_shared: float = 0.5,
 ) -> DataFrame:
     """Hashes (`line`) of the boilerplate lines of `docs`."""
     place = F.coalesce(F.col(site).cast("string"), F.lit("\x00"))
@@ -67,52 +92,33 @@ def spread_lines(
     by_site = keyed.select("site", F.explode(_keys(F.col("text"))).alias("line"))
     # The first grouping merges repeats of a line within a site before the shuffle.
     sketched = by_site.filter("line is not null").groupBy("line").agg(
-        F.hll_sketch_agg("site", F.lit(LG_K)).alias("sketch")
-    )
-    sites = F.hll_sketch_estimate("sketch")
-    wide = sketched.select("line", sites.alias("sites")).filter(
-        (F.col("sites") >= min_sites) | _near(F.col("sites"), min_sites)
+        F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites")
     )
-    wide = settle(wide, "spread")
-
-    def around(keys: Column) -> Column:
-        return F.transform(
-            keys,
-            lambda k, i: F.struct(
-                k.alias("line"), F.xxhash64(F.get(keys, i - 1), F.get(keys, i + 1)).alias("around")
-            ),
-        )
-
-    whole = F.xxhash64("text").alias("content")
-    spots = keyed.select("site", whole, F.inline(F.transform(F.array(_keys(F.col("text"))), around)[0]))
-    spots = spots.join(few(wide.select("line")), "line", "left_semi")
-    varied = spots.groupBy("line").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("around", F.lit(LG_K))).alias("arounds"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("content", F.lit(LG_K))).alias("contents"),
+    wide = sketched.filter((F.col("sites") >= min_sites) | _near(F.col("sites"), min_sites))
+    wide = settle(wide.select("line"), "wide")
+
+    # Where these lines stand: rows are numbered, as whole documents may repeat.
+    # Numbered on their own, else each line would get a number.
+    numbered = keyed.withColumn("row", F.monotonically_increasing_id())
+    spots = numbered.select(
+        "row",
+        "site",
+        F.xxhash64("text").alias("content"),
+        F.aggregate(_lengths(F.col("text")), F.lit(0), lambda n, x: n + x).alias("all_length"),
+        F.inline(F.arrays_zip(_keys(F.col("text")).alias("line"), _lengths(F.col("text")).alias("size"))),
     )
-    varied = settle(varied.join(wide, "line"), "varied")
-    needed = F.col("contents") * min_variety
-    # Both estimates are off: the band around their ratio is twice as wide.
-    near_ratio = F.col("arounds").between(needed * (1 - 2 * NEAR) - 1, needed * (1 + 2 * NEAR) + 1)
-    near = near_ratio
-    for count in ("sites", "contents"):
-        near = near | _near(F.col(count), min_sites)
-    enough = (F.col("arounds") >= needed) & (F.least("sites", "contents") >= min_sites)
-    clear = varied.filter(~near & enough).select("line")
-    close = varied.filter(near).select("line")
-    exact = spots.join(few(close), "line", "left_semi")
-    exact = settle(exact.distinct(), "close")
-    # Distinct counts one by one: each is a plain two-step aggregate that splits hot lines.
-    counts = [
-        exact.select("line", c).distinct().groupBy("line").agg(F.count(F.lit(1)).alias(f"n_{c}"))
-        for c in ("site", "around", "content")
-    ]
-    counted = counts[0].join(counts[1], "line").join(counts[2], "line")
-    found = counted.filter(
-        (F.least("n_site", "n_content") >= min_sites)
-        & (F.col("n_around") >= F.col("n_content") * min_variety)
+    spots = settle(spots.join(few(wide), "line", "left_semi"), "spots")
+    shared = spots.join(few(_spread(spots, min_sites)), "line", "left_semi")
+    of_row = shared.groupBy("row").agg(
+        F.first("site").alias("site"),
+        F.first("content").alias("content"),
+        F.first("all_length").alias("all_length"),
+        F.sum("size").alias("shared_length"),
+        F.collect_set("line").alias("lines"),
     )
-    return settle(clear.union(found.select("line")), "boilerplate")
+    own = (F.size("lines") < 2) | (F.col("shared_length") <= F.col("all_length") * most_shared)
+    counted = of_row.filter(own).select("site", "content", F.explode("lines").alias("line"))
+    return _spread(settle(counted, "own-spots"), min_sites)
 
 
 def remove_lines(
@@ -150,7 +156,7 @@ def dedup_lines(
     text: str = "text",
     site: str = "source",
     min_sites: int = 10,
-    min_variety: float = 0.5,
+    most_shared: float = 0.5,
 ) -> DataFrame:
     """`docs` without boilerplate lines; all rows and columns stay."""
-    return remove_lines(docs, spread_lines(docs, text, site, min_sites, min_variety), text)
+    return remove_lines(docs, spread_lines(docs, text, site, min_sites, most_shared), text)

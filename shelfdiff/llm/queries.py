@@ -140,15 +140,18 @@ _LINES = """split as (select doc_id, source, text, string_split(text, chr(10)) a
   line as (select doc_id, coalesce(source, chr(1)) as source, text, unnest(parts) as part,
       generate_subscripts(parts, 1) as pos from split),
   bare as (select *, nullif(trim(part, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '') as l
-      from line),
-  spot as (select *, lag(l) over (partition by doc_id order by pos) as prev_l,
-      lead(l) over (partition by doc_id order by pos) as next_l from bare)"""
+      from line)"""
 
 ORACLES = {
     "op9_line_spread": f"""with {_LINES},
-  bad as (select l from spot where l is not null group by l having count(distinct source) >= 10 and count(distinct text) >= 10
-      and count(distinct {{'b': prev_l, 'a': next_l}}) >= 0.5 * count(distinct text)),
-  kept as (select doc_id, string_agg(part, chr(10) order by pos) as kept, count(*) as n from spot
+  shared as (select l from bare where l is not null group by l
+      having count(distinct source) >= 10 and count(distinct text) >= 10),
+  own as (select doc_id from bare where l is not null group by doc_id
+      having 2 * coalesce(sum(length(l)) filter (where l in (select l from shared)), 0) <= sum(length(l))
+      or count(distinct l) filter (where l in (select l from shared)) < 2),
+  bad as (select l from bare where l in (select l from shared) and doc_id in (select doc_id from own) group by l
+      having count(distinct source) >= 10 and count(distinct text) >= 10),
+  kept as (select doc_id, string_agg(part, chr(10) order by pos) as kept, count(*) as n from bare
       where l is null or l not in (select l from bad) group by doc_id)
   select d.doc_id, case when text is null then null else coalesce(kept, '') end as text,
       coalesce(len(string_split(text, chr(10))) - coalesce(n, 0), 0) as n_removed

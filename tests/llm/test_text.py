@@ -103,6 +103,25 @@ def test_boilerplate_lines(spark, min_sites, max_literals):
     assert line_spread.dedup_lines(docs, min_sites=min_sites).columns == docs.columns
 
 
+def test_blocks_go_whatever_stands_around_and_copies_stay(spark):
+    r = random.Random(14)
+    head, foot = ["Home - About - Contact", "Menu"], ["Terms of use", "Privacy", "(c) the owner"]
+    shared = [sentence(r, 12) for _ in range(12)]
+    data, expected = [], {}
+    for i in range(60):
+        own = [sentence(r, 15) for _ in range(4)]
+        gap = "\n\n" if i % 2 else "\n"
+        data.append((i, gap.join([*head, *own, *foot]), f"s{i % 20}"))
+        expected[i] = [x for x in gap.join(own).split("\n") if x]
+    for i in range(100, 160):  # near copies on many sites, each with a word of its own
+        lines = [*shared[:5], f"{shared[5]} {i}", *shared[6:]]
+        data.append((i, "\n".join([*lines, foot[1]]), f"s{i % 20}"))
+        expected[i] = lines
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    got = {x.doc_id: [y for y in x.text.split("\n") if y] for x in line_spread.dedup_lines(docs).collect()}
+    assert got == expected
+
+
 def test_boilerplate_of_awkward_rows(spark):
     assert line_spread.dedup_lines(documents(spark)).count() == len(rows())
     assert line_spread.dedup_lines(empty(spark)).count() == 0
