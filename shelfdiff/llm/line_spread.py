@@ -7,15 +7,15 @@ estimate is near `min_sites` get exact counts, lines far above are taken as spre
 Whole documents are copied from site to site as well, and their lines are no boilerplate:
 near-duplicate removal is for those. So a spread line must also be held by `min_sites`
 different texts, and copied documents don't count: those of which spread lines, two
-different ones at least, are more than the share `most_shared`. A line is boilerplate if
+different ones at least, are more than the share `most_shared` of the characters. A line is boilerplate if
 `min_sites` sites and as many texts among all other documents have it, whatever stands
 around it. This too is decided by sketches, and exactly where they are near a limit.
 
 Built of DataFrame functions only. Hashes are Spark's 64-bit xxhash64.
 
 Defined cases: a null text stays null and an empty one empty; a null site is a site of its
-own; repeated rows are equal documents and add neither sites nor texts; blank lines count
-neither as lines nor as length; a document all of whose lines go keeps its row with an empty text; an empty table gives an empty
+own; repeated rows are equal documents and add neither sites nor texts; blank lines are no
+lines; a document all of whose lines go keeps its row with an empty text; an empty table gives an empty
 result. Other columns are passed on untouched.
 """
 
@@ -49,8 +49,12 @@ def _keys(text: Column) -> Column:
     return F.transform(F.split(text, "\n"), _key)
 
 
-def _lengths(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), lambda line: F.length(F.btrim(line, F.lit(BLANK))))
+def _lines(rows: DataFrame) -> DataFrame:
+    """A row for each line with a word: its hash and length in place of the text."""
+    # The outer form keeps the optimizer from splitting once more in an inferred filter.
+    cut = rows.withColumn("bare", F.explode_outer(F.split("text", "\n"))).drop("text")
+    bare = cut.withColumn("bare", F.btrim("bare", F.lit(BLANK))).filter("bare <> ''")
+    return bare.withColumns({"line": F.xxhash64("bare"), "size": F.length("bare")}).drop("bare")
 
 
 def _near(count: Column, limit: int) -> Column:
@@ -89,25 +93,22 @@ def spread_lines(
     """Hashes (`line`) of the boilerplate lines of `docs`."""
     place = F.coalesce(F.col(site).cast("string"), F.lit("\x00"))
     keyed = docs.select(place.alias("site"), F.col(text).alias("text"))
-    by_site = keyed.select("site", F.explode(_keys(F.col("text"))).alias("line"))
     # The first grouping merges repeats of a line within a site before the shuffle.
-    sketched = by_site.filter("line is not null").groupBy("line").agg(
+    sketched = _lines(keyed).groupBy("line").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(LG_K))).alias("sites")
     )
     wide = sketched.filter((F.col("sites") >= min_sites) | _near(F.col("sites"), min_sites))
     wide = settle(wide.select("line"), "wide")
 
     # Where these lines stand: rows are numbered, as whole documents may repeat.
-    # Numbered on their own, else each line would get a number.
-    numbered = keyed.withColumn("row", F.monotonically_increasing_id())
-    spots = numbered.select(
-        "row",
-        "site",
-        F.xxhash64("text").alias("content"),
-        F.aggregate(_lengths(F.col("text")), F.lit(0), lambda n, x: n + x).alias("all_length"),
-        F.inline(F.arrays_zip(_keys(F.col("text")).alias("line"), _lengths(F.col("text")).alias("size"))),
+    numbered = keyed.withColumns(
+        {
+            "row": F.monotonically_increasing_id(),
+            "content": F.xxhash64("text"),
+            "all_length": F.length("text"),
+        }
     )
-    spots = settle(spots.join(few(wide), "line", "left_semi"), "spots")
+    spots = settle(_lines(numbered).join(few(wide), "line", "left_semi"), "spots")
     shared = spots.join(few(_spread(spots, min_sites)), "line", "left_semi")
     of_row = shared.groupBy("row").agg(
         F.first("site").alias("site"),

@@ -147,7 +147,7 @@ ORACLES = {
   shared as (select l from bare where l is not null group by l
       having count(distinct source) >= 10 and count(distinct text) >= 10),
   own as (select doc_id from bare where l is not null group by doc_id
-      having 2 * coalesce(sum(length(l)) filter (where l in (select l from shared)), 0) <= sum(length(l))
+      having 2 * coalesce(sum(length(l)) filter (where l in (select l from shared)), 0) <= any_value(length(text))
       or count(distinct l) filter (where l in (select l from shared)) < 2),
   bad as (select l from bare where l in (select l from shared) and doc_id in (select doc_id from own) group by l
       having count(distinct source) >= 10 and count(distinct text) >= 10),
