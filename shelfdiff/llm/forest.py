@@ -10,7 +10,8 @@ small; and at every step all its documents are compared with its hub, the docume
 values agree best with the most common ones, so that a large group of copies hangs
 together however it is split. As soon as such a part has no more than `WHOLE` documents,
 those that are not clearly the hub's are held against all of it, and each pairs up with
-its `BEST` best.
+its `BEST` best. That is a first look: a region whose documents are not all one component
+after it is compared in full, block against block (`dense`).
 
 Looking at a pair means comparing the low bytes of all its MinHash values; pairs that may
 reach the similarity are then confirmed on full sets. Within a region, pairs that are
@@ -18,7 +19,7 @@ linked already by way of clearly similar ones are left out: they add nothing to
 components.
 
 The sorted order is cut into ranges for the tasks, wherever that falls; regions on both
-sides of a cut have their hubs compared.
+sides of a cut have their hubs compared, and are compared in full in the same way.
 
 At a similarity of 0.75 a pair shares a prefix in some tree with probability 0.99995.
 
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import words
+from shelfdiff.llm import dense, words
 from shelfdiff.llm.components import components
 from shelfdiff.llm.spark_tools import few
 from shelfdiff.session import settle, ship
@@ -206,9 +207,10 @@ class _Sorted:
         return sorted({(min(p), max(p)) for p in self.pairs})
 
 
-def sorted_pairs(rows: DataFrame, n_rows: int) -> DataFrame:
+def first_look(rows: DataFrame, n_rows: int) -> tuple[DataFrame, DataFrame]:
     """Distinct pairs (a < b) from the regions of sorted rows: tree, key (the bytes of
-    `DEPTH` 32-bit values), doc_id and marks (the low bytes of all MinHash values)."""
+    `DEPTH` 32-bit values), doc_id and marks (the low bytes of all MinHash values); and
+    the regions that a cut may run through (region: the tree and its first values)."""
     spark = rows.sparkSession
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,11 +241,18 @@ def sorted_pairs(rows: DataFrame, n_rows: int) -> DataFrame:
     centre = edges.groupBy("edge").agg(F.min("a").alias("b"))
     across = edges.select("a", "edge").join(centre, "edge").select("a", "b")
     both = found.filter("edge is null").select("a", "b").unionByName(across).filter("a <> b")
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs, edges.select(F.col("edge").alias("region")).distinct()
+
+
+def sorted_pairs(rows: DataFrame, n_rows: int) -> DataFrame:
+    """The pairs of `first_look`."""
+    return first_look(rows, n_rows)[0]
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of documents that may be similar.
+def candidates(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (a < b) of documents that may be similar, by a first look, and the
+    regions that it has cut.
 
     `signed` has doc_id and signature, one row per document."""
     spark = signed.sparkSession
@@ -266,7 +275,7 @@ def candidates(signed: DataFrame) -> DataFrame:
     rows = signed.select("doc_id", "signature").mapInArrow(
         narrow, "tree int, key binary, doc_id long, marks binary"
     )
-    return sorted_pairs(rows, signed.count() * TREES)
+    return first_look(rows, signed.count() * TREES)
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -315,6 +324,65 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
 
 
+def _of_pairs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The links among `pairs`, on the full sets of their documents."""
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sets = shingle_sets(texts.join(few(settle(ids, "pair-ids")), "doc_id", "left_semi"))
+    sets = settle(sets.groupBy("doc_id").agg(F.min("set").alias("set")), "sets")
+    return settle(confirmed(pairs, sets, percent), "links")
+
+
+def _marked(signed: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and marks, the low bytes of all MinHash values."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low = _matrix(batch["signature"], 4 * VALUES)[:, ::4]
+            marks = pa.array([m.tobytes() for m in low], pa.binary())
+            yield pa.record_batch([batch["doc_id"], batch["n_shingles"], marks], ["doc_id", "n_shingles", "marks"])
+
+    rows = signed.select("doc_id", "n_shingles", "signature")
+    return rows.mapInArrow(mark, "doc_id long, n_shingles long, marks binary")
+
+
+def _regions(signed: DataFrame) -> DataFrame:
+    """region and doc_id of every document in every tree: the tree and its first values."""
+    keys = [
+        F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("signature", 4 * DEPTH * t + 1, 4 * LEAST_DEPTH))
+        for t in range(TREES)
+    ]
+    return signed.select(F.explode(F.array(*keys)).alias("region"), "doc_id", "component")
+
+
+def find_links(signed: DataFrame, texts: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that tie all documents of a component, and the components.
+
+    `signed` has doc_id, n_shingles and signature, one row per document. After the first
+    look, what it left of dense and of cut regions: first the best of each document and
+    component, then all pairs that still part two components."""
+    pairs, cut = candidates(signed)
+    pairs, cut = settle(pairs, "pairs"), settle(cut, "cut-regions")
+    links = _of_pairs(pairs, texts, percent)
+    found = components(links)
+    for best in (True, False):
+        named = signed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        placed = _regions(named.withColumn("component", F.coalesce("component", "doc_id")))
+        regions = settle(dense.open_regions(placed, cut, SMALL), "open-regions")
+        if regions.isEmpty():
+            break
+        open_rows = settle(placed.join(few(regions.select("region")), "region", "left_semi"), "open-rows")
+        of_them = few(settle(open_rows.select("doc_id").distinct(), "open-ids"))
+        marked = settle(_marked(signed.join(of_them, "doc_id", "left_semi")), "marks")
+        more = dense.between(open_rows, few(regions), marked, MAYBE, percent, best)
+        more = settle(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+        if more.isEmpty():
+            continue
+        links = settle(links.unionByName(_of_pairs(more, texts, percent)), "links")
+        pairs = pairs.unionByName(more)
+        found = components(links)
+    return links, found
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -323,15 +391,14 @@ def near_duplicates(
         raise ValueError(f"trees are laid out for {PERCENT} % and more")
     signed = settle(signatures(docs, doc_id, text), "signatures")
     known = signed.filter("digest is not null and doc_id is not null")
-    classes = settle(known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "classes")
-    pairs = settle(candidates(classes.groupBy("doc_id").agg(F.min("signature").alias("signature"))), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = few(settle(ids, "pair-ids"))
+    first = F.min(F.struct("signature", "n_shingles")).alias("first")
+    classes = settle(
+        known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
+        "classes",
+    )
+    one = settle(classes.groupBy("doc_id").agg(first).select("doc_id", "first.*"), "one-of-each")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = shingle_sets(texts.join(ids, "doc_id", "left_semi"))
-    sets = settle(sets.groupBy("doc_id").agg(F.min("set").alias("set")), "sets")
-    links = settle(confirmed(pairs, sets, percent), "links")
-    found = components(links)
+    _, found = find_links(one, texts, percent)
     class_of = classes.select("digest", F.col("doc_id").alias("class_id"))
     named = class_of.join(found, F.col("class_id") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "class_id").alias("component_id")
