@@ -4,12 +4,12 @@
 those on both sides of a cut of its ranges by hubs alone. That finds most links, and so
 most components; here all others follow. A region whose documents belong to several
 components so far is open. Its rows outside its largest component are held against all of
-its rows, block against block, so that no pair of different components that may be similar
-is left out; pairs within a component add nothing and are passed over. One task holds two
-blocks of about `BLOCK` rows, however large a region is.
+its rows, block against block and on full sets, so that no link between two components is
+left out; pairs within a component add nothing. A block has about `BLOCK` rows and
+`BLOCK_SHINGLES` shingles at most, however large a region is, and a task holds two.
 
-First each row gives its best partner in each other component of a cell; those links merge
-most components. Then all pairs that still lie between two components are confirmed.
+Pairs stay inside the tasks: what comes out of a cell are the links that tie components
+together there, fewer than the cell has rows.
 """
 
 from __future__ import annotations
@@ -18,50 +18,47 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfdiff.llm.spark_tools import few
 from shelfdiff.session import settle
 
 BLOCK = 1024
+BLOCK_SHINGLES = 1_000_000
 
 CELL = ["region", "i", "k"]
-PAIRS = "a long, b long"
-
-
-def agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """In how many places rows of `left` (n, values) agree with those of `right`."""
-    out = np.zeros((len(left), len(right)), np.uint8)
-    for mine, other in zip(np.ascontiguousarray(left.T), np.ascontiguousarray(right.T), strict=True):
-        out += mine[:, None] == other
-    return out
-
-
-def cell_pairs(
-    left: dict[str, np.ndarray], right: dict[str, np.ndarray], least: int, percent: int, best: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs of a cell that may be similar and lie in two components; with
-    `best` the one that agrees most, of each left row and right component.
-
-    Sets that differ too much in size are never similar, whatever their values."""
-    found_a, found_b = [], []
-    for lo in range(0, len(left["id"]), 256):
-        part = {name: x[lo : lo + 256] for name, x in left.items()}
-        agree = agreement(part["marks"], right["marks"])
-        small = np.minimum(part["size"][:, None], right["size"])
-        large = np.maximum(part["size"][:, None], right["size"])
-        good = (agree >= least) & (part["component"][:, None] != right["component"])
-        rows, columns = np.nonzero(good & (100 * small >= percent * large))
-        if best and len(rows):
-            component = right["component"][columns]
-            order = np.lexsort((right["id"][columns], -agree[rows, columns].astype(np.int16), component, rows))
-            rows, columns, component = rows[order], columns[order], component[order]
-            first = np.append(True, (rows[1:] != rows[:-1]) | (component[1:] != component[:-1]))
-            rows, columns = rows[first], columns[first]
-        found_a.append(part["id"][rows])
-        found_b.append(right["id"][columns])
-    return np.concatenate(found_a), np.concatenate(found_b)
+Side = tuple[np.ndarray, np.ndarray, list[np.ndarray]]
+
+
+def cell_links(left: Side, right: Side, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of two sides (ids, components, sets) that tie components.
+
+    Each row of the left counts the shingles that it shares with every row of the right."""
+    (ids, mine, sets), (others, theirs, other_sets) = left, right
+    mine, theirs = mine.copy(), theirs.copy()
+    sizes = np.array([len(s) for s in other_sets])
+    starts = np.cumsum(sizes) - sizes
+    known, numbers = np.unique(np.concatenate(other_sets), return_inverse=True)
+    marked = np.zeros(len(known), bool)
+    found = []
+    for row, own in enumerate(sets):
+        apart = theirs != mine[row]
+        if not apart.any():
+            continue
+        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        at = at[known[at] == own]
+        marked[at] = True
+        both = np.add.reduceat(marked[numbers], starts, dtype=np.int64)
+        marked[at] = False
+        linked = np.flatnonzero(apart & (both > 0) & (100 * both >= percent * (len(own) + sizes - both)))
+        for other in linked:
+            old, new = theirs[other], mine[row]
+            if old != new:
+                found.append((int(ids[row]), int(others[other])))
+                mine[mine == old] = new
+                theirs[theirs == old] = new
+    return found
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -76,44 +73,53 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
                 if at > lo:
                     held.append(batch.slice(lo, at - lo))
                 if held:
-                    yield pa.Table.from_batches(held).combine_chunks()
+                    yield pa.Table.from_batches(held)
                 held, lo, last = [], at, keys[at]
         if len(keys) > lo:
             held.append(batch.slice(lo))
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield pa.Table.from_batches(held)
 
 
 def open_regions(placed: DataFrame, cut: DataFrame, small: int) -> DataFrame:
-    """The regions to look at again: of several components, and large or cut.
+    """The regions to look at again: of several components, and large or cut. A region's
+    largest component is its main one; blocks of the others come first.
 
-    `placed` has region, doc_id and component; `cut` has region, each once."""
-    counts = placed.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
+    `placed` has region, doc_id, component and n_shingles; `cut` has region, each once."""
+    counts = placed.groupBy("region", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles")
+    )
     sizes = counts.groupBy("region").agg(
-        F.sum("n").alias("rows"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts")
+        F.sum("n").alias("rows"),
+        F.sum("shingles").alias("shingles"),
+        F.max(F.struct("n", "component", "shingles")).alias("most"),
+        F.count(F.lit(1)).alias("parts"),
     )
     several = sizes.filter("parts > 1")
     marked = several.join(few(settle(cut.select("region", F.lit(True).alias("cut")), "cuts")), "region", "left")
     chosen = marked.filter((F.col("rows") > small) | F.col("cut"))
-    others = F.ceil((F.col("rows") - F.col("most.n")) / BLOCK)
+
+    def blocks(rows: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(rows / BLOCK), F.ceil(shingles / BLOCK_SHINGLES))
+
+    others = blocks(F.col("rows") - F.col("most.n"), F.col("shingles") - F.col("most.shingles"))
     return chosen.select(
         "region",
         F.col("most.component").alias("main"),
         others.alias("others"),
-        (others + F.ceil(F.col("most.n") / BLOCK)).alias("blocks"),
+        (others + blocks(F.col("most.n"), F.col("most.shingles"))).alias("blocks"),
     )
 
 
-def between(
-    placed: DataFrame, regions: DataFrame, marked: DataFrame, least: int, percent: int, best: bool
-) -> DataFrame:
-    """Distinct pairs (a < b) of documents of open regions that may be similar.
+def links(placed: DataFrame, regions: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a < b) that tie all components of open regions that any link ties.
 
-    `marked` has doc_id, n_shingles and marks, one row per document."""
+    `placed` has region, doc_id and component of the rows of those regions, `sets` doc_id
+    and set (ascending 64-bit hashes), one row per document."""
     mine = F.col("component") == F.col("main")
     own_blocks = F.when(mine, F.col("blocks") - F.col("others")).otherwise(F.col("others"))
     block = F.pmod(F.xxhash64("region", "doc_id"), own_blocks) + F.when(mine, F.col("others")).otherwise(0)
-    rows = placed.join(regions, "region").withColumn("block", block)
+    rows = placed.join(few(regions), "region").withColumn("block", block)
     # Cell (i, k): block i of the others is left, block k >= i of all is right.
     as_left = F.transform(
         F.sequence("block", F.col("blocks") - 1),
@@ -124,20 +130,19 @@ def between(
         lambda i: F.struct(i.alias("i"), F.col("block").alias("k"), F.lit(False).alias("left")),
     )
     both = F.when(mine, as_right).otherwise(F.concat(as_left, as_right))
-    dealt = rows.join(marked, "doc_id").select(
-        "region", "doc_id", "component", "n_shingles", "marks", F.inline(both)
-    )
+    dealt = rows.select("region", "doc_id", "component", F.inline(both)).join(sets, "doc_id")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in _cells(batches):
-            marks = np.frombuffer(b"".join(cell["marks"].to_pylist()), np.uint8).reshape(len(cell), -1)
-            names = {"id": "doc_id", "component": "component", "size": "n_shingles"}
-            whole = {k: cell[v].to_numpy() for k, v in names.items()} | {"marks": marks}
+            ids, components = cell["doc_id"].to_numpy(), cell["component"].to_numpy()
+            found = [np.frombuffer(s.as_buffer(), np.uint64) for s in cell["set"]]
             left = cell["left"].to_numpy()
-            halves = [{k: x[side] for k, x in whole.items()} for side in (left, ~left)]
-            if len(halves[0]["id"]) and len(halves[1]["id"]):
-                a, b = cell_pairs(*halves, least, percent, best)
-                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            sides = [
+                (ids[at], components[at], [found[n] for n in at]) for at in (np.flatnonzero(left), np.flatnonzero(~left))
+            ]
+            if len(sides[0][0]) and len(sides[1][0]):
+                pairs = np.array(cell_links(*sides, percent), np.int64).reshape(-1, 2)
+                yield pa.record_batch([pa.array(pairs.min(1)), pa.array(pairs.max(1))], ["a", "b"])
 
     ordered = dealt.repartition(*CELL).sortWithinPartitions(*CELL)
-    return ordered.mapInArrow(compare, PAIRS).distinct()
+    return ordered.mapInArrow(compare, "a long, b long").distinct()

@@ -324,63 +324,42 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(confirm, "a long, b long")
 
 
-def _of_pairs(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The links among `pairs`, on the full sets of their documents."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = shingle_sets(texts.join(few(settle(ids, "pair-ids")), "doc_id", "left_semi"))
-    sets = settle(sets.groupBy("doc_id").agg(F.min("set").alias("set")), "sets")
-    return settle(confirmed(pairs, sets, percent), "links")
-
-
-def _marked(signed: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and marks, the low bytes of all MinHash values."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            low = _matrix(batch["signature"], 4 * VALUES)[:, ::4]
-            marks = pa.array([m.tobytes() for m in low], pa.binary())
-            yield pa.record_batch([batch["doc_id"], batch["n_shingles"], marks], ["doc_id", "n_shingles", "marks"])
-
-    rows = signed.select("doc_id", "n_shingles", "signature")
-    return rows.mapInArrow(mark, "doc_id long, n_shingles long, marks binary")
+def _sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """The full sets of some documents, one of each id."""
+    sets = shingle_sets(texts.join(few(settle(ids, "set-ids")), "doc_id", "left_semi"))
+    return settle(sets.groupBy("doc_id").agg(F.min("set").alias("set")), "sets")
 
 
 def _regions(signed: DataFrame) -> DataFrame:
-    """region and doc_id of every document in every tree: the tree and its first values."""
+    """Every document in every tree: region (the tree and its first values), doc_id,
+    component and n_shingles."""
     keys = [
         F.concat(F.unhex(F.lit(f"{t:02x}")), F.substring("signature", 4 * DEPTH * t + 1, 4 * LEAST_DEPTH))
         for t in range(TREES)
     ]
-    return signed.select(F.explode(F.array(*keys)).alias("region"), "doc_id", "component")
+    return signed.select(F.explode(F.array(*keys)).alias("region"), "doc_id", "component", "n_shingles")
 
 
-def find_links(signed: DataFrame, texts: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Links (a, b) that tie all documents of a component, and the components.
+def find_components(signed: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """node and component of all documents with links: those of the first look, then those
+    between the parts that it left of dense and of cut regions.
 
-    `signed` has doc_id, n_shingles and signature, one row per document. After the first
-    look, what it left of dense and of cut regions: first the best of each document and
-    component, then all pairs that still part two components."""
+    `signed` has doc_id, n_shingles and signature, one row per document."""
     pairs, cut = candidates(signed)
     pairs, cut = settle(pairs, "pairs"), settle(cut, "cut-regions")
-    links = _of_pairs(pairs, texts, percent)
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    links = settle(confirmed(pairs, _sets_of(ids, texts), percent), "links")
     found = components(links)
-    for best in (True, False):
-        named = signed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        placed = _regions(named.withColumn("component", F.coalesce("component", "doc_id")))
-        regions = settle(dense.open_regions(placed, cut, SMALL), "open-regions")
-        if regions.isEmpty():
-            break
-        open_rows = settle(placed.join(few(regions.select("region")), "region", "left_semi"), "open-rows")
-        of_them = few(settle(open_rows.select("doc_id").distinct(), "open-ids"))
-        marked = settle(_marked(signed.join(of_them, "doc_id", "left_semi")), "marks")
-        more = dense.between(open_rows, few(regions), marked, MAYBE, percent, best)
-        more = settle(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        if more.isEmpty():
-            continue
-        links = settle(links.unionByName(_of_pairs(more, texts, percent)), "links")
-        pairs = pairs.unionByName(more)
-        found = components(links)
-    return links, found
+    named = signed.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = _regions(named.withColumn("component", F.coalesce("component", "doc_id")))
+    regions = settle(dense.open_regions(placed, cut, SMALL), "open-regions")
+    if regions.isEmpty():
+        return found
+    rows = placed.drop("n_shingles").join(few(regions.select("region")), "region", "left_semi")
+    rows = settle(rows, "open-rows")
+    sets = _sets_of(rows.select("doc_id").distinct(), texts)
+    more = settle(dense.links(rows, regions, sets, percent), "dense-links")
+    return found if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_duplicates(
@@ -392,13 +371,11 @@ def near_duplicates(
     signed = settle(signatures(docs, doc_id, text), "signatures")
     known = signed.filter("digest is not null and doc_id is not null")
     first = F.min(F.struct("signature", "n_shingles")).alias("first")
-    classes = settle(
-        known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles")),
-        "classes",
-    )
+    values = [F.first(c).alias(c) for c in ("signature", "n_shingles")]
+    classes = settle(known.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), *values), "classes")
     one = settle(classes.groupBy("doc_id").agg(first).select("doc_id", "first.*"), "one-of-each")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    _, found = find_links(one, texts, percent)
+    found = find_components(one, texts, percent)
     class_of = classes.select("digest", F.col("doc_id").alias("class_id"))
     named = class_of.join(found, F.col("class_id") == F.col("node"), "left").select(
         "digest", F.coalesce("component", "class_id").alias("component_id")
