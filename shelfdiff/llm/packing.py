@@ -32,7 +32,7 @@ from shelfdiff.session import settle, ship
 
 CAPACITY = 4096
 END_ID = 1
-GROUPS = 2048
+GROUPS = 256
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
