@@ -102,22 +102,14 @@ def test_configurations_fill_best():
         assert sum(sizes[g] * n for g, n in config.items()) == max(x for x in fill if x <= 40)
 
 
-@pytest.fixture(scope="module")
-def quick(request):
-    before = attention_lm.STEPS
-    attention_lm.train.__defaults__ = (60,)
-    yield
-    attention_lm.train.__defaults__ = (before,)
-
-
 def fold():
     return F.crc32(F.col("doc_id").cast("string")) % 5 != 1
 
 
 @pytest.mark.parametrize("max_frequent", [400_000, 30, 0])
-def test_base_scores_equal_plain_counts(spark, quick, max_frequent):
+def test_base_scores_equal_plain_counts(spark, max_frequent):
     docs = documents(spark)
-    got = attention_lm.scores(docs, fold(), max_frequent=max_frequent).collect()
+    got = attention_lm.scores(docs, fold(), max_frequent=max_frequent, steps=20).collect()
     assert len(got) == len(rows())
     split = lambda t: [*words.lower_words(t), b"\n"]
     count = Counter()
@@ -132,17 +124,48 @@ def test_base_scores_equal_plain_counts(spark, quick, max_frequent):
     assert all(math.isfinite(x.score) for x in got)
 
 
-def test_nothing_to_learn_from_or_to_score(spark, quick):
+def test_nothing_to_learn_from_or_to_score(spark):
     docs = documents(spark)
     assert attention_lm.scores(empty(spark), F.lit(True)).count() == 0
     got = attention_lm.scores(docs, F.lit(False)).collect()
     assert len(got) == len(rows()) and {x.n_known for x in got} == {0}
+    assert all(x.score == x.base_score for x in got)
+
+
+@pytest.mark.parametrize("docs_per_bag", [200_000, 30])
+def test_scores_are_logs_of_a_distribution(spark, docs_per_bag):
+    """At every place the chances of all training words and of an unknown one sum to one,
+    and the scores are the sums of their logs."""
+    docs = documents(spark)
+    options = {"steps": 20, "max_docs": 20, "docs_per_bag": docs_per_bag}
+    model, known, counts = attention_lm.fit(docs.filter(fold()), tokens.default_path(), max_frequent=40, **options)
+    n = {bytes(x.word): x.n for x in counts.collect()}
+    index = {w: i for i, w in enumerate(n)}
+    subwords = attention_lm.Subwords(tokens.default_path())
+    ratios = model.ratios(subwords.flat(list(n))).astype(float)
+    z = known.total + 0.5 * (known.distinct + 1)
+    share = (np.array(list(n.values())) + 0.5) / z
+    scorer = attention_lm.Scorer(model, known, subwords)
+    expected = []
+    for i, t, *_ in rows():
+        own = attention_lm._split(t)
+        gates = np.exp(scorer.gates(scorer.rows(own), np.array([len(own)])).astype(float))
+        chance = gates @ ratios.T * share
+        assert np.abs(chance.sum(1) + 0.5 / z - 1).max() < 1e-6
+        found = [chance[j, index[w]] if w in index else 0.5 / z for j, w in enumerate(own)]
+        expected.append((i is None, i or 0, float(np.log10(found).sum())))
+    got = attention_lm.scores(docs, fold(), max_frequent=40, **options).collect()
+    got = sorted((x.doc_id is None, x.doc_id or 0, x.score) for x in got)
+    assert [g[:2] for g in got] == [e[:2] for e in sorted(expected)]
+    assert np.allclose([g[2] for g in got], [e[2] for e in sorted(expected)], rtol=1e-4, atol=1e-3)
 
 
 def test_windows_do_not_see_what_follows():
     """A change in a text leaves all gates before it as they were."""
     subwords = attention_lm.Subwords(tokens.default_path())
-    model = attention_lm.train([attention_lm._split(t) for t in texts(1, 30)], subwords, steps=5)
+    tables, prior = attention_lm.expert_tables(np.zeros((attention_lm.EXPERTS, 3, subwords.size)))
+    model = attention_lm.Model(tables, prior, np.ones(attention_lm.EXPERTS, np.float32), {})
+    model.layer = attention_lm.train(model, [attention_lm._split(t) for t in texts(1, 30)], subwords, steps=5)
     scorer = attention_lm.Scorer(model, attention_lm.Counts(np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0), subwords)
     one = [w for t in texts(2, 8) for w in attention_lm._split(t)]
     two = [*one[:90], *one[91:130], b"other", *one[130:]]
