@@ -172,3 +172,22 @@ def test_windows_do_not_see_what_follows():
     gates = [scorer.gates(scorer.rows(t), np.array([len(t)])) for t in (one, two)]
     assert np.allclose(gates[0][:91], gates[1][:91], atol=1e-5)
     assert not np.allclose(gates[0][91:], gates[1][91 : len(one)], atol=1e-5)
+
+
+def test_scores_do_not_depend_on_what_is_cached(monkeypatch):
+    subwords = attention_lm.Subwords(tokens.default_path())
+    total = np.random.default_rng(3).integers(0, 3, (attention_lm.EXPERTS, 3, subwords.size)).astype(float)
+    tables, prior = attention_lm.expert_tables(total)
+    model = attention_lm.Model(tables, prior, np.ones(attention_lm.EXPERTS, np.float32), {})
+    model.layer = attention_lm.train(model, [attention_lm._split(t) for t in texts(1, 30)], subwords, steps=5)
+    hashes = np.sort(words.word_hashes(list(dict.fromkeys(w for t in texts(1, 30) for w in t.encode().split()))))
+    counts = attention_lm.Counts(hashes, np.arange(1, len(hashes) + 1), 10_000, len(hashes))
+    whole = attention_lm.Scorer(model, counts, subwords)
+    expected = [whole.score([t])[0] for t in texts(1, 40)]
+    monkeypatch.setattr(attention_lm, "CACHE_WORDS", 60)
+    small = attention_lm.Scorer(model, counts, subwords)
+    got = [small.score([t])[0] for t in texts(1, 40)]
+    assert len(small.index) < len(whole.index)
+    for g, e in zip(got, expected, strict=True):
+        assert g[:2] == e[:2] and np.allclose(g[2:4], e[2:4], rtol=1e-5)
+        assert (g[4] == e[4]).all() and np.allclose(g[5], e[5], atol=1e-4)
