@@ -47,6 +47,9 @@ def raw_observations(
 ) -> DataFrame:
     """One row per event and site, duplicates within a run included."""
     e = events(spark, sf_dir)
+    if len(sites) > 1:
+        # A file with few row groups would keep few cores busy with the rows of all sites.
+        e = e.repartition("event_id")
     item = F.col("user_id").cast("string")
     full = F.lit(None)
     if fine:

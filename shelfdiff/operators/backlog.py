@@ -18,6 +18,7 @@ from shelfdiff.operators.detect import Layered
 from shelfdiff.operators.emit import nested_changes
 from shelfdiff.profiles import Profile
 from shelfdiff.schema import LISTING, MEASURES, TEXT_COLUMNS
+from shelfdiff.session import settle
 from shelfdiff.sizing import BROADCAST_ROWS, fits
 
 # Runs of one pass: an item has at most one row per run, and a window holds an item's rows.
@@ -94,11 +95,13 @@ def backlog_rows(
         missed.alias("missed_by"),
         *[F.col("run_ts").alias(c) if c == "record_ts" else F.col(c) for c in _STATE],
     )
-    first_clean = next((ts for ts, error in runs if error == 0), None)
+    if listing.recent is None and listing.base.isEmpty():
+        return after_each(sightings, profile)
     stored = listing.whole().filter(F.col("site") == profile.site)
-    items = own.select("item_id").distinct()
+    first_clean = next((ts for ts, error in runs if error == 0), None)
+    # Counted and joined: the snapshots are read for it once.
+    items = settle(own.select("item_id").distinct(), f"items-{profile.site}")
     rows = sightings.unionByName(_stored(stored, items, first_clean, clean, profile, broadcast_rows))
-
     return after_each(rows, profile)
 
 

@@ -45,6 +45,10 @@ from shelfdiff.sources.layered import LayeredTable, bucketed_ddl
 from shelfdiff.sources.layers import NO_MARK, new_layer, version_name, version_time
 
 
+# Buckets of a new store for each core that works on it.
+BUCKETS_PER_CORE = 2
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at `path`, or an empty one where there is none yet."""
     try:
@@ -89,7 +93,10 @@ class Head:
 @dataclass(frozen=True)
 class Store:
     """All tables below `root`. `new_buckets` counts when the store is new, later the
-    number it was made with stays; without it, the session's shuffle partitions are taken."""
+    number it was made with stays. Without it there are `BUCKETS_PER_CORE` for each core of
+    the cluster, or as many as the session's shuffle partitions if these are fewer: every
+    run of every site has a file per bucket, so that more partitions for larger inputs
+    would mean more files of the same size."""
 
     spark: SparkSession
     root: str
@@ -108,7 +115,8 @@ class Store:
         known = _read(self.spark, path, schema).first()
         if known is not None:
             return known["buckets"]
-        wanted = self.new_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = self.new_buckets or min(most, BUCKETS_PER_CORE * self.spark.sparkContext.defaultParallelism)
         self.spark.createDataFrame([(wanted,)], schema).coalesce(1).write.parquet(path)
         return wanted
 

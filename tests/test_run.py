@@ -311,3 +311,12 @@ def test_uncommitted_snapshots_are_no_state(spark):
     state = listing_state(seen, [profile], log.filter(F.col("run_ts") < newest))
     expected = listing_state(seen.filter(F.col("run_ts") < newest), [profile])
     assert sorted(map(repr, state.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_buckets_do_not_grow_with_partitions(spark, tmp_path):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 500)
+    try:
+        assert Store(spark, str(tmp_path)).buckets == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
