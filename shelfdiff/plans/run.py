@@ -122,7 +122,7 @@ def _open(
     Parsed pages are written once to the shared folder, as totals, items and quarantine
     all read them."""
     of_run = payload.filter((F.col("site") == profile.site) & (F.col("run_ts") == F.lit(run_ts)))
-    pages = settle(parse_pages(of_run, profile), f"pages-{profile.site}")
+    pages = settle(parse_pages(_spread(of_run), profile), f"pages-{profile.site}")
     totals = page_totals(pages, profile).first()
     if totals is None:
         # not an empty result: without any page, absence would mean that all is sold
@@ -134,6 +134,12 @@ def _open(
     return _Opened(profile, run, pages, totals["page"], totals["count"], done)
 
 
+def _spread(payload: DataFrame) -> DataFrame:
+    """Landed pages dealt to all cores. Bodies compress well, so that many pages may lie in
+    one file, which one task would parse whole."""
+    return payload.repartition("run_ts", "keyword", "page")
+
+
 def _logged(store: Store, site: str, run_ts: datetime) -> DataFrame:
     return store.run_log().filter((F.col("site") == site) & (F.col("run_ts") == F.lit(run_ts)))
 
@@ -189,7 +195,7 @@ def run_history(
         newest = store.head(profile.site).newest
         if newest is not None:
             own = own.filter(F.col("run_ts") > F.lit(newest))
-        pages = settle(parse_pages(own, profile), f"pages-{profile.site}")
+        pages = settle(parse_pages(_spread(own), profile), f"pages-{profile.site}")
         totals = page_totals(pages, profile).withColumn("us", micros(F.col("run_ts"))).orderBy("us")
         announced = [{**x.asDict(), "run_ts": from_micros(x["us"])} for x in totals.collect()]
         if not announced:
