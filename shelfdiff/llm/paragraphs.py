@@ -11,7 +11,9 @@ Band values are sorted and cut into ranges for the tasks. Buckets of up to `SMAL
 paragraphs have all their pairs taken. The paragraphs of larger ones, which come of big
 groups of copies, get more MinHash values and are paired by these, bucket by bucket, as
 regions of a forest are: with a hub, with their best partners, and split further where
-there are too many. Buckets on both sides of a cut have a paragraph of each paired.
+there are too many. So are those of buckets that a cut may run through. That is a first
+look: such a bucket whose paragraphs are not all one component after it is compared in
+full, block against block (`dense`).
 
 Passages are found wherever they stand, inside longer lines or over several short ones:
 `find_passages` gives every run of `RUN` equal words that stands at an earlier place too.
@@ -37,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import forest, words
+from shelfdiff.llm import dense, forest, words
 from shelfdiff.llm.components import components
 from shelfdiff.llm.spark_tools import few
 from shelfdiff.session import settle, ship
@@ -139,7 +141,7 @@ def collisions(classes: DataFrame) -> DataFrame:
     """Settled rows of what collides in a band; `classes` has id and bands.
 
     Pairs (a, b) of small buckets; a with `dense`, the bucket's key, for each paragraph of
-    a large one; a with `edge`, the key, for one of each bucket that a cut may run through."""
+    a large one and of each that a cut may run through, which have `edge`, the key, too."""
     spark = classes.sparkSession
     ship(spark)
     rows = classes.select("id", F.explode("bands").alias("key"))
@@ -170,17 +172,17 @@ def collisions(classes: DataFrame) -> DataFrame:
         a, b = np.concatenate(left), np.concatenate(right)
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
         yield rows_of(pairs[:, 0], b=pairs[:, 1])
-        many = size_of > SMALL
+        at_end = (keys == keys[0]) | (keys == keys[-1])
+        many = (size_of > SMALL) & ~at_end
         yield rows_of(ids[many], dense=keys[many])
-        ends = np.unique([0, bounds[-2]])
-        yield rows_of(ids[ends], edge=keys[ends])
+        yield rows_of(ids[at_end], dense=keys[at_end], edge=keys[at_end])
 
     found = ordered.select("key", "id").mapInArrow(collide, "a long, b long, dense long, edge long")
     return settle(found, "collisions")
 
 
-def _dense_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs within large buckets: `dense` has id and key, `sets` the sets of all ids."""
+def _dense_pairs(crowded: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs within large buckets: `crowded` has id and key, `sets` the sets of all ids."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,16 +191,29 @@ def _dense_pairs(dense: DataFrame, sets: DataFrame) -> DataFrame:
             marks = pa.array([v.astype(np.uint8).tobytes() for v in values], pa.binary())
             yield pa.record_batch([batch["doc_id"], more, marks], ["doc_id", "more", "marks"])
 
-    own = sets.join(few(settle(dense.select(F.col("id").alias("doc_id")).distinct(), "dense")), "doc_id", "left_semi")
+    own = sets.join(few(settle(crowded.select(F.col("id").alias("doc_id")).distinct(), "dense")), "doc_id", "left_semi")
     signed = settle(own.mapInArrow(sign, "doc_id long, more binary, marks binary"), "dense-values")
     key = F.unhex(F.lpad(F.hex("key"), 16, "0"))
-    rows = dense.join(signed, F.col("id") == F.col("doc_id")).select(
+    rows = crowded.join(signed, F.col("id") == F.col("doc_id")).select(
         F.lit(0).alias("tree"), F.concat(key, "more").alias("key"), "doc_id", "marks"
     )
     rows = settle(rows, "dense-rows")
     return forest.sorted_pairs(rows, rows.count())
 
 
+def _dense_links(crowded: DataFrame, cut: DataFrame, sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Links between the components (`found`) that lie apart in one large or cut bucket.
+
+    `crowded` has id and key, `cut` the keys (region) of buckets that a cut may run through."""
+    sizes = sets.select("doc_id", F.expr("octet_length(set) div 8").alias("n_shingles"))
+    rows = crowded.select(F.col("key").alias("region"), F.col("id").alias("doc_id"))
+    named = rows.join(sizes, "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    placed = settle(named.withColumn("component", F.coalesce("component", "doc_id")), "dense-placed")
+    regions = settle(dense.open_regions(placed, cut, SMALL), "open-buckets")
+    rows = placed.drop("n_shingles").join(few(regions.select("region")), "region", "left_semi")
+    return settle(dense.links(rows, regions, sets, percent), "dense-links")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The shingle sets (doc_id: the id of a class, set) of the classes in `wanted`, which
     has id and first, the place of one paragraph of each."""
@@ -248,18 +263,20 @@ def find_repeats(
     short = F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("long")
     classes = settle(classes.withColumn("id", short), "paragraph-classes")
     found = collisions(classes.select("id", "bands"))
-    edges = found.filter("edge is not null").select("a", "edge")
-    centre = edges.groupBy("edge").agg(F.min("a").alias("b"))
-    pairs = found.filter("b is not null").select("a", "b").unionByName(edges.join(centre, "edge").select("a", "b"))
-    dense = found.filter("dense is not null").select(F.col("a").alias("id"), F.col("dense").alias("key"))
+    pairs = found.filter("b is not null").select("a", "b")
+    cut = found.filter("edge is not null").select(F.col("edge").alias("region")).distinct()
+    crowded = found.filter("dense is not null").select(F.col("a").alias("id"), F.col("dense").alias("key")).distinct()
     ids = [pairs.select(F.col(c).alias("id")) for c in ("a", "b")]
-    ids = ids[0].unionByName(ids[1]).unionByName(dense.select("id")).distinct()
+    ids = ids[0].unionByName(ids[1]).unionByName(crowded.select("id")).distinct()
     wanted = classes.select("id", "first").join(ids, "id", "left_semi")
     sets = settle(_sets(docs, wanted, doc_id, text), "paragraph-sets")
-    pairs = pairs.unionByName(_dense_pairs(dense, sets)).filter("a <> b")
+    pairs = pairs.unionByName(_dense_pairs(crowded, sets)).filter("a <> b")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = settle(forest.confirmed(pairs, sets, percent), "paragraph-links")
     found = components(links)
+    more = _dense_links(crowded, cut, sets, found, percent)
+    if not more.isEmpty():
+        found = components(links.unionByName(more))
     labelled = classes.select("digest", "id", "n", "first").join(found, F.col("id") == F.col("node"), "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "id"))
     groups = labelled.groupBy("label").agg(F.sum("n").alias("total"), F.min("first").alias("kept"))

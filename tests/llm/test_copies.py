@@ -193,3 +193,15 @@ def test_one_link_between_dense_halves(spark, partitions):
     assert set(expected.values()) == {0}
     got = {x.doc_id: x.component_id for x in forest.near_duplicates(docs).collect()}
     assert got == {i: i // 1000 * 1000 for i, _ in data}
+
+
+@pytest.mark.parametrize("partitions", [4, 53])
+def test_one_link_between_dense_halves_of_paragraphs(spark, partitions):
+    data = [(1000 * g + i, t) for g in range(6) for i, t in enumerate(halves(g, 200))]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(partitions)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = {x.doc_id: x.kept_doc_id for x in paragraphs.find_repeats(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert got == {i: i // 1000 * 1000 for i, _ in data if i % 1000}
