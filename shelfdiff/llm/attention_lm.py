@@ -17,10 +17,11 @@ texts and one more outcome, a word that none of them has. The score of a text is
 of the logs of its words' shares, plus a gain by subword ids and context; words that no
 training text has gain nothing.
 
-The attention layer and its embeddings are trained in numpy, with Adam, by several tasks,
-one more for every `DOCS_PER_BAG` training documents, each on a hash bucket of about
-`MAX_DOCS` of them; their parameters start alike and are averaged. The centres come of the
-first bucket. Scoring covers every text: it is cut into overlapping windows, `LEAD` words
+The attention layer and its embeddings learn from all training texts: these are dealt to
+hash buckets of about `DOCS_PER_BAG` documents, a task trains on each bucket in numpy, with
+Adam, every window of it at least once, and the parameters, which start alike, are
+averaged. The centres start as those of `MAX_DOCS` texts of the first bucket and move to the means of all
+training texts nearest to them. Scoring covers every text: it is cut into overlapping windows, `LEAD` words
 of context to each but the first, so that every word is scored once; the windows of many
 texts go through attention together.
 
@@ -38,7 +39,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,7 +56,7 @@ WIDTH = 16
 WINDOW = 32
 LEAD = 8
 MAX_DOCS = 2_000
-DOCS_PER_BAG = 200_000
+DOCS_PER_BAG = 5_000
 BINS = 2048
 MAX_FREQUENT = 400_000
 STEPS = 500
@@ -227,15 +228,24 @@ def _gradients(layer, x, made, gates, logs, real) -> tuple[dict[str, np.ndarray]
     return grads, dx, loss
 
 
-def train(model: Model, texts: list[list[bytes]], subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
-    """An attention layer that weighs the experts of `model`."""
+def _summed(values: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """Sums of rows by group; groups are numbered without gaps."""
+    order = np.argsort(groups, kind="stable")
+    starts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+    return np.add.reduceat(values[order], starts, axis=0)
+
+
+def train(model: Model, texts: Iterable[list[bytes]], subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
+    """An attention layer that weighs the experts of `model`, by so many steps at least, and
+    as many as it takes to see every window of the texts."""
     random = np.random.default_rng(7)
     draw = lambda *shape: (random.standard_normal(shape) * 0.1).astype(np.float32)
     layer = {n: draw(WIDTH, WIDTH) for n in ("q", "k", "v", "x")}
     layer |= {"b": np.zeros(WIDTH, np.float32), "r": np.zeros(WINDOW, np.float32)}
     layer |= {"u": draw(WIDTH, EXPERTS + 1), "c": np.zeros(EXPERTS + 1, np.float32)}
     layer["e"] = draw(subwords.size, WIDTH) * 3
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+    vocabulary = WordRows()
+    rows = [np.fromiter(map(vocabulary.__getitem__, t), np.int64, len(t)) for t in texts]
     if not vocabulary:
         return layer
     names = list(vocabulary)
@@ -243,14 +253,17 @@ def train(model: Model, texts: list[list[bytes]], subwords: Subwords, steps: int
     ends = np.append(starts[1:], len(ids))
     logs = np.log(model.ratios((ids, states, starts)) + np.float32(1e-20))
     begin = len(names)
-    rows = [np.array([begin, *[vocabulary[w] for w in t]]) for t in texts]
+    rows = [np.append(begin, t) for t in rows]
     spans = [(i, lo) for i, t in enumerate(rows) for lo in range(0, len(t) - 1, WINDOW)]
     state = {n: (np.zeros_like(p), np.zeros_like(p)) for n, p in layer.items()}
+    steps = max(steps, -(-len(spans) // BATCH))
+    rounds = -(-steps * BATCH // len(spans))
+    picks = np.concatenate([random.permutation(len(spans)) for _ in range(rounds)])
     for step in range(1, steps + 1):
         inputs = np.full((BATCH, WINDOW), begin)
         targets = np.zeros((BATCH, WINDOW), np.int64)
         real = np.zeros((BATCH, WINDOW), np.float32)
-        for j, pick in enumerate(random.integers(0, len(spans), BATCH)):
+        for j, pick in enumerate(picks[(step - 1) * BATCH : step * BATCH]):
             i, lo = spans[pick]
             part = rows[i][lo : lo + WINDOW + 1]
             inputs[j, : len(part) - 1], targets[j, : len(part) - 1], real[j, : len(part) - 1] = part[:-1], part[1:], 1
@@ -265,18 +278,19 @@ def train(model: Model, texts: list[list[bytes]], subwords: Subwords, steps: int
         x = vectors[where].reshape(BATCH, WINDOW, WIDTH)
         gates, made = forward(layer, x)
         grads, dx, _ = _gradients(layer, x, made, gates, logs[targets], real)
-        by_word = np.zeros_like(vectors)
-        np.add.at(by_word, where.ravel(), dx.reshape(-1, WIDTH))
-        by_word /= sizes[:, None].astype(np.float32)
-        grads["e"] = np.zeros_like(layer["e"])
-        np.add.at(grads["e"], flat, np.repeat(by_word, sizes, axis=0))
+        by_word = _summed(dx.reshape(-1, WIDTH), where.ravel()) / sizes[:, None].astype(np.float32)
+        touched, of = np.unique(flat, return_inverse=True)
+        grads["e"] = _summed(np.repeat(by_word, sizes, axis=0), of)
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for name, slope in grads.items():
-            first, second = state[name]
-            first += 0.1 * (slope - first)
-            second += 0.01 * (slope * slope - second)
+            # Of the embeddings only those of the ids at hand move.
+            at = touched if name == "e" else slice(None)
+            first, second = (m[at] for m in state[name])
+            first = first + 0.1 * (slope - first)
+            second = second + 0.01 * (slope * slope - second)
+            state[name][0][at], state[name][1][at] = first, second
             move = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-            layer[name] -= (rate * move).astype(np.float32)
+            layer[name][at] -= (rate * move).astype(np.float32)
     return layer
 
 
@@ -563,26 +577,55 @@ def _scorer(shared) -> Scorer:
     return _SCORERS[key]
 
 
-def average_layer(sample: DataFrame, model: Model, path: str, steps: int) -> dict[str, np.ndarray]:
-    """The mean of the layers that each `bag` of the sample gives, averaged in Spark."""
+def moved_centres(training: DataFrame, centres: np.ndarray) -> np.ndarray:
+    """The means of all training texts nearest to each centre, counted in Spark; a centre
+    without texts stays. Sums are whole numbers, so that their order is of no account."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words.keep_only("words")
+        total = np.zeros((EXPERTS, BINS), np.int64)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                split = [_split(t.as_py()) for t in batch["text"][i : i + 500]]
+                x = _bins(words.word_hashes([w for t in split for w in t]), np.array([len(t) for t in split]))
+                mine = np.argmax(x @ centres.T, axis=1)
+                for c in np.unique(mine):
+                    total[c] += np.rint(x[mine == c] * 2.0**20).astype(np.int64).sum(0)
+        place = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(place.astype(np.int32)), pa.array(total.ravel()[place])], ["place", "value"])
+
+    found = training.select("text").mapInArrow(add, "place int, value long")
+    table = found.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    mean = np.zeros(EXPERTS * BINS)
+    mean[table["place"].to_numpy()] = table["value"].to_numpy()
+    mean = mean.reshape(EXPERTS, BINS)
+    size = np.linalg.norm(mean, axis=1, keepdims=True)
+    return np.where(size > 0, mean / np.maximum(size, 1e-9), centres).astype(np.float32)
+
+
+def average_layer(dealt: DataFrame, bags: int, model: Model, path: str, steps: int) -> dict[str, np.ndarray]:
+    """The mean of the layers that each `bag` of the training texts gives, averaged in
+    Spark; of a layer only what has moved from the start passes."""
     start = train(model, [], Subwords(path))
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = dealt.sparkSession.sparkContext.broadcast((model, start))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         words.keep_only("tokens")
-        pdf = pdf.sort_values(["doc_id", "text"], na_position="first")
-        layer = train(shared.value, [_split(t) for t in pdf.text], Subwords(path), steps)
-        value = np.concatenate([layer[n].ravel() for n in start]).astype(np.float64)
-        return pd.DataFrame({"place": np.arange(len(value), dtype=np.int32), "value": value})
-
-    fitted = sample.groupBy("bag").applyInPandas(fit, "place int, value double")
-    table = fitted.groupBy("place").agg(F.avg("value").alias("value")).toArrow()
-    if not table.num_rows:
-        return start
-    flat = np.zeros(table.num_rows, np.float32)
-    flat[table["place"].to_numpy()] = table["value"].to_numpy()
+        pdf = pdf.drop_duplicates(["doc_id", "text"]).sort_values(["doc_id", "text"], na_position="first")
+        own, begin = shared.value
+        layer = train(own, (_split(t) for t in pdf.text), Subwords(path), steps)
+        moved = np.concatenate([(layer[n] - begin[n]).ravel() for n in begin])
+        place = np.flatnonzero(moved)
+        return pd.DataFrame({"place": place.astype(np.int32), "value": moved[place].astype(np.float64)})
+
+    # A bag has about `DOCS_PER_BAG` texts, and a task of its own but for chance.
+    fitted = dealt.repartition(bags, "bag").groupBy("bag").applyInPandas(fit, "place int, value double")
+    table = fitted.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    used = max(1, dealt.select("bag").distinct().count())
+    flat = np.concatenate([v.ravel() for v in start.values()]).astype(np.float64)
+    flat[table["place"].to_numpy()] += table["value"].to_numpy() / used
     cuts = np.cumsum([p.size for p in start.values()])[:-1]
-    return {n: v.reshape(p.shape) for (n, p), v in zip(start.items(), np.split(flat, cuts), strict=True)}
+    return {n: v.reshape(p.shape).astype(np.float32) for (n, p), v in zip(start.items(), np.split(flat, cuts), strict=True)}
 
 
 def fit(
@@ -593,26 +636,26 @@ def fit(
     max_frequent: int = MAX_FREQUENT,
     steps: int = STEPS,
 ) -> tuple[Model, Counts, DataFrame]:
-    """The model that doc_id and text of `training` give, the counts of frequent words, and
-    those of all."""
-    n = training.count()
-    bag = F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-n // max_docs))))
-    sample = training.select("doc_id", "text", bag.alias("bag")).filter(F.col("bag") <= n // docs_per_bag)
-    sample = settle(sample.dropDuplicates(), "lm-sample")
+    """The model that doc_id and text of all rows of `training` give, the counts of frequent
+    words, and those of all. The centres start from `max_docs` texts; a bucket of the layer
+    has about `docs_per_bag`."""
+    bags = max(1, -(-training.count() // docs_per_bag))
+    dealt = training.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(bags)).alias("bag"))
 
     def find_centres(pdf: pd.DataFrame) -> pd.DataFrame:
         words.keep_only("words")
-        pdf = pdf.sort_values(["doc_id", "text"], na_position="first")
-        return pd.DataFrame({"centres": [cluster_centres([_split(t) for t in pdf.text]).tobytes()]})
+        pdf = pdf.drop_duplicates(["doc_id", "text"]).sort_values(["doc_id", "text"], na_position="first")
+        return pd.DataFrame({"centres": [cluster_centres([_split(t) for t in pdf.text[:max_docs]]).tobytes()]})
 
-    # A bucket has about `max_docs` texts, so one task holds it.
-    found = sample.filter("bag = 0").groupBy("bag").applyInPandas(find_centres, "centres binary").collect()
+    # Where the centres start: a bucket has about `docs_per_bag` texts, so one task holds it.
+    found = dealt.filter("bag = 0").groupBy("bag").applyInPandas(find_centres, "centres binary").collect()
     centres = np.frombuffer(found[0].centres, np.float32).reshape(EXPERTS, BINS) if found else cluster_centres([])
+    centres = moved_centres(training, centres)
     counts = settle(with_ids(count_words(training, centres), path), "word-counts")
     known = frequent_counts(counts, max_frequent)
     tables, prior = expert_tables(id_counts(counts, path, Subwords(path).size))
     model = Model(tables, prior, expert_scale(counts, path, tables, prior).astype(np.float32), {})
-    model.layer = average_layer(sample, model, path, steps)
+    model.layer = average_layer(dealt, bags, model, path, steps)
     return model, known, counts
 
 

@@ -191,3 +191,15 @@ def test_scores_do_not_depend_on_what_is_cached(monkeypatch):
     for g, e in zip(got, expected, strict=True):
         assert g[:2] == e[:2] and np.allclose(g[2:4], e[2:4], rtol=1e-5)
         assert (g[4] == e[4]).all() and np.allclose(g[5], e[5], atol=1e-4)
+
+
+def test_the_layer_learns_from_all_training_texts(spark):
+    data = list(enumerate(texts(9, 60)))
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    options = {"steps": 1, "max_docs": 5, "docs_per_bag": 12}
+    model, known, _ = attention_lm.fit(docs, tokens.default_path(), **options)
+    subwords = attention_lm.Subwords(tokens.default_path())
+    start = attention_lm.train(model, [], subwords)
+    ids = np.unique(np.concatenate([subwords.flat(attention_lm._split(t))[0] for _, t in data]))
+    ids = ids[ids < subwords.end]
+    assert (model.layer["e"][ids] != start["e"][ids]).any(1).all()
