@@ -6,9 +6,11 @@ their worker process and start anew when they are full.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 CACHE_WORDS = 300_000
@@ -21,6 +23,11 @@ SHINGLE = 5
 _FACTORS = np.random.default_rng(20).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+# glibc keeps what was freed unless it is told to give it back; other C libraries have no
+# such call.
+_LIBC = ctypes.CDLL(None)
+_LIBC = _LIBC if hasattr(_LIBC, "malloc_trim") else None
+
 # How to empty each kind of cache, by the name of its owner.
 _CLEAR: dict[str, Callable[[], object]] = {}
 
@@ -31,10 +38,13 @@ def register(owner: str, clear: Callable[[], object]) -> None:
 
 def keep_only(*owners: str) -> None:
     """Empties the caches that tasks of other operators left in this worker process, so
-    that it holds those of one operator at a time."""
+    that it holds those of one operator at a time, and gives what they took back."""
     for owner, clear in _CLEAR.items():
         if owner not in owners:
             clear()
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
 
 
 class WordHashes(dict):
