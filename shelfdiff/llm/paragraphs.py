@@ -31,7 +31,6 @@ passed on by `remove_repeats`.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,34 +76,26 @@ _FACTOR = _RANDOM.integers(0, 2**31, N_BANDS * BAND, dtype=np.uint32) * np.uint3
 _JOIN = _RANDOM.integers(1, 2**63, GRAM // words.SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _lines(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of a text, and where each line of it begins and ends among them."""
-    found = [line.split() for line in text.encode().lower().split(b"\n")] if text else []
-    sizes = np.array([len(x) for x in found], np.int64)
-    ends = np.cumsum(sizes)
-    return words.word_hashes(list(chain.from_iterable(found))), ends - sizes, ends
-
-
-def _digests(text: str | None, least: int) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
-    """(place, words, digest, band values) of every paragraph of a text."""
-    hashes, starts, ends = _lines(text)
-    places = np.flatnonzero(ends - starts >= least)
-    if not len(places):
-        return
-    starts, ends = starts[places], ends[places]
-    grams = words.windows(hashes, words.SHINGLE).astype(np.uint32)
-    own = [grams[s : e - words.SHINGLE + 1] for s, e in zip(starts, ends, strict=True)]
-    at = np.cumsum([0, *[len(x) for x in own[:-1]]])
-    values = np.concatenate(own)
-    low = np.empty((len(at), N_BANDS * BAND), np.uint32)
-    for k in range(N_BANDS * BAND):
-        low[:, k] = np.minimum.reduceat((values ^ _XOR[k]) * _FACTOR[k], at)
-    keys = np.zeros((len(at), N_BANDS), np.uint64)
-    for k in range(BAND):
-        keys = words.mix(keys + low[:, k::BAND] + np.arange(1, N_BANDS + 1, dtype=np.uint64))
-    data = hashes.tobytes()
-    for place, s, e, key in zip(places, starts, ends, keys.view(np.int64), strict=True):
-        yield int(place), int(e - s), xxhash.xxh3_128_digest(data[8 * s : 8 * e]), key
+def _digests(texts: words.Texts, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """(text, place, words, digest, band values) of every paragraph of some texts."""
+    hashes = texts.hashes()
+    starts, ends, first = texts.lines()
+    line = np.flatnonzero(ends - starts >= least)
+    starts, ends = starts[line], ends[line]
+    of = np.searchsorted(first, line, side="right") - 1
+    keys = np.zeros((len(line), N_BANDS), np.uint64)
+    if len(line):
+        grams = words.windows(hashes, words.SHINGLE).astype(np.uint32)
+        # Those within a paragraph, one paragraph after another.
+        place, at = words.ranges(starts, ends - starts - words.SHINGLE + 1)
+        values = grams[place]
+        low = np.empty((len(line), N_BANDS * BAND), np.uint32)
+        for k in range(N_BANDS * BAND):
+            low[:, k] = np.minimum.reduceat((values ^ _XOR[k]) * _FACTOR[k], at)
+        for k in range(BAND):
+            keys = words.mix(keys + low[:, k::BAND] + np.arange(1, N_BANDS + 1, dtype=np.uint64))
+    digests = [xxhash.xxh3_128_digest(hashes[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return of, line - first[of], ends - starts, digests, keys.view(np.int64)
 
 
 PARAGRAPHS = "doc_id long, paragraph int, n_words int, digest binary, bands array<long>"
@@ -117,19 +108,19 @@ def paragraph_bands(docs: DataFrame, doc_id: str, text: str, min_words: int) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.keep_only("words")
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part = batch.slice(i, 1000)
-                rows = [
-                    (d, *found)
-                    for d, t in zip(part["doc_id"].to_pylist(), part["text"], strict=True)
-                    for found in _digests(t.as_py(), min_words)
-                ]
-                if not rows:
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                of, places, sizes, digests, keys = _digests(words.Texts(part["text"]), min_words)
+                if not len(of):
                     continue
-                ids, places, sizes, digests, keys = zip(*rows, strict=True)
-                flat = pa.array(np.concatenate(keys))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * N_BANDS), flat)
-                columns = [pa.array(ids, pa.int64()), pa.array(places, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), lists]
+                offsets = pa.array(np.arange(len(of) + 1, dtype=np.int32) * N_BANDS)
+                columns = [
+                    part["doc_id"].take(pa.array(of)),
+                    pa.array(places.astype(np.int32)),
+                    pa.array(sizes.astype(np.int32)),
+                    pa.array(digests, pa.binary()),
+                    pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                ]
                 yield pa.record_batch(columns, names)
 
     ship(docs.sparkSession)
@@ -229,11 +220,13 @@ def _sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFra
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
                 ids, sets = [], []
-                for t, places in zip(part["text"], part["wanted"].to_pylist(), strict=True):
-                    hashes, starts, ends = _lines(t.as_py())
+                texts = words.Texts(part["text"])
+                hashes = texts.hashes()
+                starts, ends, first = texts.lines()
+                for lo, hi, places in zip(first[:-1], first[1:], part["wanted"].to_pylist(), strict=True):
                     for place in places:
-                        k = place["paragraph"]
-                        if k < len(starts):
+                        k = lo + place["paragraph"]
+                        if k < hi:
                             ids.append(place["id"])
                             sets.append(words.shingles(hashes[starts[k] : ends[k]]).tobytes())
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "set"])
@@ -358,21 +351,23 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
-                each = [words.word_hashes(words.lower_words(t.as_py())) for t in part["text"]]
-                long = [k for k, x in enumerate(each) if len(x) >= RUN]
-                if not long:
+                texts = words.Texts(part["text"])
+                hashes = texts.hashes()
+                long = np.flatnonzero(np.diff(texts.first) >= RUN)
+                if not len(long):
                     continue
-                sizes = np.array([len(each[k]) for k in long], np.int64)
-                ends = np.cumsum(sizes)
-                places, grams = _chosen(np.concatenate([each[k] for k in long]), ends - sizes, ends)
+                starts, ends = texts.first[long], texts.first[long + 1]
+                places, grams = _chosen(hashes, starts, ends)
                 bounds = pa.array(np.concatenate([[0], np.searchsorted(places, ends)]).astype(np.int32))
-                places = places - (ends - sizes)[np.searchsorted(ends, places, side="right")]
-                lines = [_blank_lines(part["text"][k].as_py()) for k in long]
-                digests = [xxhash.xxh3_128_digest(each[k].tobytes()) for k in long]
+                places = places - starts[np.searchsorted(ends, places, side="right")]
+                # The line of a text's first word.
+                _, line_ends, first = texts.lines()
+                lines = np.searchsorted(line_ends, starts, side="right") - first[long]
+                digests = [xxhash.xxh3_128_digest(hashes[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
                 columns = [
                     part["doc_id"].take(pa.array(long)),
-                    pa.array(sizes.astype(np.int32)),
-                    pa.array(lines, pa.int32()),
+                    pa.array((ends - starts).astype(np.int32)),
+                    pa.array(lines.astype(np.int32)),
                     pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(bounds, pa.array(places.astype(np.int32))),
                     pa.ListArray.from_arrays(bounds, pa.array(grams.view(np.int64))),
@@ -383,12 +378,6 @@ def _fingerprints(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(choose, kinds)
 
 
-def _blank_lines(text: str) -> int:
-    """The lines before the first with a word."""
-    data = text.encode()
-    return data[: len(data) - len(data.lstrip())].count(b"\n")
-
-
 def _windows_at(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """The windows of `RUN` words around the hits (of, places): run (a hash), doc_id, word,
     and the line in which the window begins."""
@@ -400,8 +389,12 @@ def _windows_at(docs: DataFrame, hits: DataFrame) -> DataFrame:
             for i in range(0, batch.num_rows, 100):
                 part = batch.slice(i, 100)
                 runs, places, lines = [], [], []
-                for t, hit in zip(part["text"], part["places"], strict=True):
-                    hashes, _, ends = _lines(t.as_py())
+                texts = words.Texts(part["text"])
+                every = texts.hashes()
+                _, line_ends, first = texts.lines()
+                for k, hit in enumerate(part["places"]):
+                    lo, hi = texts.first[k : k + 2]
+                    hashes, ends = every[lo:hi], line_ends[first[k] : first[k + 1]] - lo
                     values = _joined(_grams(hashes), RUN // GRAM, GRAM)
                     hit = hit.values.to_numpy(zero_copy_only=False)
                     # Windows that hold a hit whole.

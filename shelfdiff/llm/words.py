@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 CACHE_WORDS = 300_000
@@ -76,6 +77,82 @@ def word_hashes(words: list[bytes], cache: WordHashes = PLAIN) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
+# The white space between words, A-Z in lower case, and a random value for each character
+# at each of the first places of a word; capitals have the values of small letters.
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_PLACED = np.random.default_rng(64).integers(0, 2**64, (CACHE_BYTES, 256), dtype=np.uint64)[:, _LOWER].ravel()
+_WORDS_AT_ONCE = 100_000
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in ranges, one range after another, and where each begins among them."""
+    at = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - at, sizes), at
+
+
+class Texts:
+    """The words of a column of texts, found in its bytes: `starts` and `ends` of all of
+    them, and `first`, the number of each text's first word, the number of all at its end.
+    Words are those of `lower_words`; nulls have none."""
+
+    def __init__(self, column: pa.Array):
+        column = pc.fill_null(column, "")
+        wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+        _, offsets, data = column.buffers()
+        kind = np.dtype(np.int64 if wide else np.int32)
+        bounds = np.frombuffer(offsets, kind, len(column) + 1, kind.itemsize * column.offset) if len(column) else np.zeros(1, kind)
+        lo, hi = int(bounds[0]), int(bounds[-1])
+        self.data = np.frombuffer(data, np.uint8, hi - lo, lo) if hi > lo else np.empty(0, np.uint8)
+        self.bounds = bounds.astype(np.int64) - lo
+        inside = ~_SPACE[self.data]
+        follows, leads = np.zeros(hi - lo, bool), np.zeros(hi - lo, bool)
+        follows[1:], leads[:-1] = inside[:-1], inside[1:]
+        edges = self.bounds[(self.bounds > 0) & (self.bounds < hi - lo)]
+        follows[edges] = leads[edges - 1] = False
+        self.starts = np.flatnonzero(inside & ~follows)
+        self.ends = np.flatnonzero(inside & ~leads) + 1
+        self.first = np.searchsorted(self.starts, self.bounds)
+
+    def hashes(self) -> np.ndarray:
+        """A hash of every word: the values of its characters at their places, summed and
+        mixed; long words have that of their bytes."""
+        out = np.empty(len(self.starts), np.uint64)
+        for i in range(0, len(out), _WORDS_AT_ONCE):
+            starts, ends = self.starts[i : i + _WORDS_AT_ONCE], self.ends[i : i + _WORDS_AT_ONCE]
+            sizes = np.minimum(ends - starts, CACHE_BYTES)
+            place, at = ranges(starts, sizes)
+            letters = self.data[place]
+            place -= np.repeat(starts, sizes)
+            total = np.add.reduceat(_PLACED[place * 256 + letters], at)
+            out[i : i + _WORDS_AT_ONCE] = mix(total + sizes.astype(np.uint64))
+        for j in np.flatnonzero(self.ends - self.starts > CACHE_BYTES):
+            out[j] = xxhash.xxh3_64_intdigest(self.data[self.starts[j] : self.ends[j]].tobytes().lower())
+        return out
+
+    def names(self, which: np.ndarray) -> pa.Array:
+        """Some of the words, in lower case."""
+        starts = self.starts[which]
+        sizes = self.ends[which] - starts
+        place, at = ranges(starts, sizes)
+        letters = _LOWER[self.data[place]]
+        offsets = np.append(at, len(letters)).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where every line of the texts begins and ends among the words, and the number of
+        each text's first line, the number of all at the end."""
+        breaks = np.flatnonzero(self.data == 10)
+        before = np.searchsorted(breaks, self.bounds)
+        first = before + np.arange(len(self.bounds))
+        cuts = np.sort(np.concatenate([np.searchsorted(self.starts, breaks), self.first]))
+        # Every text ends a line, whether or not it ends with a line break.
+        starts, ends = cuts[:-1], cuts[1:]
+        return starts, ends, first
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values; one to one."""
     x = x ^ (x >> np.uint64(30))
