@@ -77,15 +77,59 @@ def word_hashes(words: list[bytes], cache: WordHashes = PLAIN) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
-# The white space between words, A-Z in lower case, and a random value for each character
-# at each of the first places of a word; capitals have the values of small letters.
+# The white space between words, and A-Z in lower case.
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_PLACED = np.random.default_rng(64).integers(0, 2**64, (CACHE_BYTES, 256), dtype=np.uint64)[:, _LOWER].ravel()
 _WORDS_AT_ONCE = 100_000
 
+# Constants of xxh3 (64 bits, no seed) for inputs of up to 3, 8 and 16 bytes.
+_FLIP_3 = np.uint64(0x396CFEB8 ^ 0xBE4BA423)
+_FLIP_8 = np.uint64(0x1CAD21F72C81017C ^ 0xDB979083E96DD4DE)
+_FLIP_16 = np.uint64(0x1F67B3B7A4A44072 ^ 0x78E5C0CC4EE679CB), np.uint64(0x2172FFCC7DD05A82 ^ 0x8E2443F7744608B8)
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _folded(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The low half of 128-bit products, xor the high half."""
+    a0, a1, b0, b1 = a & _LOW, a >> np.uint64(32), b & _LOW, b >> np.uint64(32)
+    one, two = a0 * b1, a1 * b0
+    middle = (a0 * b0 >> np.uint64(32)) + (one & _LOW) + (two & _LOW)
+    return a * b ^ (a1 * b1 + (one >> np.uint64(32)) + (two >> np.uint64(32)) + (middle >> np.uint64(32)))
+
+
+def _xxh3(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """xxh3 of pieces of `data`, which has 8 bytes more at its end; none is empty. Pieces of
+    up to 16 bytes are hashed together, others one by one."""
+    out = np.empty(len(starts), np.uint64)
+    n = len(data) - 7
+    by_4 = np.ndarray(n, "<u4", data, strides=(1,))
+    by_8 = np.ndarray(n, "<u8", data, strides=(1,))
+    some = np.flatnonzero(sizes <= 3)
+    at, size = starts[some], sizes[some]
+    first, inner, last = (data[x].astype(np.uint64) for x in (at, at + (size >> 1), at + size - 1))
+    h = (first << np.uint64(16) | inner << np.uint64(24) | last | size.astype(np.uint64) << np.uint64(8)) ^ _FLIP_3
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0x165667B19E3779F9)
+    out[some] = h ^ h >> np.uint64(32)
+    some = np.flatnonzero((sizes > 3) & (sizes <= 8))
+    at, size = starts[some], sizes[some]
+    h = (by_4[at + size - 4].astype(np.uint64) + (by_4[at].astype(np.uint64) << np.uint64(32))) ^ _FLIP_8
+    h ^= (h << np.uint64(49) | h >> np.uint64(15)) ^ (h << np.uint64(24) | h >> np.uint64(40))
+    h *= np.uint64(0x9FB21C651E98DF25)
+    h = (h ^ (h >> np.uint64(35)) + size.astype(np.uint64)) * np.uint64(0x9FB21C651E98DF25)
+    out[some] = h ^ h >> np.uint64(28)
+    some = np.flatnonzero((sizes > 8) & (sizes <= 16))
+    at, size = starts[some], sizes[some]
+    low, high = by_8[at] ^ _FLIP_16[0], by_8[at + size - 8] ^ _FLIP_16[1]
+    h = size.astype(np.uint64) + low.byteswap() + high + _folded(low, high)
+    h = (h ^ h >> np.uint64(37)) * np.uint64(0x165667919E3779F9)
+    out[some] = h ^ h >> np.uint64(32)
+    for j in np.flatnonzero(sizes > 16).tolist():
+        out[j] = xxhash.xxh3_64_intdigest(data[starts[j] : starts[j] + sizes[j]])
+    return out
+
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places in ranges, one range after another, and where each begins among them."""
@@ -117,19 +161,13 @@ class Texts:
         self.first = np.searchsorted(self.starts, self.bounds)
 
     def hashes(self) -> np.ndarray:
-        """A hash of every word: the values of its characters at their places, summed and
-        mixed; long words have that of their bytes."""
+        """What `word_hashes` gives for every word."""
+        data = np.zeros(len(self.data) + 8, np.uint8)
+        data[:-8] = _LOWER[self.data]
         out = np.empty(len(self.starts), np.uint64)
         for i in range(0, len(out), _WORDS_AT_ONCE):
-            starts, ends = self.starts[i : i + _WORDS_AT_ONCE], self.ends[i : i + _WORDS_AT_ONCE]
-            sizes = np.minimum(ends - starts, CACHE_BYTES)
-            place, at = ranges(starts, sizes)
-            letters = self.data[place]
-            place -= np.repeat(starts, sizes)
-            total = np.add.reduceat(_PLACED[place * 256 + letters], at)
-            out[i : i + _WORDS_AT_ONCE] = mix(total + sizes.astype(np.uint64))
-        for j in np.flatnonzero(self.ends - self.starts > CACHE_BYTES):
-            out[j] = xxhash.xxh3_64_intdigest(self.data[self.starts[j] : self.ends[j]].tobytes().lower())
+            part = slice(i, i + _WORDS_AT_ONCE)
+            out[part] = _xxh3(data, self.starts[part], self.ends[part] - self.starts[part])
         return out
 
     def names(self, which: np.ndarray) -> pa.Array:
