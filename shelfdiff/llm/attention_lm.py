@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -128,6 +128,29 @@ def _split(text: str | None) -> list[bytes]:
     return [*words.lower_words(text), END_WORD]
 
 
+class Split:
+    """The words of a column of texts with an end after each: `sizes` of the texts and the
+    `hashes` of all their words."""
+
+    def __init__(self, column: pa.Array):
+        self.texts = words.Texts(column)
+        ends = self.texts.first[1:]
+        self.sizes = np.diff(self.texts.first) + 1
+        self.hashes = np.insert(self.texts.hashes(), ends, words.word_hashes([END_WORD]))
+        self.word = np.insert(np.arange(len(self.texts.starts)), ends, -1)
+
+    def names(self, places: np.ndarray) -> pa.Array:
+        """The words at some places."""
+        word = self.word[places]
+        inner = word >= 0
+        found = pa.concat_arrays([self.texts.names(word[inner]), pa.array([END_WORD], pa.binary())])
+        return found.take(pa.array(np.where(inner, np.cumsum(inner) - 1, len(found) - 1)))
+
+
+def _column(texts: pd.Series) -> pa.Array:
+    return pa.array(texts, pa.string(), from_pandas=True)
+
+
 def _bins(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Texts, one after another, as unit vectors of their words' logged counts in bins."""
     text = np.repeat(np.arange(len(sizes)), sizes)
@@ -189,16 +212,20 @@ _DISTANCE = np.clip(np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :], 0,
 def forward(layer: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, dict]:
     """Log weights of the experts at each place of windows x (n, WINDOW, WIDTH), and what
     training needs."""
-    q, k, v = x @ layer["q"], x @ layer["k"], x @ layer["v"]
+    every = x.reshape(-1, WIDTH) @ np.concatenate([layer[n] for n in "qkvx"], axis=1)
+    q, k, v, own = np.split(every.reshape(*x.shape[:-1], 4 * WIDTH), 4, axis=-1)
+    q *= np.float32(WIDTH**-0.5)
     score = q @ k.transpose(0, 2, 1)
-    score *= np.float32(WIDTH**-0.5)
     score += layer["r"][_DISTANCE] + _MASK
     score -= score.max(-1, keepdims=True)
     attention = np.exp(score, out=score)
     attention /= attention.sum(-1, keepdims=True)
     z = attention @ v
-    h = np.tanh(z + x @ layer["x"] + layer["b"])
-    g = h @ layer["u"] + layer["c"]
+    z += own
+    z += layer["b"]
+    h = np.tanh(z, out=z)
+    g = (h.reshape(-1, WIDTH) @ layer["u"]).reshape(*x.shape[:-1], -1)
+    g += layer["c"]
     g -= g.max(-1, keepdims=True)
     g -= np.log(np.exp(g).sum(-1, keepdims=True))
     return g, {"q": q, "k": k, "v": v, "a": attention, "h": h}
@@ -212,68 +239,110 @@ def _gradients(layer, x, made, gates, logs, real) -> tuple[dict[str, np.ndarray]
     total = chance.sum(-1, keepdims=True)
     loss = -float(((top + np.log(total))[..., 0] * real).sum() / real.sum())
     dg = (np.exp(gates) - chance / total) * (real / real.sum())[..., None]
-    dh = dg @ layer["u"].T
-    dpre = dh * (1 - made["h"] ** 2)
+    flat = lambda t: t.reshape(-1, t.shape[-1])
+    dpre = (flat(dg) @ layer["u"].T).reshape(x.shape)
+    dpre *= 1 - made["h"] ** 2
     dv = made["a"].transpose(0, 2, 1) @ dpre
     da = dpre @ made["v"].transpose(0, 2, 1)
-    ds = made["a"] * (da - (da * made["a"]).sum(-1, keepdims=True))
-    scale = np.float32(WIDTH**-0.5)
-    dq, dk = ds @ made["k"] * scale, ds.transpose(0, 2, 1) @ made["q"] * scale
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    grads = {name: flat(x).T @ flat(d) for name, d in (("q", dq), ("k", dk), ("v", dv), ("x", dpre))}
+    da -= np.einsum("nij,nij->ni", da, made["a"])[..., None]
+    ds = np.multiply(da, made["a"], out=da)
+    # The queries that `forward` keeps are scaled.
+    dq, dk = ds @ made["k"], ds.transpose(0, 2, 1) @ made["q"]
+    dq *= np.float32(WIDTH**-0.5)
+    slopes = flat(np.concatenate([dq, dk, dv, dpre], axis=-1))
+    grads = dict(zip("qkvx", np.split(flat(x).T @ slopes, 4, axis=1), strict=True))
     grads["b"], grads["c"] = flat(dpre).sum(0), flat(dg).sum(0)
     grads["u"] = flat(made["h"]).T @ flat(dg)
     grads["r"] = np.bincount(_DISTANCE.ravel(), ds.sum(0).ravel(), WINDOW).astype(np.float32)
-    dx = dq @ layer["q"].T + dk @ layer["k"].T + dv @ layer["v"].T + dpre @ layer["x"].T
+    dx = slopes @ np.concatenate([layer[n] for n in "qkvx"], axis=1).T
     return grads, dx, loss
 
 
 def _summed(values: np.ndarray, groups: np.ndarray) -> np.ndarray:
     """Sums of rows by group; groups are numbered without gaps."""
+    # Sorting is quicker for small numbers.
+    groups = groups.astype(np.uint16) if len(groups) and groups.max() < 2**16 else groups
     order = np.argsort(groups, kind="stable")
-    starts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+    starts = np.flatnonzero(np.diff(groups[order].astype(np.int64), prepend=-1))
     return np.add.reduceat(values[order], starts, axis=0)
 
 
 def train(model: Model, texts: Iterable[list[bytes]], subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
+    """What `train_rows` gives, for texts as lists of words."""
+    vocabulary = WordRows()
+    rows = [np.fromiter(map(vocabulary.__getitem__, t), np.int64, len(t)) for t in texts]
+    sizes = np.array([len(r) for r in rows], np.int64)
+    return train_rows(model, list(vocabulary), np.concatenate([*rows, np.empty(0, np.int64)]), sizes, subwords, steps)
+
+
+def train_column(model: Model, column: pa.Array, subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
+    """What `train_rows` gives, for a column of texts."""
+    # Words are known by their hashes; only numbers and one name of each word are held.
+    index, names, rows, sizes = WordRows(), [], [], []
+    for i in range(0, len(column), 500):
+        split = Split(column[i : i + 500])
+        some, first, of = np.unique(split.hashes, return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        own = np.empty(len(some), np.int32)
+        own[order] = np.fromiter(map(index.__getitem__, some[order].tolist()), np.int32, len(some))
+        names += split.names(first[order][own[order] >= len(names)]).to_pylist()
+        rows.append(own[of])
+        sizes.append(split.sizes)
+    del index
+    none = np.empty(0, np.int32)
+    rows, sizes = np.concatenate([none, *rows]), np.concatenate([none, *sizes])
+    return train_rows(model, names, rows, sizes, subwords, steps)
+
+
+def train_rows(
+    model: Model, names: list[bytes], rows: np.ndarray, sizes: np.ndarray, subwords: Subwords, steps: int = STEPS
+) -> dict[str, np.ndarray]:
     """An attention layer that weighs the experts of `model`, by so many steps at least, and
-    as many as it takes to see every window of the texts."""
+    as many as it takes to see every window of the texts. These lie one after another in
+    `rows`, numbers of words among `names`."""
     random = np.random.default_rng(7)
     draw = lambda *shape: (random.standard_normal(shape) * 0.1).astype(np.float32)
     layer = {n: draw(WIDTH, WIDTH) for n in ("q", "k", "v", "x")}
     layer |= {"b": np.zeros(WIDTH, np.float32), "r": np.zeros(WINDOW, np.float32)}
     layer |= {"u": draw(WIDTH, EXPERTS + 1), "c": np.zeros(EXPERTS + 1, np.float32)}
     layer["e"] = draw(subwords.size, WIDTH) * 3
-    vocabulary = WordRows()
-    rows = [np.fromiter(map(vocabulary.__getitem__, t), np.int64, len(t)) for t in texts]
-    if not vocabulary:
+    if not names:
         return layer
-    names = list(vocabulary)
-    ids, states, starts = subwords.flat(names)
-    ends = np.append(starts[1:], len(ids))
-    logs = np.log(model.ratios((ids, states, starts)) + np.float32(1e-20))
     begin = len(names)
-    rows = [np.append(begin, t) for t in rows]
-    spans = [(i, lo) for i, t in enumerate(rows) for lo in range(0, len(t) - 1, WINDOW)]
+    ids, lengths, logs = [], [], np.empty((begin, EXPERTS + 1), np.float32)
+    for i in range(0, begin, 20_000):
+        flat = subwords.flat(names[i : i + 20_000])
+        ids.append(flat[0].astype(np.int32))
+        lengths.append(np.diff(np.append(flat[2], len(flat[0]))))
+        logs[i : i + 20_000] = np.log(model.ratios(flat) + np.float32(1e-20))
+    ids, lengths = np.concatenate(ids), np.concatenate(lengths)
+    starts = np.cumsum(lengths) - lengths
+    # Every text follows its start; windows begin at every `WINDOW` words of it.
+    lows = np.cumsum(sizes) - sizes
+    rows = np.insert(rows, lows, begin)
+    lo, _ = words.ranges(np.zeros(len(sizes), np.int64), -(-sizes // WINDOW))
+    lo *= WINDOW
+    text = np.repeat(np.arange(len(sizes)), -(-sizes // WINDOW))
+    spans = (lows + np.arange(len(sizes)))[text] + lo
+    filled = np.minimum(sizes[text] - lo, WINDOW)
     state = {n: (np.zeros_like(p), np.zeros_like(p)) for n, p in layer.items()}
     steps = max(steps, -(-len(spans) // BATCH))
     rounds = -(-steps * BATCH // len(spans))
     picks = np.concatenate([random.permutation(len(spans)) for _ in range(rounds)])
     for step in range(1, steps + 1):
-        inputs = np.full((BATCH, WINDOW), begin)
-        targets = np.zeros((BATCH, WINDOW), np.int64)
-        real = np.zeros((BATCH, WINDOW), np.float32)
-        for j, pick in enumerate(picks[(step - 1) * BATCH : step * BATCH]):
-            i, lo = spans[pick]
-            part = rows[i][lo : lo + WINDOW + 1]
-            inputs[j, : len(part) - 1], targets[j, : len(part) - 1], real[j, : len(part) - 1] = part[:-1], part[1:], 1
+        pick = picks[(step - 1) * BATCH : step * BATCH]
+        inside = np.arange(WINDOW) < filled[pick][:, None]
+        place = np.where(inside, spans[pick][:, None] + np.arange(WINDOW), 0)
+        inputs = np.where(inside, rows[place], begin)
+        targets = np.where(inside, rows[place + 1], 0)
+        real = inside.astype(np.float32)
         used, where = np.unique(inputs, return_inverse=True)
         own = used[used < begin]
-        pieces = [ids[starts[w] : ends[w]] for w in own]
-        pieces += [np.array([subwords.begin])] if used[-1] == begin else []
-        sizes = np.array([len(p) for p in pieces])
-        flat = np.concatenate(pieces)
-        at = np.cumsum(sizes) - sizes
+        has_begin = int(used[-1] == begin)
+        own_ids, at = words.ranges(starts[own], lengths[own])
+        flat = np.append(ids[own_ids], [subwords.begin] * has_begin)
+        at = np.append(at, [len(own_ids)] * has_begin)
+        sizes = np.append(lengths[own], [1] * has_begin)
         vectors = np.add.reduceat(layer["e"][flat], at, axis=0) / sizes[:, None].astype(np.float32)
         x = vectors[where].reshape(BATCH, WINDOW, WIDTH)
         gates, made = forward(layer, x)
@@ -343,13 +412,11 @@ def count_words(texts: DataFrame, centres: np.ndarray) -> DataFrame:
 
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
-                split = [_split(t.as_py()) for t in batch["text"][i : i + 500]]
-                sizes = np.array([len(t) for t in split])
-                found = [w for t in split for w in t]
-                hashes = words.word_hashes(found)
+                split = Split(batch["text"][i : i + 500])
+                hashes, sizes = split.hashes, split.sizes
                 cluster = np.repeat(np.argmax(_bins(hashes, sizes) @ centres.T, axis=1), sizes)
                 _, first, n = np.unique(keys(hashes, cluster), return_index=True, return_counts=True)
-                names = pa.array([found[j] for j in first], pa.binary())
+                names = split.names(first)
                 held.append((hashes[first], names, cluster[first], n))
                 # Long words count for several.
                 size += len(n) + names.nbytes // 64
@@ -456,14 +523,14 @@ def _room(n: int) -> tuple[np.ndarray, ...]:
 
 
 class WordRows(dict):
-    """Numbers words in the order in which they first come; `new` gathers those that came
-    last."""
+    """Numbers words, or their hashes, in the order in which they first come; `new` gathers
+    those that came last."""
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list = []
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes | int) -> int:
         self[word] = n = len(self)
         self.new.append(word)
         return n
@@ -497,20 +564,28 @@ class Scorer:
 
     def rows(self, flat: list[bytes]) -> np.ndarray:
         """The rows of words, after adding those that are new."""
+        return self.find(words.word_hashes(flat), lambda places: [flat[i] for i in places])
+
+    def find(self, every: np.ndarray, names: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+        """The rows of words with these hashes; `names` gives the words at some places."""
         if len(self.index) > CACHE_WORDS:
             self.forget()
-        rows = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        new, self.index.new = self.index.new, []
+        some, first, of = np.unique(every, return_index=True, return_inverse=True)
+        own = np.fromiter(map(self.index.__getitem__, some.tolist()), np.int64, len(some))
+        rows = own[of]
+        fresh = first[own >= len(self.index) - len(self.index.new)]
+        self.index.new = []
+        new = names(fresh)
         if new:
             lo, hi = len(self.index) - len(new), len(self.index)
             if hi > len(self.n):
                 held = self.vectors, self.ratios, self.hashes, self.n, self.uses
                 room = _room(max(2 * hi, 50_000))
-                for old, fresh in zip(held, room, strict=True):
-                    fresh[:lo] = old[:lo]
+                for old, larger in zip(held, room, strict=True):
+                    larger[:lo] = old[:lo]
                 self.vectors, self.ratios, self.hashes, self.n, self.uses = room
             parts = self.subwords.flat(new)
-            hashes = words.word_hashes(new)
+            hashes = every[fresh]
             self.vectors[lo:hi] = word_vectors(self.model.layer["e"], parts)
             self.ratios[lo:hi] = self.model.ratios(parts)
             self.hashes[lo:hi] = hashes
@@ -533,8 +608,8 @@ class Scorer:
         inside = place < sizes[text][:, None]
         before = starts[text][:, None] + place - 1
         out = np.empty((len(rows), EXPERTS + 1), np.float32)
-        for i in range(0, len(text), 512):
-            part = slice(i, i + 512)
+        for i in range(0, len(text), 128):
+            part = slice(i, i + 128)
             at = np.where(inside[part] & (place[part] > 0), before[part], 0)
             x = self.vectors[rows[at]]
             x[place[part] == 0] = self.begin_vector
@@ -547,16 +622,16 @@ class Scorer:
         """(n_tokens, n_known, base, gain, hashes and gains of rare words) of each text, in
         natural logs; n_known, base and gain without the words that are not among the
         frequent ones."""
-        split = [_split(t) for t in texts]
-        sizes = np.array([len(s) for s in split])
-        rows = self.rows([w for s in split for w in s])
+        split = Split(pa.array(texts, pa.string()))
+        sizes = split.sizes
+        rows = self.find(split.hashes, lambda places: split.names(places).to_pylist())
         gain = np.log(np.einsum("ij,ij->i", np.exp(self.gates(rows, sizes)), self.ratios[rows]).astype(np.float64) + 1e-30)
         n = self.n[rows]
         base = np.where(n >= 0, self.counts.log(np.maximum(n, 0)), 0.0)
         starts = np.cumsum(sizes) - sizes
         known = (n > 0).astype(np.int64), base, np.where(n >= 0, gain, 0.0)
         sums = [np.add.reduceat(x, starts) for x in known]
-        hashes = self.hashes[rows].view(np.int64)
+        hashes = split.hashes.view(np.int64)
         out = []
         for i, (lo, size) in enumerate(zip(starts, sizes, strict=True)):
             own = slice(lo, lo + size)
@@ -586,8 +661,8 @@ def moved_centres(training: DataFrame, centres: np.ndarray) -> np.ndarray:
         total = np.zeros((EXPERTS, BINS), np.int64)
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
-                split = [_split(t.as_py()) for t in batch["text"][i : i + 500]]
-                x = _bins(words.word_hashes([w for t in split for w in t]), np.array([len(t) for t in split]))
+                split = Split(batch["text"][i : i + 500])
+                x = _bins(split.hashes, split.sizes)
                 mine = np.argmax(x @ centres.T, axis=1)
                 for c in np.unique(mine):
                     total[c] += np.rint(x[mine == c] * 2.0**20).astype(np.int64).sum(0)
@@ -613,7 +688,7 @@ def average_layer(dealt: DataFrame, bags: int, model: Model, path: str, steps: i
         words.keep_only("tokens")
         pdf = pdf.drop_duplicates(["doc_id", "text"]).sort_values(["doc_id", "text"], na_position="first")
         own, begin = shared.value
-        layer = train(own, (_split(t) for t in pdf.text), Subwords(path), steps)
+        layer = train_column(own, _column(pdf.text), Subwords(path), steps)
         moved = np.concatenate([(layer[n] - begin[n]).ravel() for n in begin])
         place = np.flatnonzero(moved)
         return pd.DataFrame({"place": place.astype(np.int32), "value": moved[place].astype(np.float64)})

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from shelfdiff.llm import paragraphs, words
+from shelfdiff.llm import attention_lm, paragraphs, tokens, words
 from llm_data import rows
 
 LONG = "x" * 70
@@ -49,3 +49,19 @@ def test_paragraphs_of_many_texts_are_those_of_each_alone():
         if lines is not None and "\x1c" not in (t or ""):
             assert [x[1:3] for x in alone if x[0] == i] == [(k, len(x)) for k, x in enumerate(lines) if len(x) >= 5]
     assert together == alone and together
+
+
+def test_a_column_of_texts_trains_the_layer_as_lists_of_words_do():
+    subwords = attention_lm.Subwords(tokens.default_path())
+    tables, prior = attention_lm.expert_tables(np.zeros((attention_lm.EXPERTS, 3, subwords.size)))
+    model = attention_lm.Model(tables, prior, np.ones(attention_lm.EXPERTS, np.float32), {})
+    texts = [*AWKWARD, *[t for _, t, *_ in rows()]] * 12
+    column = pa.array(texts, pa.string())
+    split = attention_lm.Split(column)
+    expected = [attention_lm._split(t) for t in texts]
+    assert split.sizes.tolist() == [len(t) for t in expected]
+    assert split.names(np.arange(len(split.hashes))).to_pylist() == [w for t in expected for w in t]
+    assert split.hashes.tolist() == words.word_hashes([w for t in expected for w in t]).tolist()
+    own = attention_lm.train(model, expected, subwords, steps=5)
+    got = attention_lm.train_column(model, column, subwords, steps=5)
+    assert all((own[n] == got[n]).all() for n in own)
