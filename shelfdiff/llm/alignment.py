@@ -28,6 +28,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -106,6 +107,25 @@ class _Tokenizers:
         return units, True
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Distinct values in ascending order; sorting is quicker than `np.unique` on small arrays."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+class _Places(dict):
+    """Numbers units in the order in which they first come; `new` gathers those that came last."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = n = len(self)
+        self.new.append(unit)
+        return n
+
+
 class Aligner:
     """Aligned units of this worker process: per unit its counts, the codes of its links
     and the text of its groups. Codes are A's id times 2^32 plus B's."""
@@ -115,38 +135,44 @@ class Aligner:
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[str, int] = {}
+        self.places = _Places()
         self.groups: list[str] = []
         self.bad: set[int] = set()  # units that are not given back byte by byte
         self.counts = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, links
-        self.starts = np.zeros(1, np.int64)
+        self.starts = np.zeros(0, np.int64)  # of their codes
         self.codes = np.zeros(0, np.int64)
 
     def _add(self, units: list[str], words: bool) -> None:
-        """Aligns units that are not known yet; `words`: they all are words."""
-        usual = units if words else [u for u in units if _USUAL.match(u)]
-        rest = [] if words else [u for u in units if not _USUAL.match(u)]
+        """Aligns units that have their places, the last ones; `words`: they all are words."""
+        first = len(self.groups)
+        usual = range(len(units)) if words else [i for i, u in enumerate(units) if _USUAL.match(u)]
         found = []
-        if usual and self.of.cuttable and (joint := self._aligned(usual)):
+        if len(usual) and self.of.cuttable and (joint := self._aligned([units[i] for i in usual])):
             found.append((usual, joint))
+            rest = sorted(set(range(len(units))).difference(usual))
         else:
-            rest = units
-        found += [([u], self._aligned([u])) for u in rest]
-        counts, codes = [self.counts], [self.codes]
-        for names, got in found:
-            first = len(self.places)
-            self.places.update(zip(names, range(first, first + len(names)), strict=True))
+            rest = range(len(units))
+        found += [([i], self._aligned([units[i]])) for i in rest]
+        self.groups += [""] * len(units)
+        counts = np.zeros((len(units), 4), np.int64)
+        starts = np.zeros(len(units), np.int64)
+        codes, size = [self.codes], len(self.codes)
+        for which, got in found:
             if got is None:  # not given back byte by byte
-                self.bad.update(range(first, first + len(names)))
-                self.groups += [""] * len(names)
-                counts.append(np.zeros((len(names), 4), np.int64))
+                self.bad.update(first + i for i in which)
                 continue
             texts, numbers, links = got
-            self.groups += texts
-            counts.append(numbers)
+            if len(which) == len(units):
+                self.groups[first:] = texts
+            else:
+                for i, text in zip(which, texts, strict=True):
+                    self.groups[first + i] = text
+            counts[which] = numbers
+            starts[which] = size + np.cumsum(numbers[:, 3]) - numbers[:, 3]
             codes.append(links)
-        self.counts, self.codes = np.concatenate(counts), np.concatenate(codes)
-        self.starts = np.concatenate([[0], np.cumsum(self.counts[:, 3])])
+            size += len(links)
+        self.counts, self.codes = np.concatenate([self.counts, counts]), np.concatenate(codes)
+        self.starts = np.concatenate([self.starts, starts])
 
     def _aligned(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray] | None:
         """Texts of groups, counts and codes of units that stand one after another."""
@@ -159,20 +185,26 @@ class Aligner:
             return None
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         ends_a, ends_b = np.cumsum(of.lengths_a[a]), np.cumsum(of.lengths_b[b])
-        unit_ends = np.cumsum([len(u.encode()) for u in units])
-        ends = np.union1d(ends_a, ends_b)
-        groups = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        codes = (a[np.searchsorted(ends_a, ends)] << 32) | b[np.searchsorted(ends_b, ends)]
-        numbers = [np.searchsorted(x, unit_ends, "right") for x in (ends_a, ends_b, groups, ends)]
-        numbers = np.diff(np.stack(numbers, 1), axis=0, prepend=0)
+        unit_ends = np.cumsum([len(u) if u.isascii() else len(u.encode()) for u in units])
+        # Bytes after which tokens end, and how many did before each.
+        is_a, is_b = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+        is_a[ends_a] = is_b[ends_b] = True
+        any_end, both_end = is_a | is_b, is_a & is_b
+        upto_a, upto_b, upto_group, upto = (np.cumsum(x, dtype=np.int32) for x in (is_a, is_b, both_end, any_end))
+        ends = np.flatnonzero(any_end)
+        codes = (a[upto_a[ends - 1]] << 32) | b[upto_b[ends - 1]]
+        numbers = np.stack([x[unit_ends] for x in (upto_a, upto_b, upto_group, upto)], 1)
+        numbers = np.diff(numbers, axis=0, prepend=0)
         # The text: in each group A's ids, then B's.
-        of_a, of_b = np.searchsorted(groups, ends_a), np.searchsorted(groups, ends_b)
-        n_b = np.bincount(of_b, minlength=len(groups))
-        n_a = np.bincount(of_a, minlength=len(groups))
+        of_a, of_b = upto_group[ends_a - 1], upto_group[ends_b - 1]
+        n = int(upto_group[-1])
+        n_a, n_b = np.bincount(of_a, minlength=n), np.bincount(of_b, minlength=n)
         place_a = np.arange(len(a)) + (np.cumsum(n_b) - n_b)[of_a]
         place_b = np.arange(len(b)) + np.cumsum(n_a)[of_b]
-        last_a, last_b = np.isin(ends_a, groups, assume_unique=True), np.isin(ends_b, groups, assume_unique=True)
-        kind_b = 2 + last_b + np.isin(ends_b, unit_ends)
+        is_unit = np.zeros(len(data) + 1, bool)
+        is_unit[unit_ends] = True
+        last_a, last_b = is_b[ends_a], is_a[ends_b]
+        kind_b = 2 + last_b + is_unit[ends_b]
         texts = np.empty(len(a) + len(b), np.int64)
         texts[place_a] = a + of.text_bases[last_a.astype(int)]
         texts[place_b] = b + of.text_bases[kind_b]
@@ -183,14 +215,13 @@ class Aligner:
         cut = [self.of.cut(t) for t in texts]
         if len(self.places) > CACHE_UNITS:
             self.clear()
-        flat = [u for units, _ in cut for u in units]
-        found = list(map(self.places.get, flat))
-        new = dict.fromkeys(u for u, place in zip(flat, found, strict=True) if place is None)
-        if new:
-            self._add(list(new), all(plain for _, plain in cut))
-            found = list(map(self.places.__getitem__, flat))
         starts = np.cumsum([0, *(len(units) for units, _ in cut)])
-        return np.array(found, np.int64), starts
+        flat = chain.from_iterable(units for units, _ in cut)
+        found = np.fromiter(map(self.places.__getitem__, flat), np.int64, starts[-1])
+        if self.places.new:
+            self._add(self.places.new, all(plain for _, plain in cut))
+            self.places.new = []
+        return found, starts
 
     def links(self, places: np.ndarray) -> np.ndarray:
         """The codes of the links of units, one after another."""
@@ -260,9 +291,9 @@ def _held_pairs(texts: DataFrame, paths: tuple[str, str]) -> DataFrame:
                         yield flush()
                         held, size = [], 0
                     bucket = buckets[first + i]
-                    units = np.unique(places[starts[i] : starts[i + 1]])
+                    units = _distinct(places[starts[i] : starts[i + 1]])
                     if own.whole(units):
-                        codes = np.unique(own.links(units))
+                        codes = _distinct(own.links(units))
                         held.append((codes, np.full(len(codes), n_rows[first + i])))
                         size += len(codes)
                         if size > HELD_PAIRS:
@@ -318,7 +349,10 @@ def _measures(texts: DataFrame, pairs: DataFrame, n: int, paths: tuple[str, str]
 def _measured(own: Aligner, chunk: list[str], codes: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
     places, starts = own.units(chunk)
     # Sums over the links of each unit of this chunk, once.
-    distinct, nth = np.unique(places, return_inverse=True)
+    used = np.zeros(len(own.counts), bool)
+    used[places] = True
+    distinct = np.flatnonzero(used)
+    nth = (np.cumsum(used) - 1)[places]
     sizes = own.counts[distinct, 3]
     of_unit = np.repeat(np.arange(len(distinct)), sizes)
     links = own.links(distinct)
@@ -328,19 +362,20 @@ def _measured(own: Aligner, chunk: list[str], codes: np.ndarray, counts: np.ndar
     else:
         found = np.zeros(len(links), np.int64)
     best = np.bincount(of_unit[found < 0], minlength=len(distinct))
-    sums = np.zeros(len(distinct), np.int64)
-    np.add.at(sums, of_unit, np.abs(found))
+    ends = np.cumsum(sizes)
+    sums_to = np.append(0, np.cumsum(np.abs(found)))
+    sums = sums_to[ends] - sums_to[ends - sizes]
     per_unit = np.column_stack([own.counts[distinct], best, sums])
     rows, texts = np.zeros((len(chunk), 6), np.int64), []
     # Sums over each text's units; texts have at least one.
-    sums_to = np.add.reduceat(per_unit[nth], starts[:-1])
+    by_text = np.add.reduceat(per_unit[nth], starts[:-1])
     names = list(map(own.groups.__getitem__, places.tolist()))
     for i in range(len(chunk)):
         lo, hi = starts[i], starts[i + 1]
         if not own.whole(places[lo:hi]):
             texts.append("")
             continue
-        rows[i] = sums_to[i]
+        rows[i] = by_text[i]
         texts.append(hashlib.sha256(";".join(names[lo:hi]).encode()).hexdigest())
     return [*(pa.array(rows[:, k].copy()) for k in range(6)), pa.array(texts, pa.string())]
 

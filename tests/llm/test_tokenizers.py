@@ -124,6 +124,26 @@ def test_units_survive_a_full_cache(monkeypatch):
         assert (own.links(first) == own.links(last)).all() and own.counts[first, 3].sum() == len(own.links(first))
 
 
+def test_units_are_numbered_as_they_come():
+    """Each is looked up once; odd units stand among usual ones, some are not given back."""
+    import numpy as np
+
+    own, alone = (alignment.Aligner(*alignment.default_paths()) for _ in range(2))
+    values = [*odd_texts()[:80], *texts(3, 20), "é ́x"]
+    places, starts = own.units(values)
+    flat = [u for t in values for u in own.of.cut(t)[0]]
+    assert list(own.places) == list(dict.fromkeys(flat))
+    assert places.tolist() == [own.places[u] for u in flat]
+    for text, lo, hi in zip(values, starts, starts[1:], strict=False):
+        single, _ = alone.units([text])
+        assert (own.counts[places[lo:hi]] == alone.counts[single]).all()
+        assert own.links(places[lo:hi]).tolist() == alone.links(single).tolist()
+        assert [own.groups[p] for p in places[lo:hi]] == [alone.groups[p] for p in single]
+        assert own.whole(places[lo:hi]) == alone.whole(single)
+    for some in ([], [3], [5, 2, 5, 2, 9]):
+        assert alignment._distinct(np.array(some, np.int64)).tolist() == sorted(set(some))
+
+
 def expected_ids(text):
     of = tokens.encoder(tokens.default_path()).tokenizer
     ids = of.encode(text or "", add_special_tokens=False).ids
