@@ -3,10 +3,11 @@
 A rolling hash over the characters cuts texts into chunks by content, so that equal
 passages have equal chunks whatever stands before them. Hashes of all chunks are counted;
 a chunk that occurs more than once is shared, and goes to a table in which each distinct
-chunk is encoded once. All other chunks are encoded where they stand.
+chunk is encoded once. All other chunks are encoded where they stand, neighbours among them
+as one, so that they need no joins; a text without shared chunks is encoded as it is.
 
 A chunk may begin or end inside a word, where its ids differ from those of the whole text.
-So the words around every join of two chunks are encoded again, with one more word on each
+So the words around every join with a shared chunk are encoded again, with one more word on each
 side until the outer words come out as they do alone: the ids between them then replace
 those of the two chunk ends. What the ends must be goes along and is checked when a text
 is put together.
@@ -154,11 +155,21 @@ class _Digests:
 
     def __init__(self, path: str):
         self.tokenizer = tokens.encoder(path).tokenizer
-        self.names = [str(i) for i in range(self.tokenizer.get_vocab_size())]
+        size = self.tokenizer.get_vocab_size()
+        self.names = [str(i) for i in range(size)]
+        # Without a decoder, the library puts a space between the tokens. A number without a
+        # token would be left out there.
+        found = [self.tokenizer.id_to_token(i) for i in range(size)]
+        self.tokens = found if self.tokenizer.decoder is None and None not in found else None
+
+    def decoded(self, numbers: list[int]) -> str:
+        if self.tokens is not None:
+            return " ".join(map(self.tokens.__getitem__, numbers))
+        return self.tokenizer.decode(numbers, skip_special_tokens=False)
 
     def of(self, ids: bytes) -> tuple[int, str, str]:
         numbers = np.frombuffer(ids, "<u4").tolist()
-        text = self.tokenizer.decode(numbers, skip_special_tokens=False)
+        text = self.decoded(numbers)
         listed = " ".join(map(self.names.__getitem__, numbers))
         return len(numbers), hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
@@ -272,42 +283,34 @@ _ARROW = pa.schema(
 
 def _pieces_of(text: str, encode, is_set, cut: bool) -> list[dict] | bytes:
     """The pieces of a text in order, or all its ids if none of its chunks is shared.
-    Neighbouring chunks that are not shared become one piece."""
-    parts = chunks(text, cut)
-    digests = [_digest(p) for p in parts]
+    Neighbouring chunks that are not shared are one piece."""
+    found = chunks(text, cut)
+    digests = [_digest(p) for p in found]
     hits = is_set(digests)
     if not any(hits):
-        return encode(text) if len(parts) < 2 else _in_place(text, parts, encode)
+        return encode(text)
+    parts: list[str] = []
+    shared: list[bytes | None] = []
+    for part, digest, hit in zip(found, digests, hits, strict=True):
+        if not hit and shared and shared[-1] is None:
+            parts[-1] += part
+            continue
+        parts.append(part)
+        shared.append(digest if hit else None)
     between = joins(parts, encode)
     if between is None:
         return encode(text)
     out: list[dict] = []
-    for k, (part, digest, hit) in enumerate(zip(parts, digests, hits, strict=True)):
+    for k, (part, digest) in enumerate(zip(parts, shared, strict=True)):
         head = between[k - 1].head if k else b""
         tail, joint = (between[k].tail, between[k].ids) if k < len(between) else (b"", b"")
-        if hit:
-            out.append({"digest": digest, "head": head, "tail": tail, "joint": joint})
-            continue
-        ids = trimmed(encode(part), head, tail) + joint
-        if out and "ids" in out[-1]:
-            out[-1]["ids"] += ids
+        if digest is None:
+            out.append({"ids": trimmed(encode(part), head, tail) + joint})
         else:
-            out.append({"ids": ids})
+            out.append({"digest": digest, "head": head, "tail": tail, "joint": joint})
     return out
 
 
-def _in_place(text: str, parts: list[str], encode) -> bytes:
-    """All ids of a text from its own chunks."""
-    between = joins(parts, encode)
-    if between is None:
-        return encode(text)
-    heads = [b"", *[j.head for j in between]]
-    ends = [*[(j.tail, j.ids) for j in between], (b"", b"")]
-    return b"".join(
-        trimmed(encode(p), head, tail) + joint for p, head, (tail, joint) in zip(parts, heads, ends, strict=True)
-    )
-
-
 def _split(docs: DataFrame, bitmap, path: str, cut: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words.keep_only("tokens")

@@ -197,3 +197,38 @@ def test_chunks_of_awkward_rows(spark):
     assert sorted(str(tuple(x)) for x in found) == sorted(str((r[0], *expected_ids(r[1]))) for r in rows())
     assert chunk_reuse.encode_documents(empty(spark)).count() == 0
     assert chunk_reuse.encode_documents(spark.createDataFrame([(1, None, *[None] * 11)], SCHEMA)).head()[1] == 0
+
+
+def test_only_joins_with_shared_chunks_are_encoded_again():
+    text = sentence(random.Random(13), 2000)
+    parts = chunk_reuse.chunks(text)
+    encoder = tokens.encoder(tokens.default_path())
+    asked = []
+
+    def encode(part):
+        asked.append(part)
+        return encoder.ids(part)
+
+    assert len(parts) > 5
+    assert chunk_reuse._pieces_of(text, encode, lambda found: [False] * len(found), True) == encoder.ids(text)
+    assert asked == [text]
+    asked.clear()
+    pieces = chunk_reuse._pieces_of(text, encode, lambda found: [k == 2 for k in range(len(found))], True)
+    assert ["ids" in p for p in pieces] == [True, False, True]
+    assert {"".join(parts[:2]), "".join(parts[3:])} <= set(asked) and not {*parts} & {*asked}
+    ids = chunk_reuse.trimmed(encoder.ids(parts[2]), pieces[1]["head"], pieces[1]["tail"]) + pieces[1]["joint"]
+    assert pieces[0]["ids"] + ids + pieces[2]["ids"] == encoder.ids(text)
+
+
+def test_decoded_texts_are_those_of_the_library(tmp_path):
+    from tokenizers import Tokenizer, decoders
+
+    plain = chunk_reuse._Digests(tokens.default_path())
+    numbers = list(range(0, 49408, 7)) + [49406, 49407]
+    assert plain.tokens is not None  # joined without the library
+    other = Tokenizer.from_file(tokens.default_path())
+    other.decoder = decoders.BPEDecoder(suffix="</w>")
+    other.save(str(tmp_path / "other.json"))
+    for digests in (plain, chunk_reuse._Digests(str(tmp_path / "other.json"))):
+        for some in ([], numbers[:1], numbers):
+            assert digests.decoded(some) == digests.tokenizer.decode(some, skip_special_tokens=False)
