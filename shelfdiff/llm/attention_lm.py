@@ -209,10 +209,19 @@ _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 _DISTANCE = np.clip(np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :], 0, None)
 
 
+def _flat(x: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, x.shape[-1])
+
+
+def _times(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """x @ weights, the places of all windows in one product."""
+    return (_flat(x) @ weights).reshape(*x.shape[:-1], -1)
+
+
 def forward(layer: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, dict]:
     """Log weights of the experts at each place of windows x (n, WINDOW, WIDTH), and what
     training needs."""
-    q, k, v = x @ layer["q"], x @ layer["k"], x @ layer["v"]
+    q, k, v = (_times(x, layer[n]) for n in ("q", "k", "v"))
     score = q @ k.transpose(0, 2, 1)
     score *= np.float32(WIDTH**-0.5)
     score += layer["r"][_DISTANCE] + _MASK
@@ -220,44 +229,53 @@ def forward(layer: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, di
     attention = np.exp(score, out=score)
     attention /= attention.sum(-1, keepdims=True)
     z = attention @ v
-    h = np.tanh(z + x @ layer["x"] + layer["b"])
-    g = h @ layer["u"] + layer["c"]
+    z += _times(x, layer["x"])
+    z += layer["b"]
+    h = np.tanh(z, out=z)
+    g = _times(h, layer["u"])
+    g += layer["c"]
     g -= g.max(-1, keepdims=True)
     g -= np.log(np.exp(g).sum(-1, keepdims=True))
     return g, {"q": q, "k": k, "v": v, "a": attention, "h": h}
 
 
-def _gradients(layer, x, made, gates, logs, real) -> tuple[dict[str, np.ndarray], np.ndarray, float]:
-    """Of the mean negative log chance at `real` places: by parameter, by input, and it."""
-    joint = gates + logs
-    top = joint.max(-1, keepdims=True)
-    chance = np.exp(joint - top)
-    total = chance.sum(-1, keepdims=True)
-    loss = -float(((top + np.log(total))[..., 0] * real).sum() / real.sum())
-    dg = (np.exp(gates) - chance / total) * (real / real.sum())[..., None]
-    dh = dg @ layer["u"].T
-    dpre = dh * (1 - made["h"] ** 2)
+def _gradients(layer, x, made, gates, logs, real) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Of the mean negative log chance at `real` places: by parameter and by input."""
+    chance = gates + logs
+    chance -= chance.max(-1, keepdims=True)
+    np.exp(chance, out=chance)
+    chance /= chance.sum(-1, keepdims=True)
+    dg = np.exp(gates)
+    dg -= chance
+    dg *= (real / real.sum())[..., None]
+    dpre = _times(dg, layer["u"].T)
+    dpre *= 1 - made["h"] ** 2
     dv = made["a"].transpose(0, 2, 1) @ dpre
-    da = dpre @ made["v"].transpose(0, 2, 1)
-    ds = made["a"] * (da - (da * made["a"]).sum(-1, keepdims=True))
+    ds = dpre @ made["v"].transpose(0, 2, 1)
+    ds -= (ds * made["a"]).sum(-1, keepdims=True)
+    ds *= made["a"]
     scale = np.float32(WIDTH**-0.5)
-    dq, dk = ds @ made["k"] * scale, ds.transpose(0, 2, 1) @ made["q"] * scale
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    grads = {name: flat(x).T @ flat(d) for name, d in (("q", dq), ("k", dk), ("v", dv), ("x", dpre))}
-    grads["b"], grads["c"] = flat(dpre).sum(0), flat(dg).sum(0)
-    grads["u"] = flat(made["h"]).T @ flat(dg)
+    dq, dk = ds @ made["k"], ds.transpose(0, 2, 1) @ made["q"]
+    dq *= scale
+    dk *= scale
+    by_product = ("q", dq), ("k", dk), ("v", dv), ("x", dpre)
+    grads = {name: _flat(x).T @ _flat(d) for name, d in by_product}
+    grads["b"], grads["c"] = _flat(dpre).sum(0), _flat(dg).sum(0)
+    grads["u"] = _flat(made["h"]).T @ _flat(dg)
     grads["r"] = np.bincount(_DISTANCE.ravel(), ds.sum(0).ravel(), WINDOW).astype(np.float32)
-    dx = dq @ layer["q"].T + dk @ layer["k"].T + dv @ layer["v"].T + dpre @ layer["x"].T
-    return grads, dx, loss
+    dx = _times(dq, layer["q"].T)
+    for name, d in by_product[1:]:
+        dx += _times(d, layer[name].T)
+    return grads, dx
 
 
-def _summed(values: np.ndarray, groups: np.ndarray) -> np.ndarray:
-    """Sums of rows by group; groups are numbered without gaps."""
+def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts equal keys, which are not negative, side by side, and where each
+    group begins."""
     # Sorting is quicker for small numbers.
-    groups = groups.astype(np.uint16) if len(groups) and groups.max() < 2**16 else groups
-    order = np.argsort(groups, kind="stable")
-    starts = np.flatnonzero(np.diff(groups[order].astype(np.int64), prepend=-1))
-    return np.add.reduceat(values[order], starts, axis=0)
+    keys = keys.astype(np.uint16) if len(keys) and keys.max() < 2**16 else keys
+    order = np.argsort(keys, kind="stable")
+    return order, np.flatnonzero(np.diff(keys[order].astype(np.int64), prepend=-1))
 
 
 def train(model: Model, texts: Iterable[list[bytes]], subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
@@ -329,7 +347,11 @@ def train_rows(
         inputs = np.where(inside, rows[place], begin)
         targets = np.where(inside, rows[place + 1], 0)
         real = inside.astype(np.float32)
-        used, where = np.unique(inputs, return_inverse=True)
+        flat = inputs.ravel()
+        order, first = _grouped(flat)
+        used = flat[order[first]]
+        where = np.empty(len(flat), np.int64)
+        where[order] = np.repeat(np.arange(len(used)), np.diff(first, append=len(flat)))
         own = used[used < begin]
         has_begin = int(used[-1] == begin)
         own_ids, at = words.ranges(starts[own], lengths[own])
@@ -339,10 +361,12 @@ def train_rows(
         vectors = np.add.reduceat(layer["e"][flat], at, axis=0) / sizes[:, None].astype(np.float32)
         x = vectors[where].reshape(BATCH, WINDOW, WIDTH)
         gates, made = forward(layer, x)
-        grads, dx, _ = _gradients(layer, x, made, gates, logs[targets], real)
-        by_word = _summed(dx.reshape(-1, WIDTH), where.ravel()) / sizes[:, None].astype(np.float32)
-        touched, of = np.unique(flat, return_inverse=True)
-        grads["e"] = _summed(np.repeat(by_word, sizes, axis=0), of)
+        grads, dx = _gradients(layer, x, made, gates, logs[targets], real)
+        by_word = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0) / sizes[:, None].astype(np.float32)
+        order, first = _grouped(flat)
+        touched = flat[order[first]]
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        grads["e"] = np.add.reduceat(by_word[of[order]], first, axis=0)
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for name, slope in grads.items():
             # Of the embeddings only those of the ids at hand move.
@@ -563,7 +587,7 @@ class Scorer:
         """The rows of words with these hashes; `names` gives the words at some places."""
         if len(self.index) > CACHE_WORDS:
             self.forget()
-        some, first, of = np.unique(every, return_index=True, return_inverse=True)
+        some, first, of, uses = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
         own = np.fromiter(map(self.index.__getitem__, some.tolist()), np.int64, len(some))
         rows = own[of]
         fresh = first[own >= len(self.index) - len(self.index.new)]
@@ -583,7 +607,7 @@ class Scorer:
             self.ratios[lo:hi] = self.model.ratios(parts)
             self.hashes[lo:hi] = hashes
             self.n[lo:hi] = self.counts.find(hashes)
-        self.uses += np.bincount(rows, minlength=len(self.uses))
+        self.uses[own] += uses
         return rows
 
     def gates(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -65,3 +65,36 @@ def test_a_column_of_texts_trains_the_layer_as_lists_of_words_do():
     own = attention_lm.train(model, expected, subwords, steps=5)
     got = attention_lm.train_column(model, column, subwords, steps=5)
     assert all((own[n] == got[n]).all() for n in own)
+
+
+def test_slopes_of_the_layer_are_those_of_its_loss():
+    r = np.random.default_rng(5)
+    width, experts, window = attention_lm.WIDTH, attention_lm.EXPERTS + 1, attention_lm.WINDOW
+    shapes = {"q": (width, width), "k": (width, width), "v": (width, width), "x": (width, width), "b": (width,)}
+    shapes |= {"r": (window,), "u": (width, experts), "c": (experts,)}
+    layer = {n: r.standard_normal(s) * 0.3 for n, s in shapes.items()}
+    x, logs = r.standard_normal((3, window, width)), r.standard_normal((3, window, experts))
+    real = (r.random((3, window)) < 0.8).astype(float)
+
+    def loss():
+        gates, _ = attention_lm.forward(layer, x)
+        return -(np.log(np.exp(gates + logs).sum(-1)) * real).sum() / real.sum()
+
+    gates, made = attention_lm.forward(layer, x)
+    grads, dx = attention_lm._gradients(layer, x, made, gates, logs, real)
+    for values, slope in [*((layer[n], grads[n]) for n in layer), (x, dx)]:
+        at = tuple(r.integers(n) for n in values.shape)
+        was, found = values[at], []
+        for step in (1e-5, -1e-5):
+            values[at] = was + step
+            found.append(loss())
+        values[at] = was
+        assert abs((found[0] - found[1]) / 2e-5 - slope[at]) < 1e-6
+
+
+def test_equal_keys_are_grouped_in_their_order():
+    for top in (5, 100_000):
+        keys = np.random.default_rng(1).integers(0, top, 300).astype(np.int32)
+        order, first = attention_lm._grouped(keys)
+        some, of = np.unique(keys, return_inverse=True)
+        assert (keys[order[first]] == some).all() and (order == np.argsort(of, kind="stable")).all()
