@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfdiff.llm import tokens, words
+from shelfdiff.llm import merges, tokens, words
 from shelfdiff.session import settle, ship
 
 EXPERTS = 12
@@ -71,12 +71,23 @@ END_WORD = b"\n"
 _START, _INNER, _FINAL = 0, 1, 2  # before a word's first id, and after one that goes on or ends
 
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, and the sizes of its values."""
+    if not len(column):
+        return np.empty(0, np.uint8), np.empty(0, np.int64)
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int32, len(column) + 1, 4 * column.offset)
+    lo, hi = int(bounds[0]), int(bounds[-1])
+    return np.frombuffer(data, np.uint8, hi - lo, lo) if hi > lo else np.empty(0, np.uint8), np.diff(bounds).astype(np.int64)
+
+
 class Subwords:
     """The ids of words; the last two numbers stand for the end of a text and its start,
     and `stop` ends a word's ids."""
 
     def __init__(self, path: str):
         self.encoder = tokens.encoder(path)
+        self.merges = _merges(path)
         vocabulary = self.encoder.tokenizer.get_vocab()
         n = max(vocabulary.values()) + 1
         self.end, self.begin, self.stop, self.size = n, n + 1, n + 2, n + 3
@@ -89,24 +100,50 @@ class Subwords:
             return self.end.to_bytes(4, "little")
         return self.encoder.word_ids(word)
 
-    def flat(self, some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, some: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a column of words, one after another, and how many each has."""
+        data, sizes = _bytes(some)
+        if self.merges is None:
+            found = np.empty(0, np.int32), np.zeros(len(some), np.int64), np.ones(len(some), bool)
+        else:
+            found = self.merges.find(data, sizes)
+        left = some.take(pa.array(np.flatnonzero(found[2]))).to_pylist()
+        return merges.together(found, [self.ids(w) for w in left])
+
+    def flat(self, some: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of words with a stop after each, the state before every id, and where
         each word begins."""
-        return self.lay([self.ids(w) for w in some])
+        return self.lay(*self.encode(some if isinstance(some, pa.Array) else pa.array(some, pa.binary())))
 
-    def lay(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def lay(self, found: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What `flat` gives, for words whose ids are given."""
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4 + 1
+        sizes = sizes + 1
         starts = np.cumsum(sizes) - sizes
         ids = np.full(int(sizes.sum()), self.stop, np.int64)
         inner = np.ones(len(ids), bool)
         inner[starts + sizes - 1] = False
-        ids[inner] = np.frombuffer(b"".join(parts), "<u4")
+        ids[inner] = found
         states = np.full(len(ids), _INNER)
-        states[1:][self.final[ids[:-1]]] = _FINAL
+        states[1:][self.final.take(ids[:-1])] = _FINAL
         states[starts] = _START
         return ids, states, starts
 
+    def lay_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What `flat` gives, for a column of ids without nulls."""
+        data, sizes = _bytes(column)
+        return self.lay(data.view("<u4"), sizes // 4)
+
+
+_MERGES: dict[str, merges.Merges | None] = {}
+
+
+def _merges(path: str) -> merges.Merges | None:
+    """The merges of this worker process, for tokenizers whose first steps are known."""
+    if path not in _MERGES:
+        encoder = tokens.encoder(path)
+        _MERGES[path] = merges.read(path, encoder.characters) if encoder.known_steps else None
+    return _MERGES[path]
+
 
 @dataclass
 class Model:
@@ -155,7 +192,9 @@ def _bins(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Texts, one after another, as unit vectors of their words' logged counts in bins."""
     text = np.repeat(np.arange(len(sizes)), sizes)
     place = text * BINS + (hashes % np.uint64(BINS)).astype(np.int64)
-    x = np.log1p(np.bincount(place, minlength=len(sizes) * BINS)).reshape(-1, BINS).astype(np.float32)
+    counts = np.bincount(place, minlength=len(sizes) * BINS)
+    logs = np.log1p(np.arange(counts.max(initial=0) + 1)).astype(np.float32)
+    x = logs.take(counts).reshape(-1, BINS)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), np.float32(1e-9))
 
 
@@ -192,7 +231,8 @@ def expert_tables(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _posterior(tables: np.ndarray, prior: np.ndarray, flat: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """The chance of each cluster, given a word's ids."""
     ids, states, starts = flat
-    logs = np.add.reduceat(tables[states, ids], starts, axis=0) + prior
+    places = states * tables.shape[1] + ids
+    logs = np.add.reduceat(tables.reshape(-1, tables.shape[2]).take(places, axis=0), starts, axis=0) + prior
     logs -= logs.max(1, keepdims=True)
     np.exp(logs, out=logs)
     return logs / logs.sum(1, keepdims=True)
@@ -202,7 +242,7 @@ def word_vectors(embedding: np.ndarray, flat: tuple[np.ndarray, np.ndarray, np.n
     """The mean embedding of each word's ids, stop included."""
     ids, _, starts = flat
     sizes = np.diff(np.append(starts, len(ids)))
-    return np.add.reduceat(embedding[ids], starts, axis=0) / sizes[:, None].astype(np.float32)
+    return np.add.reduceat(embedding.take(ids, axis=0), starts, axis=0) / sizes[:, None].astype(np.float32)
 
 
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
@@ -218,46 +258,65 @@ def _times(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return (_flat(x) @ weights).reshape(*x.shape[:-1], -1)
 
 
+def _sum_rows(x: np.ndarray) -> np.ndarray:
+    """The sums of columns, added in the order in which numpy adds a short row."""
+    if len(x) < 8:
+        return x.sum(0)
+    a, b, c, d, e, f, g, h = x[:8]
+    total = ((a + b) + (c + d)) + ((e + f) + (g + h))
+    for row in x[8:]:
+        total += row
+    return total
+
+
 def forward(layer: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, dict]:
     """Log weights of the experts at each place of windows x (n, WINDOW, WIDTH), and what
     training needs."""
-    q, k, v = (_times(x, layer[n]) for n in ("q", "k", "v"))
+    return _forward(layer, x, 0)
+
+
+def _forward(layer: dict[str, np.ndarray], x: np.ndarray, lead: int) -> tuple[np.ndarray, dict]:
+    """What `forward` gives, of the places from `lead` on."""
+    # The root of `WIDTH` is a power of two: queries may be scaled before their products.
+    seen = np.ascontiguousarray(x[:, lead:]) if lead else x
+    q = _times(seen, layer["q"] * np.float32(WIDTH**-0.5))
+    k, v = (_times(x, layer[n]) for n in ("k", "v"))
     score = q @ k.transpose(0, 2, 1)
-    score *= np.float32(WIDTH**-0.5)
-    score += layer["r"][_DISTANCE] + _MASK
+    score += (layer["r"][_DISTANCE] + _MASK)[lead:]
     score -= score.max(-1, keepdims=True)
     attention = np.exp(score, out=score)
     attention /= attention.sum(-1, keepdims=True)
     z = attention @ v
-    z += _times(x, layer["x"])
+    z += _times(seen, layer["x"])
     z += layer["b"]
     h = np.tanh(z, out=z)
-    g = _times(h, layer["u"])
-    g += layer["c"]
-    g -= g.max(-1, keepdims=True)
-    g -= np.log(np.exp(g).sum(-1, keepdims=True))
-    return g, {"q": q, "k": k, "v": v, "a": attention, "h": h}
+    # A row for each expert: sums over the last axis are slow when it is short.
+    g = np.ascontiguousarray((_flat(h) @ layer["u"] + layer["c"]).T)
+    g -= g.max(0)
+    g -= np.log(_sum_rows(np.exp(g)))
+    gates = g.reshape(-1, *z.shape[:2]).transpose(1, 2, 0)
+    return gates, {"q": q, "k": k, "v": v, "a": attention, "h": h}
 
 
 def _gradients(layer, x, made, gates, logs, real) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Of the mean negative log chance at `real` places: by parameter and by input."""
-    chance = gates + logs
-    chance -= chance.max(-1, keepdims=True)
+    by_expert = [np.ascontiguousarray(_flat(y).T) for y in (gates, logs)]
+    chance = by_expert[0] + by_expert[1]
+    chance -= chance.max(0)
     np.exp(chance, out=chance)
-    chance /= chance.sum(-1, keepdims=True)
-    dg = np.exp(gates)
+    chance /= _sum_rows(chance)
+    dg = np.exp(by_expert[0])
     dg -= chance
-    dg *= (real / real.sum())[..., None]
+    dg *= (real / real.sum()).ravel()
+    dg = np.ascontiguousarray(dg.T).reshape(*gates.shape)
     dpre = _times(dg, layer["u"].T)
     dpre *= 1 - made["h"] ** 2
     dv = made["a"].transpose(0, 2, 1) @ dpre
     ds = dpre @ made["v"].transpose(0, 2, 1)
     ds -= (ds * made["a"]).sum(-1, keepdims=True)
     ds *= made["a"]
-    scale = np.float32(WIDTH**-0.5)
     dq, dk = ds @ made["k"], ds.transpose(0, 2, 1) @ made["q"]
-    dq *= scale
-    dk *= scale
+    dq *= np.float32(WIDTH**-0.5)
     by_product = ("q", dq), ("k", dk), ("v", dv), ("x", dpre)
     grads = {name: _flat(x).T @ _flat(d) for name, d in by_product}
     grads["b"], grads["c"] = _flat(dpre).sum(0), _flat(dg).sum(0)
@@ -272,41 +331,67 @@ def _gradients(layer, x, made, gates, logs, real) -> tuple[dict[str, np.ndarray]
 def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order that puts equal keys, which are not negative, side by side, and where each
     group begins."""
-    # Sorting is quicker for small numbers.
-    keys = keys.astype(np.uint16) if len(keys) and keys.max() < 2**16 else keys
-    order = np.argsort(keys, kind="stable")
-    return order, np.flatnonzero(np.diff(keys[order].astype(np.int64), prepend=-1))
-
-
-def train(model: Model, texts: Iterable[list[bytes]], subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
+    # Sorting is quicker for small numbers: by the low 16 bits, then by those above.
+    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
+    if len(keys) and keys.max() >= 2**32:
+        order = np.argsort(keys, kind="stable")
+    elif len(keys) and keys.max() >= 2**16:
+        order = order.take(np.argsort((keys >> 16).astype(np.uint16).take(order), kind="stable"))
+    return order, np.flatnonzero(np.diff(keys.take(order).astype(np.int64), prepend=-1))
+
+
+def _sums(table: np.ndarray, which: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sums of the rows of a table that runs of numbers name, as `reduceat` adds them."""
+    sizes = np.diff(starts, append=len(which))
+    out = np.empty((len(starts), table.shape[1]), table.dtype)
+    order = np.argsort(np.minimum(sizes, 9).astype(np.uint8), kind="stable")[::-1]
+    left = np.bincount(np.minimum(sizes, 9), minlength=10)[::-1].cumsum()[::-1].tolist()
+    long = order[: left[9]]
+    if len(long):
+        places, at = words.ranges(starts.take(long), sizes.take(long))
+        out[long] = np.add.reduceat(table.take(which.take(places), axis=0), at, axis=0)
+    # Of short runs, longer ones first, all rows but the first are added one by one.
+    short = order[left[9] :]
+    place = starts.take(short)
+    sums = table.take(which.take(place), axis=0)
+    rest = table.take(which.take(place[: left[2] - left[9]] + 1), axis=0)
+    for k in range(2, 8):
+        n = left[k + 1] - left[9]
+        rest[:n] += table.take(which.take(place[:n] + k), axis=0)
+    sums[: len(rest)] += rest
+    out[short] = sums
+    return out
+
+
+def train(model: Model, texts: list[list[bytes]], subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
     """What `train_rows` gives, for texts as lists of words."""
-    vocabulary = WordRows()
-    rows = [np.fromiter(map(vocabulary.__getitem__, t), np.int64, len(t)) for t in texts]
+    names = dict.fromkeys(w for t in texts for w in t)
+    number = {w: i for i, w in enumerate(names)}
+    rows = [np.fromiter(map(number.__getitem__, t), np.int64, len(t)) for t in texts]
     sizes = np.array([len(r) for r in rows], np.int64)
-    return train_rows(model, list(vocabulary), np.concatenate([*rows, np.empty(0, np.int64)]), sizes, subwords, steps)
+    rows = np.concatenate([*rows, np.empty(0, np.int64)])
+    return train_rows(model, pa.array(names, pa.binary()), rows, sizes, subwords, steps)
 
 
 def train_column(model: Model, column: pa.Array, subwords: Subwords, steps: int = STEPS) -> dict[str, np.ndarray]:
     """What `train_rows` gives, for a column of texts."""
     # Words are known by their hashes; only numbers and one name of each word are held.
-    index, names, rows, sizes = WordRows(), [], [], []
+    index, names, rows, sizes = HashRows(), [pa.array([], pa.binary())], [], []
     for i in range(0, len(column), 500):
         split = Split(column[i : i + 500])
         some, first, of = np.unique(split.hashes, return_index=True, return_inverse=True)
-        order = np.argsort(first)
-        own = np.empty(len(some), np.int32)
-        own[order] = np.fromiter(map(index.__getitem__, some[order].tolist()), np.int32, len(some))
-        names += split.names(first[order][own[order] >= len(names)]).to_pylist()
-        rows.append(own[of])
+        own, new = index.add(some, first)
+        names.append(split.names(first[new]))
+        rows.append(own.astype(np.int32).take(of))
         sizes.append(split.sizes)
     del index
     none = np.empty(0, np.int32)
     rows, sizes = np.concatenate([none, *rows]), np.concatenate([none, *sizes])
-    return train_rows(model, names, rows, sizes, subwords, steps)
+    return train_rows(model, pa.concat_arrays(names), rows, sizes, subwords, steps)
 
 
 def train_rows(
-    model: Model, names: list[bytes], rows: np.ndarray, sizes: np.ndarray, subwords: Subwords, steps: int = STEPS
+    model: Model, names: pa.Array, rows: np.ndarray, sizes: np.ndarray, subwords: Subwords, steps: int = STEPS
 ) -> dict[str, np.ndarray]:
     """An attention layer that weighs the experts of `model`, by so many steps at least, and
     as many as it takes to see every window of the texts. These lie one after another in
@@ -317,15 +402,15 @@ def train_rows(
     layer |= {"b": np.zeros(WIDTH, np.float32), "r": np.zeros(WINDOW, np.float32)}
     layer |= {"u": draw(WIDTH, EXPERTS + 1), "c": np.zeros(EXPERTS + 1, np.float32)}
     layer["e"] = draw(subwords.size, WIDTH) * 3
-    if not names:
+    if not len(names):
         return layer
     begin = len(names)
     ids, lengths, logs = [], [], np.empty((begin, EXPERTS + 1), np.float32)
-    for i in range(0, begin, 20_000):
-        flat = subwords.flat(names[i : i + 20_000])
+    for i in range(0, begin, 40_000):
+        flat = subwords.flat(names[i : i + 40_000])
         ids.append(flat[0].astype(np.int32))
         lengths.append(np.diff(np.append(flat[2], len(flat[0]))))
-        logs[i : i + 20_000] = np.log(model.ratios(flat) + np.float32(1e-20))
+        logs[i : i + 40_000] = np.log(model.ratios(flat) + np.float32(1e-20))
     ids, lengths = np.concatenate(ids), np.concatenate(lengths)
     starts = np.cumsum(lengths) - lengths
     # Every text follows its start; windows begin at every `WINDOW` words of it.
@@ -344,39 +429,53 @@ def train_rows(
         pick = picks[(step - 1) * BATCH : step * BATCH]
         inside = np.arange(WINDOW) < filled[pick][:, None]
         place = np.where(inside, spans[pick][:, None] + np.arange(WINDOW), 0)
-        inputs = np.where(inside, rows[place], begin)
-        targets = np.where(inside, rows[place + 1], 0)
+        inputs = np.where(inside, rows.take(place), begin)
+        targets = np.where(inside, rows.take(place + 1), 0)
         real = inside.astype(np.float32)
         flat = inputs.ravel()
         order, first = _grouped(flat)
-        used = flat[order[first]]
+        used = flat.take(order.take(first))
         where = np.empty(len(flat), np.int64)
         where[order] = np.repeat(np.arange(len(used)), np.diff(first, append=len(flat)))
         own = used[used < begin]
         has_begin = int(used[-1] == begin)
         own_ids, at = words.ranges(starts[own], lengths[own])
-        flat = np.append(ids[own_ids], [subwords.begin] * has_begin)
+        flat = np.append(ids.take(own_ids), [subwords.begin] * has_begin)
         at = np.append(at, [len(own_ids)] * has_begin)
         sizes = np.append(lengths[own], [1] * has_begin)
-        vectors = np.add.reduceat(layer["e"][flat], at, axis=0) / sizes[:, None].astype(np.float32)
-        x = vectors[where].reshape(BATCH, WINDOW, WIDTH)
+        vectors = _sums(layer["e"], flat, at) / sizes[:, None].astype(np.float32)
+        x = vectors.take(where, axis=0).reshape(BATCH, WINDOW, WIDTH)
         gates, made = forward(layer, x)
-        grads, dx = _gradients(layer, x, made, gates, logs[targets], real)
-        by_word = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0) / sizes[:, None].astype(np.float32)
+        grads, dx = _gradients(layer, x, made, gates, logs.take(targets, axis=0), real)
+        by_word = np.add.reduceat(_flat(dx).take(order, axis=0), first, axis=0) / sizes[:, None].astype(np.float32)
         order, first = _grouped(flat)
-        touched = flat[order[first]]
+        touched = flat.take(order.take(first))
         of = np.repeat(np.arange(len(sizes)), sizes)
-        grads["e"] = np.add.reduceat(by_word[of[order]], first, axis=0)
+        grads["e"] = np.add.reduceat(by_word.take(of.take(order), axis=0), first, axis=0)
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))
         for name, slope in grads.items():
             # Of the embeddings only those of the ids at hand move.
-            at = touched if name == "e" else slice(None)
-            first, second = (m[at] for m in state[name])
-            first = first + 0.1 * (slope - first)
-            second = second + 0.01 * (slope * slope - second)
-            state[name][0][at], state[name][1][at] = first, second
-            move = first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-            layer[name][at] -= (rate * move).astype(np.float32)
+            if name == "e":
+                first, second, own = (m.take(touched, axis=0) for m in (*state[name], layer[name]))
+            else:
+                (first, second), own = state[name], layer[name]
+            change = slope - first
+            change *= 0.1
+            first += change
+            change = np.multiply(slope, slope, out=change)
+            change -= second
+            change *= 0.01
+            second += change
+            move = first / (1 - 0.9**step)
+            scale = np.divide(second, 1 - 0.99**step, out=change)
+            np.sqrt(scale, out=scale)
+            scale += 1e-8
+            move /= scale
+            move *= rate
+            own -= move
+            if name == "e":
+                for held, new in zip((*state[name], layer[name]), (first, second, own), strict=True):
+                    held[touched] = new
     return layer
 
 
@@ -464,7 +563,10 @@ def with_ids(counts: DataFrame, path: str) -> DataFrame:
         words.keep_only("tokens")
         subwords = Subwords(path)
         for batch in _word_batches(batches):
-            ids = pa.array([subwords.ids(w) for w in batch["word"].to_pylist()], pa.binary())
+            found, sizes = subwords.encode(batch["word"])
+            offsets = np.cumsum([0, *(4 * sizes)]).astype(np.int32)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(found.astype("<u4"))]
+            ids = pa.Array.from_buffers(pa.binary(), len(sizes), buffers)
             yield pa.record_batch([*batch.columns, ids], [*batch.schema.names, "ids"])
 
     kinds = ["hash long", "word binary", "n long", *(f"{c} long" for c in CLUSTER_COUNTS), "ids binary"]
@@ -480,7 +582,7 @@ def id_counts(counts: DataFrame, path: str, size: int) -> np.ndarray:
         subwords = Subwords(path)
         total = np.zeros((3 * subwords.size, EXPERTS))
         for batch in _word_batches(batches):
-            ids, states, starts = subwords.lay(batch["ids"].to_pylist())
+            ids, states, starts = subwords.lay_column(batch["ids"])
             own = np.stack([batch[c].to_numpy() for c in CLUSTER_COUNTS], axis=1)
             place = states * subwords.size + ids
             order = np.argsort(place, kind="stable")
@@ -510,7 +612,7 @@ def expert_scale(counts: DataFrame, path: str, tables: np.ndarray, prior: np.nda
         sums = np.zeros(EXPERTS + 1)
         for batch in _word_batches(batches):
             weight = batch["n"].to_numpy() + 0.5
-            likely = _posterior(*shared.value, subwords.lay(batch["ids"].to_pylist()))
+            likely = _posterior(*shared.value, subwords.lay_column(batch["ids"]))
             sums += np.append(weight @ likely, weight.sum())
         yield pa.record_batch([pa.array([x]) for x in sums], [*CLUSTER_COUNTS, "n"])
 
@@ -539,18 +641,36 @@ def _room(n: int) -> tuple[np.ndarray, ...]:
     return tuple(np.zeros(shape, kind) for shape, kind in shapes)
 
 
-class WordRows(dict):
-    """Numbers words, or their hashes, in the order in which they first come; `new` gathers
-    those that came last."""
+class HashRows:
+    """Numbers words by their hashes, in the order in which they first come."""
 
     def __init__(self):
-        super().__init__()
-        self.new: list = []
-
-    def __missing__(self, word: bytes | int) -> int:
-        self[word] = n = len(self)
-        self.new.append(word)
-        return n
+        self.hashes, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def add(self, some: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of distinct hashes, which ascend, after adding those that are new, and
+        which these are, in the order of `first`."""
+        at = np.searchsorted(self.hashes, some)
+        known = np.zeros(len(some), bool)
+        inside = at < len(self)
+        known[inside] = self.hashes.take(at[inside]) == some[inside]
+        own = np.empty(len(some), np.int64)
+        own[known] = self.rows.take(at[known])
+        new = np.flatnonzero(~known)
+        order = new[np.argsort(first[new])]
+        own[order] = np.arange(len(self), len(self) + len(new))
+        self.hashes, self.rows = np.insert(self.hashes, at[new], some[new]), np.insert(self.rows, at[new], own[new])
+        return own, order
+
+    def keep(self, rows: np.ndarray) -> None:
+        """Keeps some rows, which ascend, and numbers them anew."""
+        number = np.full(len(self), -1)
+        number[rows] = np.arange(len(rows))
+        own = number.take(self.rows)
+        self.hashes, self.rows = self.hashes[own >= 0], own[own >= 0]
 
 
 class Scorer:
@@ -562,18 +682,14 @@ class Scorer:
         self.clear()
 
     def clear(self) -> None:
-        self.index = WordRows()
+        self.index = HashRows()
         self.vectors, self.ratios, self.hashes, self.n, self.uses = _room(0)
 
     def forget(self) -> None:
         """Keeps the half of the words that were used most, lately above all."""
         size = len(self.index)
         keep = np.sort(np.argpartition(-self.uses[:size], CACHE_WORDS // 2)[: CACHE_WORDS // 2])
-        names = list(self.index)
-        self.index = WordRows()
-        for i in keep.tolist():
-            self.index[names[i]]
-        self.index.new = []
+        self.index.keep(keep)
         for held in (self.vectors, self.ratios, self.hashes, self.n, self.uses):
             held[: len(keep)] = held[keep]
         self.uses //= 2
@@ -581,27 +697,25 @@ class Scorer:
 
     def rows(self, flat: list[bytes]) -> np.ndarray:
         """The rows of words, after adding those that are new."""
-        return self.find(words.word_hashes(flat), lambda places: [flat[i] for i in places])
+        return self.find(words.word_hashes(flat), lambda places: pa.array([flat[i] for i in places], pa.binary()))
 
-    def find(self, every: np.ndarray, names: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+    def find(self, every: np.ndarray, names: Callable[[np.ndarray], pa.Array]) -> np.ndarray:
         """The rows of words with these hashes; `names` gives the words at some places."""
         if len(self.index) > CACHE_WORDS:
             self.forget()
         some, first, of, uses = np.unique(every, return_index=True, return_inverse=True, return_counts=True)
-        own = np.fromiter(map(self.index.__getitem__, some.tolist()), np.int64, len(some))
-        rows = own[of]
-        fresh = first[own >= len(self.index) - len(self.index.new)]
-        self.index.new = []
-        new = names(fresh)
-        if new:
-            lo, hi = len(self.index) - len(new), len(self.index)
+        own, new = self.index.add(some, first)
+        rows = own.take(of)
+        fresh = first[new]
+        if len(fresh):
+            lo, hi = len(self.index) - len(fresh), len(self.index)
             if hi > len(self.n):
                 held = self.vectors, self.ratios, self.hashes, self.n, self.uses
                 room = _room(max(2 * hi, 50_000))
                 for old, larger in zip(held, room, strict=True):
                     larger[:lo] = old[:lo]
                 self.vectors, self.ratios, self.hashes, self.n, self.uses = room
-            parts = self.subwords.flat(new)
+            parts = self.subwords.flat(names(fresh))
             hashes = every[fresh]
             self.vectors[lo:hi] = word_vectors(self.model.layer["e"], parts)
             self.ratios[lo:hi] = self.model.ratios(parts)
@@ -612,49 +726,69 @@ class Scorer:
 
     def gates(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Log weights of the experts at every word of texts that lie one after another."""
-        starts = np.cumsum(sizes) - sizes
-        step = WINDOW - LEAD
-        text, lo = [], []
-        for i, n in enumerate(sizes.tolist()):
-            first = range(0, max(n - LEAD, 1), step)
-            text += [i] * len(first)
-            lo += first
-        text, lo = np.array(text), np.array(lo)
-        # Input j of a window is the word before place lo + j; the start comes first.
-        place = lo[:, None] + np.arange(WINDOW)
-        inside = place < sizes[text][:, None]
-        before = starts[text][:, None] + place - 1
         out = np.empty((len(rows), EXPERTS + 1), np.float32)
-        for i in range(0, len(text), 128):
-            part = slice(i, i + 128)
-            at = np.where(inside[part] & (place[part] > 0), before[part], 0)
-            x = self.vectors[rows[at]]
-            x[place[part] == 0] = self.begin_vector
-            gates, _ = forward(self.model.layer, x)
-            own = inside[part] & ((np.arange(WINDOW) >= LEAD) | (lo[part] == 0)[:, None])
-            out[(before[part] + 1)[own]] = gates[own]
+        for places, gates in self.windows(rows, sizes):
+            out[places] = gates
         return out
 
+    def mixed(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How much likelier every word is than by its share."""
+        out = np.empty(len(rows), np.float32)
+        for places, gates in self.windows(rows, sizes):
+            ratios = self.ratios.take(rows.take(places), axis=0)
+            out[places] = np.einsum("ij,ij->i", np.exp(gates, out=gates), ratios)
+        return out
+
+    def windows(self, rows: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of words and the log weights of the experts there, each place once."""
+        starts = np.cumsum(sizes) - sizes
+        step = WINDOW - LEAD
+        n = np.maximum(-(-(sizes - LEAD) // step), 1)
+        lo, _ = words.ranges(np.zeros(len(sizes), np.int64), n)
+        lo *= step
+        text = np.repeat(np.arange(len(sizes)), n)
+        # Of all windows but the first of a text the first places are context alone.
+        for lead, of in (0, np.flatnonzero(lo == 0)), (LEAD, np.flatnonzero(lo > 0)):
+            for i in range(0, len(of), 128):
+                part = of[i : i + 128]
+                # Input j of a window is the word before place lo + j; the start comes first.
+                place = lo[part][:, None] + np.arange(WINDOW)
+                inside = place < sizes[text[part]][:, None]
+                place += starts[text[part]][:, None]
+                at = np.where(inside, place - 1, 0)
+                if not lead:
+                    at[:, 0] = 0
+                x = self.vectors.take(rows.take(at), axis=0)
+                if not lead:
+                    x[:, 0] = self.begin_vector
+                gates, _ = _forward(self.model.layer, x, lead)
+                own = inside[:, lead:]
+                gates = np.ascontiguousarray(_flat(gates))
+                yield place[:, lead:][own], gates if own.all() else gates[own.ravel()]
+
     def score(self, texts: list[str | None]) -> list[tuple]:
         """(n_tokens, n_known, base, gain, hashes and gains of rare words) of each text, in
         natural logs; n_known, base and gain without the words that are not among the
         frequent ones."""
-        split = Split(pa.array(texts, pa.string()))
+        *whole, ends, hashes, gains = self.score_column(pa.array(texts, pa.string()))
+        rare = [(h, g) for h, g in zip(np.split(hashes, ends[:-1]), np.split(gains, ends[:-1]), strict=True)]
+        return [(int(n), *x, *r) for n, *x, r in zip(*whole, rare, strict=True)]
+
+    def score_column(self, column: pa.Array) -> tuple[np.ndarray, ...]:
+        """What `score` gives, as columns: the rare words of all texts lie one after another,
+        and the ends of each text's among them come before their hashes and gains."""
+        split = Split(column)
         sizes = split.sizes
-        rows = self.find(split.hashes, lambda places: split.names(places).to_pylist())
-        gain = np.log(np.einsum("ij,ij->i", np.exp(self.gates(rows, sizes)), self.ratios[rows]).astype(np.float64) + 1e-30)
-        n = self.n[rows]
+        rows = self.find(split.hashes, split.names)
+        gain = np.log(self.mixed(rows, sizes).astype(np.float64) + 1e-30)
+        n = self.n.take(rows)
         base = np.where(n >= 0, self.counts.log(np.maximum(n, 0)), 0.0)
         starts = np.cumsum(sizes) - sizes
         known = (n > 0).astype(np.int64), base, np.where(n >= 0, gain, 0.0)
         sums = [np.add.reduceat(x, starts) for x in known]
-        hashes = split.hashes.view(np.int64)
-        out = []
-        for i, (lo, size) in enumerate(zip(starts, sizes, strict=True)):
-            own = slice(lo, lo + size)
-            rare = n[own] < 0
-            out.append((int(size), *(s[i] for s in sums), hashes[own][rare], gain[own][rare]))
-        return out
+        rare = n < 0
+        ends = np.cumsum(np.add.reduceat(rare.astype(np.int64), starts))
+        return sizes, *sums, ends, split.hashes.view(np.int64)[rare], gain[rare]
 
 
 _SCORERS: dict[int, Scorer] = {}
@@ -778,15 +912,13 @@ def scores(
         words.keep_only("language model", "tokens", "words")
         scorer = _scorer(shared)
         for batch in batches:
-            for i in range(0, batch.num_rows, 100):
-                part = batch.slice(i, 100)
-                found = scorer.score(part["text"].to_pylist())
-                columns = [list(c) for c in zip(*found, strict=True)]
-                offsets = np.cumsum([0, *[len(h) for h in columns[4]]]).astype(np.int32)
-                pairs = [pa.array(np.concatenate(columns[4])), pa.array(np.concatenate(columns[5]))]
-                rare = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(pairs, ["hash", "gain"]))
+            for i in range(0, batch.num_rows, 250):
+                part = batch.slice(i, 250)
+                *whole, ends, hashes, gains = scorer.score_column(part["text"])
+                pairs = pa.StructArray.from_arrays([pa.array(hashes), pa.array(gains)], ["hash", "gain"])
+                rare = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pairs)
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                whole = [pa.array(c, k) for c, k in zip(columns[:4], kinds, strict=True)]
+                whole = [pa.array(c, k) for c, k in zip(whole, kinds, strict=True)]
                 names = ["doc_id", "n_tokens", "n_known", "base", "gain", "rare"]
                 yield pa.record_batch([part["doc_id"], *whole, rare], names)
 
